@@ -19,25 +19,33 @@ GROUPED_FLOAT = r"^[+-]?[0-9]+(_[0-9]+)*([.]([0-9]+(_[0-9]+)*)?)?([eE][+-]?[0-9]
 DAY_TIME = r"^[0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}([.][0-9]{1,6})?)?$"
 
 
+def trimmed(text: Column) -> Column:
+    """Cell without surrounding whitespace."""
+    return F.btrim(text, F.lit(BLANKS))
+
+
 def cell(text: Column) -> Column:
     """Trimmed cell; blank is NULL."""
-    return F.nullif(F.btrim(text, F.lit(BLANKS)), F.lit(""))
+    return F.nullif(trimmed(text), F.lit(""))
 
 
 def _ungrouped(text: Column, pattern: str) -> Column:
-    # only looked at when the plain cast failed
-    return F.when(F.contains(text, F.lit("_")) & text.rlike(pattern), F.replace(text, F.lit("_"), F.lit("")))
+    return F.when(text.rlike(pattern), F.replace(text, F.lit("_"), F.lit("")))
 
 
 def to_integer(text: Column, kind: T.DataType) -> Column:
-    return F.coalesce(text.try_cast(kind), _ungrouped(text, GROUPED_DIGITS).try_cast(kind))
+    plain = F.when(F.contains(text, F.lit("_")), _ungrouped(text, GROUPED_DIGITS)).otherwise(text)
+    return plain.try_cast(kind)
 
 
 def to_float(text: Column, kind: T.DataType) -> Column:
     """Decimal text, nan and inf; the type suffixes and hex form Java accepts are refused."""
-    foreign = F.lower(F.right(text, F.lit(1))).isin("d", "f") & ~F.lower(text).rlike("^[+-]?inf$")
-    plain = F.when(~(foreign | F.contains(F.lower(text), F.lit("x"))), text)
-    return F.coalesce(plain.try_cast(kind), _ungrouped(text, GROUPED_FLOAT).try_cast(kind))
+    plain = (
+        F.when(~text.rlike("[dDfFxX_]"), text)
+        .when(text.rlike("(?i)^[+-]?inf(inity)?$"), text)
+        .otherwise(_ungrouped(text, GROUPED_FLOAT))
+    )
+    return plain.try_cast(kind)
 
 
 def to_boolean(text: Column) -> Column:
@@ -78,9 +86,12 @@ def to_time_micros(text: Column) -> Column:
     )
 
 
-def value(field: FieldSpec, raw: Column) -> Column:
-    """Typed value of a raw cell, in the field's stored type."""
-    text, kind, target = cell(raw), field.kind, field.spark_type()
+def value(field: FieldSpec, text: Column) -> Column:
+    """Typed value of a trimmed cell, in the field's stored type.
+
+    The cell is referred to several times: trim it in a projection of its own.
+    """
+    kind, target = field.kind, field.spark_type()
     if kind in ("float32", "float64"):
         out = to_float(text, target)
     elif kind == "boolean":
@@ -94,7 +105,7 @@ def value(field: FieldSpec, raw: Column) -> Column:
     elif kind == "decimal":
         out = exact_decimal(text)
     elif kind in ("varchar", "bytes"):
-        out = text
+        out = F.nullif(text, F.lit(""))
     elif kind == "uint64":
         number = to_integer(text, T.DecimalType(20, 0))
         out = F.when(number.between(0, 2**64 - 1), number)

@@ -4,9 +4,10 @@ Every decoder comes as a pair. ``is_sound`` tells from the bytes alone whether
 they decode to a value; it is cheap enough to be pushed below the decode and
 never NULL. ``value`` is the decoded column, NULL when the bytes are not sound.
 
-Float and decimal values use their intermediate form several times, so they
-are decoded from a ``staged`` column that the caller projects first; Spark then
-evaluates the hex conversion once per value.
+Text, float and decimal values use intermediate forms several times, so they
+are decoded over one or two ``stages`` that the caller projects one after the
+other. Spark then evaluates each form once per value, and the generated code
+stays small enough to be compiled.
 """
 
 from __future__ import annotations
@@ -98,35 +99,45 @@ def _ieee(exponent, mantissa, negative, top, hidden, bias):
 # --- text -------------------------------------------------------------------
 
 
-def lenient_utf8(data: Column) -> Column:
-    """Bytes as UTF-8 with undecodable bytes left out; a genuine U+FFFD stays."""
-    text = data.cast("string")
+def lenient_utf8(text: Column) -> Column:
+    """Text from bytes with undecodable bytes left out; a genuine U+FFFD stays."""
     kept = F.replace(text, F.lit(_REPLACEMENT), F.lit(_STAND_IN))
     dropped = F.replace(F.make_valid_utf8(kept), F.lit(_REPLACEMENT), F.lit(""))
     repaired = F.replace(dropped, F.lit(_STAND_IN), F.lit(_REPLACEMENT))
     return F.when(F.is_valid_utf8(text), text).otherwise(repaired)
 
 
-def string(data: Column, size: int | None = None, charset: str = "utf-8") -> Column:
-    """Fixed-size text (byte cut at ``size``) or NUL-terminated text.
-
-    Empty bytes are NULL. Trailing NULs are stripped, blanks are kept.
-    """
+def text_bytes(data: Column, size: int | None) -> Column:
+    """Bytes of a text column: cut at ``size``, or at the first NUL when there is none."""
     if size is not None:
-        cut = F.substring(data, 1, size)
+        return F.substring(data, 1, size)
+    head = F.substring_index(data.cast("string"), "\0", 1)
+    return F.substring(data, F.lit(1), F.octet_length(head))
+
+
+def string_stage(data: Column, size: int | None, charset: str) -> Column:
+    """Undecoded text; NULL when there are no bytes."""
+    if codecs.lookup(charset).name != "utf-8":
+        text = text_bytes(data, size)
+    elif size is not None:
+        text = F.substring(data, 1, size).cast("string")
     else:
-        head = F.substring_index(data.cast("string"), "\0", 1)
-        cut = F.substring(data, F.lit(1), F.octet_length(head))
+        text = F.substring_index(data.cast("string"), "\0", 1)
+    return F.when(F.octet_length(data) > 0, text)
+
+
+def string(staged: Column, charset: str = "utf-8") -> Column:
+    """Decoded text. Trailing NULs are stripped, blanks are kept."""
     codec = codecs.lookup(charset).name
     if codec == "utf-8":
-        text = lenient_utf8(cut)
+        text = lenient_utf8(staged)
     elif codec == "iso8859-1":
-        text = F.decode(cut, "ISO-8859-1")
+        text = F.decode(staged, "ISO-8859-1")
     elif codec == "ascii":
-        text = F.regexp_replace(F.decode(cut, "ISO-8859-1"), "[^\\x00-\\x7F]", "")
+        text = F.regexp_replace(F.decode(staged, "ISO-8859-1"), "[^\\x00-\\x7F]", "")
     else:
-        text = _foreign_text(codec)(cut)
-    return F.when(F.octet_length(data) > 0, F.rtrim(text, F.lit("\0")))
+        text = _foreign_text(codec)(staged)
+    return F.rtrim(text, F.lit("\0"))
 
 
 def _foreign_text(codec: str):
@@ -199,45 +210,49 @@ def micros_from_ntz(moment: Column) -> Column:
 # --- decimals and booleans --------------------------------------------------
 
 
-def decimal_stage(data: Column, size: int | None) -> Column:
-    """Struct of the trimmed text and the raw bytes; NULL when empty or shorter than ``size``."""
+def decimal_text(data: Column, size: int | None) -> Column:
+    """Trimmed text of a decimal column; NULL when empty or shorter than ``size``."""
     cut = data if size is None else F.substring(data, 1, size)
     enough = F.octet_length(data) >= max(size or 1, 1)
-    text = F.btrim(lenient_utf8(cut), F.lit(BLANKS))
-    return F.when(enough, F.struct(text.alias("text"), cut.alias("raw")))
-
+    return F.when(enough, F.btrim(lenient_utf8(cut.cast("string")), F.lit(BLANKS)))
 
-def exact_decimal(text: Column) -> Column:
-    """Numeric text as DECIMAL(38,10); NULL when it does not fit without rounding."""
-    value = text.try_cast(STORED_DECIMAL)
-    plain = text.rlike(r"^[+-]?[0-9]*[.]?[0-9]{0,10}0*$")
-    return F.when(plain | (text.try_cast(T.DecimalType(38, 20)) == value), value)
 
+def decimal_number(text: Column, data: Column, size: int | None, scale: int | None) -> Column:
+    """Numeric text of a decimal column.
 
-def decimal(stage: Column, scale: int | None) -> Column:
-    """Decimal text first, else a signed big-endian integer divided by 10^scale."""
-    text, raw = stage["text"], stage["raw"]
+    The text itself if it is a number, else the bytes as a signed big-endian
+    integer divided by 10^scale. NaN, infinities and grouped digits are refused.
+    """
+    cut = data if size is None else F.substring(data, 1, size)
     return (
-        F.when(text.rlike(NUMERIC_TEXT), exact_decimal(text))
-        .when(text.rlike(REFUSED_TEXT), F.lit(None).cast(STORED_DECIMAL))
-        .otherwise(_scaled_integer(raw, scale or 0))
+        F.when(text.rlike(NUMERIC_TEXT), text)
+        .when(text.isNull() | text.rlike(REFUSED_TEXT), F.lit(None).cast("string"))
+        .otherwise(_scaled_integer(cut, scale or 0))
     )
 
 
+def exact_decimal(number: Column) -> Column:
+    """Numeric text as DECIMAL(38,10); NULL when it does not fit without rounding."""
+    plain = number.rlike(r"^[+-]?[0-9]*[.]?[0-9]{0,10}0*$")
+    exact = number.try_cast(T.DecimalType(38, 20)) == number.try_cast(STORED_DECIMAL)
+    return F.when(plain | exact, number).try_cast(STORED_DECIMAL)
+
+
 def _scaled_integer(raw: Column, scale: int) -> Column:
-    digits = F.hex(raw)
-    fill = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
-    wide = F.lpad(digits, 32, fill)
+    """Signed integer of up to 16 bytes with a decimal point ``scale`` digits from the right."""
+    fill = F.when(F.substring(F.hex(raw), 1, 1) >= "8", "F").otherwise("0")
+    wide = F.lpad(F.hex(raw), 32, fill)
     high = F.conv(F.substring(wide, 1, 16), 16, -10).cast(T.DecimalType(20, 0))
     low = F.conv(F.substring(wide, 17, 16), 16, 10).cast(T.DecimalType(20, 0))
-    whole = F.try_add(
-        F.try_multiply(high, F.lit(Decimal(2**64)).cast(T.DecimalType(20, 0))), low
-    ).try_cast(T.DecimalType(38, 0))
+    shifted = F.try_multiply(high, F.lit(Decimal(2**64)).cast(T.DecimalType(20, 0)))
+    whole = F.try_add(shifted, low).try_cast(T.DecimalType(38, 0)).cast("string")
     whole = F.when(F.octet_length(raw) <= 16, whole)
     if scale <= 0:
-        return whole.try_cast(STORED_DECIMAL)
-    shifted = F.concat(whole.cast("string"), F.lit(f"E-{scale}"))
-    return exact_decimal(shifted)
+        return whole
+    pattern = rf"^(-?)([0-9]*)([0-9]{{{scale}}})$"
+    digits = F.lpad(F.replace(whole, F.lit("-"), F.lit("")), 38 + scale, "0")
+    sign = F.when(F.startswith(whole, F.lit("-")), "-").otherwise("")
+    return F.regexp_replace(F.concat(sign, digits), pattern, "$1$2.$3")
 
 
 def boolean(data: Column) -> Column:
@@ -247,17 +262,24 @@ def boolean(data: Column) -> Column:
 # --- dispatch ---------------------------------------------------------------
 
 
-def needs_stage(field: FieldSpec) -> bool:
-    return field.kind in ("float32", "float64", "decimal")
-
-
-def stage(field: FieldSpec, data: Column) -> Column:
-    """Intermediate column for the kinds that use it more than once."""
+def first_stage(field: FieldSpec, data: Column) -> Column | None:
+    """First intermediate form, for the kinds that have one."""
     if field.kind == "float32":
         return unsigned(data, 4)
     if field.kind == "float64":
         return signed(data, 8)
-    return decimal_stage(data, field.size)
+    if field.kind == "varchar":
+        return string_stage(data, field.size, field.charset)
+    if field.kind == "decimal":
+        return decimal_text(data, field.size)
+    return None
+
+
+def second_stage(field: FieldSpec, data: Column, first: Column) -> Column:
+    """Second intermediate form; the first one again where there is no second."""
+    if field.kind == "decimal":
+        return decimal_number(first, data, field.size, field.scale)
+    return first
 
 
 def is_sound(field: FieldSpec, data: Column) -> Column:
@@ -272,7 +294,8 @@ def is_sound(field: FieldSpec, data: Column) -> Column:
     elif kind == "timestamp":
         sound = _within(data, 8, MICRO_RANGE)
     elif kind == "decimal":
-        sound = decimal(decimal_stage(data, field.size), field.scale).isNotNull()
+        number = decimal_number(decimal_text(data, field.size), data, field.size, field.scale)
+        sound = exact_decimal(number).isNotNull()
     else:
         sound = F.octet_length(data) >= WIDTHS[kind]
     return F.coalesce(sound, F.lit(False))
@@ -287,16 +310,17 @@ def value(
 ) -> Column:
     """Decoded column in the field's stored type; NULL when the bytes are not sound."""
     kind = field.kind
-    if needs_stage(field) and staged is None:
-        staged = stage(field, data)
+    if staged is None:
+        staged = first_stage(field, data)
+        staged = staged if staged is None else second_stage(field, data, staged)
     if kind == "float32":
         out = float32_from_bits(staged)
     elif kind == "float64":
         out = float64_from_bits(staged)
     elif kind == "decimal":
-        out = decimal(staged, field.scale)
+        out = exact_decimal(staged)
     elif kind == "varchar":
-        out = string(data, field.size, field.charset)
+        out = string(staged, field.charset)
     elif kind == "bytes":
         if binary_as == "raw":
             cut = data if field.size is None else F.substring(data, 1, field.size)

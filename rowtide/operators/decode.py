@@ -27,19 +27,24 @@ def _broken(spec: TableSpec, position: int, field: FieldSpec) -> Column:
 
 
 def _project(rows: DataFrame, spec: TableSpec, keep: list[str], **how) -> DataFrame:
-    staged = {
-        i: f"_stage_{i}" for i, f in enumerate(spec.fields) if wire.needs_stage(f)
-    }
-    rows = rows.select(
-        *keep,
-        "_image",
-        *[wire.stage(spec.fields[i], _cell(i)).alias(name) for i, name in staged.items()],
-    )
+    """Decode over the stages of each column; a column not asked for is pruned at every stage."""
+    first = {}
+    for i, f in enumerate(spec.fields):
+        form = wire.first_stage(f, _cell(i))
+        if form is not None:
+            first[i] = form.alias(f"_stage_{i}")
+    rows = rows.select(*keep, "_image", *first.values())
+    if any(f.kind == "decimal" for f in spec.fields):
+        second = [
+            wire.second_stage(spec.fields[i], _cell(i), F.col(f"_stage_{i}")).alias(f"_stage_{i}")
+            for i in first
+        ]
+        rows = rows.select(*keep, "_image", *second)
     shape = spec.struct(**how)
     return rows.select(
         *keep,
         *[
-            wire.value(f, _cell(i), F.col(staged[i]) if i in staged else None, **how).alias(
+            wire.value(f, _cell(i), F.col(f"_stage_{i}") if i in first else None, **how).alias(
                 f.name, metadata=shape[f.name].metadata
             )
             for i, f in enumerate(spec.fields)

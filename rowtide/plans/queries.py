@@ -577,19 +577,17 @@ def decode_timestamps(spark, sf_dir):
     """SELECT o_orderkey,
               CAST(CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DECIMAL(38, 10)) AS VARCHAR)
                   AS from_text,
-              CAST(CAST(CAST(-o_totalprice AS DECIMAL(12, 2)) AS DECIMAL(38, 10)) AS VARCHAR)
-                  AS from_raw,
-              CAST(CAST(o_orderkey AS DECIMAL(38, 10)) * -1 AS VARCHAR) AS wide,
+              65 - (cents + 1) * 256 AS hundredths,
+              CAST(CAST(65 - (o_orderkey + 1) * 256 AS DECIMAL(38, 10)) AS VARCHAR) AS wide,
               CAST(NULL AS VARCHAR) AS refused
-       FROM orders"""
+       FROM (SELECT *, CAST(CAST(o_totalprice AS DECIMAL(12, 2)) * 100 AS BIGINT) AS cents
+             FROM orders)"""
 )
 def decode_decimals(spark, sf_dir):
+    # the last byte is a letter, so the raw bytes can never read as decimal text
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
-    # twelve bytes: the sign of -orderkey - 2^32 reaches into the high part
-    wide = F.concat(
-        F.when(F.col("o_orderkey") == 0, F.lit(b"\0\0\0\0")).otherwise(F.lit(b"\xff\xff\xff\xff")),
-        integer_bytes(-F.col("o_orderkey"), 8),
-    )
+    raw = 65 - (cents + 1) * 256
+    wide = F.concat(F.lit(b"\xff\xff\xff\xff"), integer_bytes(65 - (F.col("o_orderkey") + 1) * 256, 8))
     out = _decoded(
         _table(spark, sf_dir, "orders"),
         ["o_orderkey"],
@@ -598,14 +596,15 @@ def decode_decimals(spark, sf_dir):
                 _field("decimal", precision=12, scale=2),
                 F.col("o_totalprice").cast("decimal(12,2)").cast("string").cast("binary"),
             ),
-            "from_raw": (_field("decimal", precision=18, scale=2), integer_bytes(-cents, 8)),
+            "hundredths": (_field("decimal", precision=18, scale=2), integer_bytes(raw, 8)),
             "wide": (_field("decimal", size=12), wide),
             "refused": (_field("decimal"), F.lit(b"NaN")),
         },
     )
     return out.select(
         "o_orderkey",
-        *[F.col(n).cast("string").alias(n) for n in ("from_text", "from_raw", "wide", "refused")],
+        (F.col("hundredths") * 100).cast("bigint").alias("hundredths"),
+        *[F.col(n).cast("string").alias(n) for n in ("from_text", "wide", "refused")],
     )
 
 
@@ -725,7 +724,7 @@ def text_cast_numeric(spark, sf_dir):
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
-        text.value(_field("int64"), F.concat(F.lit(" -"), F.col("l_partkey"))).alias("whole"),
+        text.value(_field("int64"), text.trimmed(F.concat(F.lit(" -"), F.col("l_partkey")))).alias("whole"),
         text.value(_field("int32"), F.col("l_quantity").cast("string")).alias("fraction"),
         text.value(_field("float64"), F.col("l_extendedprice").cast("string")).alias("amount"),
         text.value(_field("float64"), special).alias("special"),

@@ -115,10 +115,12 @@ def spans_lines(spark: SparkSession, paths: list[str], delimiter: str) -> bool:
 def _whole_files(spark: SparkSession, files: list[tuple[str, int]], delimiter: str) -> bool:
     """Read each file in one task only when a quoted line break forces it.
 
-    A file no larger than one split is one task anyway. Larger ones are scanned
-    for open quotes first; without any they are read in parallel splits.
+    Files no larger than the split Spark would choose are one task anyway.
+    Larger ones are first scanned, in parallel, for quotes left open at a line end.
     """
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    conf = spark._jsparkSession.sessionState().conf()
+    share = sum(n for _, n in files) // max(spark.sparkContext.defaultParallelism, 1)
+    split = min(conf.filesMaxPartitionBytes(), max(conf.filesOpenCostInBytes(), share))
     if all(length <= split for _, length in files):
         return True
     return spans_lines(spark, [path for path, _ in files], delimiter)
@@ -153,6 +155,9 @@ def read_delimited(
 def typed(cells: DataFrame, spec: TableSpec) -> DataFrame:
     """Text cells ``c0 ..`` as the columns of a spec."""
     shape = spec.struct()
+    cells = cells.select(
+        *[text.trimmed(F.col(f"c{i}")).alias(f"c{i}") for i in range(len(spec.fields))]
+    )
     return cells.select(
         *[
             text.value(f, F.col(f"c{i}")).alias(f.name, metadata=shape[f.name].metadata)

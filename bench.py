@@ -9,6 +9,7 @@ import time
 from pyspark.sql import SparkSession
 
 from rowtide.plans.queries import QUERIES
+from rowtide.session import tune
 
 HEADLINE = [
     "load_csv",
@@ -50,6 +51,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    tune(spark)
     spark.range(1000).selectExpr("sum(id)").collect()
     seconds = {}
     for name in HEADLINE:

@@ -70,6 +70,20 @@ _PLAIN_TYPES = {
     "decimal": STORED_DECIMAL,
 }
 
+_INFERRED = {
+    T.ByteType: "int8",
+    T.ShortType: "int16",
+    T.IntegerType: "int32",
+    T.LongType: "int64",
+    T.FloatType: "float32",
+    T.DoubleType: "float64",
+    T.StringType: "varchar",
+    T.DateType: "date",
+    T.BooleanType: "boolean",
+    T.TimestampType: "timestamp",
+    T.TimestampNTZType: "timestamp",
+}
+
 
 @dataclass(frozen=True)
 class FieldSpec:
@@ -215,6 +229,25 @@ class TableSpec:
             raw.get("record_size"),
         )
 
+    @classmethod
+    def infer(cls, name: str, schema: T.StructType, pk: Iterable[str] = ()) -> TableSpec:
+        """Spec of an existing schema, for tables nobody declared."""
+        fields = []
+        for column in schema.fields:
+            kind = column.dataType
+            how = {"nullable": column.nullable and column.name not in pk}
+            if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+                zone = "-" if isinstance(kind, T.TimestampNTZType) else None
+                how |= {"precision": 6, "timezone": zone}
+            if isinstance(kind, T.DecimalType):
+                type_ = "decimal"
+            elif type(kind) in _INFERRED:
+                type_ = _INFERRED[type(kind)]
+            else:
+                raise ValueError(f"column {column.name!r}: {kind.simpleString()} cannot be stored")
+            fields.append(FieldSpec(column.name, type_, **how))
+        return cls(name, tuple(fields), tuple(pk))
+
     @classmethod
     def parse(cls, name: str, pk: str, columns: str, record_size: int | None = None) -> TableSpec:
         """Short form: ``"id int32!, name char(10), ts timestamp(6)"``; ``!`` = not null."""

@@ -234,8 +234,17 @@ def decimal_number(text: Column, data: Column, size: int | None, scale: int | No
 def exact_decimal(number: Column) -> Column:
     """Numeric text as DECIMAL(38,10); NULL when it does not fit without rounding."""
     plain = number.rlike(r"^[+-]?[0-9]*[.]?[0-9]{0,10}0*$")
-    exact = number.try_cast(T.DecimalType(38, 20)) == number.try_cast(STORED_DECIMAL)
-    return F.when(plain | exact, number).try_cast(STORED_DECIMAL)
+    return F.when(plain | (_decimals(number) <= 10), number).try_cast(STORED_DECIMAL)
+
+
+def _decimals(number: Column) -> Column:
+    """Digits needed after the point by a number in exponent form; NULL in plain form."""
+    power = F.regexp_extract(number, "[eE]([+-]?[0-9]+)$", 1).try_cast("int")
+    after_point = F.length(F.regexp_extract(number, "[.]([0-9]*)", 1))
+    digits = F.regexp_replace(F.regexp_replace(number, "[eE].*$", ""), "[^0-9]", "")
+    significant = F.rtrim(digits, F.lit("0"))
+    zeros = F.length(digits) - F.length(significant)
+    return F.when(power.isNotNull() & (significant == ""), 0).otherwise(after_point - zeros - power)
 
 
 def _scaled_integer(raw: Column, scale: int) -> Column:

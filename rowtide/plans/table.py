@@ -199,15 +199,20 @@ class KeyedTable:
         batch: tuple[str, int] | None = None,
     ) -> Version:
         """Write what ``build`` returns (rows, buckets they replace) and publish it."""
+        pending: tuple[str, list[int]] | None = None
         for attempt in range(1, ATTEMPTS + 1):
             base = self.version() or Version(0, self._buckets)
             if batch and base.batches.get(batch[0], -1) >= batch[1]:
                 return base
             try:
                 rows, replaced = build(base)
+                replaced = list(replaced)
                 parts, written = base.without(replaced), dict(base.written)
                 if rows is not None:
-                    part, held = self._write_part(rows, base.buckets)
+                    # a plain append does not depend on the version it lost against
+                    if pending is None or replaced:
+                        pending = self._write_part(rows, base.buckets)
+                    part, held = pending
                     if held:
                         parts[part], written[part] = held, len(held)
                 new = Version(
@@ -282,6 +287,7 @@ class KeyedTable:
     def apply_grouped(self, events: DataFrame, batch: tuple[str, int] | None = None) -> Version:
         """Apply decoded events as append, upsert, delete. Only upserts and deletes rewrite."""
         pk = self._pk("apply")
+        events = events.persist()
 
         def build(base: Version):
             bucket = self._bucket_of(base.buckets)
@@ -296,7 +302,10 @@ class KeyedTable:
             added = events.where(~here & F.col("_op").isin("INSERT", "SNAPSHOT"))
             return rewritten.unionByName(mutate.conform(added, rewritten.schema)), touched
 
-        return self._commit("apply_grouped", build, batch)
+        try:
+            return self._commit("apply_grouped", build, batch)
+        finally:
+            events.unpersist()
 
     def apply_feed(
         self, feed: DataFrame, mode: str = "ordered", batch: tuple[str, int] | None = None

@@ -47,7 +47,7 @@ def stream_feed(
     spark: SparkSession,
     path: str,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Streaming reader; the file or byte limit bounds the size of a micro-batch."""
     reader = spark.readStream.schema(FEED)

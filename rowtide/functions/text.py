@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,7 +110,7 @@ def value(field: FieldSpec, text: Column) -> Column:
         out = F.nullif(text, F.lit(""))
     elif kind == "uint64":
         number = to_integer(text, T.DecimalType(20, 0))
-        out = F.when(number.between(0, 2**64 - 1), number)
+        out = F.when(number.between(0, Decimal(2**64 - 1)), number)
     elif kind.startswith("u"):
         number = to_integer(text, T.LongType())
         out = F.when(number.between(0, 2 ** int(kind[4:]) - 1), number)

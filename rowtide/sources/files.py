@@ -149,7 +149,11 @@ def read_delimited(
         .csv([path for path, _ in files])
     )
     corrupt = F.col(_CORRUPT)
-    return rows.where(corrupt.isNull() | (field_count(corrupt, delimiter) >= width)).select(*names)
+    complete = corrupt.isNull() | (field_count(corrupt, delimiter) >= width)
+    # always true, but keeps a data column in the scan: Spark refuses to read the
+    # corrupt-record column alone, as a bare count would
+    parsed = F.octet_length(F.coalesce(F.col(names[0]), F.lit(""))) >= 0
+    return rows.where(complete & parsed).select(*names)
 
 
 def typed(cells: DataFrame, spec: TableSpec) -> DataFrame:

@@ -54,7 +54,7 @@ def brute(batch):
             state.pop(k, None)
         else:
             state[k] = v
-    return sorted(state.items())
+    return sorted(state.items(), key=repr)
 
 
 def test_ordered_apply_does_not_depend_on_the_split(spark):

@@ -1,7 +1,6 @@
 """The stored table: versions, mutations, conflicts, streaming, several tables."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from rowtide.catalog.spec import TableSpec
 from rowtide.operators import audit, scan
@@ -73,7 +72,7 @@ def test_empty_results(spark, table):
     table.append(rows(spark, (1, "a")))
     table.delete(rows(spark, (1, "")))
     assert table.read().count() == 0
-    table.append(rows(spark).limit(0) if False else spark.createDataFrame([], "id int, v string"))
+    table.append(spark.createDataFrame([], "id int, v string"))
     table.upsert(rows(spark, (2, "b")))
     assert content(table.read()) == [(2, "b")]
 
@@ -186,10 +185,11 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     assert table.version().number == done
 
 
-def test_print_mode(spark, tmp_path, capfd):
+def test_print_mode(spark, tmp_path):
     feeds.land(make_feed(spark, *EVENTS[:1]), str(tmp_path / "feed"))
-    start_print(feeds.stream_feed(spark, str(tmp_path / "feed"), max_bytes=1 << 30)).awaitTermination()
-    assert "INSERT" in capfd.readouterr().out
+    shown = start_print(feeds.stream_feed(spark, str(tmp_path / "feed"), max_bytes=1 << 30))
+    shown.awaitTermination()
+    assert sum(p["numInputRows"] for p in shown.recentProgress) == 1
 
 
 def test_several_tables(spark, tmp_path):
@@ -218,4 +218,3 @@ def test_scratch_and_options(spark):
     connect(spark, {"fs.test.a": "1", "fs.test.b": "", "fs.test.c": None})
     conf = spark._jsc.hadoopConfiguration()
     assert conf.get("fs.test.a") == "1" and conf.get("fs.test.b") is None
-    assert F is not None

@@ -345,10 +345,13 @@ class KeyedTable:
         inserts: bool = True,
     ) -> Version:
         """Rewrite the buckets a key-unique source touches."""
-        source = source.persist()
         try:
 
             def build(base: Version):
+                if not base.parts:
+                    return (source if inserts else None), ()
+                # measured here, then used by the merge
+                source.persist()
                 length = F.lit(8 * len(self.spec.pk))
                 for k in self.spec.pk:
                     length = length + F.coalesce(F.octet_length(F.col(f"`{k}`").cast("string")), F.lit(0))

@@ -1,8 +1,8 @@
 """Decode one wire column (big-endian bytes) with native expressions.
 
 Every decoder comes as a pair. ``is_sound`` tells from the bytes alone whether
-they decode to a value; it is cheap enough to be pushed below the decode and
-never NULL. ``value`` is the decoded column, NULL when the bytes are not sound.
+they decode to a value; it is cheap enough to be pushed below the decode.
+``value`` is the decoded column, NULL when the bytes are not sound.
 
 Text, float and decimal values use intermediate forms several times, so they
 are decoded over one or two ``stages`` that the caller projects one after the
@@ -99,12 +99,15 @@ def _ieee(exponent, mantissa, negative, top, hidden, bias):
 # --- text -------------------------------------------------------------------
 
 
-def lenient_utf8(text: Column) -> Column:
-    """Text from bytes with undecodable bytes left out; a genuine U+FFFD stays."""
+def repaired_utf8(text: Column) -> Column:
+    """Text with undecodable bytes left out; a genuine U+FFFD stays."""
     kept = F.replace(text, F.lit(_REPLACEMENT), F.lit(_STAND_IN))
     dropped = F.replace(F.make_valid_utf8(kept), F.lit(_REPLACEMENT), F.lit(""))
-    repaired = F.replace(dropped, F.lit(_STAND_IN), F.lit(_REPLACEMENT))
-    return F.when(F.is_valid_utf8(text), text).otherwise(repaired)
+    return F.replace(dropped, F.lit(_STAND_IN), F.lit(_REPLACEMENT))
+
+
+def lenient_utf8(text: Column) -> Column:
+    return F.when(F.is_valid_utf8(text), text).otherwise(repaired_utf8(text))
 
 
 def text_bytes(data: Column, size: int | None) -> Column:
@@ -126,12 +129,29 @@ def string_stage(data: Column, size: int | None, charset: str) -> Column:
     return F.when(F.octet_length(data) > 0, text)
 
 
+def strip_nuls(text: Column) -> Column:
+    """Text without trailing NULs.
+
+    ``rtrim`` walks a padded char(n) buffer character by character, so it is
+    kept for text with NULs inside; plain padding is compared in one piece.
+    """
+    nul = F.lit("\0")
+    head = F.substring_index(text, "\0", 1)
+    padding = F.repeat(nul, F.octet_length(text) - F.octet_length(head))
+    return (
+        F.when(~F.endswith(text, nul), text)
+        .when(text == F.concat(head, padding), head)
+        .otherwise(F.rtrim(text, nul))
+    )
+
+
 def string(staged: Column, charset: str = "utf-8") -> Column:
-    """Decoded text. Trailing NULs are stripped, blanks are kept."""
+    """Decoded text of the second stage. Trailing NULs are stripped, blanks are kept."""
     codec = codecs.lookup(charset).name
     if codec == "utf-8":
-        text = lenient_utf8(staged)
-    elif codec == "iso8859-1":
+        repaired = F.rtrim(repaired_utf8(staged), F.lit("\0"))
+        return F.when(F.is_valid_utf8(staged), staged).otherwise(repaired)
+    if codec == "iso8859-1":
         text = F.decode(staged, "ISO-8859-1")
     elif codec == "ascii":
         text = F.regexp_replace(F.decode(staged, "ISO-8859-1"), "[^\\x00-\\x7F]", "")
@@ -288,11 +308,13 @@ def second_stage(field: FieldSpec, data: Column, first: Column) -> Column:
     """Second intermediate form; the first one again where there is no second."""
     if field.kind == "decimal":
         return decimal_number(first, data, field.size, field.scale)
+    if field.kind == "varchar" and codecs.lookup(field.charset).name == "utf-8":
+        return strip_nuls(first)
     return first
 
 
 def is_sound(field: FieldSpec, data: Column) -> Column:
-    """Whether the bytes decode to a value. TRUE or FALSE, never NULL."""
+    """Whether the bytes decode to a value; NULL when there are no bytes."""
     kind = field.kind
     if kind in ("varchar", "bytes", "boolean"):
         sound = F.octet_length(data) > 0
@@ -307,7 +329,7 @@ def is_sound(field: FieldSpec, data: Column) -> Column:
         sound = exact_decimal(number).isNotNull()
     else:
         sound = F.octet_length(data) >= WIDTHS[kind]
-    return F.coalesce(sound, F.lit(False))
+    return sound
 
 
 def value(

@@ -22,10 +22,22 @@ def _must_decode(spec: TableSpec) -> list[tuple[int, FieldSpec]]:
 
 def _broken(spec: TableSpec, position: int, field: FieldSpec) -> Column:
     """A required column without a value. A DELETE only needs its key columns."""
-    broken = ~wire.is_sound(field, _cell(position))
+    broken = ~F.coalesce(wire.is_sound(field, _cell(position)), F.lit(False))
     return broken if field.name in spec.pk else broken & (F.col("_op") != "DELETE")
 
 
+def _acceptable(spec: TableSpec) -> Column:
+    """No required column is broken; NULL, like FALSE, means some is."""
+    keys, others = F.lit(True), F.lit(True)
+    for position, field in _must_decode(spec):
+        sound = wire.is_sound(field, _cell(position))
+        if field.name in spec.pk:
+            keys = keys & sound
+        else:
+            others = others & sound
+    return keys & ((F.col("_op") == "DELETE") | others)
+
+
 def _project(rows: DataFrame, spec: TableSpec, keep: list[str], **how) -> DataFrame:
     """Decode over the stages of each column; a column not asked for is pruned at every stage."""
     first = {}
@@ -34,7 +46,7 @@ def _project(rows: DataFrame, spec: TableSpec, keep: list[str], **how) -> DataFr
         if form is not None:
             first[i] = form.alias(f"_stage_{i}")
     rows = rows.select(*keep, "_image", *first.values())
-    if any(f.kind == "decimal" for f in spec.fields):
+    if any(f.kind in ("decimal", "varchar") for f in spec.fields):
         second = [
             wire.second_stage(spec.fields[i], _cell(i), F.col(f"_stage_{i}")).alias(f"_stage_{i}")
             for i in first
@@ -69,19 +81,16 @@ def decode_records(rows: DataFrame, spec: TableSpec, **how) -> tuple[DataFrame,
     image and name the first offending column and the reason: ``missing`` (no
     such column on the wire), ``empty`` (NULL on the wire) or ``malformed``.
     """
-    needed = _must_decode(spec)
-    bad = F.lit(False)
-    for position, field in needed:
-        bad = bad | _broken(spec, position, field)
-
-    accepted = _project(rows.where(~bad), spec, [c for c in rows.columns if c != "_image"], **how)
+    good = _acceptable(spec)
+    accepted = _project(rows.where(good), spec, [c for c in rows.columns if c != "_image"], **how)
 
     at, why = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for position, field in reversed(needed):
+    for position, field in reversed(_must_decode(spec)):
         broken = _broken(spec, position, field)
         size = F.octet_length(_cell(position))
         reason = F.when(size.isNull(), "missing").when(size == 0, "empty").otherwise("malformed")
         at, why = F.when(broken, field.name).otherwise(at), F.when(broken, reason).otherwise(why)
+    bad = ~F.coalesce(good, F.lit(False))
     rejects = rows.where(bad).select("*", at.alias("reject_field"), why.alias("reject_reason"))
     return accepted, rejects
 

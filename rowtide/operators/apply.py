@@ -119,8 +119,8 @@ def apply_grouped(
 ) -> DataFrame:
     """The table after a batch run as append, keyed upsert, keyed delete.
 
-    The upsert and the delete of a key are folded into one action per key, so
-    the table is joined once instead of twice.
+    What a batch does to a key is folded into one action per key, so the table
+    is joined once, and keys appended by the batch need not be looked up in it.
     """
     keys = list(pk)
     plain = events.drop("_op", "_order")
@@ -131,12 +131,13 @@ def apply_grouped(
     content = [c for c in plain.columns if c in grown.columns]
     update = F.struct("_order", *[F.col(f"`{c}`") for c in content])
     actions = (
-        events.where(is_op.isin("UPDATE", "DELETE"))
-        .groupBy(*[F.col(f"`{k}`").alias(f"_k_{k}") for k in keys])
+        events.groupBy(*[F.col(f"`{k}`").alias(f"_k_{k}") for k in keys])
         .agg(
             F.max(F.when(is_op == "UPDATE", update)).alias("_new"),
             F.max((is_op == "DELETE") & _no_null(keys)).alias("_gone"),
+            F.max(is_op.isin("INSERT", "SNAPSHOT") & _no_null(keys)).alias("_added"),
         )
+        .where(F.col("_new").isNotNull() | F.col("_gone"))
     )
     same = F.lit(True)
     for k in keys:
@@ -156,8 +157,11 @@ def apply_grouped(
             ]
         )
     )
-    upserts = actions.where(F.col("_new").isNotNull() & ~F.col("_gone")).select(
+    absent = F.col("_new").isNotNull() & ~F.col("_gone") & ~F.col("_added")
+    upserts = actions.where(absent).select(
         *[F.col("_new").getField(c).alias(c) for c in content]
     )
-    missing = upserts.join(matched_keys(grown, upserts, keys), keys, "left_anti")
+    missing = upserts
+    if target is not None:
+        missing = upserts.join(matched_keys(target, upserts, keys), keys, "left_anti")
     return changed.unionByName(conform(missing, grown.schema))

@@ -52,8 +52,11 @@ def last_wins(
     most of the changes arrives as one row per task.
     """
     keys = _keys(pk, "deduplication")
-    ranks = [(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order)]
-    rest = [c for c in source.columns if c not in keys]
+    ranks = [
+        F.col(f"`{o}`") if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(order)
+    ]
+    ranked = [o for o in order if isinstance(o, str)]
+    rest = [c for c in source.columns if c not in keys and c not in ranked]
     best = F.max(F.struct(*ranks, *[F.col(f"`{c}`") for c in rest])).alias("_best")
     picked = source.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(best)
     return picked.select(

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowtide.catalog.spec import TableSpec
-from rowtide.operators import apply, mutate
+from rowtide.operators import apply, mutate, scan
 from rowtide.operators.decode import decode_feed
 from rowtide.sources.storage import AlreadyExists, Storage
 
@@ -151,6 +151,17 @@ class KeyedTable:
             return self.spark.createDataFrame([], self.spec.struct())
         return apply.live(state)
 
+    def query(
+        self,
+        where: str | Column | None = None,
+        columns: list[str] | None = None,
+        order_by: str | list[Column | str] | None = None,
+        limit: int | None = None,
+        version: int | None = None,
+    ) -> DataFrame:
+        """Scan with a filter text, chosen columns, an order and a limit."""
+        return scan.scan(self.read(version), where, columns, order_by, limit)
+
     def info(self) -> dict | None:
         """Name, schema, row count and version; None when there is no table."""
         current = self.version()

@@ -135,6 +135,12 @@ def test_duplicates_report_and_null_keys(spark):
     assert rows_of(mutate.last_wins(s, "id", ["_order"]).select("id", "v")) == sorted([(1, "b"), (None, "d")], key=repr)
 
 
+def test_order_may_be_an_expression(spark):
+    s = events(spark, ("U", 1, "a"), ("U", 1, "b"))
+    earliest = mutate.last_wins(s, "id", [-F.col("_order.total_order")])
+    assert rows_of(earliest.select("v")) == [("a",)]
+
+
 def test_conform(spark):
     t = spark.createDataFrame([(1, 2, "x")], "a bigint, b int, c string")
     s = spark.createDataFrame([("7", "drop")], "A string, z string")

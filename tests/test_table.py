@@ -48,6 +48,8 @@ def test_versions(spark, table):
     with pytest.raises(ValueError):
         table.read(9)
     assert table.path.endswith("/acct")
+    hits = table.query("id < 3 and v = 'a'", ["id"], "id desc", 5, version=1)
+    assert [r["id"] for r in hits.collect()] == [2, 1, 0]
 
 
 def test_a_batch_rewrites_only_its_buckets(spark, table):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _keys(pk: str | Sequence[str] | None, action: str) -> list[str]:
+def key_columns(pk: str | Sequence[str] | None, action: str) -> list[str]:
     if not pk:
         raise ValueError(f"a primary key is needed for {action}")
     return [pk] if isinstance(pk, str) else list(pk)
@@ -51,7 +51,7 @@ def last_wins(
     input is split. Each task reduces its keys before the shuffle, so a key with
     most of the changes arrives as one row per task.
     """
-    keys = _keys(pk, "deduplication")
+    keys = key_columns(pk, "deduplication")
     ranks = [
         F.col(f"`{o}`") if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(order)
     ]
@@ -69,7 +69,7 @@ def last_wins(
 
 def duplicate_report(source: DataFrame, pk: str | Sequence[str]) -> DataFrame:
     """Source rows, rows left after deduplication, rows dropped."""
-    keys = _keys(pk, "deduplication")
+    keys = key_columns(pk, "deduplication")
     per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("source_records"),
@@ -126,7 +126,7 @@ def upsert(
     unique_target: bool = False,
 ) -> DataFrame:
     """Deduplicate the source, last one wins, then merge it into the target."""
-    keys = _keys(pk, "upsert")
+    keys = key_columns(pk, "upsert")
     shape = [c for c in source.columns if target is None or c in target.columns]
     latest = last_wins(source, keys, order).select(*shape)
     if target is None:
@@ -136,7 +136,7 @@ def upsert(
 
 def delete(target: DataFrame | None, keys_of: DataFrame, pk: str | Sequence[str] | None) -> DataFrame:
     """Target rows whose key is not among ``keys_of``."""
-    keys = _keys(pk, "delete")
+    keys = key_columns(pk, "delete")
     if target is None:
         raise ValueError("cannot delete from a table that does not exist")
     doomed = keys_of.select(*keys).distinct()

@@ -345,7 +345,7 @@ class KeyedTable:
         return len(scattered)
 
     def _pk(self, action: str) -> list[str]:
-        return mutate._keys(self.spec.pk, action)
+        return mutate.key_columns(self.spec.pk, action)
 
     def _merge(
         self,

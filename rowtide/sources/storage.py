@@ -77,12 +77,14 @@ class Storage:
                 raise AlreadyExists(path) from err
             raise
 
-    def delete_on_exit(self, path: str) -> None:
+    def make_temporary(self, path: str) -> None:
+        """Create a directory that goes when the session's JVM exits."""
+        self._fs(path).mkdirs(self._path(path))
         self._fs(path).deleteOnExit(self._path(path))
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new directory under the session's checkpoint directory.
+    """A path for new data under the session's checkpoint directory, removed at exit.
 
     Only a local session may do without ``spark.checkpoint.dir``; on a cluster
     a machine-local folder would not be shared by the executors.
@@ -92,9 +94,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="run-")
-    path = f"{root.rstrip('/')}/rowtide-{label}-{uuid.uuid4().hex}"
-    Storage(spark).delete_on_exit(path)
-    return path
+    parent = f"{root.rstrip('/')}/rowtide-{uuid.uuid4().hex}"
+    Storage(spark).make_temporary(parent)
+    return f"{parent}/{label}"
 
 
 def connect(spark: SparkSession, options: dict[str, str | None]) -> None:

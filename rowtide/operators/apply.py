@@ -53,9 +53,13 @@ def _no_null(keys: Sequence[str]) -> Column:
 def latest_changes(events: DataFrame, pk: Sequence[str]) -> DataFrame:
     """One state row per key: the last event; a deletion becomes a tombstone."""
     usable = events.where((F.col("_op") != "DELETE") | _no_null(pk))
-    latest = last_wins(usable, pk, ["_order"])
+    return as_changes(last_wins(usable, pk, ["_order"]))
+
+
+def as_changes(latest: DataFrame) -> DataFrame:
+    """Events already reduced to one per key, as state rows."""
     return latest.select(
-        *[c for c in events.columns if c not in ("_op", "_order")],
+        *[c for c in latest.columns if c not in ("_op", "_order")],
         F.col("_order").cast(ORDER).alias("_order"),
         (F.col("_op") == "DELETE").alias("_deleted"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rowtide.catalog.spec import FieldSpec, TableSpec
 from rowtide.functions import wire
 from rowtide.operators.extract import record_images
+from rowtide.operators.mutate import last_wins
 
 ENVELOPE = ("_op", "_order")
 
@@ -84,6 +85,10 @@ def decode_records(rows: DataFrame, spec: TableSpec, **how) -> tuple[DataFrame,
     good = _acceptable(spec)
     accepted = _project(rows.where(good), spec, [c for c in rows.columns if c != "_image"], **how)
 
+    return accepted, _rejected(rows, spec, good)
+
+
+def _rejected(rows: DataFrame, spec: TableSpec, good: Column) -> DataFrame:
     at, why = F.lit(None).cast("string"), F.lit(None).cast("string")
     for position, field in reversed(_must_decode(spec)):
         broken = _broken(spec, position, field)
@@ -91,8 +96,24 @@ def decode_records(rows: DataFrame, spec: TableSpec, **how) -> tuple[DataFrame,
         reason = F.when(size.isNull(), "missing").when(size == 0, "empty").otherwise("malformed")
         at, why = F.when(broken, field.name).otherwise(at), F.when(broken, reason).otherwise(why)
     bad = ~F.coalesce(good, F.lit(False))
-    rejects = rows.where(bad).select("*", at.alias("reject_field"), why.alias("reject_reason"))
-    return accepted, rejects
+    return rows.where(bad).select("*", at.alias("reject_field"), why.alias("reject_reason"))
+
+
+def decode_latest(feed: DataFrame, spec: TableSpec, **how) -> tuple[DataFrame, DataFrame]:
+    """Last event per key, decoded, and the rejects of the whole feed.
+
+    Same rows as the last by order of ``decode_feed(.., split_key_changes=True)``,
+    but only keys are decoded before the reduction; images are decoded once they
+    have won, so a key changed a million times costs one decode.
+    """
+    images = record_images(feed, spec, split_key_changes=True)
+    good = _acceptable(spec)
+    keys = [(i, f) for i, f in enumerate(spec.fields) if f.name in spec.pk]
+    keyed = images.where(good).select(
+        "*", *[wire.value(f, _cell(i)).alias(f"_key_{i}") for i, f in keys]
+    )
+    latest = last_wins(keyed, [f"_key_{i}" for i, _ in keys], ["_order"])
+    return _project(latest, spec, list(ENVELOPE), **how), _rejected(images, spec, good)
 
 
 def decode_feed(

@@ -124,10 +124,14 @@ def record_images(feed: DataFrame, spec: TableSpec, split_key_changes: bool = Fa
             F.when(_filled("before"), F.array(record(1, F.lit("DELETE"), F.col("before")))),
         )
     )
-    listed = feed.select("txn", F.inline(records))
+    listed = feed.select(
+        F.col("txn.total_order").alias("_total"),
+        F.col("txn.data_collection_order").alias("_within"),
+        F.inline(records),
+    )
     order = F.struct(
-        F.coalesce("txn.total_order", F.lit(0)).alias("total_order"),
-        F.coalesce("txn.data_collection_order", F.lit(0)).alias("data_collection_order"),
+        F.coalesce("_total", F.lit(0)).alias("total_order"),
+        F.coalesce("_within", F.lit(0)).alias("data_collection_order"),
         F.col("_step").alias("step"),
     )
     return listed.select("_op", order.alias("_order"), "_image")

@@ -5,6 +5,9 @@ equality: a NULL key never matches, so it is inserted by an upsert and deletes
 nothing. The join strategy is left to Spark: the source side of every join is
 unique on the key, so it can be broadcast when its size allows, and when not,
 adaptive execution can split a hot key on the target side.
+
+A merge refers to its source more than once. Write or persist a source that is
+costly to derive; ``KeyedTable`` does.
 """
 
 from __future__ import annotations

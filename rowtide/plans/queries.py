@@ -17,7 +17,7 @@ from rowtide.catalog.spec import FieldSpec, TableSpec
 from rowtide.functions import payload, text, wire
 from rowtide.functions.encode import encode, integer_bytes
 from rowtide.operators import apply, audit, extract, mutate, scan
-from rowtide.operators.decode import decode_feed, decode_images
+from rowtide.operators.decode import decode_feed, decode_images, decode_latest
 from rowtide.plans import jobs
 from rowtide.plans.importer import Importer
 from rowtide.plans.table import KeyedTable
@@ -926,8 +926,8 @@ _ORDERED_SQL = """
 
 @query(_ORDERED_SQL)
 def cdc_apply_ordered(spark, sf_dir):
-    events, _ = decode_feed(_events_feed(spark, sf_dir), EVENTS, split_key_changes=True)
-    return apply.apply_ordered(None, events, EVENTS.pk)
+    latest, _ = decode_latest(_events_feed(spark, sf_dir), EVENTS)
+    return apply.live(apply.as_changes(latest))
 
 
 @query(

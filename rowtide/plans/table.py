@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from rowtide.catalog.spec import TableSpec
 from rowtide.operators import apply, mutate, scan
-from rowtide.operators.decode import decode_feed
+from rowtide.operators.decode import decode_feed, decode_latest
 from rowtide.sources.storage import AlreadyExists, Storage
 
 PART, BUCKET = "rt_part", "rt_bucket"
@@ -287,11 +287,14 @@ class KeyedTable:
 
     def apply_ordered(self, events: DataFrame, batch: tuple[str, int] | None = None) -> Version:
         """Apply decoded events in change order; late ones lose against what is stored."""
+        return self._apply_changes(apply.latest_changes(events, self._pk("apply")), batch)
+
+    def _apply_changes(self, changes: DataFrame, batch: tuple[str, int] | None) -> Version:
         pk = self._pk("apply")
         return self._merge(
             "apply_ordered",
-            apply.latest_changes(events, pk),
-            lambda state, changes, small: apply.merge_changes(state, changes, pk, small),
+            changes,
+            lambda state, arriving, small: apply.merge_changes(state, arriving, pk, small),
             batch=batch,
         )
 
@@ -322,10 +325,12 @@ class KeyedTable:
         self, feed: DataFrame, mode: str = "ordered", batch: tuple[str, int] | None = None
     ) -> DataFrame:
         """Decode change events and apply them; returns the rejected ones."""
-        events, rejects = decode_feed(feed, self.spec, split_key_changes=mode == "ordered")
+        self._pk("apply")
         if mode == "ordered":
-            self.apply_ordered(events, batch)
+            latest, rejects = decode_latest(feed, self.spec)
+            self._apply_changes(apply.as_changes(latest), batch)
         elif mode == "grouped":
+            events, rejects = decode_feed(feed, self.spec)
             self.apply_grouped(events, batch)
         else:
             raise ValueError(f"unknown apply mode {mode!r}")

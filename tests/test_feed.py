@@ -1,11 +1,13 @@
 """Extraction, routing and record assembly."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from rowtide.catalog.spec import TableSpec
-from rowtide.operators import extract
-from rowtide.operators.decode import decode_feed
+from rowtide.operators import apply, extract
+from rowtide.operators.decode import decode_feed, decode_latest
 from rowtide.sources import feed as feeds
 
 SPEC = TableSpec.parse("warehouse", "w_id", "w_id int32!, w_ytd float32!")
@@ -85,6 +87,24 @@ def test_key_change_becomes_delete_and_set(spark):
     assert got == [(5, 0, "DELETE", 1), (5, 1, "UPDATE", 2), (6, 1, "UPDATE", 3)]
 
 
+def test_reducing_before_decoding_gives_the_same_rows(spark):
+    rng = random.Random(5)
+    image = [[key(k), I100 if k % 2 else I200] for k in range(9)]
+    batch = [event("INSERT", [], [b"\0", I100], 500)]
+    for n in range(300):
+        k = 0 if n % 3 == 0 else rng.randrange(9)
+        op = rng.choice(["INSERT", "UPDATE", "UPDATE", "DELETE"])
+        moved = image[rng.randrange(9)] if rng.random() < 0.2 else image[k]
+        batch.append(event(op, image[k], moved, n))
+    rng.shuffle(batch)
+    feed = make(spark, *batch)
+    events, rejects = decode_feed(feed, SPEC, split_key_changes=True)
+    latest, same_rejects = decode_latest(feed, SPEC)
+    want = apply.latest_changes(events, SPEC.pk).orderBy("w_id").collect()
+    assert apply.as_changes(latest).orderBy("w_id").collect() == want
+    assert rejects.count() == same_rejects.count() == 1
+
+
 def test_poll_prunes_directories(spark, tmp_path):
     feed = make(spark, *[event("INSERT", [], [key(n), I100], n) for n in range(8)])
     landed = feed.select(

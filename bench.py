@@ -37,6 +37,12 @@ HEADLINE = [
 ]
 
 
+def _heap_pools(spark: SparkSession) -> list:
+    management = spark._jvm.java.lang.management
+    pools = management.ManagementFactory.getMemoryPoolMXBeans()
+    return [p for p in pools if p.getType().toString() == "Heap memory"]
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -53,11 +59,14 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     tune(spark)
     spark.range(1000).selectExpr("sum(id)").collect()
-    seconds = {}
+    seconds, heap_mb = {}, {}
     for name in HEADLINE:
+        for pool in _heap_pools(spark):
+            pool.resetPeakUsage()
         started = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+        heap_mb[name] = sum(p.getPeakUsage().getUsed() for p in _heap_pools(spark)) >> 20
     spark.stop()
     print(
         json.dumps(
@@ -66,6 +75,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "peak_heap_mb": heap_mb,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
             }
         )

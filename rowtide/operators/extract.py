@@ -124,11 +124,15 @@ def record_images(feed: DataFrame, spec: TableSpec, split_key_changes: bool = Fa
             F.when(_filled("before"), F.array(record(1, F.lit("DELETE"), F.col("before")))),
         )
     )
-    listed = feed.select(
+    # the order fields are taken out first, so the transaction id is never read
+    ordered = feed.select(
+        "op",
+        "before",
+        "after",
         F.col("txn.total_order").alias("_total"),
         F.col("txn.data_collection_order").alias("_within"),
-        F.inline(records),
     )
+    listed = ordered.select("_total", "_within", F.inline(records))
     order = F.struct(
         F.coalesce("_total", F.lit(0)).alias("total_order"),
         F.coalesce("_within", F.lit(0)).alias("data_collection_order"),

@@ -118,6 +118,9 @@ def test_poll_prunes_directories(spark, tmp_path):
     assert feeds.poll(stored, "bench", "warehouse").count() == 4
     picked = feeds.poll(stored, "bench", "warehouse", [1])
     assert sorted(r["txn"]["total_order"] for r in picked.collect()) == [1, 3]
+    rows, _ = decode_feed(picked, SPEC)
+    scans = rows._jdf.queryExecution().executedPlan().collectLeaves().mkString()
+    assert "id:string" not in scans.split("ReadSchema:")[1]
     plan = picked._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
     assert "feed_schema" in filters and "feed_table" in filters and "bucket" in filters

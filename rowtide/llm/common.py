@@ -45,7 +45,7 @@ def _ship(spark: SparkSession) -> None:
 def land(rows: DataFrame, label: str) -> DataFrame:
     """Write rows below ``spark.checkpoint.dir`` and read them back: cuts lineage, survives executors."""
     path = scratch_dir(rows.sparkSession, label)
-    rows.write.parquet(path)
+    rows.write.option("compression", "zstd").parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import exact_dedup, lang_id, mixing
+from rowtide.llm import binary_output, exact_dedup, lang_id, mixing, packing
 from rowtide.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 @query(
     """
     SELECT doc_id,
@@ -41,6 +46,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@query()
+def op7_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return binary_output.packed_rows(_table(spark, sf_dir, "documents"))
+
+
 @query(
     """
     WITH d AS (

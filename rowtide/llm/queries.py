@@ -17,6 +17,7 @@ from rowtide.llm import (
     mixing,
     packing,
     url_filter,
+    vector_dedup,
 )
 from rowtide.llm.common import prepare
 from rowtide.llm.url_filter import Rule
@@ -185,6 +186,11 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
 
+@query()
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify_languages(_table(spark, sf_dir, "documents"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -98,7 +99,7 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent, self.names, self.hidden = ["#"], [0], [[]], [False]
         self.events: list[tuple[int, str | None]] = []  # (element, text), or (element, None), or (-element, None)
-        self._stack = [0]
+        self._stack, self._opened = [0], Counter()
         self._parse(source)
         while len(self._stack) > 1:
             self._close()
@@ -110,12 +111,17 @@ class Page:
         self.names.append(names)
         self.hidden.append(hidden)
         self._stack.append(len(self.tag) - 1)
+        self._opened[tag] += 1
         self.events.append((self._stack[-1], None))
 
     def _close(self) -> None:
-        self.events.append((-self._stack.pop(), None))
+        element = self._stack.pop()
+        self._opened[self.tag[element]] -= 1
+        self.events.append((-element, None))
 
     def _close_open(self, tags: set, borders: set) -> None:
+        if not any(self._opened[t] for t in tags):
+            return
         for at in range(len(self._stack) - 1, 0, -1):
             tag = self.tag[self._stack[at]]
             if tag in tags:

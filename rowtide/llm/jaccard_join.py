@@ -8,7 +8,8 @@ its contents of all these choices: similar sets share one, whatever the hash.
 
 An empty choice says nothing and would be shared by very many sets, so it is not
 sent. There are ``slack`` parts more than needed; only a set that is empty in
-more parts than that enumerates a second, independent cut as well.
+more parts than that enumerates another, independent cut as well. Two similar
+sets that share nothing but empty choices both do, so no pair is lost.
 
 Equal sets are one node from the start. Large groups of near copies are closed
 in before pairs are enumerated: every node is first compared with the most
@@ -36,6 +37,8 @@ from rowtide.llm.common import (
 )
 
 SUB_PARTS = 3
+# Cuts a set enumerates at most; the last one sends empty choices too.
+LEVELS = 5
 # Rounds that compare nodes with the hub of a bucket before the remaining pairs are listed.
 HUB_ROUNDS = 2
 # Pairs that may be broadcast for their verification: 16 bytes each.
@@ -95,6 +98,11 @@ class PartEnum:
         largest = self._starts[band + 1] - 1
         return (self.whole - self.part) * 2 * largest // (self.whole + self.part)
 
+    def _slack(self, band: int, parts: int) -> int:
+        """About twice the parts of a small set of the band that are expected to have an empty choice."""
+        per_part = self._starts[max(0, band - 1)] / parts
+        return 1 + int(2 * parts * min(1.0, self.sub * np.exp(-per_part * (self.sub - 1) / self.sub)))
+
     def signatures(self, features: np.ndarray) -> np.ndarray:
         found, own = [], self.band(len(features))
         for band in (own, own + 1):
@@ -102,7 +110,7 @@ class PartEnum:
             if not k:
                 continue  # only equal sets are similar
             least = (k + 2) // 2
-            slack = 1 + least // 16
+            slack = self._slack(band, least)
             parts, level = least + slack, 0
             while True:
                 seed = np.uint64((band << 8 | level) * 0x2545F4914F6CDD1D % 2**64)
@@ -116,8 +124,9 @@ class PartEnum:
                 rest = sums.sum(axis=1, keepdims=True, dtype=np.uint64) - sums
                 full = counts.sum(axis=1, keepdims=True) > counts
                 name = _mix(seed + np.arange(sums.size, dtype=np.uint64).reshape(sums.shape))
-                found.append(_mix(rest + name)[full])
-                if int((~full).any(axis=1).sum()) <= slack:
+                last = level == LEVELS - 1
+                found.append(_mix(rest + name)[full | last])
+                if last or int((~full).any(axis=1).sum()) <= slack:
                     break
                 level += 1
         return np.concatenate(found) if found else np.empty(0, np.uint64)

@@ -1,10 +1,15 @@
 """A keyed table kept as versioned Parquet.
 
-Rows live in hash buckets of the key (partition directories), so a batch
-rewrites only the buckets it touches. Each version is one small JSON file that
-lists which part directory holds which buckets; it names directories, never
-rows. A version is committed by creating that file, which fails if another
-writer was first; the writer then repeats its work on the newer version.
+Rows live in hash buckets of the key (partition directories). Changes applied in
+order are written as a small delta part and resolved when the table is read: per
+key the change with the greatest order counts. What such a batch writes does not
+grow with the table; ``ensure_key_layout`` folds deltas into the buckets that
+have many. Upserts, deletes and grouped batches rewrite the buckets they touch.
+
+Each version is one small JSON file: schema, key, buckets, and which part
+directory holds which buckets; it names directories, never rows. A version is
+committed by creating that file, which fails if another writer was first; the
+writer then repeats its work on the newer version.
 
     <root>/<table>/data/rt_part=<id>/rt_bucket=<n>/*.parquet
     <root>/<table>/versions/<number>.json
@@ -15,6 +20,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
@@ -29,26 +35,28 @@ from rowtide.sources.storage import AlreadyExists, Storage
 
 PART, BUCKET = "rt_part", "rt_bucket"
 
-# Keys of a batch are broadcast up to this measured size; beyond it they are shuffled.
-BROADCAST_KEY_BYTES = 64 << 20
-
-# Write attempts, base pause in seconds, messages worth a retry.
+# Write attempts, and the pause between them in seconds, longer each time.
 ATTEMPTS = 3
 PAUSE = 0.2
-RETRY_WORDS = (
-    "already exists",
-    "conflict",
-    "precondition",
-    "conditionnotmet",
-    "timeout",
-    "temporarily unavailable",
-    "resource busy",
+# Failures that pass by themselves. Anything else is raised at once.
+TRANSIENT = (
+    "java.net.ConnectException",
+    "java.net.SocketTimeoutException",
+    "org.apache.hadoop.ipc.RetriableException",
+    "org.apache.hadoop.ipc.StandbyException",
 )
+# Parts a bucket may have before an ordered apply folds them.
+COMPACT_AT = 16
 
 
 def is_retryable(err: Exception) -> bool:
-    message = str(err).lower()
-    return isinstance(err, AlreadyExists) or any(word in message for word in RETRY_WORDS)
+    """Was another writer first, or does a Java cause belong to ``TRANSIENT``?"""
+    cause = getattr(err, "java_exception", None)
+    while cause is not None:
+        if cause.getClass().getName() in TRANSIENT:
+            return True
+        cause = cause.getCause()
+    return isinstance(err, AlreadyExists)
 
 
 @dataclass
@@ -61,10 +69,20 @@ class Version:
     written: dict[str, int] = field(default_factory=dict)
     batches: dict[str, int] = field(default_factory=dict)
     operation: str = "create"
+    # Parts that hold ordered changes, to be resolved against the others.
+    deltas: list[str] = field(default_factory=list)
+    # The table's own schema (JSON) and key; versions before the first write have none.
+    schema: str | None = None
+    key: list[str] | None = None
 
     def to_json(self) -> str:
         return json.dumps(self.__dict__)
 
+    def crowded(self, parts: int) -> set[int]:
+        """Buckets that lie in more than ``parts`` parts, or in a delta and more than one."""
+        seen = Counter(b for held in self.parts.values() for b in held)
+        return {b for b, n in seen.items() if n > parts}
+
     def without(self, buckets: Iterable[int]) -> dict[str, list[int]]:
         gone = set(buckets)
         left = {p: [b for b in held if b not in gone] for p, held in self.parts.items()}
@@ -85,6 +103,15 @@ class KeyedTable:
         self._storage = Storage(spark)
         self._buckets = buckets
 
+    @classmethod
+    def open(cls, spark: SparkSession, root: str, name: str) -> KeyedTable:
+        """An existing table with the schema and key it was stored with."""
+        found = cls(spark, root, TableSpec(name, ())).version()
+        if found is None or found.schema is None:
+            raise ValueError(f"no table {name!r} at {root}")
+        schema = T.StructType.fromJson(json.loads(found.schema))
+        return cls(spark, root, TableSpec.infer(name, schema, found.key or ()), found.buckets)
+
     # --- versions -----------------------------------------------------------
 
     def versions(self) -> list[int]:
@@ -110,8 +137,18 @@ class KeyedTable:
     def _version_file(self, number: int) -> str:
         return f"{self.path}/versions/{number:010d}.json"
 
-    def _schema(self) -> T.StructType:
-        own = self.spec.struct().fields
+    def _table_schema(self, version: Version | None) -> T.StructType:
+        """The stored schema; of a table not written yet, the spec's."""
+        if version is None or version.schema is None:
+            return self.spec.struct()
+        return T.StructType.fromJson(json.loads(version.schema))
+
+    def _check_key(self, version: Version) -> None:
+        if version.key is not None and list(self.spec.pk) != version.key:
+            raise ValueError(f"{self.path} has the key {version.key}, not {list(self.spec.pk)}")
+
+    def _schema(self, version: Version | None) -> T.StructType:
+        own = self._table_schema(version).fields
         return T.StructType(
             [
                 *own,
@@ -123,23 +160,32 @@ class KeyedTable:
     # --- reading ------------------------------------------------------------
 
     def _state(self, version: Version | None, buckets: Iterable[int] | None = None) -> DataFrame | None:
-        """State rows of a version, or of some of its buckets; None when there are none."""
+        """State rows of a version, or of some of its buckets, deltas resolved; None when there are none."""
         if version is None:
             return None
         wanted = None if buckets is None else set(buckets)
+        plain = self._scan(version, [p for p in version.parts if p not in version.deltas], wanted)
+        changes = self._scan(version, [p for p in version.parts if p in version.deltas], wanted)
+        if changes is None:
+            return plain
+        key = version.key or list(self.spec.pk)
+        return apply.merge_changes(plain, mutate.last_wins(changes, key, ["_order"]), key)
+
+    def _scan(self, version: Version, parts: list[str], wanted: set[int] | None) -> DataFrame | None:
         data, paths = f"{self.path}/data", []
-        for part, held in version.parts.items():
+        for part in parts:
+            held = version.parts[part]
             picked = held if wanted is None else [b for b in held if b in wanted]
             if len(picked) == version.written[part]:
                 paths.append(f"{data}/{PART}={part}")
             else:
                 paths.extend(f"{data}/{PART}={part}/{BUCKET}={b}" for b in picked)
-        schema = self._schema()
         if not paths:
             return None
-        full = schema.add(PART, T.StringType()).add(BUCKET, T.IntegerType())
+        schema = self._schema(version)
+        full = self._schema(version).add(PART, T.StringType()).add(BUCKET, T.IntegerType())
         rows = self.spark.read.schema(full).option("basePath", data).parquet(*paths)
-        return rows.select(*self._schema().names)
+        return rows.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in schema.fields])
 
     def read(self, version: int | None = None) -> DataFrame:
         """Rows of the current or of an older version."""
@@ -148,9 +194,24 @@ class KeyedTable:
             raise ValueError(f"no table at {self.path}")
         state = self._state(found)
         if state is None:
-            return self.spark.createDataFrame([], self.spec.struct())
+            return self.spark.createDataFrame([], self._table_schema(found))
         return apply.live(state)
 
+    def lookup(self, keys: DataFrame, version: int | None = None) -> DataFrame:
+        """Rows of the given keys; opens only the buckets they hash to."""
+        found = self.version(version)
+        if found is None:
+            raise ValueError(f"no table at {self.path}")
+        self._check_key(found)
+        pk = self._pk("lookup")
+        wanted = keys.select(*[F.col(f"`{k}`").cast(self.spec.struct()[k].dataType) for k in pk]).distinct()
+        # one row per bucket at most
+        buckets = [r[0] for r in wanted.select(self._bucket_of(found.buckets).alias(BUCKET)).distinct().collect()]
+        state = self._state(found, buckets)
+        if state is None:
+            return self.spark.createDataFrame([], self._table_schema(found))
+        return apply.live(state).join(wanted, pk, "left_semi").select(*self._table_schema(found).names)
+
     def query(
         self,
         where: str | Column | None = None,
@@ -178,12 +239,13 @@ class KeyedTable:
     # --- writing ------------------------------------------------------------
 
     def _bucket_of(self, buckets: int) -> Column:
+        """The key's bucket; keys are hashed in the spec's types, which are the stored ones."""
         shape = self.spec.struct()
         names = self.spec.pk or tuple(self.spec.columns)
         keys = [F.col(f"`{k}`").cast(shape[k].dataType) for k in names]
         return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
-    def _write_part(self, rows: DataFrame, buckets: int) -> tuple[str, list[int]]:
+    def _write_part(self, rows: DataFrame, base: Version) -> tuple[str, list[int]]:
         """Write rows as a new part, sorted by key in each file.
 
         The rebalance groups rows by bucket and lets adaptive execution split a
@@ -192,8 +254,8 @@ class KeyedTable:
         part = uuid.uuid4().hex
         target = f"{self.path}/data/{PART}={part}"
         (
-            mutate.conform(apply.as_state(rows), self._schema())
-            .withColumn(BUCKET, self._bucket_of(buckets))
+            mutate.conform(apply.as_state(rows), self._schema(base))
+            .withColumn(BUCKET, self._bucket_of(base.buckets))
             .hint("rebalance", BUCKET)
             .sortWithinPartitions(BUCKET, *[f"`{k}`" for k in self.spec.pk])
             .write.partitionBy(BUCKET)
@@ -208,24 +270,27 @@ class KeyedTable:
         operation: str,
         build: Callable[[Version], tuple[DataFrame | None, Iterable[int]]],
         batch: tuple[str, int] | None = None,
+        delta: bool = False,
     ) -> Version:
         """Write what ``build`` returns (rows, buckets they replace) and publish it."""
-        pending: tuple[str, list[int]] | None = None
+        pending: tuple[int, tuple[str, list[int]]] | None = None
         for attempt in range(1, ATTEMPTS + 1):
             base = self.version() or Version(0, self._buckets)
+            self._check_key(base)
             if batch and base.batches.get(batch[0], -1) >= batch[1]:
                 return base
             try:
                 rows, replaced = build(base)
                 replaced = list(replaced)
-                parts, written = base.without(replaced), dict(base.written)
+                parts, written, deltas = base.without(replaced), dict(base.written), list(base.deltas)
                 if rows is not None:
-                    # a plain append does not depend on the version it lost against
-                    if pending is None or replaced:
-                        pending = self._write_part(rows, base.buckets)
-                    part, held = pending
+                    # added rows do not depend on the version they lost against, but for its buckets
+                    if pending is None or replaced or pending[0] != base.buckets:
+                        pending = base.buckets, self._write_part(rows, base)
+                    part, held = pending[1]
                     if held:
                         parts[part], written[part] = held, len(held)
+                        deltas += [part] if delta else []
                 new = Version(
                     base.number + 1,
                     base.buckets,
@@ -233,6 +298,9 @@ class KeyedTable:
                     {p: n for p, n in written.items() if p in parts},
                     {**base.batches, **(dict([batch]) if batch else {})},
                     operation,
+                    [p for p in deltas if p in parts],
+                    self._table_schema(base).json(),
+                    list(self.spec.pk),
                 )
                 self._storage.create_text(self._version_file(new.number), new.to_json())
                 return new
@@ -258,16 +326,13 @@ class KeyedTable:
 
     def upsert(self, rows: DataFrame, order: list[str] | None = None) -> Version:
         """Keyed upsert; of several source rows with one key the last by ``order`` counts."""
-        source = mutate.conform(rows, self.spec.struct())
-        if order:
-            source = mutate.last_wins(rows, self._pk("upsert"), order)
-        else:
-            source = mutate.last_wins(source, self._pk("upsert"), [])
-        source = mutate.conform(source, self.spec.struct())
+        shape = self._table_schema(self.version())
+        source = rows if order else mutate.conform(rows, shape)
+        source = mutate.conform(mutate.last_wins(source, self._pk("upsert"), order or []), shape)
         return self._merge(
             "upsert",
             source,
-            lambda state, batch, small: mutate.replace_or_insert(
+            lambda state, batch: mutate.replace_or_insert(
                 state, apply.as_state(batch), self.spec.pk
             ),
         )
@@ -281,7 +346,7 @@ class KeyedTable:
         return self._merge(
             "delete",
             doomed,
-            lambda state, batch, small: mutate.delete(state, batch, pk),
+            lambda state, batch: mutate.delete(state, batch, pk),
             inserts=False,
         )
 
@@ -290,13 +355,12 @@ class KeyedTable:
         return self._apply_changes(apply.latest_changes(events, self._pk("apply")), batch)
 
     def _apply_changes(self, changes: DataFrame, batch: tuple[str, int] | None) -> Version:
-        pk = self._pk("apply")
-        return self._merge(
-            "apply_ordered",
-            changes,
-            lambda state, arriving, small: apply.merge_changes(state, arriving, pk, small),
-            batch=batch,
-        )
+        """Add the changes as a delta; fold buckets that have gathered too many."""
+        self._pk("apply")
+        done = self._commit("apply_ordered", lambda base: (changes, ()), batch, delta=True)
+        if done.crowded(COMPACT_AT):
+            self.ensure_key_layout(COMPACT_AT)
+        return done
 
     def apply_grouped(self, events: DataFrame, batch: tuple[str, int] | None = None) -> Version:
         """Apply decoded events as append, upsert, delete. Only upserts and deletes rewrite."""
@@ -311,7 +375,7 @@ class KeyedTable:
             current = apply.live(state) if state is not None else None
             here = bucket.isin(touched) if touched else F.lit(False)
             if current is None:
-                current = self.spark.createDataFrame([], self.spec.struct())
+                current = self.spark.createDataFrame([], self._table_schema(base))
             rewritten = apply.apply_grouped(current, events.where(here), pk)
             added = events.where(~here & F.col("_op").isin("INSERT", "SNAPSHOT"))
             return rewritten.unionByName(mutate.conform(added, rewritten.schema)), touched
@@ -336,18 +400,30 @@ class KeyedTable:
             raise ValueError(f"unknown apply mode {mode!r}")
         return rejects
 
-    def ensure_key_layout(self) -> int:
-        """Bring every bucket into one part sorted by key; returns the buckets rewritten."""
-        if not self.spec.pk or not self.exists():
-            return 0
+    def ensure_key_layout(self, parts: int = 1) -> int:
+        """Bring buckets with more than ``parts`` parts into one, sorted by key; returns how many."""
         current = self.version()
-        seen, scattered = set(), set()
-        for held in current.parts.values():
-            scattered |= seen & set(held)
-            seen |= set(held)
-        if scattered:
-            self._commit("layout", lambda base: (self._state(base, scattered), scattered))
-        return len(scattered)
+        if not self.spec.pk or current is None:
+            return 0
+        crowded = current.crowded(parts)
+        if crowded:
+            self._commit("layout", lambda base: (self._state(base, crowded), crowded))
+        return len(crowded)
+
+    def expire(self, keep: int) -> int:
+        """Drop all but the last ``keep`` versions and the parts only they hold; returns how many.
+
+        Parts no version names (a lost attempt, or a write under way) are left.
+        """
+        known = self.versions()
+        old = known[: max(0, len(known) - max(1, keep))]
+        needed = {p for n in known[len(old) :] for p in self.version(n).parts}
+        gone = {p for n in old for p in self.version(n).parts} - needed
+        for number in old:
+            self._storage.delete(self._version_file(number))
+        for part in gone:
+            self._storage.delete(f"{self.path}/data/{PART}={part}")
+        return len(old)
 
     def _pk(self, action: str) -> list[str]:
         return mutate.key_columns(self.spec.pk, action)
@@ -356,7 +432,7 @@ class KeyedTable:
         self,
         operation: str,
         source: DataFrame,
-        combine: Callable[[DataFrame, DataFrame, bool], DataFrame],
+        combine: Callable[[DataFrame, DataFrame], DataFrame],
         batch: tuple[str, int] | None = None,
         inserts: bool = True,
     ) -> Version:
@@ -366,23 +442,14 @@ class KeyedTable:
             def build(base: Version):
                 if not base.parts:
                     return (source if inserts else None), ()
-                # measured here, then used by the merge
+                # used for the buckets here, then by the merge
                 source.persist()
-                length = F.lit(8 * len(self.spec.pk))
-                for k in self.spec.pk:
-                    length = length + F.coalesce(F.octet_length(F.col(f"`{k}`").cast("string")), F.lit(0))
-                # one row per touched bucket: how many rows arrive and how wide their keys are
-                sizes = (
-                    source.groupBy(self._bucket_of(base.buckets).alias(BUCKET))
-                    .agg(F.sum(length).alias("bytes"))
-                    .collect()
-                )
-                touched = [r[BUCKET] for r in sizes]
-                small = sum(r["bytes"] for r in sizes) <= BROADCAST_KEY_BYTES
+                bucket = self._bucket_of(base.buckets).alias(BUCKET)
+                touched = [r[0] for r in source.select(bucket).distinct().collect()]
                 state = self._state(base, touched)
                 if state is None:
                     return (source if inserts else None), ()
-                return combine(state, source, small), touched
+                return combine(state, source), touched
 
             return self._commit(operation, build, batch)
         finally:

@@ -77,6 +77,10 @@ class Storage:
                 raise AlreadyExists(path) from err
             raise
 
+    def delete(self, path: str) -> None:
+        """Remove a file, or a directory with all it holds."""
+        self._fs(path).delete(self._path(path), True)
+
     def make_temporary(self, path: str) -> None:
         """Create a directory that goes when the session's JVM exits."""
         self._fs(path).mkdirs(self._path(path))

@@ -106,7 +106,10 @@ def test_retry_gives_up(spark, table, monkeypatch):
     with pytest.raises(AlreadyExists):
         table.append(rows(spark, (1, "a")))
     assert len(calls) == 3
-    assert is_retryable(Exception("Precondition failed")) and not is_retryable(Exception("disk full"))
+    assert is_retryable(AlreadyExists("x")) and not is_retryable(Exception("conflict, timeout, already exists"))
+    with pytest.raises(Exception) as refused:
+        spark._jvm.java.net.Socket("127.0.0.1", 1)
+    assert is_retryable(refused.value)
 
 
 def test_layout_run(spark, table):

@@ -14,15 +14,17 @@ sets that share nothing but empty choices both do, so no pair is lost.
 Equal sets are one node from the start. Large groups of near copies are closed
 in before pairs are enumerated: every node is first compared with the most
 connected node of its buckets, and only nodes that are still apart are paired.
-Every pair is verified on the whole sets.
+Sizes and parity sketches rule out most pairs that share a signature by chance;
+every pair that is left is verified on the whole sets.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,42 +38,91 @@ from rowtide.llm.common import (
     land,
 )
 
-SUB_PARTS = 3
+SUB_PARTS = 2
 # Cuts a set enumerates at most; the last one sends empty choices too.
 LEVELS = 5
 # Rounds that compare nodes with the hub of a bucket before the remaining pairs are listed.
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
+# Cells of the parity sketch that rules pairs out before their sets are looked at.
+SKETCH_CELLS = 256
+SKETCH = [f"p{i}" for i in range(SKETCH_CELLS // 64)]
 # Pairs that may be broadcast for their verification: 16 bytes each.
 SMALL_PAIRS = 50_000
 MAX_FILTER_BITS = 1 << 27
-# Words and sets a task remembers; both start again when full.
+# Sets a task remembers to send each once; it starts again when full.
 CACHE = 300_000
+# Bytes of text hashed at once.
+CHUNK_BYTES = 1 << 20
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        code = xxhash.xxh3_64_intdigest(word)
-        self[word] = code
-        return code
+# A word's hash is a polynomial over its bytes, modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-_WORDS = _Words()
+def _byte_values() -> np.ndarray:
+    """A random number per byte, the same for A-Z and a-z; 0 for white space."""
+    values = np.random.Generator(np.random.Philox(key=11)).integers(1, 1 << 64, 256, dtype=np.uint64)
+    values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
+    values[[0x20, *range(0x09, 0x0E)]] = 0
+    return values
 
 
-def shingles(text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word n-grams; of a shorter text the hash of all its words."""
-    tokens = text.encode().lower().split() if text else []
-    if not tokens:
-        return np.empty(0, np.uint64)
-    codes = np.fromiter(map(_WORDS.__getitem__, tokens), np.uint64, len(tokens))
-    n = min(words, len(codes))
+_VALUES = _byte_values()
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a text in UTF-8, and where they start."""
+    if len(_powers[0]) <= len(data):
+        for i, base in enumerate((_BASE, _INVERSE)):
+            factors = np.full(len(data) + CHUNK_BYTES, base, np.uint64)
+            factors[0] = 1
+            _powers[i] = np.multiply.accumulate(factors)
+    values = _VALUES[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(np.diff((values != 0).astype(np.int8), prepend=0, append=0))
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(values * _powers[0][: len(data)], out=sums[1:])
+    return _mix((sums[ends] - sums[starts]) * _powers[1][starts] + (ends - starts).astype(np.uint64)), starts
+
+
+def _folded(codes: np.ndarray, n: int) -> np.ndarray:
     last = len(codes) - n + 1
     out = _mix(codes[:last])
     for i in range(1, n):
-        out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + codes[i : i + last])
-    return np.unique(out)
+        out = _mix(out * np.uint64(_BASE) + codes[i : i + last])
+    return out
+
+
+def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
+    """Per text the sorted distinct 64-bit hashes of its word n-grams; of fewer words, of the whole sequence."""
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        held.append((text or "").encode())
+        size += len(held[-1]) + 1
+        if size >= CHUNK_BYTES:
+            yield from _chunk_sets(held, words)
+            held, size = [], 0
+    if held:
+        yield from _chunk_sets(held, words)
+
+
+def _chunk_sets(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
+    codes, starts = _word_hashes(b" ".join(texts))
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    spots = np.searchsorted(starts, begins)
+    grams = _folded(codes, words) if len(codes) >= words else codes[:0]
+    for first, end in zip(spots[:-1].tolist(), spots[1:].tolist()):
+        if end - first >= words:
+            yield np.unique(grams[first : end - words + 1])
+        else:
+            yield _folded(codes[first:end], end - first) if end > first else codes[:0]
+
+
+def shingles(text: str | None, words: int) -> np.ndarray:
+    return next(shingle_sets([text], words))
 
 
 def set_hash(features: np.ndarray) -> int:
@@ -79,6 +130,12 @@ def set_hash(features: np.ndarray) -> int:
     return int(np.add.reduce(_mix(features ^ np.uint64(0x5851F42D4C957F2D))).view(np.int64))
 
 
+def parity_sketch(features: np.ndarray) -> np.ndarray:
+    """Is the number of shingles in each cell odd? Sets differ in at least as many shingles as sketches in bits."""
+    cell = (_mix(features ^ np.uint64(0x27D4EB2F165667C5)) & np.uint64(SKETCH_CELLS - 1)).astype(np.int64)
+    return np.packbits(np.bincount(cell, minlength=SKETCH_CELLS).astype(np.uint8) & 1).view(np.int64)
+
+
 class PartEnum:
     """Signatures for Jaccard similarity of at least ``part / whole``."""
 
@@ -141,8 +198,7 @@ def _sets(docs: DataFrame, text_col: str, words: int) -> DataFrame:
 
     def measure(batches):
         for batch in batches:
-            texts = batch.pop("text")
-            found = [shingles(t, words) for t in texts]
+            found = list(shingle_sets(batch.pop("text").tolist(), words))
             batch["n"] = np.array([len(f) for f in found], np.int64)
             batch["node"] = pd.array([set_hash(f) if len(f) else None for f in found], "Int64")
             yield batch
@@ -156,8 +212,7 @@ def _signature_rows(texts: DataFrame, words: int, scheme: PartEnum) -> DataFrame
         seen: set[int] = set()
         for batch in batches:
             codes, nodes, counts = [], [], []
-            for text in _column(batch):
-                features = shingles(text, words)
+            for features in shingle_sets(_column(batch), words):
                 if not len(features):
                     continue
                 node = set_hash(features)
@@ -183,14 +238,15 @@ def _signature_rows(texts: DataFrame, words: int, scheme: PartEnum) -> DataFrame
 
 
 def _candidate_sets(texts: DataFrame, words: int, filter_words: np.ndarray) -> DataFrame:
-    """(node, n, items) of the sets whose node passes the filter, one row each."""
+    """(node, n, sketch, items) of the sets whose node passes the filter, one row each."""
     shared = texts.sparkSession.sparkContext.broadcast(filter_words)
-    schema = pa.schema([("node", pa.int64()), ("items", pa.list_(pa.int64()))])
+    names = ["node", "n", *SKETCH]
+    schema = pa.schema([*[(c, pa.int64()) for c in names], ("items", pa.list_(pa.int64()))])
 
     def pick(batches):
         seen: set[int] = set()
         for batch in batches:
-            found = [f for f in (shingles(t, words) for t in _column(batch)) if len(f)]
+            found = [f for f in shingle_sets(_column(batch), words) if len(f)]
             nodes = np.array([set_hash(f) for f in found], np.int64)
             if not len(nodes):
                 continue
@@ -201,14 +257,39 @@ def _candidate_sets(texts: DataFrame, words: int, filter_words: np.ndarray) -> D
                     if len(seen) >= CACHE:
                         seen.clear()
                     seen.add(node)
-                    rows.append((node, found[i].view(np.int64)))
+                    rows.append(found[i])
             if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))],
-                    schema=schema,
-                )
+                narrow = np.array([(set_hash(f), len(f), *parity_sketch(f)) for f in rows], np.int64).T
+                items = pa.array([f.view(np.int64) for f in rows], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, narrow), items], schema=schema)
+
+    columns = ", ".join(f"{c} long" for c in names)
+    return texts.mapInArrow(pick, f"{columns}, items array<long>").dropDuplicates(["node"])
+
+
+class _Possible:
+    """Sizes and sketches of the candidate sets, and the test they allow."""
 
-    return texts.mapInArrow(pick, "node long, items array<long>").dropDuplicates(["node"])
+    def __init__(self, sets: DataFrame, part: int, whole: int):
+        self._narrow, self._part, self._whole = sets.select("node", "n", *SKETCH), part, whole
+
+    def of(self, column: str, name: str) -> DataFrame:
+        """The facts as columns of their own for the nodes in ``column``."""
+        facts = {c: f"{name}_{c}" for c in ("n", *SKETCH)}
+        return self._narrow.withColumnsRenamed({"node": column, **facts})
+
+    def test(self, a: str, b: str):
+        """False only for pairs that cannot be similar."""
+        na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
+        bits = F.lit(0)
+        for c in SKETCH:
+            bits = bits + F.bit_count(F.col(f"{a}_{c}").bitwiseXOR(F.col(f"{b}_{c}")))
+        sizes = F.least(na, nb) * self._whole >= F.greatest(na, nb) * self._part
+        return sizes & (bits * (self._whole + self._part) <= (na + nb) * (self._whole - self._part))
+
+    def filter(self, pairs: DataFrame, a: str, b: str) -> DataFrame:
+        both = pairs.join(self.of(a, "a"), a).join(self.of(b, "b"), b)
+        return both.where(self.test("a", "b")).select(*pairs.columns)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
@@ -238,12 +319,13 @@ def links(texts: DataFrame, words: int, part: int, whole: int) -> DataFrame | No
         return None
     sets = land(_candidate_sets(texts, words, bloom_build(degrees.select("node"), total, 16, MAX_FILTER_BITS)), "sets")
     members = land(shared.join(degrees, "node").distinct(), "members")
+    possible = _Possible(sets, part, whole)
     labels, tested = degrees.select("node", F.col("node").alias("label")), None
     for _ in range(HUB_ROUNDS):
-        found = _verify(land(_hub_pairs(members, labels, tested), "pairs"), sets, part, whole)
+        found = _verify(land(_hub_pairs(members, labels, tested, possible), "pairs"), sets, part, whole)
         tested = found if tested is None else land(tested.unionByName(found), "tested")
         labels = _relabel(labels, found)
-    rest = _verify(land(_remaining_pairs(members, labels, tested), "pairs"), sets, part, whole)
+    rest = _verify(land(_remaining_pairs(members, labels, tested, possible), "pairs"), sets, part, whole)
     return tested.unionByName(rest).where("linked").select("a", "b")
 
 
@@ -260,11 +342,12 @@ def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
     return pairs if tested is None else pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
 
 
-def _hub_pairs(members: DataFrame, labels: DataFrame, tested: DataFrame | None) -> DataFrame:
+def _hub_pairs(members: DataFrame, labels: DataFrame, tested: DataFrame | None, possible: _Possible) -> DataFrame:
     """For each node outside the hub's group of a bucket, one pair: with its best hub."""
     named, tops = _mixed(members, labels)
     apart = named.join(tops, "sig").where(F.col("label") != F.col("top.label"))
     apart = apart.groupBy("node", F.col("top.node").alias("hub")).agg(F.max("top.degree").alias("degree"))
+    apart = possible.filter(apart, "node", "hub")
     apart = apart.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), "node", "hub", "degree")
     best = _untested(apart, tested).groupBy("node").agg(F.max(F.struct("degree", "hub")).alias("best"))
     hub = F.col("best.hub")
@@ -280,13 +363,20 @@ def _relabel(labels: DataFrame, found: DataFrame) -> DataFrame:
     return land(moved.select("node", F.coalesce("to", "label").alias("label")), "labels")
 
 
-def _remaining_pairs(members: DataFrame, labels: DataFrame, tested: DataFrame | None) -> DataFrame:
-    """Pairs of different groups in a bucket, but for those tested: outsiders against all members."""
+def _remaining_pairs(
+    members: DataFrame, labels: DataFrame, tested: DataFrame | None, possible: _Possible
+) -> DataFrame:
+    """Possible pairs of different groups in a bucket, but for those tested: outsiders against all members."""
     named, tops = _mixed(members, labels)
-    left = named.join(tops, "sig")
-    outside = left.where(F.col("label") != F.col("top.label")).select("sig", F.col("node").alias("o"), F.col("label").alias("own"))
-    facing = left.select("sig", "node", "label")
-    pairs = facing.join(outside, "sig").where("label <> own")
+    left = named.join(tops, "sig").join(possible.of("node", "f"), "node")
+    facts = {f"f_{c}": f"o_{c}" for c in ("n", *SKETCH)}
+    outside = left.where(F.col("label") != F.col("top.label")).drop("top", "degree")
+    outside = outside.withColumnsRenamed({"node": "o", "label": "own", **facts})
+    facing = left.drop("top", "degree")
+    close = (
+        (facing["sig"] == outside["sig"]) & (facing["label"] != outside["own"]) & possible.test("f", "o")
+    )
+    pairs = facing.join(outside, close)
     pairs = pairs.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct()
     return _untested(pairs, tested)
 

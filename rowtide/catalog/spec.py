@@ -13,8 +13,11 @@ import warnings
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from rowtide.sources.storage import Storage
+
 # Type names, the aliases the wire decoder accepts, default widths.
 ALIASES = {
     "byte": "int8",
@@ -284,14 +287,20 @@ def _collect(items: Iterable[Mapping]) -> dict[str, TableSpec]:
     return specs
 
 
-def load_specs(path: str, case_sensitive: bool = True) -> dict[str | None, TableSpec]:
+def load_specs(
+    path: str, case_sensitive: bool = True, spark: SparkSession | None = None
+) -> dict[str | None, TableSpec]:
     """Read a YAML or JSON schema file into ``{table name: spec}``.
 
     Accepts one schema with ``fields``, a list of schemas, a ``schemas:`` list
     and a ``tables:`` mapping. With ``case_sensitive=False`` names are lowered.
+    Given a session, ``path`` may be on any file system Spark can open.
     """
-    with open(path, encoding="utf-8") as handle:
-        text = handle.read()
+    if spark is not None:
+        text = Storage(spark).read_text(str(path))
+    else:
+        with open(path, encoding="utf-8") as handle:
+            text = handle.read()
     if str(path).endswith(".json"):
         raw = json.loads(text)
     else:

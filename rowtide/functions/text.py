@@ -16,6 +16,7 @@ MOMENT = (
     r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
     r"(\s+[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}([.][0-9]{1,6})?)?$"
 )
+WHOLE_NUMBER = r"^[+-]?[0-9]+$"
 GROUPED_DIGITS = r"^[+-]?[0-9]+(_[0-9]+)+$"
 GROUPED_FLOAT = r"^[+-]?[0-9]+(_[0-9]+)*([.]([0-9]+(_[0-9]+)*)?)?([eE][+-]?[0-9]+(_[0-9]+)*)?$"
 DAY_TIME = r"^[0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}([.][0-9]{1,6})?)?$"
@@ -37,6 +38,8 @@ def _ungrouped(text: Column, pattern: str) -> Column:
 
 def to_integer(text: Column, kind: T.DataType) -> Column:
     plain = F.when(F.contains(text, F.lit("_")), _ungrouped(text, GROUPED_DIGITS)).otherwise(text)
+    if isinstance(kind, T.DecimalType):  # a cast to decimal would round fractions and read exponents
+        plain = F.when(plain.rlike(WHOLE_NUMBER), plain)
     return plain.try_cast(kind)
 
 

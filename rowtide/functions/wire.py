@@ -30,7 +30,7 @@ MICRO_RANGE = (-62_135_596_800_000_000, 253_402_300_799_999_999)
 
 # Text forms of a decimal column.
 NUMERIC_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-REFUSED_TEXT = r"(?i)^[+-]?(s?nan[0-9]*|inf(inity)?|[0-9._]*_[0-9._]*)$"
+REFUSED_TEXT = r"(?i)^[+-]?(s?nan[0-9]*|inf(inity)?)$|^[0-9._e+-]*_[0-9._e+-]*$"
 
 # Whitespace stripped from text cells (Unicode White_Space plus
 # the four information separators).

@@ -27,16 +27,16 @@ def _broken(spec: TableSpec, position: int, field: FieldSpec) -> Column:
     return broken if field.name in spec.pk else broken & (F.col("_op") != "DELETE")
 
 
-def _acceptable(spec: TableSpec) -> Column:
+def _acceptable(spec: TableSpec, image: str = "_image") -> Column:
     """No required column is broken; NULL, like FALSE, means some is."""
     keys, others = F.lit(True), F.lit(True)
     for position, field in _must_decode(spec):
-        sound = wire.is_sound(field, _cell(position))
+        sound = wire.is_sound(field, F.get(F.col(image), F.lit(position)))
         if field.name in spec.pk:
             keys = keys & sound
         else:
             others = others & sound
-    return keys & ((F.col("_op") == "DELETE") | others)
+    return keys & ((F.col("_op") == "DELETE" if image == "_image" else F.lit(False)) | others)
 
 
 def _project(rows: DataFrame, spec: TableSpec, keep: list[str], **how) -> DataFrame:
@@ -83,12 +83,19 @@ def decode_records(rows: DataFrame, spec: TableSpec, **how) -> tuple[DataFrame,
     such column on the wire), ``empty`` (NULL on the wire) or ``malformed``.
     """
     good = _acceptable(spec)
-    accepted = _project(rows.where(good), spec, [c for c in rows.columns if c != "_image"], **how)
-
+    kept = rows.where(good & _whole(rows, spec))
+    accepted = _project(kept, spec, [c for c in rows.columns if c not in ("_image", "_paired")], **how)
     return accepted, _rejected(rows, spec, good)
 
 
-def _rejected(rows: DataFrame, spec: TableSpec, good: Column) -> DataFrame:
+def _whole(rows: DataFrame, spec: TableSpec) -> Column:
+    """The delete half of a key change only counts if the set half is acceptable."""
+    if "_paired" not in rows.columns:
+        return F.lit(True)
+    return F.col("_paired").isNull() | F.coalesce(_acceptable(spec, "_paired"), F.lit(False))
+
+
+def _rejected(rows: DataFrame, spec: TableSpec, good: Column, ordered: Column | None = None) -> DataFrame:
     at, why = F.lit(None).cast("string"), F.lit(None).cast("string")
     for position, field in reversed(_must_decode(spec)):
         broken = _broken(spec, position, field)
@@ -96,24 +103,27 @@ def _rejected(rows: DataFrame, spec: TableSpec, good: Column) -> DataFrame:
         reason = F.when(size.isNull(), "missing").when(size == 0, "empty").otherwise("malformed")
         at, why = F.when(broken, field.name).otherwise(at), F.when(broken, reason).otherwise(why)
     bad = ~F.coalesce(good, F.lit(False))
-    return rows.where(bad).select("*", at.alias("reject_field"), why.alias("reject_reason"))
+    if ordered is not None:
+        why, bad = F.coalesce(why, F.lit("no_order")), bad | ~ordered
+    return rows.where(bad).drop("_paired").select("*", at.alias("reject_field"), why.alias("reject_reason"))
 
 
 def decode_latest(feed: DataFrame, spec: TableSpec, **how) -> tuple[DataFrame, DataFrame]:
     """Last event per key, decoded, and the rejects of the whole feed.
 
-    Same rows as the last by order of ``decode_feed(.., split_key_changes=True)``,
-    but only keys are decoded before the reduction; images are decoded once they
+    Events without a ``total_order`` have no place in change order: they are
+    rejected as ``no_order``. Else the same rows as the last by order of
+    ``decode_feed(.., split_key_changes=True)``, but only keys are decoded before the reduction; images are decoded once they
     have won, so a key changed a million times costs one decode.
     """
     images = record_images(feed, spec, split_key_changes=True)
-    good = _acceptable(spec)
+    good, ordered = _acceptable(spec), F.col("_order.total_order").isNotNull()
     keys = [(i, f) for i, f in enumerate(spec.fields) if f.name in spec.pk]
-    keyed = images.where(good).select(
-        "*", *[wire.value(f, _cell(i)).alias(f"_key_{i}") for i, f in keys]
+    keyed = images.where(good & ordered & _whole(images, spec)).select(
+        "_op", "_order", "_image", *[wire.value(f, _cell(i)).alias(f"_key_{i}") for i, f in keys]
     )
     latest = last_wins(keyed, [f"_key_{i}" for i, _ in keys], ["_order"])
-    return _project(latest, spec, list(ENVELOPE), **how), _rejected(images, spec, good)
+    return _project(latest, spec, list(ENVELOPE), **how), _rejected(images, spec, good, ordered)
 
 
 def decode_feed(

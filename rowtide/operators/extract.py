@@ -75,7 +75,9 @@ def record_images(feed: DataFrame, spec: TableSpec, split_key_changes: bool = Fa
     The image equals ``after_image(extract_images(..))``, but before and after
     are only joined when the before image has an unexpected width. With
     ``split_key_changes`` an UPDATE that changes key bytes becomes a delete of
-    the old key (step 0) and a set of the new one (step 1) at the same order.
+    the old key (step 0) and a set of the new one (step 1) at the same order;
+    the delete then carries the after image as ``_paired``, so that both halves
+    can be decided together. An event without order numbers has none in ``_order``.
 
     One ``inline`` yields zero, one or two records per event. Nothing is pushed
     below it, so operation and image are worked out once per event however
@@ -88,20 +90,22 @@ def record_images(feed: DataFrame, spec: TableSpec, split_key_changes: bool = Fa
         F.slice(F.concat("before", "after"), width + 1, width)
     )
 
-    def record(step: int, name: Column, image: Column) -> Column:
-        return F.struct(
-            name.alias("_op"), image.alias("_image"), F.lit(step).cast("int").alias("_step")
-        )
+    def record(step: int, name: Column, image: Column, paired: Column | None = None) -> Column:
+        fields = [name.alias("_op"), image.alias("_image"), F.lit(step).cast("int").alias("_step")]
+        if split_key_changes:
+            none = F.lit(None).cast("array<binary>")
+            fields.append((none if paired is None else paired).alias("_paired"))
+        return F.struct(*fields)
 
     update = F.array(record(1, F.lit("UPDATE"), after))
     if split_key_changes and spec.pk:
         moved = F.lit(False)
         for spot in [spec.columns.index(k) for k in spec.pk]:
-            old, new = F.get("before", F.lit(spot)), F.get("after", F.lit(spot))
+            old, new = F.get("before", F.lit(spot)), F.get(after, F.lit(spot))
             moved = moved | ~old.eqNullSafe(new)
         update = F.when(
-            usual & (F.size("after") == width) & moved,
-            F.array(record(0, F.lit("DELETE"), F.col("before")), record(1, F.lit("UPDATE"), after)),
+            (F.size("before") >= width) & (F.size(after) >= width) & moved,
+            F.array(record(0, F.lit("DELETE"), F.col("before"), after), record(1, F.lit("UPDATE"), after)),
         ).otherwise(update)
     # Operation names, their wire numbers; an unset operation is INSERT.
     records = (
@@ -134,8 +138,9 @@ def record_images(feed: DataFrame, spec: TableSpec, split_key_changes: bool = Fa
     )
     listed = ordered.select("_total", "_within", F.inline(records))
     order = F.struct(
-        F.coalesce("_total", F.lit(0)).alias("total_order"),
+        F.col("_total").alias("total_order"),
         F.coalesce("_within", F.lit(0)).alias("data_collection_order"),
         F.col("_step").alias("step"),
     )
-    return listed.select("_op", order.alias("_order"), "_image")
+    paired = ["_paired"] if split_key_changes else []
+    return listed.select("_op", order.alias("_order"), "_image", *paired)

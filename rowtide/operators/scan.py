@@ -15,23 +15,21 @@ def scan(
     order_by: str | Sequence[Column | str] | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Filter by SQL text, choose columns, order (``"age DESC, id"``), limit."""
+    """Filter by SQL text, choose columns, order, limit.
+
+    An order given as text is what may follow ORDER BY: ``"age DESC NULLS LAST, abs(id)"``.
+    """
     rows = table if where is None else table.where(where)
     if order_by is not None:
-        keys = _order_terms(order_by) if isinstance(order_by, str) else list(order_by)
-        rows = rows.orderBy(*keys)
+        rows = _ordered(rows, order_by) if isinstance(order_by, str) else rows.orderBy(*order_by)
     if limit is not None:
         rows = rows.limit(limit)
     return rows if columns is None else rows.select(*columns)
 
 
-def _order_terms(text: str) -> list[Column]:
-    terms = []
-    for item in text.split(","):
-        name, _, direction = item.strip().partition(" ")
-        descending = direction.strip().lower() == "desc"
-        terms.append(F.col(name).desc() if descending else F.col(name).asc())
-    return terms
+def _ordered(rows: DataFrame, order_by: str) -> DataFrame:
+    text = order_by.replace("{", "{{").replace("}", "}}")
+    return rows.sparkSession.sql(f"SELECT * FROM {{rows}} ORDER BY {text}", rows=rows)
 
 
 def newest(table: DataFrame, k: int, freshness: str, tie: Sequence[str]) -> DataFrame:

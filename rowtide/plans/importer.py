@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rowtide.catalog.spec import TableSpec
 from rowtide.plans.table import KeyedTable
@@ -36,19 +39,28 @@ class Importer:
         return KeyedTable(self.spark, self.root, self._spec(name), self.buckets)
 
     def import_table(self, name: str, mode: str = "append") -> int:
-        """Rows imported; 0 without a spec or without files. ``mode``: append or upsert."""
+        """Rows imported; 0 without a spec or without files. ``mode``: append or upsert.
+
+        Rows whose key does not parse are written below the table as rejects. Of
+        rows with one key, an upsert keeps the last in file order.
+        """
         if mode not in ("append", "upsert"):
             raise ValueError(f"unknown import mode {mode!r}")
         spec = self._spec(name)
         if spec is None:
             return 0
-        rows = load_table(self.spark, self.source, name, spec, self.layout)
+        rows = load_table(self.spark, self.source, name, spec, self.layout, positions=mode == "upsert")
         if rows is None:
             return 0
+        table = self.table(name)
+        if spec.pk:
+            field = F.coalesce(*[F.when(F.col(f"`{k}`").isNull(), k) for k in spec.pk])
+            refused = rows.where(field.isNotNull()).select("*", field.alias("reject_field"), F.lit("no_key").alias("reject_reason"))
+            refused.write.parquet(f"{table.path}/rejects/run={uuid.uuid4().hex}")
+            rows = rows.where(field.isNull())
         if mode == "append":
-            return self.table(name).append_counted(rows)
-        self.table(name).upsert(rows)
-        return rows.count()
+            return table.append_counted(rows)
+        return table.upsert_counted(rows, ["_at"])
 
     def import_all(self, mode: str = "append") -> dict[str, int]:
         """Rows per table; tables without a spec are left out."""

@@ -325,10 +325,24 @@ class KeyedTable:
         return self._commit("overwrite", lambda base: (rows, range(base.buckets)))
 
     def upsert(self, rows: DataFrame, order: list[str] | None = None) -> Version:
-        """Keyed upsert; of several source rows with one key the last by ``order`` counts."""
+        """Keyed upsert; of several source rows with one key the last by ``order`` counts.
+
+        Without an order the greatest row counts.
+        """
+        return self._upsert(rows, order)
+
+    def upsert_counted(self, rows: DataFrame, order: list[str]) -> int:
+        """Upsert and return the number of rows left to apply, counted on the way."""
+        seen = Observation()
+        self._upsert(rows, order, seen)
+        return seen.get["n"]
+
+    def _upsert(self, rows: DataFrame, order: list[str] | None, seen: Observation | None = None) -> Version:
         shape = self._table_schema(self.version())
         source = rows if order else mutate.conform(rows, shape)
         source = mutate.conform(mutate.last_wins(source, self._pk("upsert"), order or []), shape)
+        if seen is not None:
+            source = source.observe(seen, F.count(F.lit(1)).alias("n"))
         return self._merge(
             "upsert",
             source,

@@ -132,8 +132,12 @@ def read_delimited(
     width: int,
     delimiter: str,
     whole_files: bool | None = None,
+    positions: bool = False,
 ) -> DataFrame:
-    """Raw text cells ``c0 .. c<width-1>``; short records are skipped, extra cells ignored."""
+    """Raw text cells ``c0 .. c<width-1>``; short records are skipped, extra cells ignored.
+
+    With ``positions`` a column ``_at`` orders the rows as they stand in the files.
+    """
     names = [f"c{i}" for i in range(width)]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
     if whole_files is None:
@@ -153,16 +157,23 @@ def read_delimited(
     # always true, but keeps a data column in the scan: Spark refuses to read the
     # corrupt-record column alone, as a bare count would
     parsed = F.octet_length(F.coalesce(F.col(names[0]), F.lit(""))) >= 0
+    if positions:
+        # within a task rows keep the order of the file
+        row = F.monotonically_increasing_id().alias("row")
+        at = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), row)
+        rows, names = rows.select("*", at.alias("_at")), [*names, "_at"]
     return rows.where(complete & parsed).select(*names)
 
 
 def typed(cells: DataFrame, spec: TableSpec) -> DataFrame:
     """Text cells ``c0 ..`` as the columns of a spec."""
     shape = spec.struct()
+    kept = [c for c in cells.columns if c == "_at"]
     cells = cells.select(
-        *[text.trimmed(F.col(f"c{i}")).alias(f"c{i}") for i in range(len(spec.fields))]
+        *[text.trimmed(F.col(f"c{i}")).alias(f"c{i}") for i in range(len(spec.fields))], *kept
     )
     return cells.select(
+        *kept,
         *[
             text.value(f, F.col(f"c{i}")).alias(f.name, metadata=shape[f.name].metadata)
             for i, f in enumerate(spec.fields)
@@ -171,11 +182,17 @@ def typed(cells: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def load_table(
-    spark: SparkSession, source: str, table: str, spec: TableSpec, layout: Layout | None = None
+    spark: SparkSession,
+    source: str,
+    table: str,
+    spec: TableSpec,
+    layout: Layout | None = None,
+    positions: bool = False,
 ) -> DataFrame | None:
     """One table of a source directory, typed by its spec; None when it has no files."""
     layout = layout or detect_layout(spark, source)
     files = table_files(spark, source, table, layout)
     if not files:
         return None
-    return typed(read_delimited(spark, files, len(spec.fields), layout.delimiter), spec)
+    cells = read_delimited(spark, files, len(spec.fields), layout.delimiter, positions=positions)
+    return typed(cells, spec)

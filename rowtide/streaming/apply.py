@@ -1,17 +1,21 @@
 """Continuous apply: every micro-batch of a landed feed becomes a table version.
 
-The batch number is stored in the version it produced, so a batch replayed
-after a failure changes nothing. Batch size follows the reader's file or byte
+The batch number is stored in the version it produced, together with the
+query's own id from its checkpoint, so a batch replayed after a failure changes
+nothing, and a feed started on a new checkpoint is read from its start. Batch size follows the reader's file or byte
 limit, the flush interval is the trigger, and the next batch is only admitted
 once the previous one is committed.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
 from rowtide.plans.table import KeyedTable
+from rowtide.sources.storage import Storage
 
 
 def start_apply(
@@ -27,16 +31,18 @@ def start_apply(
     """Start applying a streaming feed to a table.
 
     ``every`` is a processing-time interval such as ``"30 seconds"``; without it
-    the query works off what is there and stops. ``name`` identifies this feed
+    the query works off what is there and stops. ``name`` is a label for this feed
     in the table's versions and defaults to the checkpoint location. Rejects are
-    written per batch, so a replay overwrites its own.
+    written per query and batch, below the table unless ``rejects_path`` says
+    where; a replay overwrites its own.
     """
-    source = name or checkpoint
+    rejected = rejects_path or f"{table.path}/rejects"
+    storage, label = Storage(table.spark), name or checkpoint
 
     def flush(batch: DataFrame, number: int) -> None:
-        rejects = table.apply_feed(batch, mode, (source, number))
-        if rejects_path is not None:
-            rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch={number}")
+        query = json.loads(storage.read_text(f"{checkpoint}/metadata"))["id"]
+        rejects = table.apply_feed(batch, mode, (f"{label}#{query}", number))
+        rejects.write.mode("overwrite").parquet(f"{rejected}/query={query}/batch={number}")
 
     writer = feed.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

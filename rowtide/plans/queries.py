@@ -115,7 +115,9 @@ def _op() -> Column:
     return out
 
 
-def _events_feed(spark: SparkSession, sf_dir: str, op: Column | None = None) -> DataFrame:
+def _events_feed(
+    spark: SparkSession, sf_dir: str, op: Column | None = None, order: Column | None = None
+) -> DataFrame:
     """One change event per row of ``events``, keyed by user; before images differ in value."""
     image = feeds.row_image(EVENTS)
     return feeds.build_feed(
@@ -123,7 +125,7 @@ def _events_feed(spark: SparkSession, sf_dir: str, op: Column | None = None) ->
         op=_op() if op is None else op,
         before=feeds.row_image(EVENTS, {"value": -F.col("value")}),
         after=image,
-        order=F.col("event_id"),
+        order=F.col("event_id") if order is None else order,
         schema="shop",
         table="events",
         bucket=F.col("user_id") % 4,
@@ -607,7 +609,10 @@ def decode_decimals(spark, sf_dir):
             ),
             "hundredths": (_field("decimal", precision=18, scale=2), integer_bytes(raw, 8)),
             "wide": (_field("decimal", size=12), wide),
-            "refused": (_field("decimal"), F.lit(b"NaN")),
+            "refused": (
+                _field("decimal"),
+                F.get(F.array(*[F.lit(t) for t in (b"NaN", b"1_0e2", b"-12e_1_", b"_-2")]), (F.col("o_orderkey") % 4).cast("int")),
+            ),
         },
     )
     return out.select(
@@ -640,10 +645,12 @@ def decode_booleans(spark, sf_dir):
 # --- delimited files --------------------------------------------------------
 
 
-def _write_lines(spark: SparkSession, folder: str, line: Column, rows: DataFrame, extension: str) -> None:
+def _write_lines(
+    spark: SparkSession, folder: str, line: Column, rows: DataFrame, extension: str, spread: bool = True
+) -> None:
     """Write one raw text line per row under the given file extension."""
     (
-        _spread(rows)
+        (_spread(rows) if spread else rows)
         .select(line.alias("line"))
         .write.option("sep", "\x01")
         .option("quote", "")
@@ -719,6 +726,7 @@ def text_blank_null(spark, sf_dir):
 @query(
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
               -l_partkey AS whole, CAST(NULL AS INTEGER) AS fraction,
+              CAST(NULL AS VARCHAR) AS big_fraction, CAST(l_partkey AS VARCHAR) AS big,
               l_extendedprice AS amount,
               CASE l_returnflag WHEN 'A' THEN CAST('inf' AS DOUBLE) WHEN 'R' THEN NULL
                    ELSE l_tax END AS special
@@ -736,6 +744,10 @@ def text_cast_numeric(spark, sf_dir):
         "l_suppkey",
         text.value(_field("int64"), text.trimmed(F.concat(F.lit(" -"), F.col("l_partkey")))).alias("whole"),
         text.value(_field("int32"), F.col("l_quantity").cast("string")).alias("fraction"),
+        text.value(_field("uint64"), F.when(flag == "A", F.lit("1e3")).otherwise(F.col("l_quantity").cast("string")))
+        .cast("string")
+        .alias("big_fraction"),
+        text.value(_field("uint64"), F.col("l_partkey").cast("string")).cast("string").alias("big"),
         text.value(_field("float64"), F.col("l_extendedprice").cast("string")).alias("amount"),
         text.value(_field("float64"), special).alias("special"),
     )
@@ -743,11 +755,12 @@ def text_cast_numeric(spark, sf_dir):
 
 @query(
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-              CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_linenumber <> 3 END AS flag
+              CASE WHEN l_returnflag = 'N' THEN l_linenumber <> 3 END AS flag
        FROM lineitem"""
 )
 def text_cast_bool(spark, sf_dir):
-    raw = F.when(F.col("l_returnflag") == "R", F.lit("true")).otherwise(
+    odd = F.array(*[F.lit(t) for t in ("1.5", "0.4", "1e2", "true")])
+    raw = F.when(F.col("l_returnflag") != "N", F.get(odd, F.col("l_linenumber") % 4)).otherwise(
         (F.col("l_linenumber") - 3).cast("string")
     )
     return _table(spark, sf_dir, "lineitem").select(
@@ -821,6 +834,28 @@ def import_summary(spark, sf_dir):
     return importer.summary(importer.import_all())
 
 
+@query(
+    f"""SELECT {", ".join(CUSTOMER.columns)}, (SELECT count(*) FROM customer) AS imported,
+               (SELECT count(*) FROM customer WHERE c_custkey % 10 = 0) AS rejected
+        FROM customer"""
+)
+def import_upsert(spark, sf_dir):
+    """Each key twice in its file, the last line not the greater one, and lines without a readable key."""
+    root, tables = scratch_dir(spark, "source"), scratch_dir(spark, "tables")
+    rows = _table(spark, sf_dir, "customer")
+    line = F.concat_ws(",", *_plain_cells(CUSTOMER, rows))
+    older = F.concat_ws(",", F.col("c_custkey"), F.lit("~ name"), F.lit(99), F.lit("1e300"), F.lit("~"))
+    refused = F.when(F.col("c_custkey") % 10 == 0, F.lit("x,name,1,1.0,y"))
+    rows = rows.select(F.explode(F.array_compact(F.array(older, refused, line))).alias("line"))
+    _write_lines(spark, f"{root}/customer", F.col("line"), rows, "csv", spread=False)
+    importer = Importer(spark, root, {"customer": CUSTOMER}, tables, buckets=4)
+    imported = importer.import_table("customer", "upsert")
+    table = importer.table("customer")
+    rejected = spark.read.parquet(f"{table.path}/rejects").count()
+    counts = {"imported": imported, "rejected": rejected}
+    return table.read().withColumns({k: F.lit(n).cast("long") for k, n in counts.items()})
+
+
 # --- mutations --------------------------------------------------------------
 
 _ADDED_SQL = "SELECT user_id AS id, value AS v FROM events WHERE event_type IN ('signup', 'purchase')"
@@ -959,6 +994,72 @@ def stream_apply(spark, sf_dir):
     return table.read()
 
 
+@query(_ORDERED_SQL)
+def stream_new_checkpoint(spark, sf_dir):
+    """Half the feed, then the other half under the same name from a new checkpoint."""
+    feed = _events_feed(spark, sf_dir)
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), EVENTS, buckets=4)
+    for part in range(2):
+        path = scratch_dir(spark, "feed")
+        feeds.land(feed.where(F.col("txn.total_order") % 2 == part), path)
+        events = feeds.route(feeds.stream_feed(spark, path), "shop", "events")
+        start_apply(events, table, scratch_dir(spark, "checkpoint"), name="events").awaitTermination()
+    return table.read()
+
+
+@query(f"SELECT *, CAST(3 AS INTEGER) AS deltas FROM ({_ORDERED_SQL})")
+def table_delta_apply(spark, sf_dir):
+    """Three batches, the second one late; each is a delta part, resolved by the read."""
+    feed = _events_feed(spark, sf_dir)
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), EVENTS, buckets=4)
+    for part in (0, 2, 1):
+        table.apply_feed(feed.where(F.col("txn.total_order") % 3 == part))
+    return table.read().withColumn("deltas", F.lit(len(table.version().deltas)))
+
+
+@query(
+    """SELECT user_id, event_id, ts, value,
+              (SELECT count(*) FROM events WHERE event_type = 'view') AS rejected
+       FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+             FROM events WHERE event_type <> 'view')
+       WHERE rn = 1 AND event_type <> 'error'"""
+)
+def apply_without_order(spark, sf_dir):
+    """Events without an order number are rejected; the others are applied."""
+    feed = _events_feed(spark, sf_dir, order=F.when(F.col("event_type") != "view", F.col("event_id")))
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), EVENTS, buckets=4)
+    rejected = table.apply_feed(feed).where("reject_reason = 'no_order'").count()
+    return table.read().withColumn("rejected", F.lit(rejected).cast("long"))
+
+
+@query(
+    """SELECT user_id + CASE WHEN user_id % 2 = 0 THEN 1000000 ELSE 0 END AS user_id, event_id, ts, value
+       FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
+       WHERE rn = 1"""
+)
+def key_move_rejected(spark, sf_dir):
+    """Every user moves to another key. Even ones do, with a superfluous column at
+    the end; the new image of odd ones is broken, so they stay where they are."""
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), EVENTS, buckets=4)
+    table.apply_feed(_events_feed(spark, sf_dir, F.lit("INSERT")))
+    image = feeds.row_image(EVENTS)
+    moved = feeds.row_image(EVENTS, {"user_id": F.col("user_id") + 1_000_000})
+    broken = F.array(F.get(moved, F.lit(0)), F.lit(b"\0"), F.get(moved, F.lit(2)), F.get(moved, F.lit(3)))
+    after = F.when(F.col("user_id") % 2 == 0, F.concat(moved, F.array(F.lit(b"more")))).otherwise(broken)
+    feed = feeds.build_feed(
+        _table(spark, sf_dir, "events"),
+        op=F.lit("UPDATE"),
+        before=image,
+        after=after,
+        order=F.col("event_id") + 10**12,
+        schema="shop",
+        table="events",
+        bucket=F.col("user_id") % 4,
+    )
+    table.apply_feed(feed)
+    return table.read()
+
+
 # --- scans ------------------------------------------------------------------
 
 
@@ -1028,15 +1129,23 @@ def freshness_distinct(spark, sf_dir):
     return scan.distinct_values(_table(spark, sf_dir, "lineitem"), "l_shipdate")
 
 
-@query("SELECT " + ", ".join(CUSTOMER.columns) + " FROM customer")
+_CUSTOMER_ZERO = ", ".join("0.0::DOUBLE AS c_acctbal" if c == "c_acctbal" else c for c in CUSTOMER.columns)
+
+
+@query(
+    f"""SELECT {", ".join(CUSTOMER.columns)}, CAST(1 AS INTEGER) AS version FROM customer
+        UNION ALL SELECT {_CUSTOMER_ZERO}, 2 FROM customer
+        UNION ALL SELECT {_CUSTOMER_ZERO}, 3 FROM customer WHERE c_mktsegment <> 'BUILDING'"""
+)
 def table_version(spark, sf_dir):
-    """Version 1 read back after an upsert and a delete."""
+    """All versions read back after an append, an upsert and a delete."""
     customer = _table(spark, sf_dir, "customer")
     table = KeyedTable(spark, scratch_dir(spark, "tables"), CUSTOMER, buckets=4)
     table.append(customer)
     table.upsert(customer.withColumn("c_acctbal", F.lit(0.0)))
     table.delete(customer.where("c_mktsegment = 'BUILDING'"))
-    return table.read(version=1)
+    versions = [table.read(version=v).withColumn("version", F.lit(v)) for v in (1, 2, 3)]
+    return versions[0].unionByName(versions[1]).unionByName(versions[2])
 
 
 # --- keys and layout --------------------------------------------------------
@@ -1048,9 +1157,10 @@ def table_version(spark, sf_dir):
        SELECT 'l_orderkey', 'bigint', 1, count(*) FROM lineitem"""
 )
 def pk_metadata_report(spark, sf_dir):
-    table = KeyedTable(spark, scratch_dir(spark, "tables"), LINEITEM, buckets=4)
-    table.append(_table(spark, sf_dir, "lineitem"))
-    rows = table.read()
+    """The marks the table was stored with, read by somebody who does not know its schema."""
+    root = scratch_dir(spark, "tables")
+    KeyedTable(spark, root, LINEITEM, buckets=4).append(_table(spark, sf_dir, "lineitem"))
+    rows = KeyedTable.open(spark, root, "lineitem").read()
     report = audit.pk_metadata_report(spark, rows)
     return report.select("field", "type", "position", F.lit(rows.count()).cast("bigint").alias("records"))
 
@@ -1075,8 +1185,8 @@ def pk_dup_audit(spark, sf_dir):
 
 
 @query(
-    f"SELECT {', '.join(ORDERS.columns)} FROM orders UNION ALL "
-    f"SELECT {', '.join(ORDERS.columns)} FROM orders"
+    f"SELECT {', '.join(ORDERS.columns)}, CAST(2 AS INTEGER) AS parts_before, CAST(1 AS INTEGER) AS parts "
+    "FROM (SELECT * FROM orders UNION ALL SELECT * FROM orders)"
 )
 def ensure_key_layout(spark, sf_dir):
     """Two appends leave every bucket in two parts; the layout run merges them by key."""
@@ -1084,8 +1194,18 @@ def ensure_key_layout(spark, sf_dir):
     table = KeyedTable(spark, scratch_dir(spark, "tables"), ORDERS, buckets=4)
     table.append(orders)
     table.append(orders)
+    before = len(table.version().parts)
     table.ensure_key_layout()
-    return table.read()
+    after = len(table.version().parts)
+    return table.read().withColumns({"parts_before": F.lit(before), "parts": F.lit(after)})
+
+
+@query(f"SELECT {', '.join(ORDERS.columns)} FROM orders WHERE o_orderkey IN (SELECT 7 * l_partkey FROM lineitem)")
+def key_lookup(spark, sf_dir):
+    """Rows by key, from the buckets the keys hash to."""
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), ORDERS, buckets=4)
+    table.append(_table(spark, sf_dir, "orders"))
+    return table.lookup(_table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 7).alias("o_orderkey")))
 
 
 # --- several tables ---------------------------------------------------------
@@ -1103,12 +1223,17 @@ def multi_table_counts(spark, sf_dir):
 
 
 @query(
-    f"""SELECT 'events' AS "table", TRUE AS ok, count(*) AS records FROM ({_ORDERED_SQL})
-        UNION ALL SELECT 'orders', TRUE, count(*) FROM orders
-        UNION ALL SELECT 'unlisted', FALSE, NULL"""
+    f"""SELECT 'events' AS "table", TRUE AS ok, count(*) AS records,
+               (SELECT count(*) FROM events WHERE event_type = 'view') AS rejects
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn
+              FROM events WHERE event_type <> 'view')
+        WHERE rn = 1 AND event_type <> 'error'
+        UNION ALL SELECT 'orders', TRUE, count(*), 0 FROM orders
+        UNION ALL SELECT 'unlisted', FALSE, NULL, NULL"""
 )
 def multi_table_status(spark, sf_dir):
-    feed = _landed(spark, _events_feed(spark, sf_dir), _orders_feed(spark, sf_dir))
+    order = F.when(F.col("event_type") != "view", F.col("event_id"))
+    feed = _landed(spark, _events_feed(spark, sf_dir, order=order), _orders_feed(spark, sf_dir))
     return jobs.apply_tables(
         spark,
         feed,

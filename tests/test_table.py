@@ -1,6 +1,7 @@
 """The stored table: versions, mutations, conflicts, streaming, several tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from rowtide.catalog.spec import TableSpec
 from rowtide.operators import audit, scan
@@ -223,3 +224,79 @@ def test_scratch_and_options(spark):
     connect(spark, {"fs.test.a": "1", "fs.test.b": "", "fs.test.c": None})
     conf = spark._jsc.hadoopConfiguration()
     assert conf.get("fs.test.a") == "1" and conf.get("fs.test.b") is None
+
+
+def _bytes_under(folder):
+    files = [f for f in folder.rglob("*.parquet")]
+    return len(files), sum(f.stat().st_size for f in files)
+
+
+def test_ordered_batch_writes_do_not_grow_with_the_table(spark, tmp_path):
+    batch = make_feed(spark, *[("UPDATE", image(i, "a"), image(i, "b")) for i in range(40)])
+    written = []
+    for size in (1_000, 60_000):
+        table = KeyedTable(spark, str(tmp_path / str(size)), SPEC, buckets=4)
+        table.append(spark.range(size).selectExpr("cast(id as int) AS id", "repeat('v', 8) AS v"))
+        before = _bytes_under(tmp_path / str(size))
+        table.apply_feed(batch)
+        after = _bytes_under(tmp_path / str(size))
+        written.append((after[0] - before[0], after[1] - before[1]))
+        assert table.read().count() == size and table.read().where("v = 'b'").count() == 40
+    assert written[0][0] == written[1][0] and abs(written[0][1] - written[1][1]) < 500
+
+
+def test_deltas_fold_and_expire(spark, tmp_path, monkeypatch):
+    from rowtide.plans import table as module
+
+    monkeypatch.setattr(module, "COMPACT_AT", 3)
+    table = KeyedTable(spark, str(tmp_path), SPEC, buckets=1)
+    for n, v in enumerate("abcd"):
+        feed = make_feed(spark, ("INSERT", [], image(1, v)), ("INSERT", [], image(n + 2, v)))
+        table.apply_feed(feed.withColumn("txn", F.struct(F.lit("t").alias("id"), F.lit(n).cast("long").alias("total_order"), F.lit(0).cast("long").alias("data_collection_order"))))
+    assert table.version().deltas == [] and len(table.version().parts) == 1
+    assert content(table.read()) == [(1, "d"), (2, "a"), (3, "b"), (4, "c"), (5, "d")]
+    assert content(table.read(version=2)) == [(1, "b"), (2, "a"), (3, "b")]
+    assert table.expire(keep=1) == 4 and table.versions() == [5]
+    assert content(table.read()) == [(1, "d"), (2, "a"), (3, "b"), (4, "c"), (5, "d")]
+    assert len(list((tmp_path / "acct" / "data").iterdir())) == 1
+
+
+def test_stored_key_and_buckets_hold(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), SPEC, buckets=16)
+    table.append(rows(spark, *[(i, "a") for i in range(40)]))
+    other = KeyedTable(spark, str(tmp_path), SPEC, buckets=3)
+    other.upsert(rows(spark, *[(i, "b") for i in range(41)]))
+    assert other.read().count() == 41
+    wrong = KeyedTable(spark, str(tmp_path), TableSpec.parse("acct", "v", "id int32, v varchar(8)!"), buckets=16)
+    with pytest.raises(ValueError):
+        wrong.upsert(rows(spark, (1, "b")))
+    found = KeyedTable.open(spark, str(tmp_path), "acct")
+    assert found.spec.pk == ("id",) and content(found.lookup(spark.createDataFrame([(40,), (99,)], "id int"))) == [(40, "b")]
+    plan = found.lookup(spark.createDataFrame([(40,)], "id int")).inputFiles()
+    assert len(plan) < len(found.read().inputFiles())
+
+
+def test_creation_race_with_other_buckets(spark, tmp_path, monkeypatch):
+    first, second = (KeyedTable(spark, str(tmp_path), SPEC, buckets=n) for n in (16, 3))
+    create, calls = Storage.create_text, []
+
+    def late(self, path, text):
+        if not calls:
+            calls.append(path)
+            monkeypatch.setattr(Storage, "create_text", create)
+            second.append(rows(spark, *[(i, "a") for i in range(20)]))
+        return create(self, path, text)
+
+    monkeypatch.setattr(Storage, "create_text", late)
+    first.append(rows(spark, *[(i, "a") for i in range(20, 40)]))
+    assert first.version().buckets == 3
+    first.upsert(rows(spark, *[(i, "b") for i in range(41)]))
+    assert first.read().count() == 41
+
+
+def test_order_text(spark):
+    people = spark.createDataFrame([(1, None), (2, 40), (3, 70)], "id int, age int")
+    for text, ids in (("age DESC NULLS LAST", [3, 2, 1]), ("coalesce(age, 50) DESC, id", [3, 1, 2]), ("id", [1, 2, 3])):
+        assert [r["id"] for r in scan.scan(people, order_by=text).collect()] == ids
+    with pytest.raises(Exception):
+        scan.scan(people, order_by="age sideways").collect()

@@ -108,7 +108,7 @@ def exchange(prints: DataFrame, owners: int) -> DataFrame:
     )
     sent = land(prints.mapInArrow(send, PAYLOAD), "payloads")
 
-    def answer(key, lists: pd.DataFrame) -> pd.DataFrame:
+    def answer(key: tuple, lists: pd.DataFrame) -> pd.DataFrame:
         base = int(key[0]) * span
         got = [rice_decode(r.n, r.rice, r.unary, r.rest, base) for r in lists.itertuples()]
         values, senders = np.unique(np.concatenate(got), return_counts=True)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,28 +104,21 @@ def field_count(record: Column, delimiter: str) -> Column:
     return F.length(plain) - F.length(F.replace(plain, F.lit(delimiter), F.lit(""))) + 1
 
 
-def spans_lines(spark: SparkSession, paths: list[str], delimiter: str) -> bool:
-    """Whether some quoted field is still open at the end of its line."""
+def open_quote_files(spark: SparkSession, paths: list[str], delimiter: str) -> list[str]:
+    """Those of the files in which some quoted field is still open at the end of its line."""
     d = re.escape(delimiter)
     one = rf'(?:"[^"]*+"[^{d}]*+|(?!")[^{d}]*+)'
     closed = rf"^{one}(?:{d}{one})*+$"
-    lines = spark.read.text(paths)
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
     quoted = lines.where(F.contains("value", F.lit('"')))
-    return not quoted.where(~_single_quotes(F.col("value")).rlike(closed)).isEmpty()
+    broken = quoted.where(~_single_quotes(F.col("value")).rlike(closed))
+    # file names, of which the driver holds the whole list anyway
+    found = {_plain_path(r["file"]) for r in broken.select("file").distinct().collect()}
+    return [p for p in paths if _plain_path(p) in found]
 
 
-def _whole_files(spark: SparkSession, files: list[tuple[str, int]], delimiter: str) -> bool:
-    """Read each file in one task only when a quoted line break forces it.
-
-    Files no larger than the split Spark would choose are one task anyway.
-    Larger ones are first scanned, in parallel, for quotes left open at a line end.
-    """
-    conf = spark._jsparkSession.sessionState().conf()
-    share = sum(n for _, n in files) // max(spark.sparkContext.defaultParallelism, 1)
-    split = min(conf.filesMaxPartitionBytes(), max(conf.filesOpenCostInBytes(), share))
-    if all(length <= split for _, length in files):
-        return True
-    return spans_lines(spark, [path for path, _ in files], delimiter)
+def _plain_path(path: str) -> str:
+    return re.sub("^file:/+", "/", unquote(path))
 
 
 def read_delimited(
@@ -136,21 +131,38 @@ def read_delimited(
 ) -> DataFrame:
     """Raw text cells ``c0 .. c<width-1>``; short records are skipped, extra cells ignored.
 
-    With ``positions`` a column ``_at`` orders the rows as they stand in the files.
+    Files with a quoted line break are read by one task each, all others are
+    split. Which they are is found out by a scan of the lines with quotes;
+    ``whole_files`` says it for all files instead. With ``positions`` a column ``_at`` orders the rows as they stand in the files.
     """
     names = [f"c{i}" for i in range(width)]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
+    paths = [path for path, _ in files]
     if whole_files is None:
-        whole_files = _whole_files(spark, files, delimiter)
+        whole = open_quote_files(spark, paths, delimiter)
+    else:
+        whole = paths if whole_files else []
+    split = [p for p in paths if p not in set(whole)]
+    parts = [
+        _read_cells(spark, group, names, delimiter, multiline, width, positions)
+        for group, multiline in ((split, False), (whole, True))
+        if group
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _read_cells(
+    spark: SparkSession, paths: list[str], names: list[str], delimiter: str, multiline: bool, width: int, positions: bool
+) -> DataFrame:
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
     rows = (
         spark.read.schema(schema)
         .option("sep", delimiter)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", whole_files)
+        .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
-        .csv([path for path, _ in files])
+        .csv(paths)
     )
     corrupt = F.col(_CORRUPT)
     complete = corrupt.isNull() | (field_count(corrupt, delimiter) >= width)

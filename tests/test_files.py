@@ -51,7 +51,7 @@ def test_open_quotes_are_found(spark, tmp_path):
     for i, (body, spans) in enumerate(cases.items()):
         path = tmp_path / f"{i}.txt"
         path.write_text(body)
-        assert files.spans_lines(spark, [str(path)], "|") is spans, body
+        assert files.open_quote_files(spark, [str(path)], "|") == [str(path)] * spans, body
 
 
 def test_large_files_are_split_unless_a_field_spans_lines(spark, tmp_path):
@@ -61,6 +61,20 @@ def test_large_files_are_split_unless_a_field_spans_lines(spark, tmp_path):
     assert cells.rdd.getNumPartitions() > 1 and cells.count() == 500_000
 
 
+def test_only_files_with_a_quoted_line_break_are_read_whole(spark, tmp_path):
+    folder = tmp_path / "a table"
+    folder.mkdir()
+    for i in range(3):
+        (folder / f"plain {i}.csv").write_text(f'{i},"x, y"\n' * 200_000)
+    (folder / "broken.csv").write_text('7,"x\ny"\n8,z\n')
+    listed = files.table_files(spark, str(tmp_path), "a table", files.Layout("csv", True))
+    cells = files.read_delimited(spark, listed, 2, ",")
+    assert cells.count() == 600_002 and cells.where("c0 IN ('7', '8')").count() == 2
+    assert cells.where("c1 = 'x\ny'").count() == 1
+    one_task_each = files.read_delimited(spark, listed, 2, ",", whole_files=True)
+    assert one_task_each.exceptAll(cells).isEmpty() and one_task_each.count() == 600_002
+
+
 @pytest.mark.parametrize(
     "tree, extension, partitioned",
     [

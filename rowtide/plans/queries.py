@@ -478,13 +478,15 @@ def decode_floats(spark, sf_dir):
     """SELECT doc_id, text AS whole,
               left(text, (SELECT max(i) FROM range(0, 21) t(i) WHERE strlen(left(text, i)) <= 20))
                   AS cut,
-              text AS terminated, text AS repaired
+              text AS terminated, text AS repaired,
+              'é' || source AS latin, 'é' || source AS western
        FROM documents"""
 )
 def decode_strings(spark, sf_dir):
     data = F.col("text").cast("binary")
     bad = F.concat(F.lit(b"\xff"), data, F.lit(b"\xc3"))  # two stray bytes around the text
     sized = F.concat(data, F.lit(b"\0tail"))
+    single = F.encode(F.concat(F.lit("é"), F.col("source")), "ISO-8859-1")
     return _decoded(
         _table(spark, sf_dir, "documents"),
         ["doc_id"],
@@ -493,6 +495,9 @@ def decode_strings(spark, sf_dir):
             "cut": (_field("char", size=20), data),
             "terminated": (_field("varchar"), sized),
             "repaired": (_field("varchar"), bad),
+            "latin": (_field("varchar", charset="latin-1"), single),
+            # a charset Spark does not know: through Arrow
+            "western": (_field("varchar", charset="cp1252"), single),
         },
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import os
 import tempfile
@@ -49,6 +50,15 @@ def land(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames nobody refers to any more, on all executors.
+
+    They otherwise stay until the driver happens to collect its garbage.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fresh(rows: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``rows`` does not have yet."""
     taken = {c.lower() for c in rows.columns}
@@ -61,10 +71,6 @@ def fresh(rows: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def hash_buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 # --- Bloom filters ------------------------------------------------------------
 
 PROBES = 4

@@ -11,6 +11,12 @@ sent. There are ``slack`` parts more than needed; only a set that is empty in
 more parts than that enumerates another, independent cut as well. Two similar
 sets that share nothing but empty choices both do, so no pair is lost.
 
+The first cut leaves out shingles that very many documents have: on the rest of
+the domain similar sets differ in no more than k shingles either, and a passage
+in a third of all documents is no reason to compare them. Which shingles those
+are is read off counts over all documents in a table of fixed size; any choice
+is lossless.
+
 Equal sets are one node from the start. Large groups of near copies are closed
 in before pairs are enumerated: every node is first compared with the most
 connected node of its buckets, and only nodes that are still apart are paired.
@@ -36,6 +42,7 @@ from rowtide.llm.common import (
     connected_components,
     fresh,
     land,
+    release,
 )
 
 SUB_PARTS = 2
@@ -44,8 +51,10 @@ LEVELS = 5
 # Rounds that compare nodes with the hub of a bucket before the remaining pairs are listed.
 HUB_ROUNDS = 1
 # Cells of the parity sketch that rules pairs out before their sets are looked at.
-SKETCH_CELLS = 256
+SKETCH_CELLS = 512
 SKETCH = [f"p{i}" for i in range(SKETCH_CELLS // 64)]
+# Counters the shingles of all documents are dealt to, to find common ones.
+COUNTERS = 1 << 18
 # Pairs that may be broadcast for their verification: 16 bytes each.
 SMALL_PAIRS = 50_000
 MAX_FILTER_BITS = 1 << 27
@@ -136,6 +145,31 @@ def parity_sketch(features: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(cell, minlength=SKETCH_CELLS).astype(np.uint8) & 1).view(np.int64)
 
 
+def counter_of(features: np.ndarray) -> np.ndarray:
+    return (_mix(features ^ np.uint64(0x632BE59BD9B4E019)) & np.uint64(COUNTERS - 1)).astype(np.int64)
+
+
+def common_shingles(texts: DataFrame, words: int) -> np.ndarray:
+    """Flags of the counters with clearly more shingles than chance deals to one."""
+
+    def count(batches):
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for features in shingle_sets(_column(batch), words):
+                np.add.at(counts, counter_of(features), 1)
+        full = np.flatnonzero(counts)
+        columns = [pa.array(full), pa.array(counts[full])]
+        yield pa.RecordBatch.from_arrays(columns, names=["counter", "n"])
+
+    counts = texts.mapInArrow(count, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    counts = land(counts, "counters")
+    mean = (counts.agg(F.sum("n")).first()[0] or 0) / COUNTERS
+    flags = np.zeros(COUNTERS, bool)
+    # at most COUNTERS numbers
+    flags[counts.where(F.col("n") > mean + 8 * mean**0.5 + 16).select("counter").toPandas()["counter"].to_numpy(np.int64)] = True
+    return flags
+
+
 class PartEnum:
     """Signatures for Jaccard similarity of at least ``part / whole``."""
 
@@ -160,8 +194,10 @@ class PartEnum:
         per_part = self._starts[max(0, band - 1)] / parts
         return 1 + int(2 * parts * min(1.0, self.sub * np.exp(-per_part * (self.sub - 1) / self.sub)))
 
-    def signatures(self, features: np.ndarray) -> np.ndarray:
+    def signatures(self, features: np.ndarray, common: np.ndarray | None = None) -> np.ndarray:
+        """``common``: flags of ``COUNTERS`` counters whose shingles the first cut leaves out."""
         found, own = [], self.band(len(features))
+        rare = features if common is None else features[~common[counter_of(features)]]
         for band in (own, own + 1):
             k = self.distance(band)
             if not k:
@@ -171,7 +207,7 @@ class PartEnum:
             parts, level = least + slack, 0
             while True:
                 seed = np.uint64((band << 8 | level) * 0x2545F4914F6CDD1D % 2**64)
-                placed = _mix(features ^ seed)
+                placed = _mix((features if level else rare) ^ seed)
                 cells = np.uint64(parts * self.sub)
                 slot = (((placed >> np.uint64(32)) * cells) >> np.uint64(32)).astype(np.int64)
                 sums = np.zeros(parts * self.sub, np.uint64)
@@ -194,20 +230,24 @@ def _column(batch: pa.RecordBatch) -> list:
 
 
 def _sets(docs: DataFrame, text_col: str, words: int) -> DataFrame:
-    """(id.., n, node) per row; node is null for a text without words."""
+    """(id, n, node, sketch) per row; node and sketch are null for a text without words."""
 
     def measure(batches):
         for batch in batches:
             found = list(shingle_sets(batch.pop("text").tolist(), words))
             batch["n"] = np.array([len(f) for f in found], np.int64)
             batch["node"] = pd.array([set_hash(f) if len(f) else None for f in found], "Int64")
+            for c, own in zip(SKETCH, np.array([parity_sketch(f) for f in found], np.int64).reshape(-1, len(SKETCH)).T):
+                batch[c] = own
             yield batch
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInPandas(measure, f"id {kind}, n long, node long")
+    kind, sketch = docs.schema["id"].dataType.simpleString(), ", ".join(f"{c} long" for c in SKETCH)
+    return docs.mapInPandas(measure, f"id {kind}, n long, node long, {sketch}")
 
 
 def _signature_rows(texts: DataFrame, words: int, scheme: PartEnum) -> DataFrame:
+    common = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, words))
+
     def enumerate_(batches):
         seen: set[int] = set()
         for batch in batches:
@@ -221,7 +261,7 @@ def _signature_rows(texts: DataFrame, words: int, scheme: PartEnum) -> DataFrame
                 if len(seen) >= CACHE:
                     seen.clear()
                 seen.add(node)
-                own = scheme.signatures(features)
+                own = scheme.signatures(features, common.value)
                 codes.append(own)
                 nodes.append(node)
                 counts.append(len(own))
@@ -238,10 +278,9 @@ def _signature_rows(texts: DataFrame, words: int, scheme: PartEnum) -> DataFrame
 
 
 def _candidate_sets(texts: DataFrame, words: int, filter_words: np.ndarray) -> DataFrame:
-    """(node, n, sketch, items) of the sets whose node passes the filter, one row each."""
+    """(node, items) of the sets whose node passes the filter, one row each."""
     shared = texts.sparkSession.sparkContext.broadcast(filter_words)
-    names = ["node", "n", *SKETCH]
-    schema = pa.schema([*[(c, pa.int64()) for c in names], ("items", pa.list_(pa.int64()))])
+    schema = pa.schema([("node", pa.int64()), ("items", pa.list_(pa.int64()))])
 
     def pick(batches):
         seen: set[int] = set()
@@ -259,19 +298,18 @@ def _candidate_sets(texts: DataFrame, words: int, filter_words: np.ndarray) -> D
                     seen.add(node)
                     rows.append(found[i])
             if rows:
-                narrow = np.array([(set_hash(f), len(f), *parity_sketch(f)) for f in rows], np.int64).T
+                own = pa.array([set_hash(f) for f in rows], pa.int64())
                 items = pa.array([f.view(np.int64) for f in rows], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*map(pa.array, narrow), items], schema=schema)
+                yield pa.RecordBatch.from_arrays([own, items], schema=schema)
 
-    columns = ", ".join(f"{c} long" for c in names)
-    return texts.mapInArrow(pick, f"{columns}, items array<long>").dropDuplicates(["node"])
+    return texts.mapInArrow(pick, "node long, items array<long>").dropDuplicates(["node"])
 
 
 class _Possible:
-    """Sizes and sketches of the candidate sets, and the test they allow."""
+    """Sizes and sketches of the sets, one row per node, and the test they allow."""
 
-    def __init__(self, sets: DataFrame, part: int, whole: int):
-        self._narrow, self._part, self._whole = sets.select("node", "n", *SKETCH), part, whole
+    def __init__(self, facts: DataFrame, part: int, whole: int):
+        self._narrow, self._part, self._whole = facts, part, whole
 
     def of(self, column: str, name: str) -> DataFrame:
         """The facts as columns of their own for the nodes in ``column``."""
@@ -292,9 +330,15 @@ class _Possible:
         return both.where(self.test("a", "b")).select(*pairs.columns)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
-    """Landed (a, b, linked) for landed pairs, by exact set sizes."""
-    small = pairs.count() <= SMALL_PAIRS
+def _verify(pairs: DataFrame, texts: DataFrame, words: int, part: int, whole: int) -> DataFrame:
+    """Landed (a, b, linked) for landed pairs, by exact set sizes; only sets in a pair are brought together."""
+    count = pairs.count()
+    if not count:
+        return pairs.select("a", "b", F.lit(False).alias("linked"))
+    small = count <= SMALL_PAIRS
+    ends = pairs.select("a").union(pairs.select("b")).distinct()
+    sets = _candidate_sets(texts, words, bloom_build(ends, 2 * count, 16, MAX_FILTER_BITS))
+    sets = land(sets.join(ends.withColumnRenamed("a", "node"), "node", "left_semi"), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     first = left.join(F.broadcast(pairs), "a") if small else left.join(pairs, "a")
@@ -307,25 +351,30 @@ def _verify(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFra
     return land(both.select("a", "b", linked.alias("linked")), "verified")
 
 
-def links(texts: DataFrame, words: int, part: int, whole: int) -> DataFrame | None:
-    """Verified links (a, b) that connect every pair of similar nodes; None if no two sets share a signature."""
+def links(texts: DataFrame, facts: DataFrame, words: int, part: int, whole: int) -> DataFrame | None:
+    """Verified links (a, b) that connect every pair of similar nodes; None if no two sets share a signature.
+
+    ``facts``: n and sketch per node.
+    """
     rows = _signature_rows(texts, words, PartEnum(part, whole))
     bucket = Window.partitionBy("sig")
     rows = rows.withColumns({"low": F.min("node").over(bucket), "high": F.max("node").over(bucket)})
     shared = land(rows.where("low < high").select("sig", "node"), "buckets")
+    del rows
+    release(texts.sparkSession)  # the exchange of all signatures is the largest there is
     degrees = shared.groupBy("node").agg(F.count("*").alias("degree"))
-    total = degrees.count()
-    if not total:
+    if degrees.isEmpty():
         return None
-    sets = land(_candidate_sets(texts, words, bloom_build(degrees.select("node"), total, 16, MAX_FILTER_BITS)), "sets")
     members = land(shared.join(degrees, "node").distinct(), "members")
-    possible = _Possible(sets, part, whole)
+    candidates = facts.join(degrees.select("node"), "node", "left_semi")
+    possible = _Possible(land(candidates, "facts"), part, whole)
     labels, tested = degrees.select("node", F.col("node").alias("label")), None
     for _ in range(HUB_ROUNDS):
-        found = _verify(land(_hub_pairs(members, labels, tested, possible), "pairs"), sets, part, whole)
+        found = _verify(land(_hub_pairs(members, labels, tested, possible), "pairs"), texts, words, part, whole)
         tested = found if tested is None else land(tested.unionByName(found), "tested")
         labels = _relabel(labels, found)
-    rest = _verify(land(_remaining_pairs(members, labels, tested, possible), "pairs"), sets, part, whole)
+        release(texts.sparkSession)
+    rest = _verify(land(_remaining_pairs(members, labels, tested, possible), "pairs"), texts, words, part, whole)
     return tested.unionByName(rest).where("linked").select("a", "b")
 
 
@@ -401,8 +450,10 @@ def similar_documents(
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sized = land(_sets(texts, text_col, words), "sized")
-    classes = sized.where("node is not null").groupBy("node").agg(F.min("id").alias("low"))
-    found = links(texts, words, part, whole)
+    known = sized.where("node is not null")
+    classes = known.groupBy("node").agg(F.min("id").alias("low"))
+    facts = known.groupBy("node").agg(*[F.min(c).alias(c) for c in ("n", *SKETCH)])
+    found = links(texts, facts, words, part, whole)
     if found is not None:
         groups = connected_components(found)
         roots = F.coalesce("component", "node")

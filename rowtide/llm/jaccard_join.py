@@ -359,28 +359,32 @@ def links(texts: DataFrame, facts: DataFrame, words: int, part: int, whole: int)
     rows = _signature_rows(texts, words, PartEnum(part, whole))
     bucket = Window.partitionBy("sig")
     rows = rows.withColumns({"low": F.min("node").over(bucket), "high": F.max("node").over(bucket)})
-    shared = land(rows.where("low < high").select("sig", "node"), "buckets")
+    # Rows of a bucket are together already, so distinct ones need no further shuffle.
+    shared = land(rows.where("low < high").select("sig", "node").distinct(), "buckets")
     del rows
     release(texts.sparkSession)  # the exchange of all signatures is the largest there is
     degrees = shared.groupBy("node").agg(F.count("*").alias("degree"))
     if degrees.isEmpty():
         return None
-    members = land(shared.join(degrees, "node").distinct(), "members")
+    members = land(shared.join(degrees, "node"), "members")
     candidates = facts.join(degrees.select("node"), "node", "left_semi")
     possible = _Possible(land(candidates, "facts"), part, whole)
-    labels, tested = degrees.select("node", F.col("node").alias("label")), None
+    labels, tested = None, None  # at first every node is a group of its own
     for _ in range(HUB_ROUNDS):
-        found = _verify(land(_hub_pairs(members, labels, tested, possible), "pairs"), texts, words, part, whole)
+        pairs = land(_hub_pairs(members, labels, tested, possible), "pairs")
+        release(texts.sparkSession)
+        found = _verify(pairs, texts, words, part, whole)
         tested = found if tested is None else land(tested.unionByName(found), "tested")
-        labels = _relabel(labels, found)
+        own = labels or land(degrees.select("node", F.col("node").alias("label")), "labels")
+        labels = _relabel(own, found)
         release(texts.sparkSession)
     rest = _verify(land(_remaining_pairs(members, labels, tested, possible), "pairs"), texts, words, part, whole)
     return tested.unionByName(rest).where("linked").select("a", "b")
 
 
-def _mixed(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _mixed(members: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
     """Members with label, and per bucket with several labels its most connected member."""
-    named = members.join(labels, "node")
+    named = members.withColumn("label", F.col("node")) if labels is None else members.join(labels, "node")
     tops = named.groupBy("sig").agg(
         F.max(F.struct("degree", "node", "label")).alias("top"), F.min("label").alias("low"), F.max("label").alias("high")
     )
@@ -391,7 +395,7 @@ def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
     return pairs if tested is None else pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
 
 
-def _hub_pairs(members: DataFrame, labels: DataFrame, tested: DataFrame | None, possible: _Possible) -> DataFrame:
+def _hub_pairs(members: DataFrame, labels: DataFrame | None, tested: DataFrame | None, possible: _Possible) -> DataFrame:
     """For each node outside the hub's group of a bucket, one pair: with its best hub."""
     named, tops = _mixed(members, labels)
     apart = named.join(tops, "sig").where(F.col("label") != F.col("top.label"))

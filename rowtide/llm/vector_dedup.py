@@ -227,10 +227,21 @@ def _usable(vector: Column, label: Column) -> Column:
 
 
 def _unit(vector: Column) -> Column:
+    """Vectors of length 1; null stays null."""
+
+    @F.pandas_udf("array<double>")
+    def unit(vectors: pd.Series) -> pd.Series:
+        return vectors.map(_normalised)
+
+    return unit(vector)
+
+
+def _normalised(vector: np.ndarray | None) -> np.ndarray | None:
+    if vector is None:
+        return None
     # Divided by the largest component first: squares neither overflow nor vanish.
-    scaled = F.transform(vector, lambda v: v / F.array_max(F.transform(vector, F.abs)))
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, v: s + v * v))
-    return F.transform(scaled, lambda v: v / norm)
+    scaled = vector / np.abs(vector).max()
+    return scaled / np.sqrt((scaled * scaled).sum())
 
 
 def _classes(rows: DataFrame, id_col: str, vector_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:

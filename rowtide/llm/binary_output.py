@@ -3,8 +3,8 @@
 Tokenise, cut overlong documents without loss, pack best-fit decreasing, bring
 the pieces of a sequence together and write one fixed-width row of ids per
 sequence, with the cumulative segment lengths and the places where positions
-start again at 0. Places are computed from lengths alone; the ids are shuffled
-to meet their place and to meet their sequence.
+start again at 0. Places are computed from lengths alone. The ids of full pieces
+are not shuffled; others are, to meet their place and to meet their sequence.
 """
 
 from __future__ import annotations
@@ -69,6 +69,7 @@ def packed_rows(
 ) -> DataFrame:
     """The packed matrix, one row per sequence.
 
+    Sequences of one full piece have negative numbers.
     ids: ``capacity`` little-endian ids of type ``dtype``, padded with the end id
     beyond n_tokens. cu_seqlens: 0 and the end of each segment. position_resets:
     the offsets where a segment starts, so where positions are 0 again. doc_ids
@@ -78,11 +79,17 @@ def packed_rows(
     """
     rows = token_pieces(docs, id_col, text_col, capacity, tokenizer, keep_ids=True, dtype=dtype)
     pieces = land(rows.withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    places = assign(pieces.drop("ids", "ids_crc32", "start"), capacity).select("uid", "sequence_id", "offset")
-    placed = pieces.join(places, "uid").select("sequence_id", "offset", "id", "piece", "length", "ids")
+    columns = ["sequence_id", "offset", "id", "piece", "length", "ids"]
+    # A full piece is a sequence of its own, so it stays in its task.
+    alone = {"sequence_id": -F.col("uid") - 1, "offset": F.lit(0).cast("long")}
+    full = pieces.where(F.col("length") == capacity).withColumns(alone).select(*columns)
+    open_ = pieces.where(F.col("length") < capacity)
+    places = assign(open_.drop("ids", "ids_crc32", "start"), capacity).select("uid", "sequence_id", "offset")
+    placed = open_.join(places, "uid").select(*columns)
     together = placed.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
-    kind = placed.schema["id"].dataType.simpleString()
-    return together.mapInPandas(lambda b: _rows(b, capacity, dtype), f"{ROW}, doc_ids array<{kind}>")
+    schema = f"{ROW}, doc_ids array<{placed.schema['id'].dataType.simpleString()}>"
+    packed = [rows.mapInPandas(lambda b: _rows(b, capacity, dtype), schema) for rows in (full, together)]
+    return packed[0].unionByName(packed[1])
 
 
 def write_packed(docs: DataFrame, path: str, **options) -> None:

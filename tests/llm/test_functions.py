@@ -234,3 +234,34 @@ def test_robust_prune_drops_what_a_kept_one_covers():
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     (kept,) = vector_dedup.robust_prune(x, np.array([0]), np.array([[1, 2, 3]]))
     assert kept.tolist() == [1, 3]
+
+
+@pytest.mark.parametrize("shift", [0.0, 4.0])
+@pytest.mark.parametrize("size", [10_000, 100_000, 2_000_000])
+def test_near_pairs_share_a_cell(size, shift):
+    rng = np.random.default_rng(11)
+    gauss = rng.normal(size=(23_000, 64)) + shift * (np.arange(64) == 0)
+    sample, x = np.split(gauss / np.linalg.norm(gauss, axis=1, keepdims=True), [vector_dedup.SAMPLE_ROWS])
+    turn = rng.normal(size=x.shape)
+    turn -= (turn * x).sum(axis=1, keepdims=True) * x
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    cosine = rng.uniform(0.93, 0.96, (len(x), 1))
+    y = cosine * x + np.sqrt(1 - cosine**2) * turn
+    centres = vector_dedup._fit(sample, vector_dedup._count(size, len(sample)))
+    margin = vector_dedup._margin(sample, 0.93)
+    assert margin < np.arccos(0.93)
+    pairs = zip(vector_dedup._within(x, centres, margin), vector_dedup._within(y, centres, margin))
+    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in pairs]) >= 0.98
+
+
+def test_few_directions_lose_no_pair():
+    rng = np.random.default_rng(12)
+    x = np.zeros((4000, 64))
+    x[:, :2] = rng.normal(size=(4000, 2))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    centres = vector_dedup._fit(x[:1000], 40)
+    cells = np.zeros((len(x), 40), bool)
+    for own, near in zip(cells, vector_dedup._within(x, centres, vector_dedup._margin(x[:1000], 0.93))):
+        own[near] = True
+    close = x @ x.T >= 0.93
+    assert (cells.astype(int) @ cells.T.astype(int))[close].min() > 0

@@ -349,3 +349,20 @@ def test_near_vectors(llm, monkeypatch):
 def test_recall_on_given_vectors(llm):
     rows = llm.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     assert vector_dedup.audit_recall(rows, vector_dedup.near_vectors(rows)) >= 0.9
+
+
+def test_recall_of_planted_pairs(llm, monkeypatch):
+    """1500 pairs at 0.93 to 0.96 in one label of 200 centroids that know a quarter of it; one end of each is asked for."""
+    monkeypatch.setattr(vector_dedup, "CELL_ROWS", 60)
+    monkeypatch.setattr(vector_dedup, "SAMPLE_ROWS", 1600)
+    rng = np.random.default_rng(8)
+    x, turn = rng.normal(size=(6000, 64)), rng.normal(size=(1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turn -= (turn * x[:1500]).sum(axis=1, keepdims=True) * x[:1500]
+    cosine = rng.uniform(0.9301, 0.96, (1500, 1))
+    x[1500:3000] = cosine * x[:1500] + np.sqrt(1 - cosine**2) * turn / np.linalg.norm(turn, axis=1, keepdims=True)
+    rows = [(100 * i if i < 1500 else 100 * i + 1, v.tolist(), 1) for i, v in enumerate(x)]
+    frame = llm.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    assert (x[:1500] @ x.T >= 0.93).sum() - 1500 >= 1500
+    recall = vector_dedup.audit_recall(frame, vector_dedup.near_vectors(frame).cache())
+    assert recall >= 0.97, recall

@@ -2,7 +2,9 @@
 
 The page is read into a flat list of elements and texts. Elements that are never
 the article (scripts, forms, navigation, or named like adverts, comments,
-notices, ...) are taken out. Each paragraph gives points for being there, for
+notices, ...) are taken out; in an article or main element names count only if
+they are unmistakable. A page that loses most of its paragraphs to names is read
+again by the unmistakable ones only, then by none. Each paragraph gives points for being there, for
 commas and for length to its ancestors, less the further up; a container's points
 count as far as its text is not link text. The best container is the article: the
 nearest article or main element around it, if there is one, else the container
@@ -58,6 +60,16 @@ UNWANTED = frozenset(
     "complementary contentinfo search sitemap teaser".split()
 )
 REMARKS = frozenset("comment comments commentlist disqus discussion respond replies reply feedback".split())
+# Names made of these and of FILLER only are unmistakable on a container, also in the article.
+CLEAR = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense adslot adbox sponsor sponsored promo promos comment "
+    "comments commentlist disqus respond replies sidebar navbar breadcrumb breadcrumbs pagination cookie cookies consent "
+    "gdpr newsletter share sharing related outbrain taboola teaser".split()
+)
+FILLER = frozenset("area bar block body box button buttons container inner items links list post posts slot unit wrap wrapper".split())
+NAMED = frozenset("article aside div dl footer header menu nav ol section table ul".split())
+# A result below this share of the page's paragraphs is read again.
+SHORT = 0.25
 WANTED = frozenset("article body content entry main page post text blog story".split())
 
 _TOKEN = re.compile(
@@ -71,18 +83,19 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _WORD = re.compile(r"[a-z]+")
 
 
-def _names(attrs: str) -> tuple[list[list[str]], bool]:
-    """The words of each class, id and role; whether the element is hidden."""
-    names, hidden = [], False
+def _names(attrs: str) -> tuple[list[list[str]], list[str], bool]:
+    """The words of each class, id and role; which of them it is; whether the element is hidden."""
+    names, kinds, hidden = [], [], False
     for match in _NAMING.finditer(attrs):
         kind, value = match[1].lower(), match[2] or match[3] or match[4] or ""
         if kind in ("class", "id", "role"):
             names += [_WORD.findall(_CAMEL.sub("-", name).lower()) for name in value.split()]
+            kinds += [kind] * (len(names) - len(kinds))
         elif kind == "style":
             hidden |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
         else:
             hidden |= kind == "hidden" or value.lower() == "true"
-    return names, hidden
+    return names, kinds, hidden
 
 
 def _unwanted(names: list[list[str]], words: frozenset = UNWANTED) -> bool:
@@ -93,11 +106,19 @@ def _unwanted(names: list[list[str]], words: frozenset = UNWANTED) -> bool:
     return False
 
 
+def _clear(tag: str, names: list[list[str]], kinds: list[str]) -> bool:
+    """Is this a container that can only be something else? An id of REMARKS words alone does not say so."""
+    return tag in NAMED and any(
+        CLEAR.intersection(own) and all(w in CLEAR or w in FILLER for w in own) and not (kind == "id" and REMARKS.intersection(own))
+        for own, kind in zip(names, kinds)
+    )
+
+
 class Page:
     """Elements in page order: parallel lists of tag, parent, attributes; events open, text and close."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.names, self.hidden = ["#"], [0], [[]], [False]
+        self.tag, self.parent, self.names, self.kinds, self.hidden = ["#"], [0], [[]], [[]], [False]
         self.events: list[tuple[int, str | None]] = []  # (element, text), or (element, None), or (-element, None)
         self._stack, self._opened = [0], Counter()
         self._parse(source)
@@ -105,10 +126,11 @@ class Page:
             self._close()
 
     def _open(self, tag: str, attrs: str) -> None:
-        names, hidden = _names(attrs) if attrs else ([], False)
+        names, kinds, hidden = _names(attrs) if attrs else ([], [], False)
         self.tag.append(tag)
         self.parent.append(self._stack[-1])
         self.names.append(names)
+        self.kinds.append(kinds)
         self.hidden.append(hidden)
         self._stack.append(len(self.tag) - 1)
         self._opened[tag] += 1
@@ -185,31 +207,42 @@ class Page:
         return at
 
 
-def _kept(page: Page) -> list[bool]:
-    """False for elements that are, or lie in, something else than the article."""
+def _kept(page: Page, by: str = "names") -> tuple[list[bool], list[bool], bool]:
+    """False for elements that are, or lie in, something else than the article; True for what lies in an article or
+    main element; whether a name took anything out. ``by``: all "names" outside the article, "clear" ones only, or "tags"."""
     count = len(page.tag)
+    clear = [by != "tags" and _clear(*of) for of in zip(page.tag, page.names, page.kinds)]
+    unwanted = [
+        clear[i] or by == "names" and page.tag[i] not in HEADINGS and not _wanted(page.names[i]) and _unwanted(page.names[i])
+        for i in range(count)
+    ]
     # Does an element hold the article's own element or its title?
     holds = [False] * count
     for i in range(count - 1, 0, -1):
-        own = page.tag[i] in ("article", "main", "h1") and not _unwanted(page.names[i])
+        own = page.tag[i] in ("article", "main", "h1") and not clear[i]
         if own or holds[i]:
             holds[page.parent[i]] = True
-    keep, in_article = [True] * count, [False] * count
+    keep, in_article, named = [True] * count, [False] * count, False
     for i in range(1, count):
         above, tag = page.parent[i], page.tag[i]
         in_article[i] = in_article[above] or tag in ("article", "main")
-        if not keep[above]:
+        if not keep[above] or page.hidden[i] and tag not in ("html", "body", "main", "h1"):
             keep[i] = False
         elif tag in ("html", "body", "main", "h1"):
             keep[i] = True
-        elif page.hidden[i] or _unwanted(page.names[i], REMARKS):
-            keep[i] = False
-        elif tag == "article":
-            keep[i] = not _unwanted(page.names[i])
-        elif tag in OUTSIDE or _unwanted(page.names[i]):
-            title = tag in ("header", "div", "section", "hgroup", "form", "fieldset") and holds[i]
-            keep[i] = title
-    return keep
+        elif in_article[i]:
+            keep[i] = not clear[i] and (tag not in OUTSIDE or tag in ("header", "form", "fieldset") and holds[i])
+            named |= clear[i]
+        elif unwanted[i] and _unwanted(page.names[i], REMARKS):
+            keep[i], named = False, True
+        elif tag in OUTSIDE or unwanted[i]:
+            keep[i] = tag in ("header", "div", "section", "hgroup", "form", "fieldset") and holds[i]
+            named |= unwanted[i] and not keep[i]
+    return keep, in_article, named
+
+
+def _wanted(names: list[list[str]]) -> bool:
+    return any(len(own) == 1 and own[0] in WANTED for own in names)
 
 
 def _score(page: Page, keep: list[bool]) -> tuple[list[float], list[int], list[int], list[int]]:
@@ -282,8 +315,8 @@ def _chosen(page: Page, keep: list[bool]) -> set[int]:
     return out
 
 
-def _link_lists(page: Page, keep: list[bool]) -> None:
-    """Take out lists and tables that are little but links."""
+def _link_lists(page: Page, keep: list[bool], in_article: list[bool]) -> None:
+    """Take out lists and tables that are little but links, but for those of an article."""
     count = len(page.tag)
     chars, linked, links, link = [0] * count, [0] * count, [0] * count, [False] * count
     for i in range(1, count):
@@ -300,7 +333,7 @@ def _link_lists(page: Page, keep: list[bool]) -> None:
     for i in range(1, count):
         if not keep[page.parent[i]]:
             keep[i] = False
-        elif page.tag[i] in ("ul", "ol", "dl", "table", "div", "section") and links[i] >= 3:
+        elif not in_article[i] and page.tag[i] in ("ul", "ol", "dl", "table", "div", "section") and links[i] >= 3:
             keep[i] = keep[i] and linked[i] <= 0.75 * chars[i]
 
 
@@ -309,8 +342,28 @@ def main_text(source: str | None) -> str:
     if not source:
         return ""
     page = Page(source)
-    keep = _kept(page)
-    _link_lists(page, keep)
+    keep, in_article, named = _kept(page)
+    best = _text(page, keep, in_article)
+    for by in ("clear", "tags"):
+        # Without any name only if nothing else is left.
+        if not named or by == "tags" and best:
+            break
+        keep, in_article, named = _kept(page, by)
+        if len(best) < SHORT * _paragraphs(page, keep):
+            best = max(best, _text(page, keep, in_article), key=len)
+    return best
+
+
+def _paragraphs(page: Page, keep: list[bool]) -> int:
+    """Characters of the kept paragraphs."""
+    inside = [False] * len(page.tag)
+    for i in range(1, len(inside)):
+        inside[i] = keep[i] and (inside[page.parent[i]] or page.tag[i] in ("p", "pre", "blockquote"))
+    return sum(len(" ".join(text.split())) for element, text in page.events if text is not None and inside[element])
+
+
+def _text(page: Page, keep: list[bool], in_article: list[bool]) -> str:
+    _link_lists(page, keep, in_article)
     chosen = _chosen(page, keep)
     lines, line, inside = [], [], int(0 in chosen)
 

@@ -182,6 +182,35 @@ def test_odd_pages(source, text):
     assert html_extract.main_text(source) == text
 
 
+LONG = "Text of the article, with commas, and long enough to count."
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<section id='discussion'><p>{}</section>", "<h2 id='related-work'>{}</h2>", "<h2 id='search'>{}</h2>", "<p class='notice'>{}</p>",
+        "<div class='elementor-widget-text-editor'><p>{}</div>", "<ol><li><a href=1>{}</a><li><a href=2>b</a><li><a href=3>c</a></ol>",
+    ],
+)
+@pytest.mark.parametrize("around", ["article", "main"])
+def test_names_in_the_article(part, around):
+    page = f"<body><{around}><h1>T</h1><p>{LONG}</p>{part.format('kept words')}<p>{LONG}</p></{around}>"
+    assert "kept words" in html_extract.main_text(page).split("\n")
+
+
+def test_unmistakable_names_in_the_article():
+    parts = "<div class=ad>x1</div><div class='share-buttons'>x2</div><ul class=comments><li>x3</ul><aside>x4</aside>"
+    assert html_extract.main_text(f"<article><p>{LONG}</p>{parts}</article>") == LONG
+
+
+@pytest.mark.parametrize("name", ["content sidebar-right", "sidebar-right", "widget", "related", "search-result"])
+def test_names_do_not_lose_the_page(name):
+    page = f"<nav><a href=/>Home</a></nav><div class='{name}'><p>{LONG}</p><p>{LONG}</p></div><footer>f</footer>"
+    assert html_extract.main_text(page) == f"{LONG}\n{LONG}"
+    short = f"<div><p>Short.</p></div><div class='widget'><p>{LONG * 5}</p><p>{LONG * 5}</p></div>"
+    assert LONG in html_extract.main_text(short)
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 20_000 + "<p>text, here.</p>"
     assert html_extract.main_text(deep) == "text, here."

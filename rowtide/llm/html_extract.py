@@ -23,11 +23,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript iframe svg math object textarea xmp noembed noframes".split())
+RAW = frozenset("script style noscript iframe textarea noembed noframes".split())
+# Elements of other languages, whose end a "/>" is; inside them these hold text of the page again, and BREAKOUT ends them.
+FOREIGN = frozenset(("svg", "math"))
+INTEGRATION = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary "
-    "table tbody tfoot thead tr ul".split()
+    "table tbody tfoot thead tr ul xmp".split()
+)
+BREAKOUT = BLOCK - {"table", "tbody", "tfoot", "thead", "tr", "dir", "legend"} | frozenset(
+    "table b big br code em embed i img nobr s small span strong strike sub sup tt u var".split()
 )
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 # Elements that never hold the article's text.
@@ -42,7 +48,7 @@ CLOSES = {
 }
 TABLE = frozenset("table tbody thead tfoot tr td th caption".split())
 IN_HEAD = frozenset("html head title meta link base style script noscript template".split())
-PARAGRAPH = frozenset("# p pre td th blockquote li dd div section article main body".split())
+PARAGRAPH = frozenset("# p pre xmp td th blockquote li dd div section article main body".split())
 # Text directly inside one of these counts for the element itself.
 DIRECT = frozenset("# div section article main body".split())
 CONTAINER = frozenset("# div section article main body td blockquote center ul ol dd figure".split())
@@ -182,7 +188,22 @@ class Page:
 
     def _start(self, tag: str, attrs: str, source: str, at: int) -> int:
         if tag not in IN_HEAD:
-            self._close_open({"head"}, {"body"})
+            self._close_open({"head"}, {"body", "template"})
+        if tag in BREAKOUT:
+            self._close_open(FOREIGN, INTEGRATION)
+        if tag in FOREIGN or self._opened["svg"] or self._opened["math"]:
+            if attrs.endswith("/"):
+                return at
+        if tag == "template" and not re.compile(r"</template[\s/>]", re.I).search(source, at):
+            return at
+        if tag == "xmp":
+            end = re.compile(r"</xmp(?=[\s/>])[^>]*>?", re.I).search(source, at)
+            if end:
+                self._close_open({"p"}, {"td", "th", "table", "button", "object", "caption"})
+                self._open(tag, attrs)
+                self.events.append((self._stack[-1], source[at : end.start()]))
+                self._close()
+                return end.end()
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(source, at)
             return end.end() if end else len(source)
@@ -226,7 +247,7 @@ def _kept(page: Page, by: str = "names") -> tuple[list[bool], list[bool], bool]:
     for i in range(1, count):
         above, tag = page.parent[i], page.tag[i]
         in_article[i] = in_article[above] or tag in ("article", "main")
-        if not keep[above] or page.hidden[i] and tag not in ("html", "body", "main", "h1"):
+        if not keep[above] or tag in ("svg", "template") or page.hidden[i] and tag not in ("html", "body", "main", "h1"):
             keep[i] = False
         elif tag in ("html", "body", "main", "h1"):
             keep[i] = True

@@ -211,6 +211,23 @@ def test_names_do_not_lose_the_page(name):
     assert LONG in html_extract.main_text(short)
 
 
+@pytest.mark.parametrize(
+    "source,text",
+    [
+        ("<header><svg viewBox='0 0 1 1'/></header><p>One, two.", "One, two."), ("<div><math/></div><p>One, two.", "One, two."),
+        ("<header><svg><path d='M0'/></header><article><p>One, two.</article>", "One, two."), ("<svg><path><p>One, two.", "One, two."),
+        ("<p>One, two.<object data=x><p>Three, four.", "One, two.\nThree, four."), ("<svg><title>t</title><text>no</text></svg><p>One.", "One."),
+        ("<article><p>Let <math><mi>x</mi><mo>=</mo><mspace/><mn>1</mn></math> be.</article>", "Let x=1 be."),
+        ("<article><p>a, b.<xmp><b>kept</b></xmp><p>c, d.</article>", "a, b.\n<b>kept</b>\nc, d."), ("<p>a, b.<xmp>c<p>d", "a, b.\nc\nd"),
+        ("<head><template><div>no</div></template></head><p>One.", "One."), ("<head><template></head><body><p>One.", "One."),
+        ("<svg><script/></svg><p>One.", "One."), ("<svg><foreignObject><div>no</div></foreignObject></svg><p>One.", "One."),
+        ("<p>a <svg><g><text>no</text></g></svg> b", "a b"), ("<script/>no</script><p>One.", "One."),
+    ],
+)
+def test_embedded_languages(source, text):
+    assert html_extract.main_text(source) == text
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 20_000 + "<p>text, here.</p>"
     assert html_extract.main_text(deep) == "text, here."

@@ -7,8 +7,9 @@ they are unmistakable. A page that loses most of its paragraphs to names is read
 again by the unmistakable ones only, then by none. Each paragraph gives points for being there, for
 commas and for length to its ancestors, less the further up; a container's points
 count as far as its text is not link text. The best container is the article: the
-nearest article or main element around it, if there is one, else the container
-with those siblings that look like more of the same.
+nearest article or main element around it, if there is one, else the container;
+in both cases with those siblings that look like more of the same (of an article:
+articles and sections).
 """
 
 from __future__ import annotations
@@ -321,7 +322,13 @@ def _chosen(page: Page, keep: list[bool]) -> set[int]:
             break
         up = page.parent[up]
     if page.tag[around] in ("article", "main"):
-        return {around}
+        least, out = max(10.0, score[around] * 0.2), {around}
+        if page.tag[around] == "article":  # what lies beside main is not the main part
+            for i in range(1, len(page.tag)):
+                beside = page.parent[i] == page.parent[around] and page.tag[i] in ("article", "section")
+                if beside and keep[i] and chars[i] and score[i] >= least:
+                    out.add(i)
+        return out
     if own[page.parent[best]]:
         return {page.parent[best]}  # text between the blocks is part of the whole
     least, out = max(10.0, score[best] * 0.2), {best}

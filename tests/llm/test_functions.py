@@ -228,6 +228,14 @@ def test_embedded_languages(source, text):
     assert html_extract.main_text(source) == text
 
 
+def test_article_in_parts():
+    two = "<main><article><p>One, two.</article><article><p>Three, four.</article></main>"
+    assert html_extract.main_text(two) == "One, two.\nThree, four."
+    more = "".join(f"<p>{LONG}</p>" for _ in range(12))
+    parts = f"<article>{more}</article><section>{more}</section><section><p>Teaser.</section><p>Beside.</p>"
+    assert html_extract.main_text(parts) == "\n".join([LONG] * 24)
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 20_000 + "<p>text, here.</p>"
     assert html_extract.main_text(deep) == "text, here."

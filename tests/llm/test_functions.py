@@ -319,3 +319,20 @@ def test_few_directions_lose_no_pair():
         own[near] = True
     close = x @ x.T >= 0.93
     assert (cells.astype(int) @ cells.T.astype(int))[close].min() > 0
+
+
+def test_nothing_in_a_block_is_missed():
+    """As between blocks: vectors of one block asked for in the graph of another, from its medoid alone."""
+    rng = np.random.default_rng(13)
+    # Groups of more than CANDIDATES rows: hardly a neighbour is outside the own group.
+    middle = np.repeat(rng.normal(size=(20, 64)), 80, axis=0)
+    x, asked = middle + 0.15 * rng.normal(size=(2, *middle.shape))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    asked = (asked / np.linalg.norm(asked, axis=1, keepdims=True)).astype(np.float32)
+    graph, medoid = vector_dedup.build_graph(x)
+    args = x, vector_dedup._table(graph), np.full((len(x), 1), medoid), asked, 0.93
+    true = int((asked @ x.T >= 0.93).sum())
+    assert true >= 1000
+    assert len(vector_dedup.range_search(*args)[0]) < true
+    who, row = vector_dedup.in_range(*args)
+    assert len(set(zip(who.tolist(), row.tolist()))) == len(who) == true

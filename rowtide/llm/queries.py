@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rowtide.llm import (
     binary_output,
     chat_format,
+    chat_repair,
     exact_dedup,
     html_extract,
     jaccard_join,
@@ -194,3 +195,8 @@ def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify_languages(_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair_conversations(_table(spark, sf_dir, "conversations"))

@@ -17,6 +17,7 @@ from rowtide.llm import (
     lang_id,
     mixing,
     packing,
+    spelling,
     url_filter,
     vector_dedup,
 )
@@ -197,6 +198,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify_languages(_table(spark, sf_dir, "documents"))
 
 
+@query()
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 @query()
 def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.repair_conversations(_table(spark, sf_dir, "conversations"))

@@ -39,7 +39,7 @@ GROUPS = 24
 SUBTREE = 20_000
 # Rows that are searched together in one trie, and words under a node that are compared directly.
 TOGETHER = 60_000
-LEAF = 24
+LEAF = 64
 # Longest word compared in fixed-width rows; longer ones are compared one by one.
 WIDTH = 40
 CELLS = 4 << 20
@@ -125,52 +125,99 @@ def choose_depth(words: DataFrame, table: np.ndarray, groups: int, most: int) ->
     return groups
 
 
-def search(levels: np.ndarray, less: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (query, word) whose count vectors differ by one surplus and one deficit at most.
+class Words:
+    """Words as fixed-width rows of bytes and hashes of their halves, for verifying many pairs at once.
+
+    Of two words one code point apart whose shorter one has ``m`` code points, the
+    first ``m // 2`` or the last ``m - m // 2`` are the same. Each word has
+    hashes of both for its own length and for one less; the length is hashed in.
+    """
+
+    def __init__(self, words: list[str]):
+        self.words = words
+        self.size = np.array([len(w) for w in words])
+        self.width = int(min(WIDTH, self.size.max(initial=1)))
+        fitting = [w.encode("latin-1") if len(w) <= self.width else b"" for w in words]
+        shape = (len(words), self.width)
+        self.left = np.frombuffer(b"".join(w.ljust(self.width, b"\0") for w in fitting), np.uint8).reshape(shape)
+        self.right = np.frombuffer(b"".join(w.rjust(self.width, b"\0") for w in fitting), np.uint8).reshape(shape)
+        halves = [
+            (hash((w[: m // 2], m)), hash((w[len(w) - m + m // 2 :], m)))
+            for w in words
+            for m in (len(w), len(w) - 1)
+        ]
+        self.halves = np.array(halves, np.int64).reshape(len(words), 2, 2)
+
+    def may_be_near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Do words of ``a`` (a column) and ``b`` (a row) share a half?"""
+        out = np.zeros((len(a), len(b)), bool)
+        for side in (0, 1):
+            (a0, a1), (b0, b1) = self.halves[a, :, side].T, self.halves[b, :, side].T
+            out |= (a0[:, None] == b0) | (a1[:, None] == b0) | (a0[:, None] == b1)
+        return out
+
+    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs are one code point apart: their common head and tail leave one out."""
+        longest = np.maximum(self.size[a], self.size[b])
+        shortest = np.minimum(self.size[a], self.size[b])
+        differ = self.left[a] != self.left[b]
+        head = np.where(differ.any(1), differ.argmax(1), self.width)
+        differ = (self.right[a] != self.right[b])[:, ::-1]
+        tail = np.where(differ.any(1), differ.argmax(1), self.width)
+        head, tail = np.minimum(head, shortest), np.minimum(tail, shortest)
+        out = (head + tail >= longest - 1) & (head < longest) & (longest - shortest <= 1)
+        for i in np.flatnonzero(longest > self.width):
+            out[i] = one_apart(self.words[a[i]], self.words[b[i]])
+        return out
+
+
+def search(levels: np.ndarray, less: np.ndarray, first: np.ndarray, words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of words one code point apart, each pair once.
 
     ``levels``: the counts below the top levels, ``first``: the number of the
     subtree, ``less``: the group left out on the way there. All words are queries;
-    at each node the queries whose budget reaches it go on together.
+    at each node the queries whose budget reaches it go on together, and a leaf is
+    verified against the queries that reach it. A pair is met by its earlier word.
     """
     rows = np.column_stack([first, less, levels]).astype(np.int32)
     order = np.lexsort(rows.T[::-1])
     rows, depth = rows[order], rows.shape[1]
-    everyone = np.arange(len(rows))
     one = np.ones(len(rows), np.int8)
-    stack = [(0, len(rows), 0, everyone, one, one)]
+    stack = [(0, len(rows), 0, np.arange(len(rows)), one, one)]
     while stack:
         low, high, level, alive, surplus, deficit = stack.pop()
         if level >= 2 and (high - low <= LEAF or level == depth):
-            step = max(1, CELLS // ((high - low) * max(1, depth - level)))
+            step = max(1, CELLS // (high - low))
+            leaf = np.arange(low, high)
             for start in range(0, len(alive), step):
                 some = alive[start : start + step]
-                gap = rows[some, None, level:] - rows[None, low:high, level:]
-                more, fewer = np.maximum(gap, 0).sum(2), np.maximum(-gap, 0).sum(2)
-                fits = (more <= surplus[start : start + step, None]) & (fewer <= deficit[start : start + step, None])
-                at, other = np.nonzero(fits)
-                at, other = some[at], other + low
-                kept = at != other
-                yield order[at[kept]], order[other[kept]]
+                at, other = np.nonzero(words.may_be_near(order[some], order[leaf]))
+                at, other = some[at], leaf[other]
+                kept = at < other
+                a, b = order[at[kept]], order[other[kept]]
+                kept = words.near(a, b)
+                if kept.any():
+                    yield a[kept], b[kept]
             continue
         column = rows[low:high, level]
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(column)) + 1, [high - low]])
         own = rows[alive, level]
-        for begin, end in zip(cuts[:-1], cuts[1:]):
-            value = column[begin]
+        for begin, end in zip((low + cuts[:-1]).tolist(), (low + cuts[1:]).tolist()):
+            value = rows[begin, level]
             if level == 0:  # another subtree
-                kept = own == value
-                s, t = surplus[kept], deficit[kept]
-            elif level == 1:  # what was left out above is spent
-                kept = (own != value) | (own == -1)
-                s = surplus[kept] - (own[kept] >= 0)
-                t = deficit[kept] - (value >= 0)
+                stack.append((begin, end, 1, alive[begin:end], surplus[begin:end], deficit[begin:end]))
+                continue
+            earlier = np.searchsorted(alive, end)
+            gap = own[:earlier] - value
+            s, t = surplus[:earlier], deficit[:earlier]
+            if level == 1:  # what was left out above is spent
+                kept = (gap != 0) | (value == -1)
+                s, t = s - (own[:earlier] >= 0), t - (value >= 0)
             else:
-                gap = own - value
-                kept = (gap <= surplus) & (-gap <= deficit)
-                gap = gap[kept]
-                s, t = surplus[kept] - (gap > 0), deficit[kept] - (gap < 0)
+                kept = (gap <= s) & (-gap <= t)
+                s, t = s - (gap > 0), t - (gap < 0)
             if kept.any():
-                stack.append((low + int(begin), low + int(end), level + 1, alive[kept], s.astype(np.int8), t.astype(np.int8)))
+                stack.append((begin, end, level + 1, alive[:earlier][kept], s[kept].astype(np.int8), t[kept].astype(np.int8)))
 
 
 def one_apart(a: str, b: str) -> bool:
@@ -184,37 +231,6 @@ def one_apart(a: str, b: str) -> bool:
     return short[head + (len(short) == len(long)) :] == long[head + 1 :]
 
 
-class Words:
-    """Words as fixed-width rows of bytes, aligned left and right, for comparing many pairs at once."""
-
-    def __init__(self, words: list[str]):
-        self.words = words
-        self.size = np.array([len(w) for w in words])
-        self.width = int(min(WIDTH, self.size.max(initial=1)))
-        fitting = [w.encode("latin-1") if len(w) <= self.width else b"" for w in words]
-        shape = (len(words), self.width)
-        self.left = np.frombuffer(b"".join(w.ljust(self.width, b"\0") for w in fitting), np.uint8).reshape(shape)
-        self.right = np.frombuffer(b"".join(w.rjust(self.width, b"\0") for w in fitting), np.uint8).reshape(shape)
-
-    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Which pairs are one code point apart: their common head and tail leave one out."""
-        longest = np.maximum(self.size[a], self.size[b])
-        shortest = np.minimum(self.size[a], self.size[b])
-        out = np.zeros(len(a), bool)
-        step = max(1, CELLS // self.width)
-        for start in range(0, len(a), step):
-            at = slice(start, start + step)
-            differ = self.left[a[at]] != self.left[b[at]]
-            head = np.where(differ.any(1), differ.argmax(1), self.width)
-            differ = (self.right[a[at]] != self.right[b[at]])[:, ::-1]
-            tail = np.where(differ.any(1), differ.argmax(1), self.width)
-            head, tail = np.minimum(head, shortest[at]), np.minimum(tail, shortest[at])
-            out[at] = (head + tail >= longest[at] - 1) & (head < longest[at]) & (longest[at] - shortest[at] <= 1)
-        for i in np.flatnonzero(longest > self.width):
-            out[i] = one_apart(self.words[a[i]], self.words[b[i]])
-        return out
-
-
 FOUND = "word string, n_near long, best_n long, best string"
 
 
@@ -224,21 +240,20 @@ def _best(frame: pd.DataFrame, table: np.ndarray, groups: int, depth: int, halve
     less, n = frame["less"].to_numpy(), frame["n"].to_numpy()
     first = pd.factorize(frame["key"])[0]
     levels = count_vectors(words, table, groups)[:, depth:]
-    told = Words(words)
     by_text = np.empty(len(words), np.int64)
     by_text[np.argsort(np.array(words, dtype=object), kind="stable")] = np.arange(len(words))
     near = np.zeros(len(words), np.int64)
+    from_rank = np.lexsort((by_text, -n))
     rank = np.empty(len(words), np.int64)
-    rank[np.lexsort((by_text, -n))] = np.arange(len(words))
-    from_rank = np.argsort(rank)
+    rank[from_rank] = np.arange(len(words))
     top = np.full(len(words), len(words), np.int64)
-    for a, b in search(levels, less, first):
-        kept = told.near(a, b)
+    for a, b in search(levels, less, first, Words(words)):
         if halves is not None:
-            kept &= _meet_here(frame, halves, a, b)
-        a, b = a[kept], b[kept]
-        near += np.bincount(a, minlength=len(words))
-        np.minimum.at(top, a, rank[b])
+            kept = _meet_here(frame, halves, a, b)
+            a, b = a[kept], b[kept]
+        for x, y in ((a, b), (b, a)):
+            np.add.at(near, x, 1)
+            np.minimum.at(top, x, rank[y])
     has = np.flatnonzero(near)
     best = from_rank[top[has]]
     return pd.DataFrame(
@@ -254,7 +269,7 @@ def _meet_here(frame: pd.DataFrame, halves: np.ndarray, a: np.ndarray, b: np.nda
     return ~second[a] | ~shared if len(a) else np.zeros(0, bool)
 
 
-def _searched(rows: DataFrame, table: np.ndarray, groups: int, depth: int, halved: bool) -> DataFrame:
+def _searched(rows: DataFrame, table: np.ndarray, groups: int, depth: int, halved: bool, together: int) -> DataFrame:
     """Streams sorted members, some whole subtrees at a time, through the trie search."""
     by = ["key"]
     columns = ["key", "word", "n", "less", *(["half", "size"] if halved else [])]
@@ -271,14 +286,12 @@ def _searched(rows: DataFrame, table: np.ndarray, groups: int, depth: int, halve
         for batch in batches:
             if not len(batch):
                 continue
-            if size >= TOGETHER:
-                keys = batch["key"].to_numpy()
-                same = int(np.argmax(keys != held[-1]["key"].iloc[-1])) if keys[-1] != held[-1]["key"].iloc[-1] else len(batch)
-                held.append(batch.iloc[:same])
-                if same < len(batch):
+            if size >= together:
+                others = np.flatnonzero(batch["key"].to_numpy() != held[-1]["key"].iloc[-1])
+                if len(others):  # the last subtree ends here
+                    held.append(batch.iloc[: others[0]])
                     yield made(pd.concat(held))
-                    held, size = [], 0
-                batch = batch.iloc[same:]
+                    held, size, batch = [], 0, batch.iloc[others[0] :]
             held.append(batch)
             size += len(batch)
         if size:
@@ -300,18 +313,20 @@ def _halved(rows: DataFrame) -> DataFrame:
     return rows.withColumn("key", key)
 
 
-def near_words(words: DataFrame, groups: int = GROUPS, most: int = SUBTREE, depth: int | None = None) -> DataFrame:
+def near_words(
+    words: DataFrame, groups: int = GROUPS, most: int = SUBTREE, depth: int | None = None, together: int = TOGETHER
+) -> DataFrame:
     """(word, n_near, best_n, best): of (word, n) those with near words, and the near word of largest n."""
     table = letter_groups(words, groups)
     depth = depth or choose_depth(words, table, groups, most)
     rows = land(members(words, table, groups, depth), "members")
     crowded = rows.groupBy("key").count().where(F.col("count") > most * (depth + 1)).select("key")
     if depth < groups or crowded.isEmpty():
-        found = _searched(rows, table, groups, depth, False)
+        found = _searched(rows, table, groups, depth, False, together)
     else:
-        calm = _searched(rows.join(crowded, "key", "left_anti"), table, groups, depth, False)
+        calm = _searched(rows.join(crowded, "key", "left_anti"), table, groups, depth, False, together)
         dense = _halved(rows.join(crowded, "key", "left_semi"))
-        found = calm.unionByName(_searched(dense, table, groups, depth, True))
+        found = calm.unionByName(_searched(dense, table, groups, depth, True, together))
     best = F.min(F.struct((-F.col("best_n")).alias("less"), "best")).alias("top")
     merged = found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best)
     return merged.select("word", "n_near", (-F.col("top.less")).alias("best_n"), F.col("top.best").alias("best"))
@@ -341,6 +356,7 @@ def spelling_variants(
     groups: int = GROUPS,
     most: int = SUBTREE,
     depth: int | None = None,
+    together: int = TOGETHER,
 ) -> DataFrame:
     """One row per word of ``docs``: word, form, root, n, n_near, form_n.
 
@@ -350,7 +366,7 @@ def spelling_variants(
     not read.
     """
     words = land(word_counts(docs, id_col, text_col), "words")
-    near = land(near_words(words, groups, most, depth), "near")
+    near = land(near_words(words, groups, most, depth, together), "near")
     rows = words.join(near, "word", "left")
     is_form = F.col("best_n") >= RATIO * F.col("n")
     rows = land(

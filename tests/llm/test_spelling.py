@@ -80,7 +80,7 @@ def test_variants_match_brute_force(llm, corpus):
     clash = frame.withColumns({c: F.lit("x") for c in ("word", "n", "key", "root", "form", "id", "run")}).repartition(4)
     want = naive(corpus)
     assert any(r[1] is not None and r[2] != r[1] for r in want) or any(r[1] for r in want)
-    for options in ({}, {"depth": 2}, {"groups": 6, "depth": 6}, {"most": 5}, {"groups": 3, "most": 1}):
+    for options in ({}, {"depth": 2}, {"groups": 6, "depth": 6}, {"most": 5}, {"groups": 3, "most": 1}, {"together": 30}):
         got = rows(spelling.spelling_variants(clash, **options))
         assert len(got) == len(set(got)) and set(got) == want, options
 
@@ -108,6 +108,8 @@ def test_one_apart_agrees_with_the_wide_comparison():
     told = spelling.Words(words)
     a, b = map(np.ravel, np.indices((len(words), len(words))))
     assert told.near(a, b).tolist() == [spelling.one_apart(words[i], words[j]) for i, j in zip(a, b)]
+    may = told.may_be_near(np.arange(len(words)), np.arange(len(words))).ravel()
+    assert may[told.near(a, b)].all() and not may.all()
     assert spelling.one_apart("abcdefg", "abcdefh") and not spelling.one_apart("abcdefg", "abdcefg")
 
 

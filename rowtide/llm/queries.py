@@ -15,6 +15,7 @@ from rowtide.llm import (
     html_extract,
     jaccard_join,
     lang_id,
+    lm_score,
     mixing,
     packing,
     spelling,
@@ -206,3 +207,8 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.repair_conversations(_table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(_table(spark, sf_dir, "documents"))

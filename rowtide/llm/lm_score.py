@@ -2,7 +2,7 @@ r"""Language-model scores of texts by a hashed maximum-entropy model.
 
 The next word is predicted in factors: its class, its bin within the class, itself
 within the bin. Class and bin are softmax layers over hashed features of the
-words before it (bigram, trigram, the word before the last, and n-grams of bins); the last
+words before it (bigram, the word before the last, and n-grams of bins); the last
 factor is the word's share of its bin. Frequent words have a bin of their own, all
 others share one by their last letters, and one bin stands for unknown words, trained on
 the words that occur once. All factors are normalised, so scores are probabilities
@@ -16,8 +16,8 @@ over the known words and one unknown one.
    the changes of all tasks are averaged per feature row, weighted by their gradients.
 4. The chunks are scored with the final weights.
 
-Weights have a fixed size (``ROWS`` by ``WAYS``, twice): 17 MB are broadcast
-and collected a round, whatever the corpus. Everything else stays distributed.
+Weights have a fixed size (``ROWS`` by ``CLASSES`` and by ``BINS``): 13 MB are
+broadcast and collected a round, whatever the corpus. Everything else stays distributed.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import land, release
-from rowtide.sources.storage import scratch_dir
+from rowtide.sources.storage import Storage, scratch_dir
 
 END = b"\n"  # no word holds white space
 FOLDS, HELD_OUT = 5, 1
@@ -45,13 +45,15 @@ CHUNK_BYTES = 16 << 20
 CHUNK_WORDS = 400_000
 
 # Classes, and bins of a class. The first half of the classes holds the bins of frequent words.
-WAYS = 32
-FREQUENT = WAYS * WAYS // 2  # with the unknown word, which is bin 0 of class 0
+CLASSES, BINS = 16, 32
+LEAVES = CLASSES * BINS
+FREQUENT = LEAVES // 2  # with the unknown word, which is bin 0 of class 0
 ROWS = 1 << 16  # feature rows of a layer; row numbers are 16-bit
-ROUNDS = 4
+ROUNDS = 3
 RATE = 0.25
 STEP = 8192  # tokens of a gradient step
 BLOCKS = 64  # parts the weights are averaged in
+LAYERS = (CLASSES, BINS)
 
 LOG10 = math.log(10.0)
 
@@ -61,6 +63,25 @@ def tokenise(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+class Numbers(dict):
+    """Numbers words in the order they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Word numbers, byte plane by byte plane, compressed."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(blob, count: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(blob, count * 4, codec="zstd"), np.uint8).reshape(4, count)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 CHUNK = (
     "chunk long, ids array<{kind}>, train array<boolean>, sizes array<long>, tokens binary, words array<binary>, seen array<long>"
 )
@@ -73,13 +94,13 @@ def chunks(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         ids, train, sizes, tokens, size = [], [], [], [], 0
-        known: dict[bytes, int] = {}
+        known = Numbers()
 
         def made() -> pa.RecordBatch:
             flat = np.concatenate(tokens)
             learned = np.repeat(np.array(train, bool), sizes)
             seen = np.bincount(flat[learned], minlength=len(known))
-            row = [number, ids, train, sizes, flat.astype("<u4").tobytes(), list(known), seen.tolist()]
+            row = [number, ids, train, sizes, pack(flat), list(known), seen.tolist()]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
         for batch in batches:
@@ -89,7 +110,7 @@ def chunks(docs: DataFrame) -> DataFrame:
             ]
             for ident, text, learn in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 own = tokenise(text)
-                tokens.append(np.array([known.setdefault(w, len(known)) for w in own], np.int64))
+                tokens.append(np.fromiter(map(known.__getitem__, own), np.int64, len(own)))
                 ids.append(ident)
                 train.append(learn)
                 sizes.append(len(own))
@@ -97,7 +118,7 @@ def chunks(docs: DataFrame) -> DataFrame:
                 if size >= CHUNK_BYTES or len(known) >= CHUNK_WORDS:
                     yield made()
                     number += 1
-                    ids, train, sizes, tokens, size, known = [], [], [], [], 0, {}
+                    ids, train, sizes, tokens, size, known = [], [], [], [], 0, Numbers()
         if ids:
             yield made()
 
@@ -115,13 +136,13 @@ class Leaves:
     """Which leaf (class and bin) a word has: its own if it is frequent, else that of its last two bytes."""
 
     def __init__(self, frequent: list[bytes]):
-        half = WAYS // 2
+        half = CLASSES // 2
         # ranks go round the classes, so that each has frequent and less frequent words
-        self.own = {w: (r % half) * WAYS + r // half for r, w in enumerate(frequent, 1)}
+        self.own = {w: (r % half) * BINS + r // half for r, w in enumerate(frequent, 1)}
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        own, half = self.own, WAYS // 2
-        rest = ((half + w[-1] % half) * WAYS + (w[-2] if len(w) > 1 else 0) % WAYS if w not in own else own[w] for w in words)
+        own, half = self.own, CLASSES // 2
+        rest = (own[w] if w in own else (half + w[-1] % half) * BINS + w[-2 if len(w) > 1 else -1] % BINS for w in words)
         return np.fromiter(rest, np.int64, len(words))
 
 
@@ -148,27 +169,27 @@ def start_model(counts: DataFrame) -> Model:
     frequent = [bytes(r["word"]) for r in top]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaves, total = Leaves(frequent), np.zeros((3, WAYS * WAYS))
+        leaves, total = Leaves(frequent), np.zeros((3, LEAVES))
         for batch in batches:
             leaf, c = leaves.of(batch.column(0).to_pylist()), batch.column(1).to_numpy().astype(float)
             for row, value in zip(total, (c + SMOOTH, np.where(c > 1, c, 0.0) + SMOOTH, (c == 1) * 1.0)):
-                row += np.bincount(leaf, value, WAYS * WAYS)
+                row += np.bincount(leaf, value, LEAVES)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(WAYS * WAYS)), *map(pa.array, total)], names=["leaf", "inside", "mass", "once"]
+            [pa.array(np.arange(LEAVES)), *map(pa.array, total)], names=["leaf", "inside", "mass", "once"]
         )
 
     sums = counts.mapInArrow(run, "leaf long, inside double, mass double, once double").groupBy("leaf")
     table = sums.agg(F.sum("inside").alias("inside"), F.sum("mass").alias("mass"), F.sum("once").alias("once")).collect()
-    inside, mass = np.zeros(WAYS * WAYS), np.zeros(WAYS * WAYS)
+    inside, mass = np.zeros(LEAVES), np.zeros(LEAVES)
     for row in table:
         inside[row["leaf"]], mass[row["leaf"]] = row["inside"], row["mass"]
     mass[0] = sum(row["once"] for row in table) + SMOOTH
     inside[0] = 1.0
-    bins = mass.reshape(WAYS, WAYS)
+    bins = mass.reshape(CLASSES, BINS)
     tiny = math.exp(-30.0)
     bias = tuple(np.log(np.maximum(m, tiny * mass.sum())).astype(np.float32) for m in (bins.sum(1), bins))
-    weights = tuple(np.zeros((ROWS, WAYS), np.float32) for _ in range(2))
-    return Model(n, v, frequent, inside, bias, weights, tuple(np.ones(ROWS, np.float32) for _ in range(2)))
+    weights = tuple(np.zeros((ROWS, ways), np.float32) for ways in LAYERS)
+    return Model(n, v, frequent, inside, bias, weights, tuple(np.ones(ROWS, np.float32) for _ in LAYERS))
 
 
 READY = "chunk long, ids array<{kind}>, train array<boolean>, sizes array<long>, tokens binary, hashes binary, leaves binary, counts array<long>"
@@ -225,32 +246,48 @@ class Sequence:
 
     def class_rows(self, s: slice) -> list[np.ndarray]:
         (a, b), (p, q) = [w[s] for w in self.word], [x[s] for x in self.bins]
-        pair = a * np.uint64(0x100000001B3) + b
-        return [_mix(a, 1), _mix(pair, 2), _mix(b, 3), _mix(p << np.uint64(16) | q, 4)]
+        return [_mix(a, 1), _mix(b, 2), _mix(p << np.uint64(16) | q, 3)]
 
     def bin_rows(self, s: slice, group: np.ndarray) -> list[np.ndarray]:
         a, p, g = self.word[0][s], self.bins[0][s], group.astype(np.uint64)
-        return [_mix(a << np.uint64(6) | g, 5), _mix(p << np.uint64(6) | g, 6)]
+        return [_mix(a << np.uint64(6) | g, 4), _mix(p << np.uint64(6) | g, 5)]
 
 
-def softmax(bias: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    """Log-probabilities of the ways, one row per token."""
+def softmax(bias: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Per token the probability of each way, and what its logarithm is short of the logits: (e, z) with p = e / e.sum."""
     z = bias + weights[rows[0]]
     for r in rows[1:]:
         z += weights[r]
     z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+    return np.exp(z), z
+
+
+def _chosen(parts: tuple[np.ndarray, np.ndarray], way: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the chosen ways."""
+    e, z = parts
+    return z[np.arange(len(way)), way] - np.log(e.sum(axis=1))
+
+
+def _gradient(parts: tuple[np.ndarray, np.ndarray], way: np.ndarray) -> np.ndarray:
+    """Of minus the log-likelihood, by logits."""
+    e, _ = parts
+    e /= e.sum(axis=1, keepdims=True)
+    e[np.arange(len(way)), way] -= 1.0
+    return e
 
 
 def _step(weights: np.ndarray, energy: np.ndarray, rows: np.ndarray, gradient: np.ndarray, rate: float) -> None:
     """Add the gradients per feature row and move the row against them, less the more it has moved."""
     order = np.argsort(rows, kind="stable")
     ordered = rows[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    total, at = np.add.reduceat(gradient[order], first, axis=0), ordered[first]
+    last = np.flatnonzero(np.concatenate([ordered[1:] != ordered[:-1], [True]]))
+    sums = np.cumsum(gradient[order], axis=0, dtype=np.float64)[last]
+    total = sums.astype(np.float32)
+    total[1:] = sums[1:] - sums[:-1]
+    at = ordered[last]
     energy[at] += np.einsum("ij,ij->i", total, total)
-    weights[at] -= rate * total / np.sqrt(energy[at])[:, None]
+    total *= (rate / np.sqrt(energy[at]))[:, None]
+    weights[at] -= total
 
 
 def train_chunk(model: Model, seq: Sequence, learned: np.ndarray, rate: float = RATE) -> None:
@@ -259,18 +296,13 @@ def train_chunk(model: Model, seq: Sequence, learned: np.ndarray, rate: float =
     places = np.flatnonzero(learned)
     for start in range(0, len(places), STEP):
         s = places[start : start + STEP]
-        group, way = np.divmod(target[s], WAYS)
-        at = np.arange(len(s))
-        rows = seq.class_rows(s)
-        gradient = np.exp(softmax(model.bias[0], model.weights[0], rows))
-        gradient[at, group] -= 1.0
-        for r in rows:
-            _step(model.weights[0], model.energy[0], r, gradient, rate)
-        rows = seq.bin_rows(s, group)
-        gradient = np.exp(softmax(model.bias[1][group], model.weights[1], rows))
-        gradient[at, way] -= 1.0
-        for r in rows:
-            _step(model.weights[1], model.energy[1], r, gradient, rate)
+        group, way = np.divmod(target[s], BINS)
+        for layer, (bias, rows, right) in enumerate(
+            ((model.bias[0], seq.class_rows(s), group), (model.bias[1][group], seq.bin_rows(s, group), way))
+        ):
+            gradient = _gradient(softmax(bias, model.weights[layer], rows), right)
+            for r in rows:
+                _step(model.weights[layer], model.energy[layer], r, gradient, rate)
 
 
 def token_scores(model: Model, seq: Sequence) -> np.ndarray:
@@ -278,10 +310,9 @@ def token_scores(model: Model, seq: Sequence) -> np.ndarray:
     out = np.empty(len(seq.leaf))
     for start in range(0, len(out), STEP):
         s = slice(start, min(start + STEP, len(out)))
-        group, way = np.divmod(seq.leaf[s], WAYS)
-        at = np.arange(len(group))
-        classes = softmax(model.bias[0], model.weights[0], seq.class_rows(s))[at, group]
-        bins = softmax(model.bias[1][group], model.weights[1], seq.bin_rows(s, group))[at, way]
+        group, way = np.divmod(seq.leaf[s], BINS)
+        classes = _chosen(softmax(model.bias[0], model.weights[0], seq.class_rows(s)), group)
+        bins = _chosen(softmax(model.bias[1][group], model.weights[1], seq.bin_rows(s, group)), way)
         inside = np.where(seq.leaf[s] == 0, 1.0, (seq.count[s] + SMOOTH) / model.inside[seq.leaf[s]])
         out[s] = (classes.astype(float) + bins) / LOG10 + np.log10(inside)
     return out
@@ -291,87 +322,95 @@ def _sequences(batches: Iterator[pa.RecordBatch]):
     """(batch, row, sequence) of every chunk."""
     for batch in batches:
         for i in range(batch.num_rows):
-            blob = {c: batch.column(c)[i].as_buffer() for c in ("tokens", "hashes", "leaves")}
             sizes = np.array(batch.column("sizes")[i].as_py(), np.int64)
             counts = batch.column("counts")[i].values.to_numpy()
-            token, hashes = np.frombuffer(blob["tokens"], "<u4"), np.frombuffer(blob["hashes"], "<u4")
-            yield batch, i, Sequence(sizes, token, hashes, np.frombuffer(blob["leaves"], "<u2").astype(np.int64), counts)
+            token = unpack(batch.column("tokens")[i].as_buffer(), int(sizes.sum()))
+            hashes = np.frombuffer(batch.column("hashes")[i].as_buffer(), "<u4")
+            leaves = np.frombuffer(batch.column("leaves")[i].as_buffer(), "<u2").astype(np.int64)
+            yield batch, i, Sequence(sizes, token, hashes, leaves, counts)
+
 
+CHANGE = "layer int, block int, trainer int, change binary, scale binary, energy binary"
 
-CHANGE = "block int, trainer int, change binary, energy binary"
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "binary": pa.binary()}
+    columns = [c.split() for c in schema.split(", ")]
+    arrays = [pa.array(values, kinds[kind]) for values, (_, kind) in zip(zip(*rows), columns)]
+    return pa.RecordBatch.from_arrays(arrays, names=[c for c, _ in columns])
 
 
 def _trained(ready: DataFrame, model: Model, trainers: int) -> DataFrame:
-    """Per task and block of rows: how the weights changed (half precision), and the squared gradients behind it."""
+    """Per task and block of rows: how the weights changed (bytes, scaled per row), and the squared gradients behind it."""
     shared = ready.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start: Model = shared.value
-        own = Model(
-            start.tokens, start.distinct, start.frequent, start.inside, start.bias,
-            tuple(w.copy() for w in start.weights), tuple(e.copy() for e in start.energy),
-        )
+        copies = (tuple(x.copy() for x in arrays) for arrays in (start.weights, start.energy))
+        own = replace(start, **dict(zip(("weights", "energy"), copies)))
         moved = False
         for batch, i, seq in _sequences(batches):
-            learned = np.repeat(np.array(batch.column("train")[i].as_py(), bool), seq.sizes)
-            train_chunk(own, seq, learned)
+            train_chunk(own, seq, np.repeat(np.array(batch.column("train")[i].as_py(), bool), seq.sizes))
             moved = True
-        if not moved:
-            return
-        change = np.concatenate([a - b for a, b in zip(own.weights, start.weights)])
-        energy = np.concatenate([a - b for a, b in zip(own.energy, start.energy)])
-        trainer = TaskContext.get().partitionId()
-        for block, (c, e) in enumerate(zip(np.split(change, BLOCKS), np.split(energy, BLOCKS))):
-            row = [[block], [trainer], [c.astype("<f2").tobytes()], [e.astype("<f4").tobytes()]]
-            types = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-            arrays = [pa.array(v, t) for v, t in zip(row, types)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["block", "trainer", "change", "energy"])
+        for layer in range(len(LAYERS)) if moved else ():
+            change, energy = own.weights[layer] - start.weights[layer], own.energy[layer] - start.energy[layer]
+            scale = np.maximum(np.abs(change).max(axis=1), 1e-20).astype("<f4") / 127
+            coded = np.rint(change / scale[:, None]).astype(np.int8)
+            parts = (np.split(x, BLOCKS) for x in (coded, scale, energy.astype("<f4")))
+            rows = [(layer, b, TaskContext.get().partitionId(), *(x.tobytes() for x in xs)) for b, xs in enumerate(zip(*parts))]
+            yield _batch(rows, CHANGE)
 
     return ready.coalesce(trainers).mapInArrow(run, CHANGE)
 
 
+MERGED = "layer int, block int, change binary, energy binary"
+
+
 def _averaged(changes: DataFrame) -> DataFrame:
     """Per block the changes of all tasks, averaged by the squared gradients of each row; they stream by in order."""
-    rows = changes.repartition("block").sortWithinPartitions("block", "trainer")
+    rows = changes.repartition("layer", "block").sortWithinPartitions("layer", "block", "trainer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["block", "change", "energy"]
         current, total, weight = None, None, None
 
         def made() -> pa.RecordBatch:
             change = (total / np.maximum(weight, 1e-12)[:, None]).astype("<f4").tobytes()
-            values = [[current], [change], [weight.astype("<f4").tobytes()]]
-            arrays = [pa.array(v, t) for v, t in zip(values, (pa.int32(), pa.binary(), pa.binary()))]
-            return pa.RecordBatch.from_arrays(arrays, names=names)
+            return _batch([(*current, change, weight.astype("<f4").tobytes())], MERGED)
 
         for batch in batches:
             for i in range(batch.num_rows):
-                block = batch.column(0)[i].as_py()
-                energy = np.frombuffer(batch.column(3)[i].as_buffer(), "<f4").astype(float)
-                change = np.frombuffer(batch.column(2)[i].as_buffer(), "<f2").astype(float).reshape(-1, WAYS)
-                if block != current:
+                place = (batch.column("layer")[i].as_py(), batch.column("block")[i].as_py())
+                coded, scale, energy = (
+                    np.frombuffer(batch.column(c)[i].as_buffer(), kind)
+                    for c, kind in (("change", np.int8), ("scale", "<f4"), ("energy", "<f4"))
+                )
+                if place != current:
                     if current is not None:
                         yield made()
-                    current, total, weight = block, np.zeros_like(change), np.zeros_like(energy)
-                total += change * energy[:, None]
+                    current, total, weight = place, np.zeros((len(scale), LAYERS[place[0]])), np.zeros(len(scale))
+                total += coded.reshape(len(scale), -1) * (scale * energy.astype(float))[:, None]
                 weight += energy
         if current is not None:
             yield made()
 
-    return rows.mapInArrow(run, "block int, change binary, energy binary")
+    return rows.mapInArrow(run, MERGED)
 
 
 def train(spark: SparkSession, read_round, model: Model, rounds: int = ROUNDS) -> Model:
     """``rounds`` rounds of updates; ``read_round(r)`` gives the chunks of a round."""
     trainers = spark.sparkContext.defaultParallelism
     for r in range(rounds):
-        merged = sorted(_averaged(_trained(read_round(r), model, trainers)).collect(), key=lambda x: x["block"])
-        if not merged:
-            continue
-        change = np.concatenate([np.frombuffer(x["change"], "<f4") for x in merged]).reshape(2, ROWS, WAYS)
-        energy = np.concatenate([np.frombuffer(x["energy"], "<f4") for x in merged]).reshape(2, ROWS)
-        model.weights = tuple(w + c for w, c in zip(model.weights, change))
-        model.energy = tuple(e + g for e, g in zip(model.energy, energy))
+        merged = sorted(_averaged(_trained(read_round(r), model, trainers)).collect(), key=lambda x: (x["layer"], x["block"]))
+        for layer, ways in enumerate(LAYERS if merged else ()):
+            own = [x for x in merged if x["layer"] == layer]
+            change = np.concatenate([np.frombuffer(x["change"], "<f4") for x in own]).reshape(ROWS, ways)
+            energy = np.concatenate([np.frombuffer(x["energy"], "<f4") for x in own])
+            model = replace(
+                model,
+                weights=tuple(w + change if i == layer else w for i, w in enumerate(model.weights)),
+                energy=tuple(e + energy if i == layer else e for i, e in enumerate(model.energy)),
+            )
+        release(spark)
     return model
 
 
@@ -412,13 +451,16 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"),
         (F.crc32(ident) % FOLDS != HELD_OUT).alias("train"),
     )
-    parts = land(chunks(rows), "chunks")
+    whole = scratch_dir(spark, "chunks")
+    chunks(rows).write.option("compression", "zstd").parquet(whole)
+    parts = spark.read.parquet(whole)
     counts = land(word_counts(parts), "counts")
     release(spark)
     model = start_model(counts)
     path = scratch_dir(spark, "ready")
     ready = with_counts(parts, counts, model).withColumn("round", F.pmod(F.xxhash64("chunk"), F.lit(rounds)).cast("int"))
     ready.write.partitionBy("round").option("compression", "zstd").parquet(path)
+    Storage(spark).delete(whole)  # all of it is in ``ready`` now
     release(spark)
     schema = ready.schema
 

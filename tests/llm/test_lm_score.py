@@ -93,13 +93,13 @@ def naive_scores(model, counts, text):
         a, p = (number(tokens[t - 1]), bins[t - 1]) if t else (1, 0)
         b, q = (number(tokens[t - 2]), bins[t - 2]) if t > 1 else (1, 0)
         z = model.bias[0].astype(float)
-        for row in (mix(a, 1), mix(a * 0x100000001B3 + b, 2), mix(b, 3), mix(p << 16 | q, 4)):
+        for row in (mix(a, 1), mix(b, 2), mix(p << 16 | q, 3)):
             z = z + model.weights[0][row]
         classes = np.exp(z) / np.exp(z).sum()
-        inside = np.zeros((32, 32))
-        for g in range(32):
+        inside = np.zeros((lm_score.CLASSES, lm_score.BINS))
+        for g in range(lm_score.CLASSES):
             z = model.bias[1][g].astype(float)
-            for row in (mix(a << 6 | g, 5), mix(p << 6 | g, 6)):
+            for row in (mix(a << 6 | g, 4), mix(p << 6 | g, 5)):
                 z = z + model.weights[1][row]
             inside[g] = np.exp(z) / np.exp(z).sum()
         both = (classes[:, None] * inside).ravel()
@@ -114,7 +114,7 @@ def test_scores_are_those_of_the_model_and_probabilities(trained):
     docs, counts, model, ready, _ = trained
     leaves = lm_score.Leaves(model.frequent)
     words = list(counts)
-    inside = np.bincount(leaves.of(words), [counts[w] + 0.5 for w in words], 32 * 32)
+    inside = np.bincount(leaves.of(words), [counts[w] + 0.5 for w in words], lm_score.LEAVES)
     assert np.allclose(inside[1:], model.inside[1:]) and inside[0] == 0  # shares in each leaf sum to one
     short = docs.orderBy(F.length("text")).limit(25).collect()
     got = {r[0]: r[-1] for r in lm_score.score(ready, model).collect()}
@@ -132,9 +132,8 @@ def test_gradient_step_is_that_of_the_log_likelihood():
     rng = np.random.default_rng(0)
     bias, weights = rng.normal(size=8).astype(np.float32), rng.normal(size=(6, 8)).astype(np.float64)
     rows, target = [np.array([0, 1, 1, 2]), np.array([3, 3, 4, 5])], np.array([1, 2, 2, 7])
-    loss = lambda w: -lm_score.softmax(bias, w, rows)[np.arange(4), target].sum()
-    gradient = np.exp(lm_score.softmax(bias, weights, rows))
-    gradient[np.arange(4), target] -= 1
+    loss = lambda w: -lm_score._chosen(lm_score.softmax(bias, w, rows), target).sum()
+    gradient = lm_score._gradient(lm_score.softmax(bias, weights, rows), target)
     moved, energy = weights.copy(), np.full(6, 1e12)
     for r in rows:
         lm_score._step(moved, energy, r, gradient, 1e6)

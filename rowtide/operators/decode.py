@@ -95,7 +95,7 @@ def _whole(rows: DataFrame, spec: TableSpec) -> Column:
     return F.col("_paired").isNull() | F.coalesce(_acceptable(spec, "_paired"), F.lit(False))
 
 
-def _rejected(rows: DataFrame, spec: TableSpec, good: Column, ordered: Column | None = None) -> DataFrame:
+def _rejected(rows: DataFrame, spec: TableSpec, good: Column, misplaced: Column | None = None) -> DataFrame:
     at, why = F.lit(None).cast("string"), F.lit(None).cast("string")
     for position, field in reversed(_must_decode(spec)):
         broken = _broken(spec, position, field)
@@ -103,27 +103,31 @@ def _rejected(rows: DataFrame, spec: TableSpec, good: Column, ordered: Column |
         reason = F.when(size.isNull(), "missing").when(size == 0, "empty").otherwise("malformed")
         at, why = F.when(broken, field.name).otherwise(at), F.when(broken, reason).otherwise(why)
     bad = ~F.coalesce(good, F.lit(False))
-    if ordered is not None:
-        why, bad = F.coalesce(why, F.lit("no_order")), bad | ~ordered
+    if misplaced is not None:
+        why, bad = F.coalesce(why, misplaced), bad | misplaced.isNotNull()
     return rows.where(bad).drop("_paired").select("*", at.alias("reject_field"), why.alias("reject_reason"))
 
 
-def decode_latest(feed: DataFrame, spec: TableSpec, **how) -> tuple[DataFrame, DataFrame]:
+def decode_latest(
+    feed: DataFrame, spec: TableSpec, since: int | None = None, **how
+) -> tuple[DataFrame, DataFrame]:
     """Last event per key, decoded, and the rejects of the whole feed.
 
     Events without a ``total_order`` have no place in change order: they are
-    rejected as ``no_order``. Else the same rows as the last by order of
+    rejected as ``no_order``, those with one below ``since`` as ``late``. Else the same rows as the last by order of
     ``decode_feed(.., split_key_changes=True)``, but only keys are decoded before the reduction; images are decoded once they
     have won, so a key changed a million times costs one decode.
     """
     images = record_images(feed, spec, split_key_changes=True)
-    good, ordered = _acceptable(spec), F.col("_order.total_order").isNotNull()
+    good, place = _acceptable(spec), F.col("_order.total_order")
+    misplaced = F.when(place.isNull(), "no_order")
+    misplaced = misplaced if since is None else misplaced.when(place < since, "late")
     keys = [(i, f) for i, f in enumerate(spec.fields) if f.name in spec.pk]
-    keyed = images.where(good & ordered & _whole(images, spec)).select(
+    keyed = images.where(good & misplaced.isNull() & _whole(images, spec)).select(
         "_op", "_order", "_image", *[wire.value(f, _cell(i)).alias(f"_key_{i}") for i, f in keys]
     )
     latest = last_wins(keyed, [f"_key_{i}" for i, _ in keys], ["_order"])
-    return _project(latest, spec, list(ENVELOPE), **how), _rejected(images, spec, good, ordered)
+    return _project(latest, spec, list(ENVELOPE), **how), _rejected(images, spec, good, misplaced)
 
 
 def decode_feed(

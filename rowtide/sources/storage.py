@@ -77,6 +77,10 @@ class Storage:
                 raise AlreadyExists(path) from err
             raise
 
+    def size(self, path: str) -> int:
+        """Bytes of all files below a directory."""
+        return self._fs(path).getContentSummary(self._path(path)).getLength()
+
     def delete(self, path: str) -> None:
         """Remove a file, or a directory with all it holds."""
         self._fs(path).delete(self._path(path), True)

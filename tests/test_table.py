@@ -1,5 +1,7 @@
 """The stored table: versions, mutations, conflicts, streaming, several tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,13 +55,14 @@ def test_versions(spark, table):
     assert [r["id"] for r in hits.collect()] == [2, 1, 0]
 
 
-def test_a_batch_rewrites_only_its_buckets(spark, table):
+def test_a_batch_writes_only_its_own_rows(spark, table):
     table.append(rows(spark, *[(i, "a") for i in range(40)]))
     first = next(iter(table.version().parts))
     table.upsert(rows(spark, (3, "b")))
+    table.delete(rows(spark, (4, "")))
     parts = table.version().parts
-    assert len(parts[first]) == 3 and sorted(sum(parts.values(), [])) == [0, 1, 2, 3]
-    assert table.read().count() == 40
+    assert len(parts[first].buckets) == 4 and [(p.kind, p.rows) for n, p in parts.items() if n != first] == [("run", 1)] * 2
+    assert table.count() == 39 and dict(content(table.read()))[3] == "b"
 
 
 def test_all_null_column_keeps_its_type(spark, tmp_path):
@@ -245,14 +248,19 @@ def test_ordered_batch_writes_do_not_grow_with_the_table(spark, tmp_path):
     assert written[0][0] == written[1][0] and abs(written[0][1] - written[1][1]) < 500
 
 
+def ordered_feed(spark, first, *events):
+    feed = make_feed(spark, *events)
+    order = F.col("txn.total_order") + first
+    return feed.withColumn("txn", F.struct(F.lit("t").alias("id"), order.alias("total_order"), F.lit(0).cast("long").alias("data_collection_order")))
+
+
 def test_deltas_fold_and_expire(spark, tmp_path, monkeypatch):
     from rowtide.plans import table as module
 
-    monkeypatch.setattr(module, "COMPACT_AT", 3)
+    monkeypatch.setattr(module, "FAN", 4)
     table = KeyedTable(spark, str(tmp_path), SPEC, buckets=1)
     for n, v in enumerate("abcd"):
-        feed = make_feed(spark, ("INSERT", [], image(1, v)), ("INSERT", [], image(n + 2, v)))
-        table.apply_feed(feed.withColumn("txn", F.struct(F.lit("t").alias("id"), F.lit(n).cast("long").alias("total_order"), F.lit(0).cast("long").alias("data_collection_order"))))
+        table.apply_feed(ordered_feed(spark, 10 * n, ("INSERT", [], image(1, v)), ("INSERT", [], image(n + 2, v))))
     assert table.version().deltas == [] and len(table.version().parts) == 1
     assert content(table.read()) == [(1, "d"), (2, "a"), (3, "b"), (4, "c"), (5, "d")]
     assert content(table.read(version=2)) == [(1, "b"), (2, "a"), (3, "b")]
@@ -261,6 +269,176 @@ def test_deltas_fold_and_expire(spark, tmp_path, monkeypatch):
     assert len(list((tmp_path / "acct" / "data").iterdir())) == 1
 
 
+def applied(rows, step):
+    """What a commit does to plain rows, in Python."""
+    kind, batch = step
+    if kind == "append":
+        return rows + batch
+    keys = {k for k, _ in batch}
+    if kind == "delete":
+        return [r for r in rows if r[0] is None or r[0] not in keys]
+    new = dict(batch)
+    met = {k for k, _ in rows}
+    return [(k, new[k]) if k in new and k is not None else (k, v) for k, v in rows] + [
+        (k, v) for k, v in batch if k is None or k not in met
+    ]
+
+
+def test_settled_runs_equal_rewritten_rows(spark, tmp_path, monkeypatch):
+    """Random commits, merged or not: every version reads as if each commit had rewritten the table."""
+    from rowtide.plans import table as module
+
+    monkeypatch.setattr(module, "FAN", 3)
+    monkeypatch.setattr(module, "FOLD_AT", 100)
+    rng = random.Random(11)
+    for attempt in range(3):
+        table = KeyedTable(spark, str(tmp_path / str(attempt)), SPEC, buckets=2)
+        want, history = [], {}
+        for step in range(9):
+            kind = rng.choice(["append", "upsert", "upsert", "delete"]) if step else "append"
+            keys = rng.sample(range(6), rng.randint(1, 4)) + ([None] if kind == "upsert" and rng.random() < 0.3 else [])
+            batch = [(k, f"{step}") for k in keys] * (2 if kind == "append" and rng.random() < 0.4 else 1)
+            getattr(table, kind)(rows(spark, *batch))
+            want = applied(want, (kind, batch))
+            history[max(n for n in table.versions() if table.version(n).operation != "layout")] = sorted(want, key=repr)
+        assert content(table.read()) == sorted(want, key=repr) and table.count() == len(want)
+        for number in rng.sample(sorted(history), 3):
+            assert content(table.read(number)) == history[number]
+        assert any(table.version(n).operation == "layout" for n in table.versions())
+        table.ensure_key_layout()
+        assert content(table.read()) == sorted(want, key=repr) and not table.version().deltas
+        assert table.key_ranges()["id"] == (min((k for k, _ in want if k is not None), default=None), max((k for k, _ in want if k is not None), default=None))
+
+
+def test_merges_cost_the_logarithm_of_the_table():
+    """Bytes written again per changed byte, over 200 and 3200 batches of the smallest size."""
+    from rowtide.plans.table import FAN, SMALLEST, Part, Version
+
+    for mode, kind in (("ordered", "ordered"), ("keyed", "run")):
+        cost = {}
+        version, written = Version(0, 4, mode=mode), 0
+        for n in range(1, 3201):
+            version.parts[f"p{n}"] = Part(kind, [0, 1], 2, n, 1, SMALLEST)
+            while due := version.due():
+                merged = [version.parts.pop(d) for d in due]
+                size = sum(p.bytes for p in merged)
+                version.parts[f"m{n}.{size}"] = Part("rows" if not version.parts else kind, [0, 1], 2, max(p.seq for p in merged), 1, size)
+                written += size
+            assert len(version.parts) < FAN * 6
+            cost[n] = written / (n * SMALLEST)
+        assert cost[200] < 6 and cost[3200] < 9
+
+
+def test_written_bytes_of_many_batches(spark, tmp_path):
+    """Small batches against a large table: merges leave the table alone until they weigh as much."""
+    table = KeyedTable(spark, str(tmp_path), SPEC, buckets=2)
+    table.append(spark.range(200_000).selectExpr("cast(id as int) AS id", "cast(uuid() as string) AS v"))
+    base = next(iter(table.version().parts))
+    largest = 0
+    for n in range(20):
+        before = _bytes_under(tmp_path)[1]
+        table.upsert(rows(spark, *[(i * 7919 + n, f"n{n}") for i in range(8)]))
+        largest = max(largest, _bytes_under(tmp_path)[1] - before)
+    assert base in table.version().parts and len(table.version().parts) < 12
+    assert largest * 20 < table.version().parts[base].bytes
+    assert table.count() == 200_000 and table.read().where("v like 'n%'").count() == 160
+
+
+def test_disjoint_writers_write_once_and_merges_yield(spark, tmp_path, monkeypatch):
+    table = KeyedTable(spark, str(tmp_path), SPEC, buckets=4)
+    table.append(rows(spark, *[(i, "a") for i in range(40)]))
+    rival = KeyedTable(spark, str(tmp_path), SPEC, buckets=4)
+    create, raced, written = Storage.create_text, [], []
+    write = KeyedTable._write_part
+    monkeypatch.setattr(KeyedTable, "_write_part", lambda self, *a, **k: written.append(a[2]) or write(self, *a, **k))
+
+    def late(self, path, text):
+        if not raced:
+            raced.append(path)
+            rival.upsert(rows(spark, (1, "r"), (2, "r")))
+        return create(self, path, text)
+
+    monkeypatch.setattr(Storage, "create_text", late)
+    table.upsert(rows(spark, (2, "b"), (3, "b")))
+    assert written == ["run", "run"]  # one write each; the loser came later and counts
+    assert dict(content(table.read())) | {1: "r", 2: "b", 3: "b"} == dict(content(table.read()))
+
+    def merged(self, path, text):  # another writer merges first
+        monkeypatch.setattr(Storage, "create_text", create)
+        rival.ensure_key_layout()
+        return create(self, path, text)
+
+    monkeypatch.setattr(Storage, "create_text", merged)
+    number = table.version().number
+    table.ensure_key_layout()
+    assert table.version().number == number + 1 and table.count() == 40 and table.version().deltas == []
+
+
+def test_watermark_forgets_deletions_and_rejects_late_events(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), SPEC, buckets=2)
+    table.apply_feed(ordered_feed(spark, 0, *[("INSERT", [], image(i, "a")) for i in range(50)]))
+    table.apply_feed(ordered_feed(spark, 100, *[("DELETE", image(i, "a"), []) for i in range(40)]))
+    table.ensure_key_layout()
+    assert table._state(table.version()).count() == 50 and table.count() == 10
+    table.advance_watermark(200)
+    table.advance_watermark(150)
+    assert table.version().watermark == 200
+    rejects = table.apply_feed(ordered_feed(spark, 199, ("INSERT", [], image(1, "late")), ("INSERT", [], image(2, "new"))))
+    assert [r["reject_reason"] for r in rejects.collect()] == ["late"]
+    table.ensure_key_layout()
+    assert table._state(table.version()).count() == 11 and (2, "new") in content(table.read())
+
+
+def test_changes_of_two_kinds_do_not_mix(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "o"), SPEC, buckets=2)
+    table.append(rows(spark, (1, "a")))
+    table.apply_feed(make_feed(spark, *EVENTS[:1]))
+    for change in (table.upsert, table.delete):
+        with pytest.raises(ValueError):
+            change(rows(spark, (1, "b")))
+    table.overwrite(rows(spark, (1, "b")))
+    table.upsert(rows(spark, (1, "c")))
+    with pytest.raises(ValueError):
+        table.apply_feed(make_feed(spark, *EVENTS[:1]))
+    assert content(table.read()) == [(1, "c")]
+
+
+def test_null_keys_never_enter_ordered_state(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), SPEC, buckets=2)
+    order = F.struct(F.col("n").alias("total_order"), F.lit(0).cast("long").alias("data_collection_order"), F.lit(0).alias("step"))
+    for n, v in enumerate("ab"):
+        events = spark.createDataFrame([(None, v, "INSERT", n), (1, v, "INSERT", n)], "id int, v string, _op string, n long")
+        table.apply_ordered(events.withColumn("_order", order).drop("n"))
+    assert content(table.read()) == [(1, "b")]
+
+
+def test_lookup_opens_few_files(spark, tmp_path, monkeypatch):
+    from rowtide.plans import table as module
+
+    monkeypatch.setattr(module, "FILE_BYTES", 40_000)
+    table = KeyedTable(spark, str(tmp_path), SPEC, buckets=2)
+    table.append(spark.range(30_000).selectExpr("cast(id as int) AS id", "cast(uuid() as string) AS v"))
+    table.upsert(rows(spark, (5, "five"), (70_000, "new")))
+    table.ensure_key_layout()
+    everything = table.read().inputFiles()
+    found = table.lookup(spark.createDataFrame([(5,), (70_000,), (99_999,), (None,)], "id int"))
+    assert content(found) == [(5, "five"), (70_000, "new")]
+    assert len(everything) > 8 and len(found.inputFiles()) <= 4
+    table.delete(rows(spark, (5, "")))
+    assert content(table.query({"id": 70_000})) == [(70_000, "new")] and table.query({"id": 5}).count() == 0
+    assert content(table.query({"v": "new"}, ["id"])) == [(70_000,)]
+
+
+def test_info_and_ranges_open_no_data_file(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), SPEC, buckets=2)
+    table.append(rows(spark, (7, "a"), (-2, "b"), (30, "c")))
+    table.upsert(rows(spark, (31, "d")))
+    table.ensure_key_layout()
+    for file in list((tmp_path / "acct" / "data").rglob("*.parquet")):
+        file.write_bytes(b"not read")
+    assert table.info()["record_count"] == 4 and table.key_ranges() == {"id": (-2, 31)}
+
+
 def test_stored_key_and_buckets_hold(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path), SPEC, buckets=16)
     table.append(rows(spark, *[(i, "a") for i in range(40)]))

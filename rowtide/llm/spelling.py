@@ -279,9 +279,11 @@ def _searched(rows: DataFrame, table: np.ndarray, groups: int, depth: int, halve
         held: list[pd.DataFrame] = []
         size = 0
 
-        def made(frame: pd.DataFrame) -> pd.DataFrame:
+        def made(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
             frame = frame.reset_index(drop=True)
-            return _best(frame, table, groups, depth, frame["size"].to_numpy() if halved else None)
+            found = _best(frame, table, groups, depth, frame["size"].to_numpy() if halved else None)
+            if len(found):
+                yield found
 
         for batch in batches:
             if not len(batch):
@@ -290,12 +292,12 @@ def _searched(rows: DataFrame, table: np.ndarray, groups: int, depth: int, halve
                 others = np.flatnonzero(batch["key"].to_numpy() != held[-1]["key"].iloc[-1])
                 if len(others):  # the last subtree ends here
                     held.append(batch.iloc[: others[0]])
-                    yield made(pd.concat(held))
+                    yield from made(pd.concat(held))
                     held, size, batch = [], 0, batch.iloc[others[0] :]
             held.append(batch)
             size += len(batch)
         if size:
-            yield made(pd.concat(held))
+            yield from made(pd.concat(held))
 
     return sorted_rows.mapInPandas(run, FOUND)
 

@@ -8,9 +8,11 @@ others share one by their last letters, and one bin stands for unknown words, tr
 the words that occur once. All factors are normalised, so scores are probabilities
 over the known words and one unknown one.
 
-1. Texts become chunks: word numbers of many documents and the chunk's own dictionary.
-2. The dictionaries are counted together and each gets its corpus counts back by a
-   join; what is shuffled grows with the distinct words of the chunks.
+1. Texts become chunks: word numbers of many documents and the chunk's own dictionary,
+   in which words are known by 62-bit hashes.
+2. Each chunk sends its sorted hashes, Rice coded, to the owners of hash ranges. An
+   owner adds up the counts and answers each chunk with the corpus counts of its words.
+   What is exchanged grows with the distinct words of the chunks.
 3. Training runs in rounds, each over its own share of the chunks. Every task starts from the
    broadcast weights and takes sparse gradient steps in numpy over its chunks;
    the changes of all tasks are averaged per feature row, weighted by their gradients.
@@ -23,17 +25,19 @@ broadcast and collected a round, whatever the corpus. Everything else stays dist
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import land, release
+from rowtide.llm.exact_dedup import rice_decode, rice_encode
 from rowtide.sources.storage import Storage, scratch_dir
 
 END = b"\n"  # no word holds white space
@@ -41,8 +45,11 @@ FOLDS, HELD_OUT = 5, 1
 SMOOTH = 0.5
 
 # A chunk ends after so many bytes of text or distinct words.
-CHUNK_BYTES = 16 << 20
-CHUNK_WORDS = 400_000
+CHUNK_BYTES = 8 << 20
+CHUNK_WORDS = 250_000
+HASH_BITS = 62
+# Dictionary entries an owner of hashes receives, about.
+OWNED = 1 << 20
 
 # Classes, and bins of a class. The first half of the classes holds the bins of frequent words.
 CLASSES, BINS = 16, 32
@@ -72,7 +79,7 @@ class Numbers(dict):
 
 
 def pack(numbers: np.ndarray) -> bytes:
-    """Word numbers, byte plane by byte plane, compressed."""
+    """Whole numbers below 2^32, byte plane by byte plane, compressed."""
     planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
     return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
@@ -82,8 +89,32 @@ def unpack(blob, count: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def hash_words(words: list[bytes]) -> np.ndarray:
+    digests = map(xxhash.xxh3_64_intdigest, words)
+    return (np.fromiter(digests, np.uint64, len(words)) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+
+
+def suffix_leaves(words: list[bytes]) -> np.ndarray:
+    """The leaf a word shares with others: class by its last byte, bin by the one before."""
+    half = CLASSES // 2
+    found = ((half + w[-1] % half) * BINS + w[-2 if len(w) > 1 else -1] % BINS for w in words)
+    return np.fromiter(found, np.int64, len(words))
+
+
+def leaves_of(hashes: np.ndarray, suffixes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """The leaf of each word: its own if it is frequent. Ranks go round the classes, so that each has frequent and rarer words."""
+    half = CLASSES // 2
+    order = np.argsort(frequent)
+    ranks = order + 1
+    own = (ranks % half) * BINS + ranks // half
+    at = np.minimum(np.searchsorted(frequent[order], hashes), max(0, len(frequent) - 1))
+    found = frequent[order][at] == hashes if len(frequent) else np.zeros(len(hashes), bool)
+    return np.where(found, own[at] if len(frequent) else 0, suffixes)
+
+
 CHUNK = (
-    "chunk long, ids array<{kind}>, train array<boolean>, sizes array<long>, tokens binary, words array<binary>, seen array<long>"
+    "chunk long, ids array<{kind}>, train array<boolean>, sizes array<long>, tokens binary, hashes binary, suffixes binary, "
+    "seen binary"
 )
 
 
@@ -97,20 +128,17 @@ def chunks(docs: DataFrame) -> DataFrame:
         known = Numbers()
 
         def made() -> pa.RecordBatch:
-            flat = np.concatenate(tokens)
-            learned = np.repeat(np.array(train, bool), sizes)
-            seen = np.bincount(flat[learned], minlength=len(known))
-            row = [number, ids, train, sizes, pack(flat), list(known), seen.tolist()]
+            flat, words = np.concatenate(tokens), list(known)
+            seen = np.bincount(flat[np.repeat(np.array(train, bool), sizes)], minlength=len(words))
+            blobs = [pack(flat), hash_words(words).astype("<i8").tobytes(), pack(suffix_leaves(words)), pack(seen)]
+            row = [number, ids, train, sizes, *blobs]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
         for batch in batches:
-            types = [
-                pa.int64(), pa.list_(batch.column(0).type), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary(),
-                pa.list_(pa.binary()), pa.list_(pa.int64()),
-            ]
+            types = [pa.int64(), pa.list_(batch.column(0).type), pa.list_(pa.bool_()), pa.list_(pa.int64()), *[pa.binary()] * 4]
             for ident, text, learn in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 own = tokenise(text)
-                tokens.append(np.fromiter(map(known.__getitem__, own), np.int64, len(own)))
+                tokens.append(np.fromiter(map(known.__getitem__, own), np.uint32, len(own)))
                 ids.append(ident)
                 train.append(learn)
                 sizes.append(len(own))
@@ -126,24 +154,63 @@ def chunks(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text", "train").mapInArrow(run, CHUNK.format(kind=kind))
 
 
-def word_counts(parts: DataFrame) -> DataFrame:
-    """(word, c): how often each word occurs in training documents."""
-    pairs = parts.select(F.explode(F.arrays_zip("words", "seen")).alias("w")).select("w.words", "w.seen")
-    return pairs.where("seen > 0").groupBy(F.col("words").alias("word")).agg(F.sum("seen").alias("c"))
+ASKED = "chunk long, owner int, n int, rice int, unary binary, rest binary, seen binary, suffixes binary"
+ANSWER = "chunk long, owner int, n int, counts binary, tokens long, words long, leaves binary, top binary"
+TOP = np.dtype([("c", "<i8"), ("hash", "<i8"), ("suffix", "<i8")])
 
 
-class Leaves:
-    """Which leaf (class and bin) a word has: its own if it is frequent, else that of its last two bytes."""
+def count_words(parts: DataFrame, owners: int) -> DataFrame:
+    """Per chunk and owner the corpus counts of the chunk's words there, by hash; per owner (chunk null) its sums.
 
-    def __init__(self, frequent: list[bytes]):
-        half = CLASSES // 2
-        # ranks go round the classes, so that each has frequent and less frequent words
-        self.own = {w: (r % half) * BINS + r // half for r, w in enumerate(frequent, 1)}
+    The sums: training tokens and distinct words, what its words weigh in their
+    suffix leaves (``WEIGHTS`` by leaf), and its most frequent words.
+    """
+    span = -(-(1 << HASH_BITS) // owners)
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        own, half = self.own, CLASSES // 2
-        rest = (own[w] if w in own else (half + w[-1] % half) * BINS + w[-2 if len(w) > 1 else -1] % BINS for w in words)
-        return np.fromiter(rest, np.int64, len(words))
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                hashes = np.frombuffer(batch.column("hashes")[i].as_buffer(), "<i8")
+                seen, suffixes = (unpack(batch.column(c)[i].as_buffer(), len(hashes)) for c in ("seen", "suffixes"))
+                order = np.argsort(hashes)
+                hashes, seen, suffixes = hashes[order], seen[order], suffixes[order]
+                cuts = np.searchsorted(hashes, np.arange(1, owners, dtype=np.int64) * span)
+                cuts = np.concatenate([[0], cuts, [len(hashes)]])
+                rows = []
+                for owner in np.flatnonzero(np.diff(cuts)):
+                    own = slice(cuts[owner], cuts[owner + 1])
+                    rice, unary, rest = rice_encode(hashes[own], int(owner) * span, span)
+                    sizes = (batch.column("chunk")[i].as_py(), int(owner), int(cuts[owner + 1] - cuts[owner]), rice)
+                    rows.append((*sizes, unary, rest, pack(seen[own]), pack(suffixes[own])))
+                yield _batch(rows, ASKED)
+
+    def answer(key: tuple, lists: pd.DataFrame) -> pd.DataFrame:
+        lists = lists.sort_values("chunk")
+        base = int(key[0]) * span
+        got = [rice_decode(r.n, r.rice, r.unary, r.rest, base) for r in lists.itertuples()]
+        values, first, at = np.unique(np.concatenate(got), return_index=True, return_inverse=True)
+        seen = np.concatenate([unpack(r.seen, r.n) for r in lists.itertuples()])
+        suffixes = np.concatenate([unpack(r.suffixes, r.n) for r in lists.itertuples()])[first].astype(np.int64)
+        c = np.bincount(at, seen, len(values)).astype(np.int64)
+        ends = np.cumsum([len(g) for g in got])
+        rows = [
+            (r.chunk, key[0], r.n, pack(np.minimum(c[at[e - r.n : e]], (1 << 32) - 1)), None, None, None, None)
+            for r, e in zip(lists.itertuples(), ends)
+        ]
+        known = np.flatnonzero(c)
+        best = known[np.lexsort((values[known], -c[known]))][: FREQUENT - 1]
+        top = np.array(list(zip(c[best], values[best], suffixes[best])), TOP)
+        leaves = np.stack([np.bincount(suffixes[known], w, LEAVES) for w in weights(c[known])])
+        rows.append((None, key[0], None, None, int(c.sum()), len(known), leaves.astype("<f8").tobytes(), top.tobytes()))
+        return pd.DataFrame(rows, columns=[x.split()[0] for x in ANSWER.split(", ")], dtype=object)
+
+    asked = parts.select("chunk", "hashes", "seen", "suffixes").mapInArrow(ask, ASKED)
+    return land(asked.groupBy("owner").applyInPandas(answer, ANSWER), "answers")
+
+
+def weights(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What known words add to their leaf: share inside it, mass of the leaf, mass of the unknown word."""
+    return c + SMOOTH, np.where(c > 1, c, 0.0) + SMOOTH, (c == 1) * 1.0
 
 
 @dataclass
@@ -152,7 +219,7 @@ class Model:
 
     tokens: int  # N
     distinct: int  # V
-    frequent: list[bytes]
+    frequent: np.ndarray  # hashes, most frequent first
     inside: np.ndarray  # per leaf: the sum of c + 0.5 over its words
     bias: tuple[np.ndarray, np.ndarray]  # of classes, of bins
     weights: tuple[np.ndarray, np.ndarray]
@@ -162,56 +229,73 @@ class Model:
         return np.log10((c + SMOOTH) / (self.tokens + SMOOTH * (self.distinct + 1)))
 
 
-def start_model(counts: DataFrame) -> Model:
+def start_model(answers: DataFrame) -> Model:
     """The model before training: every layer predicts by corpus counts alone."""
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.where("c > 1").orderBy(F.desc("c"), "word").limit(FREQUENT - 1).collect()
-    frequent = [bytes(r["word"]) for r in top]
+    sums = answers.where("chunk IS NULL")
+    n, v = sums.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaves, total = Leaves(frequent), np.zeros((3, LEAVES))
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per task: the sums of its owners, and the most frequent of their words."""
+        total, top = np.zeros((3, LEAVES)), np.zeros(0, TOP)
         for batch in batches:
-            leaf, c = leaves.of(batch.column(0).to_pylist()), batch.column(1).to_numpy().astype(float)
-            for row, value in zip(total, (c + SMOOTH, np.where(c > 1, c, 0.0) + SMOOTH, (c == 1) * 1.0)):
-                row += np.bincount(leaf, value, LEAVES)
+            for i in range(batch.num_rows):
+                total += np.frombuffer(batch.column(0)[i].as_buffer(), "<f8").reshape(3, LEAVES)
+                top = _best(np.concatenate([top, np.frombuffer(batch.column(1)[i].as_buffer(), TOP)]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(LEAVES)), *map(pa.array, total)], names=["leaf", "inside", "mass", "once"]
+            [pa.array([total.tobytes()], pa.binary()), pa.array([top.tobytes()], pa.binary())], names=["leaves", "top"]
         )
 
-    sums = counts.mapInArrow(run, "leaf long, inside double, mass double, once double").groupBy("leaf")
-    table = sums.agg(F.sum("inside").alias("inside"), F.sum("mass").alias("mass"), F.sum("once").alias("once")).collect()
-    inside, mass = np.zeros(LEAVES), np.zeros(LEAVES)
-    for row in table:
-        inside[row["leaf"]], mass[row["leaf"]] = row["inside"], row["mass"]
-    mass[0] = sum(row["once"] for row in table) + SMOOTH
-    inside[0] = 1.0
+    shape = "leaves binary, top binary"
+    few = sums.select("leaves", "top").mapInArrow(fold, shape).coalesce(1).mapInArrow(fold, shape).collect()
+    total, top = np.zeros((3, LEAVES)), np.zeros(0, TOP)
+    for row in few:
+        total = total + np.frombuffer(row["leaves"], "<f8").reshape(3, LEAVES)
+        top = _best(np.concatenate([top, np.frombuffer(row["top"], TOP)]))
+    top = top[top["c"] > 1]
+    frequent = np.ascontiguousarray(top["hash"]).astype(np.int64)
+    own = leaves_of(frequent, top["suffix"].astype(np.int64), frequent)
+    for sums_of, part in zip(total, weights(top["c"].astype(float))):  # frequent words move to leaves of their own
+        np.subtract.at(sums_of, top["suffix"].astype(np.int64), part)
+        np.add.at(sums_of, own, part)
+    inside, mass, once = total
+    mass[0], inside[0] = once.sum() + SMOOTH, 1.0
+    mass = np.where(inside > SMOOTH / 2, mass, 0.0)
     bins = mass.reshape(CLASSES, BINS)
     tiny = math.exp(-30.0)
     bias = tuple(np.log(np.maximum(m, tiny * mass.sum())).astype(np.float32) for m in (bins.sum(1), bins))
-    weights = tuple(np.zeros((ROWS, ways), np.float32) for ways in LAYERS)
-    return Model(n, v, frequent, inside, bias, weights, tuple(np.ones(ROWS, np.float32) for _ in LAYERS))
+    layers = tuple(np.zeros((ROWS, ways), np.float32) for ways in LAYERS)
+    return Model(n, v, frequent, inside, bias, layers, tuple(np.ones(ROWS, np.float32) for _ in LAYERS))
 
 
-READY = "chunk long, ids array<{kind}>, train array<boolean>, sizes array<long>, tokens binary, hashes binary, leaves binary, counts array<long>"
+def _best(top: np.ndarray) -> np.ndarray:
+    return top[np.lexsort((top["hash"], -top["c"]))][: FREQUENT - 1]
 
 
-def with_counts(parts: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
-    """Chunks whose dictionary holds corpus counts, leaves and hashes in place of the words."""
+READY = (
+    "chunk long, ids array<{kind}>, train array<boolean>, sizes array<long>, tokens binary, n int, hashes binary, leaves binary, "
+    "counts binary"
+)
+
+
+def with_counts(parts: DataFrame, answers: DataFrame, model: Model) -> DataFrame:
+    """Chunks whose dictionary holds corpus counts, leaves and short hashes."""
     kind = parts.schema["ids"].dataType.elementType.simpleString()
-    asked = parts.select("chunk", F.posexplode("words").alias("pos", "word"))
-    answers = asked.join(counts, "word", "left").select("chunk", "pos", F.coalesce("c", F.lit(0)).alias("c"))
-    lists = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("pos", "c"))).alias("w"))
-    lists = lists.select("chunk", F.col("w.c").alias("counts"))
+    told = F.sort_array(F.collect_list(F.struct("owner", "n", "counts"))).alias("told")
+    lists = answers.where("chunk IS NOT NULL").groupBy("chunk").agg(told)
     frequent = model.frequent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaves = Leaves(frequent)
         for batch in batches:
-            words = batch.column("words").to_pylist()
+            blobs = []
+            for i in range(batch.num_rows):
+                hashes = np.frombuffer(batch.column("hashes")[i].as_buffer(), "<i8")
+                suffixes = unpack(batch.column("suffixes")[i].as_buffer(), len(hashes))
+                counts = np.empty(len(hashes), np.int64)
+                counts[np.argsort(hashes)] = np.concatenate([unpack(t["counts"], t["n"]) for t in batch.column("told")[i].as_py()])
+                leaves = leaves_of(hashes, suffixes, frequent)
+                blobs.append((len(hashes), (hashes >> 30).astype("<u4").tobytes(), pack(leaves), pack(counts)))
             columns = [batch.column(c) for c in ("chunk", "ids", "train", "sizes", "tokens")]
-            columns.append(pa.array([np.array([zlib.crc32(w) for w in ws], "<u4").tobytes() for ws in words], pa.binary()))
-            columns.append(pa.array([leaves.of(ws).astype("<u2").tobytes() for ws in words], pa.binary()))
-            columns.append(batch.column("counts"))
+            columns += [pa.array(x, t) for x, t in zip(zip(*blobs), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in READY.split(", ")])
 
     return parts.drop("seen").join(lists, "chunk").mapInArrow(run, READY.format(kind=kind))
@@ -227,30 +311,28 @@ class Sequence:
     """The tokens of a chunk's documents with the features of their histories."""
 
     def __init__(self, sizes: np.ndarray, token: np.ndarray, hashes: np.ndarray, leaves: np.ndarray, counts: np.ndarray):
-        self.sizes, self.count = sizes, counts[token]
+        self.sizes, self.token, self.counts = sizes, token, counts
         self.starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-        self.leaf = np.where(self.count > 0, leaves[token], 0)
-        self.once = self.count == 1
-        number = hashes[token].astype(np.uint64) + np.uint64(3)
-        at = np.arange(len(token)) - np.repeat(self.starts, sizes)  # place in the document
-        self.word = [self._before(number, at, k, 1) for k in (1, 2)]
-        bins = leaves[token].astype(np.uint64) + np.uint64(1)
-        self.bins = [self._before(bins, at, k, 0) for k in (1, 2)]
-
-    @staticmethod
-    def _before(values: np.ndarray, at: np.ndarray, k: int, none: int) -> np.ndarray:
-        out = np.full(len(values), none, np.uint64)
-        out[k:] = values[:-k] if len(values) > k else out[k:]
-        out[at < k] = none
-        return out
-
-    def class_rows(self, s: slice) -> list[np.ndarray]:
-        (a, b), (p, q) = [w[s] for w in self.word], [x[s] for x in self.bins]
-        return [_mix(a, 1), _mix(b, 2), _mix(p << np.uint64(16) | q, 3)]
-
-    def bin_rows(self, s: slice, group: np.ndarray) -> list[np.ndarray]:
-        a, p, g = self.word[0][s], self.bins[0][s], group.astype(np.uint64)
-        return [_mix(a << np.uint64(6) | g, 4), _mix(p << np.uint64(6) | g, 5)]
+        self.at = np.full(len(token), 2, np.int8)  # place in the document, up to the third
+        self.at[self.starts[sizes > 1] + 1] = 1
+        self.at[self.starts] = 0
+        self.hashes, self.bins = hashes, leaves.astype(np.uint16)
+        self.target = np.where(counts > 0, leaves, 0)  # what scores are about: words nobody trained on are one
+        self.learned = np.where(counts > 1, leaves, 0)  # what is trained: words that occur once stand for these
+
+    def _before(self, s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Number and leaf of the word ``k`` before each place; 1 and 0 before the first."""
+        there = self.at[s] >= k
+        token = self.token[np.where(there, s - k, 0)]
+        number = np.where(there, self.hashes[token].astype(np.uint64) + np.uint64(3), np.uint64(1))
+        return number, np.where(there, self.bins[token].astype(np.uint64) + np.uint64(1), np.uint64(0))
+
+    def rows(self, s: np.ndarray, group: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Feature rows of the class layer and of the bin layer, at the places ``s``."""
+        (a, p), (b, q) = self._before(s, 1), self._before(s, 2)
+        g = group.astype(np.uint64)
+        six = np.uint64(6)
+        return [_mix(a, 1), _mix(b, 2), _mix(p << np.uint64(16) | q, 3)], [_mix(a << six | g, 4), _mix(p << six | g, 5)]
 
 
 def softmax(bias: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -292,29 +374,28 @@ def _step(weights: np.ndarray, energy: np.ndarray, rows: np.ndarray, gradient: n
 
 def train_chunk(model: Model, seq: Sequence, learned: np.ndarray, rate: float = RATE) -> None:
     """One pass of gradient steps over the tokens of training documents; words that occur once train the unknown bin."""
-    target = np.where(seq.once, 0, seq.leaf)
     places = np.flatnonzero(learned)
     for start in range(0, len(places), STEP):
         s = places[start : start + STEP]
-        group, way = np.divmod(target[s], BINS)
-        for layer, (bias, rows, right) in enumerate(
-            ((model.bias[0], seq.class_rows(s), group), (model.bias[1][group], seq.bin_rows(s, group), way))
-        ):
-            gradient = _gradient(softmax(bias, model.weights[layer], rows), right)
-            for r in rows:
+        group, way = np.divmod(seq.learned[seq.token[s]], BINS)
+        rows = seq.rows(s, group)
+        for layer, (bias, right) in enumerate(((model.bias[0], group), (model.bias[1][group], way))):
+            gradient = _gradient(softmax(bias, model.weights[layer], rows[layer]), right)
+            for r in rows[layer]:
                 _step(model.weights[layer], model.energy[layer], r, gradient, rate)
 
 
 def token_scores(model: Model, seq: Sequence) -> np.ndarray:
     """log10 of the probability of every token."""
-    out = np.empty(len(seq.leaf))
+    out = np.empty(len(seq.token))
+    inside = np.log10(np.where(seq.target == 0, 1.0, (seq.counts + SMOOTH) / np.maximum(model.inside[seq.target], SMOOTH / 2)))
     for start in range(0, len(out), STEP):
-        s = slice(start, min(start + STEP, len(out)))
-        group, way = np.divmod(seq.leaf[s], BINS)
-        classes = _chosen(softmax(model.bias[0], model.weights[0], seq.class_rows(s)), group)
-        bins = _chosen(softmax(model.bias[1][group], model.weights[1], seq.bin_rows(s, group)), way)
-        inside = np.where(seq.leaf[s] == 0, 1.0, (seq.count[s] + SMOOTH) / model.inside[seq.leaf[s]])
-        out[s] = (classes.astype(float) + bins) / LOG10 + np.log10(inside)
+        s = np.arange(start, min(start + STEP, len(out)))
+        group, way = np.divmod(seq.target[seq.token[s]], BINS)
+        rows = seq.rows(s, group)
+        classes = _chosen(softmax(model.bias[0], model.weights[0], rows[0]), group)
+        bins = _chosen(softmax(model.bias[1][group], model.weights[1], rows[1]), way)
+        out[s] = (classes.astype(float) + bins) / LOG10 + inside[seq.token[s]]
     return out
 
 
@@ -322,19 +403,17 @@ def _sequences(batches: Iterator[pa.RecordBatch]):
     """(batch, row, sequence) of every chunk."""
     for batch in batches:
         for i in range(batch.num_rows):
-            sizes = np.array(batch.column("sizes")[i].as_py(), np.int64)
-            counts = batch.column("counts")[i].values.to_numpy()
-            token = unpack(batch.column("tokens")[i].as_buffer(), int(sizes.sum()))
-            hashes = np.frombuffer(batch.column("hashes")[i].as_buffer(), "<u4")
-            leaves = np.frombuffer(batch.column("leaves")[i].as_buffer(), "<u2").astype(np.int64)
-            yield batch, i, Sequence(sizes, token, hashes, leaves, counts)
+            blob = {c: batch.column(c)[i].as_buffer() for c in ("tokens", "hashes", "leaves", "counts")}
+            sizes, n = np.array(batch.column("sizes")[i].as_py(), np.int64), batch.column("n")[i].as_py()
+            leaves, counts = (unpack(blob[c], n).astype(np.int64) for c in ("leaves", "counts"))
+            yield batch, i, Sequence(sizes, unpack(blob["tokens"], int(sizes.sum())), np.frombuffer(blob["hashes"], "<u4"), leaves, counts)
 
 
 CHANGE = "layer int, block int, trainer int, change binary, scale binary, energy binary"
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "binary": pa.binary()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
     columns = [c.split() for c in schema.split(", ")]
     arrays = [pa.array(values, kinds[kind]) for values, (_, kind) in zip(zip(*rows), columns)]
     return pa.RecordBatch.from_arrays(arrays, names=[c for c, _ in columns])
@@ -425,7 +504,8 @@ def score(ready: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Model = shared.value
         for batch, i, seq in _sequences(batches):
-            sums = [np.add.reduceat(v, seq.starts) for v in ((seq.count > 0) * 1, own.base(seq.count), token_scores(own, seq))]
+            values = ((seq.counts > 0)[seq.token] * 1, own.base(seq.counts)[seq.token], token_scores(own, seq))
+            sums = [np.add.reduceat(v, seq.starts) for v in values]
             held = ~np.array(batch.column("train")[i].as_py(), bool)
             ids = batch.column("ids")[i].values
             total = np.full(len(held), own.tokens, np.int64)
@@ -454,11 +534,12 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = scratch_dir(spark, "chunks")
     chunks(rows).write.option("compression", "zstd").parquet(whole)
     parts = spark.read.parquet(whole)
-    counts = land(word_counts(parts), "counts")
+    entries = parts.agg(F.coalesce(F.sum(F.octet_length("hashes")), F.lit(0))).first()[0] // 8
+    answers = count_words(parts, max(1, math.ceil(entries / OWNED)))
     release(spark)
-    model = start_model(counts)
+    model = start_model(answers)
     path = scratch_dir(spark, "ready")
-    ready = with_counts(parts, counts, model).withColumn("round", F.pmod(F.xxhash64("chunk"), F.lit(rounds)).cast("int"))
+    ready = with_counts(parts, answers, model).withColumn("round", F.pmod(F.xxhash64("chunk"), F.lit(rounds)).cast("int"))
     ready.write.partitionBy("round").option("compression", "zstd").parquet(path)
     Storage(spark).delete(whole)  # all of it is in ``ready`` now
     release(spark)

@@ -70,24 +70,28 @@ def trained(llm):
     docs = llm.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id id", "CAST(coalesce(text, '') AS binary) text")
     docs = docs.withColumn("train", F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 1)
     parts = lm_score.chunks(docs).cache()
-    counts = lm_score.word_counts(parts).cache()
-    model = lm_score.start_model(counts)
-    ready = lm_score.with_counts(parts, counts, model).cache()
+    answers = lm_score.count_words(parts, 5)
+    model = lm_score.start_model(answers)
+    ready = lm_score.with_counts(parts, answers, model).cache()
+    counts = Counter(t for r in docs.where("train").collect() for t in lm_score.tokenise(bytes(r["text"])))
     before = {r[0]: r[-1] for r in lm_score.score(ready, model).collect()}
     model = lm_score.train(llm, lambda r: ready, model, rounds=2)
-    return docs, {bytes(r["word"]): r["c"] for r in counts.collect()}, model, ready, before
+    return docs, counts, model, ready, before
+
+
+def leaves(model, words):
+    return lm_score.leaves_of(lm_score.hash_words(words), lm_score.suffix_leaves(words), model.frequent).tolist()
 
 
 def naive_scores(model, counts, text):
     """Token by token with plain sums, from the model's arrays; also the total probability after each history."""
-    leaves = lm_score.Leaves(model.frequent)
     words = list(counts)
-    leaf_of = dict(zip(words, leaves.of(words).tolist()))
+    leaf_of = dict(zip(words, leaves(model, words)))
     one = lambda x: np.array([x], np.uint64)
     mix = lambda x, salt: int(lm_score._mix(one(x % 2**64), salt)[0])
-    number = lambda w: zlib.crc32(w) + 3
+    number = lambda w: int(lm_score.hash_words([w])[0] >> 30) + 3
     tokens = lm_score.tokenise(text)
-    bins = [int(x) + 1 for x in leaves.of(tokens)]
+    bins = [x + 1 for x in leaves(model, tokens)]
     total = 0.0
     for t, token in enumerate(tokens):
         a, p = (number(tokens[t - 1]), bins[t - 1]) if t else (1, 0)
@@ -112,9 +116,10 @@ def naive_scores(model, counts, text):
 
 def test_scores_are_those_of_the_model_and_probabilities(trained):
     docs, counts, model, ready, _ = trained
-    leaves = lm_score.Leaves(model.frequent)
     words = list(counts)
-    inside = np.bincount(leaves.of(words), [counts[w] + 0.5 for w in words], lm_score.LEAVES)
+    assert {lm_score.hash_words([w])[0] for w, _ in counts.most_common(50)} <= set(model.frequent)
+    assert len(set(leaves(model, words)) & set(range(lm_score.LEAVES // 2))) == len(model.frequent)
+    inside = np.bincount(leaves(model, words), [counts[w] + 0.5 for w in words], lm_score.LEAVES)
     assert np.allclose(inside[1:], model.inside[1:]) and inside[0] == 0  # shares in each leaf sum to one
     short = docs.orderBy(F.length("text")).limit(25).collect()
     got = {r[0]: r[-1] for r in lm_score.score(ready, model).collect()}

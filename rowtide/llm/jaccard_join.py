@@ -17,11 +17,16 @@ in a third of all documents is no reason to compare them. Which shingles those
 are is read off counts over all documents in a table of fixed size; any choice
 is lossless.
 
-Equal sets are one node from the start. Large groups of near copies are closed
-in before pairs are enumerated: every node is first compared with the most
-connected node of its buckets, and only nodes that are still apart are paired.
-Sizes and parity sketches rule out most pairs that share a signature by chance;
-every pair that is left is verified on the whole sets.
+Most signatures occur once. Tasks first send their hashes, Rice coded, to the owners
+of hash ranges, and a Bloom filter of those that came twice tells which rows to shuffle.
+
+Equal sets are one node from the start. Every node is first compared with the
+most connected node of its buckets, which closes in most groups of near copies.
+Nodes still apart from that hub's group form a cell with it: all nodes of a bucket lie in one
+cell, whatever other buckets they share. Inside a cell, blocks of outsiders meet
+blocks of nodes in one task each. Sizes and parity sketches tell which nodes can have
+a partner there at all; the whole sets of these are compared through an index of
+their shingles, and a task returns only links that join two groups, never its pairs.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import (
@@ -44,12 +49,19 @@ from rowtide.llm.common import (
     land,
     release,
 )
+from rowtide.llm.exact_dedup import rice_decode, rice_encode
 
 SUB_PARTS = 2
 # Cuts a set enumerates at most; the last one sends empty choices too.
 LEVELS = 5
-# Rounds that compare nodes with the hub of a bucket before the remaining pairs are listed.
-HUB_ROUNDS = 1
+# Nodes of a cell that are compared with each other in one task: by sketches, by whole sets.
+SKETCH_BLOCK = 4000
+SET_BLOCK = 500
+# Signatures a set has, at most on average; only the size of the exchange depends on it.
+SIGNATURES = 512
+# Signature hashes an owner receives, about, and a task holds before it sends them.
+OWNED = 1 << 21
+HELD = 1 << 20
 # Cells of the parity sketch that rules pairs out before their sets are looked at.
 SKETCH_CELLS = 512
 SKETCH = [f"p{i}" for i in range(SKETCH_CELLS // 64)]
@@ -245,34 +257,87 @@ def _sets(docs: DataFrame, text_col: str, words: int) -> DataFrame:
     return docs.mapInPandas(measure, f"id {kind}, n long, node long, {sketch}")
 
 
-def _signature_rows(texts: DataFrame, words: int, scheme: PartEnum) -> DataFrame:
-    common = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, words))
+def _signatures(batches, words: int, scheme: PartEnum, common: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(signatures, node of each) per batch; a set is enumerated once as long as it is remembered."""
+    seen: set[int] = set()
+    for batch in batches:
+        codes, nodes, counts = [], [], []
+        for features in shingle_sets(_column(batch), words):
+            if not len(features):
+                continue
+            node = set_hash(features)
+            if node in seen:
+                continue
+            if len(seen) >= CACHE:
+                seen.clear()
+            seen.add(node)
+            own = scheme.signatures(features, common)
+            codes.append(own)
+            nodes.append(node)
+            counts.append(len(own))
+        if codes:
+            yield np.concatenate(codes), np.repeat(np.array(nodes, np.int64), counts)
+
+
+def shared_signatures(texts: DataFrame, words: int, scheme: PartEnum, common, rows: int) -> DataFrame:
+    """``h``: the short hashes of signatures that came from more than one set, and a few others by chance."""
+    bits = min(62, int(np.ceil(np.log2(max(2, rows) * SIGNATURES))) + 4)
+    owners = max(1, rows * SIGNATURES // OWNED)
+    span = -(-(1 << bits) // owners)
+
+    def send(batches):
+        held, size = [], 0
+
+        def rows_of():
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            cuts = np.searchsorted(values, np.arange(1, owners, dtype=np.int64) * span)
+            cuts = np.concatenate([[0], cuts, [len(values)]])
+            for owner in np.flatnonzero(np.diff(cuts)):
+                own = slice(cuts[owner], cuts[owner + 1])
+                rice, unary, rest = rice_encode(values[own], int(owner) * span, span)
+                twice = np.packbits((counts[own] > 1).astype(np.uint8)).tobytes()
+                yield int(owner), len(values[own]), rice, unary, rest, twice
+
+        def batch():
+            return pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows_of()], schema=schema)
+
+        for codes, _ in _signatures(batches, words, scheme, common.value):
+            held.append((codes >> np.uint64(64 - bits)).astype(np.int64))
+            size += len(codes)
+            if size >= HELD:
+                yield batch()
+                held, size = [], 0
+        if size:
+            yield batch()
+
+    schema = pa.schema(
+        [("owner", pa.int32()), ("n", pa.int32()), ("rice", pa.int32())] + [(c, pa.binary()) for c in ("unary", "rest", "twice")]
+    )
+
+    def meet(key: tuple, lists: pd.DataFrame) -> pd.DataFrame:
+        base = int(key[0]) * span
+        got = [rice_decode(r.n, r.rice, r.unary, r.rest, base) for r in lists.itertuples()]
+        twice = [v[np.unpackbits(np.frombuffer(r.twice, np.uint8))[: r.n].astype(bool)] for v, r in zip(got, lists.itertuples())]
+        values, senders = np.unique(np.concatenate(got), return_counts=True)
+        return pd.DataFrame({"h": np.union1d(values[senders > 1], np.concatenate(twice))})
+
+    sent = texts.mapInArrow(send, "owner int, n int, rice int, unary binary, rest binary, twice binary")
+    return land(sent.groupBy("owner").applyInPandas(meet, "h long"), "shared")
+
+
+def _signature_rows(texts: DataFrame, words: int, scheme: PartEnum, rows: int) -> DataFrame:
+    """(sig, node) of the signatures that may occur in several sets; the others never leave their task."""
+    spark = texts.sparkSession
+    common = spark.sparkContext.broadcast(common_shingles(texts, words))
+    hashes = shared_signatures(texts, words, scheme, common, rows)
+    release(spark)
+    bits = min(62, int(np.ceil(np.log2(max(2, rows) * SIGNATURES))) + 4)
+    filter_words = spark.sparkContext.broadcast(bloom_build(hashes, hashes.count(), 16, MAX_FILTER_BITS))
 
     def enumerate_(batches):
-        seen: set[int] = set()
-        for batch in batches:
-            codes, nodes, counts = [], [], []
-            for features in shingle_sets(_column(batch), words):
-                if not len(features):
-                    continue
-                node = set_hash(features)
-                if node in seen:
-                    continue
-                if len(seen) >= CACHE:
-                    seen.clear()
-                seen.add(node)
-                own = scheme.signatures(features, common.value)
-                codes.append(own)
-                nodes.append(node)
-                counts.append(len(own))
-            if codes:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(codes).view(np.int64)),
-                        pa.array(np.repeat(np.array(nodes, np.int64), counts)),
-                    ],
-                    names=["sig", "node"],
-                )
+        for codes, nodes in _signatures(batches, words, scheme, common.value):
+            kept = bloom_has(filter_words.value, (codes >> np.uint64(64 - bits)).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(codes[kept].view(np.int64)), pa.array(nodes[kept])], names=["sig", "node"])
 
     return texts.mapInArrow(enumerate_, "sig long, node long")
 
@@ -356,84 +421,201 @@ def links(texts: DataFrame, facts: DataFrame, words: int, part: int, whole: int)
 
     ``facts``: n and sketch per node.
     """
-    rows = _signature_rows(texts, words, PartEnum(part, whole))
-    bucket = Window.partitionBy("sig")
-    rows = rows.withColumns({"low": F.min("node").over(bucket), "high": F.max("node").over(bucket)})
-    # Rows of a bucket are together already, so distinct ones need no further shuffle.
-    shared = land(rows.where("low < high").select("sig", "node").distinct(), "buckets")
-    del rows
-    release(texts.sparkSession)  # the exchange of all signatures is the largest there is
-    degrees = shared.groupBy("node").agg(F.count("*").alias("degree"))
+    spark = texts.sparkSession
+    rows = _signature_rows(texts, words, PartEnum(part, whole), texts.count()).distinct()
+    rows = land(rows, "signatures")
+    several = rows.groupBy("sig").agg(F.count("*").alias("size")).where("size > 1")
+    members = land(rows.join(several.select("sig"), "sig", "left_semi"), "buckets")
+    release(spark)
+    degrees = members.groupBy("node").agg(F.count("*").alias("degree"))
     if degrees.isEmpty():
         return None
-    members = land(shared.join(degrees, "node"), "members")
+    members = land(members.join(degrees, "node"), "members")
     candidates = facts.join(degrees.select("node"), "node", "left_semi")
     possible = _Possible(land(candidates, "facts"), part, whole)
-    labels, tested = None, None  # at first every node is a group of its own
-    for _ in range(HUB_ROUNDS):
-        pairs = land(_hub_pairs(members, labels, tested, possible), "pairs")
-        release(texts.sparkSession)
-        found = _verify(pairs, texts, words, part, whole)
-        tested = found if tested is None else land(tested.unionByName(found), "tested")
-        own = labels or land(degrees.select("node", F.col("node").alias("label")), "labels")
-        labels = _relabel(own, found)
-        release(texts.sparkSession)
-    rest = _verify(land(_remaining_pairs(members, labels, tested, possible), "pairs"), texts, words, part, whole)
-    return tested.unionByName(rest).where("linked").select("a", "b")
-
-
-def _mixed(members: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Members with label, and per bucket with several labels its most connected member."""
-    named = members.withColumn("label", F.col("node")) if labels is None else members.join(labels, "node")
+    pairs = land(_hub_pairs(members, possible), "pairs")
+    release(spark)
+    found = _verify(pairs, texts, words, part, whole).where("linked").select("a", "b")
+    labels = _relabel(land(degrees.select("node", F.col("node").alias("label")), "labels"), found)
+    release(spark)
+    return found.unionByName(_cell_links(members, labels, possible, texts, words, part, whole))
+
+
+def _hub_pairs(members: DataFrame, possible: _Possible) -> DataFrame:
+    """For each node one pair: with the most connected node of its buckets."""
+    tops = members.groupBy("sig").agg(F.max(F.struct("degree", "node")).alias("top"))
+    apart = members.join(tops, "sig").where(F.col("node") != F.col("top.node"))
+    apart = apart.groupBy("node", F.col("top.node").alias("hub")).agg(F.max("top.degree").alias("degree"))
+    apart = possible.filter(apart, "node", "hub")
+    best = apart.groupBy("node").agg(F.max(F.struct("degree", "hub")).alias("best"))
+    hub = F.col("best.hub")
+    return best.select(F.least("node", hub).alias("a"), F.greatest("node", hub).alias("b")).distinct()
+
+
+CELL = ["cell", "asked", "held"]
+
+
+def _cell_links(
+    members: DataFrame, labels: DataFrame, possible: _Possible, texts: DataFrame, words: int, part: int, whole: int
+) -> DataFrame:
+    """Links between the groups of buckets that still hold several, enough to join all that are similar."""
+    named = members.join(labels, "node")
     tops = named.groupBy("sig").agg(
         F.max(F.struct("degree", "node", "label")).alias("top"), F.min("label").alias("low"), F.max("label").alias("high")
     )
-    return named, tops.where("low < high").select("sig", "top")
+    mixed = tops.where("low < high").select("sig", F.col("top.label").alias("cell"))
+    rows = land(named.join(mixed, "sig").select("cell", "node", "label").distinct(), "cells")
+    facts = rows.join(possible.of("node", "f"), "node")
+    met = land(_streamed(_dealt(facts, SKETCH_BLOCK), _possible_nodes(part, whole), "cell long, node long, label long"), "met")
+    rows = land(met.distinct(), "partners")
+    release(texts.sparkSession)
+    count = rows.count()
+    if not count:
+        return rows.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    nodes = rows.select("node").distinct()
+    sets = _candidate_sets(texts, words, bloom_build(nodes, count, 16, MAX_FILTER_BITS))
+    rows = _dealt(rows, SET_BLOCK).join(land(sets.join(nodes, "node", "left_semi"), "sets"), "node")
+    return land(_streamed(rows, _forest(part, whole), "a long, b long").distinct(), "links")
+
+
+def _dealt(rows: DataFrame, block: int) -> DataFrame:
+    """Rows of cells dealt to tasks: each block of outsiders meets each block of all nodes.
+
+    ``asks`` marks the outsiders of a task; they are among its nodes in one of the tasks only.
+    """
+    outside = F.col("label") != F.col("cell")
+    sizes = rows.groupBy("cell").agg(F.count("*").alias("all"), F.count_if(outside).alias("out"))
+    sizes = sizes.where("out > 0").select(
+        "cell", F.ceil(F.col("all") / block).cast("int").alias("helds"), F.ceil(F.col("out") / block).cast("int").alias("askeds")
+    )
+    rows = rows.join(sizes, "cell")
+    place = F.xxhash64("node", "cell")
 
+    def spread(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-def _untested(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
-    return pairs if tested is None else pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    columns = [c for c in rows.columns if c not in ("helds", "askeds")]
+    asking = rows.where(outside).select(*columns, F.pmod(place, "askeds").cast("int").alias("asked"), spread("helds").alias("held"))
+    held = rows.select(*columns, F.pmod(place, "helds").cast("int").alias("held"), spread("askeds").alias("asked"))
+    return asking.withColumn("asks", F.lit(True)).unionByName(held.withColumn("asks", F.lit(False)))
 
 
-def _hub_pairs(members: DataFrame, labels: DataFrame | None, tested: DataFrame | None, possible: _Possible) -> DataFrame:
-    """For each node outside the hub's group of a bucket, one pair: with its best hub."""
-    named, tops = _mixed(members, labels)
-    apart = named.join(tops, "sig").where(F.col("label") != F.col("top.label"))
-    apart = apart.groupBy("node", F.col("top.node").alias("hub")).agg(F.max("top.degree").alias("degree"))
-    apart = possible.filter(apart, "node", "hub")
-    apart = apart.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"), "node", "hub", "degree")
-    best = _untested(apart, tested).groupBy("node").agg(F.max(F.struct("degree", "hub")).alias("best"))
-    hub = F.col("best.hub")
-    return best.select(F.least("node", hub).alias("a"), F.greatest("node", hub).alias("b")).distinct()
+def _streamed(rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on the rows of each task of ``_dealt`` in turn, many small ones in one stream."""
+    dealt = rows.repartition(*CELL).sortWithinPartitions(*CELL)
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+
+        def made(parts):
+            table = pa.Table.from_batches(parts).combine_chunks()
+            keys = [table.column(c).to_numpy() for c in CELL]
+            new = np.zeros(len(table), bool)
+            new[0] = True
+            for k in keys:
+                new[1:] |= k[1:] != k[:-1]
+            cuts = np.append(np.flatnonzero(new), len(table))
+            for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                found = work(table.slice(begin, end - begin))
+                if found is not None and found.num_rows:
+                    yield found
+
+        def last(batch):
+            return tuple(batch.column(c)[-1].as_py() for c in CELL)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held and last(held[-1]) != last(batch):  # the task of the last rows ends in this batch
+                key, same = last(held[-1]), np.ones(batch.num_rows, bool)
+                for c, k in zip(CELL, key):
+                    same &= batch.column(c).to_numpy() == k
+                n = int(same.sum())
+                yield from made([*held, batch.slice(0, n)])
+                held, batch = [], batch.slice(n)
+            held.append(batch)
+        if held:
+            yield from made(held)
+
+    return dealt.mapInArrow(run, schema)
+
+
+def _possible_nodes(part: int, whole: int):
+    """Work that returns the nodes of a task that may be similar to one of another group."""
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        asks = rows.column("asks").to_numpy()
+        label, n = rows.column("label").to_numpy(), rows.column("f_n").to_numpy()
+        sketch = np.stack([rows.column(f"f_{c}").to_numpy() for c in SKETCH], axis=1).view(np.uint64)
+        held = np.flatnonzero(~asks)
+        wanted = np.zeros(len(asks), bool)
+        for i in np.flatnonzero(asks):
+            bits = np.bitwise_count(sketch[held] ^ sketch[i]).sum(axis=1).astype(np.int64)
+            total = n[held] + n[i]
+            fits = (np.minimum(n[held], n[i]) * whole >= np.maximum(n[held], n[i]) * part) & (label[held] != label[i])
+            fits &= bits * (whole + part) <= total * (whole - part)
+            wanted[held[fits]] = True
+            wanted[i] = fits.any()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows.column(c).to_numpy()[wanted]) for c in ("cell", "node", "label")], names=["cell", "node", "label"]
+        )
+
+    return work
+
+
+def _forest(part: int, whole: int):
+    """Work that compares the whole sets of a task and returns links that join two groups."""
+
+    def work(rows: pa.Table) -> pa.RecordBatch | None:
+        asks, node, label = (rows.column(c).to_numpy() for c in ("asks", "node", "label"))
+        lists = rows.column("items").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        ends = lists.offsets.to_numpy()
+        items = lists.values.to_numpy()
+        size = np.diff(ends)
+        held, queries = np.flatnonzero(~asks), np.flatnonzero(asks)
+        if not len(held) or not len(queries):
+            return None
+        # an index of the held sets: which of them have a shingle
+        flat = np.concatenate([items[ends[i] : ends[i + 1]] for i in held])
+        owner = np.repeat(np.arange(len(held)), size[held])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        group: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while group.setdefault(x, x) != x:
+                group[x] = group[group[x]]
+                x = group[x]
+            return x
+
+        out = []
+        for i in queries:
+            own = items[ends[i] : ends[i + 1]]
+            begin, end = np.searchsorted(flat, own), np.searchsorted(flat, own, side="right")
+            many = end - begin
+            at = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum())
+            shared = np.bincount(owner[at], minlength=len(held))
+            linked = shared * (whole + part) >= (size[held] + size[i]) * part
+            for j in held[linked & (label[held] != label[i])]:
+                a, b = find(int(label[i])), find(int(label[j]))
+                if a != b:
+                    group[a] = b
+                    out.append((int(node[i]), int(node[j])))
+        return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return work
 
 
 def _relabel(labels: DataFrame, found: DataFrame) -> DataFrame:
     """Merge groups along the links found: components over labels, a table of one row per candidate."""
-    ends = found.where("linked").join(labels.withColumnsRenamed({"node": "a", "label": "u"}), "a")
+    ends = found.join(labels.withColumnsRenamed({"node": "a", "label": "u"}), "a")
     ends = ends.join(labels.withColumnsRenamed({"node": "b", "label": "v"}), "b")
     groups = connected_components(ends.select(F.col("u").alias("a"), F.col("v").alias("b")))
     moved = labels.join(groups.withColumnsRenamed({"node": "label", "component": "to"}), "label", "left")
     return land(moved.select("node", F.coalesce("to", "label").alias("label")), "labels")
 
 
-def _remaining_pairs(
-    members: DataFrame, labels: DataFrame, tested: DataFrame | None, possible: _Possible
-) -> DataFrame:
-    """Possible pairs of different groups in a bucket, but for those tested: outsiders against all members."""
-    named, tops = _mixed(members, labels)
-    left = named.join(tops, "sig").join(possible.of("node", "f"), "node")
-    facts = {f"f_{c}": f"o_{c}" for c in ("n", *SKETCH)}
-    outside = left.where(F.col("label") != F.col("top.label")).drop("top", "degree")
-    outside = outside.withColumnsRenamed({"node": "o", "label": "own", **facts})
-    facing = left.drop("top", "degree")
-    close = (
-        (facing["sig"] == outside["sig"]) & (facing["label"] != outside["own"]) & possible.test("f", "o")
-    )
-    pairs = facing.join(outside, close)
-    pairs = pairs.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct()
-    return _untested(pairs, tested)
-
-
 def similar_documents(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -472,23 +654,37 @@ def similar_documents(
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, with all their columns.
+    """One row of each group of near copies, that with the smallest id, with all columns of ``docs``.
 
-    Rows without a near copy are let through where they are; rows with a null id stay.
+    Rows are told apart by their place in a landed copy, not by their id: of rows
+    that share an id only the near copies go, and of rows with a null id one per
+    group stays (a null id counts as greater than all others). Rows without words stay.
     """
-    said = land(similar_documents(docs, id_col, **options), "components")
-    dropped = said.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__dropped")).distinct()
-    return without_ids(docs, id_col, dropped)
+    place, root = fresh(docs, "place", "root")
+    text_col = options.pop("text_col", "text")
+    plain = docs.groupBy(id_col).count().where(F.col(id_col).isNull() | (F.col("count") > 1)).isEmpty()
+    if plain:  # the id itself tells rows apart
+        landed = docs.withColumn(place, F.col(id_col))
+    else:
+        landed = land(docs.withColumn(place, F.monotonically_increasing_id()), "documents")
+    known = landed.select(F.col(place), F.col(id_col))
+    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(place))
+    said = similar_documents(landed.select(F.col(place), F.col(text_col)), place, text_col, **options)
+    said = land(said.where("n_shingles > 0").select(F.col(place), F.col("component_id").alias(root)), "components")
+    grouped = said.groupBy(root).agg(F.count("*").alias("size")).where("size > 1").select(root)
+    members = said.join(grouped, root).join(known, place)
+    best = members.groupBy(root).agg(F.min(order).alias("best"))
+    kept = best.select(F.col("best")[place].alias(place))
+    dropped = members.select(place).join(kept, place, "left_anti")
+    return without_ids(landed, place, dropped).select(*docs.columns)
 
 
 def without_ids(docs: DataFrame, id_col: str, dropped: DataFrame) -> DataFrame:
     """Anti-join that shuffles only rows a Bloom filter of bounded size takes for dropped ones."""
-    shared = land(dropped.select(F.col(dropped.columns[0]).alias("key")), "dropped")
-    hashed = shared.select(F.xxhash64("key").alias("h"))
+    key, flag = fresh(docs, "key", "flag")
+    shared = land(dropped.select(F.col(dropped.columns[0]).alias(key)), "dropped")
+    hashed = shared.select(F.xxhash64(key).alias("h"))
     test = bloom_test(docs.sparkSession, bloom_build(hashed, shared.count(), 16, MAX_FILTER_BITS))
-    (flag,) = fresh(docs, "flag")
     marked = docs.withColumn(flag, test(F.xxhash64(id_col)))
-    suspects = marked.where(F.col(flag)).join(
-        shared, F.col(id_col) == F.col("key"), "left_anti"
-    )
+    suspects = marked.where(F.col(flag)).join(shared, F.col(id_col) == F.col(key), "left_anti")
     return marked.where(~F.col(flag)).unionByName(suspects).drop(flag)

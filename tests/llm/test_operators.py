@@ -366,3 +366,37 @@ def test_recall_of_planted_pairs(llm, monkeypatch):
     assert (x[:1500] @ x.T >= 0.93).sum() - 1500 >= 1500
     recall = vector_dedup.audit_recall(frame, vector_dedup.near_vectors(frame).cache())
     assert recall >= 0.97, recall
+
+
+def test_borderline_copies_meet_in_blocks(llm, monkeypatch):
+    """A group whose pairs lie around the threshold, with cells cut into many blocks."""
+    monkeypatch.setattr(jaccard_join, "SKETCH_BLOCK", 9)
+    monkeypatch.setattr(jaccard_join, "SET_BLOCK", 5)
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(70):
+        words = list(base)
+        for at in rng.choice(120, int(rng.integers(1, 5)), replace=False):
+            words[at] = f"x{i}y{at}" if rng.random() < 0.5 else f"z{at}"
+        rows.append((i, " ".join(words)))
+    sets = _sets(rows, 5)
+    pairs = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    expected = _components(sorted(sets), pairs)
+    assert 5 < len(set(expected.values())) < 60
+    got = _rows(jaccard_join.similar_documents(llm.createDataFrame(rows, "doc_id long, text string"), words=5, part=80))
+    assert {i: c for i, _, c in got} == expected
+
+
+def test_near_copies_go_row_by_row(llm):
+    """Rows that share an id, or have none, are kept or dropped each for itself."""
+    words = " ".join(f"word{i}" for i in range(80))
+    near_copy = lambda i: words.replace(f"word{i} ", f"changed{i} ")
+    other = "a clean document about something else entirely with words of its own and nothing in common"
+    rows = [(1, words), (2, near_copy(3)), (2, other), (None, near_copy(5)), (None, near_copy(7)), (None, "alone without id")]
+    docs = llm.createDataFrame([(*r, 9, 8, 7) for r in rows], "doc_id long, text string, key int, flag int, place int")
+    kept = jaccard_join.keep_one_of_each(docs, words=5, part=60)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in kept.collect()) == [
+        (False, 1, words), (False, 2, other), (True, 0, "alone without id")
+    ]

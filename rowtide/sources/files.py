@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,19 +106,130 @@ def field_count(record: Column, delimiter: str) -> Column:
     return F.length(plain) - F.length(F.replace(plain, F.lit(delimiter), F.lit(""))) + 1
 
 
-def open_quote_files(spark: SparkSession, paths: list[str], delimiter: str) -> list[str]:
-    """Those of the files in which some quoted field is still open at the end of its line."""
+def _ends_open(line: Column, delimiter: str) -> Column:
+    """Is a quoted field still open at the end of a line that starts outside of one?"""
     d = re.escape(delimiter)
     one = rf'(?:"[^"]*+"[^{d}]*+|(?!")[^{d}]*+)'
-    closed = rf"^{one}(?:{d}{one})*+$"
+    return F.contains(line, F.lit('"')) & ~_single_quotes(line).rlike(rf"(?s)^{one}(?:{d}{one})*+\z")
+
+
+def open_quote_files(spark: SparkSession, paths: list[str], delimiter: str) -> list[str]:
+    """Those of the files in which some quoted field is still open at the end of its line."""
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
-    quoted = lines.where(F.contains("value", F.lit('"')))
-    broken = quoted.where(~_single_quotes(F.col("value")).rlike(closed))
+    broken = lines.where(_ends_open(F.col("value"), delimiter))
     # file names, of which the driver holds the whole list anyway
     found = {_plain_path(r["file"]) for r in broken.select("file").distinct().collect()}
     return [p for p in paths if _plain_path(p) in found]
 
 
+# --- records with line breaks, read by many tasks ------------------------------
+#
+# A line starts outside or inside a quoted field. What it does to either state is
+# known from the line alone, and so is, by composition, what a split does. The driver
+# composes the splits (one row each) and tells every split the state it starts in and
+# where the record that is open there began.
+
+OUTSIDE, INSIDE = 0, 1
+
+
+def _lines(spark: SparkSession, paths: list[str], delimiter: str) -> DataFrame:
+    """Lines in order within a split, each with the state it leads to from either state."""
+    rows = spark.read.option("lineSep", "\n").text(paths)
+    value = F.col("value")
+    return rows.select(
+        value, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        _ends_open(value, delimiter).alias("from_outside"),
+        F.when(F.contains(value, F.lit('"')), _ends_open(F.concat(F.lit('"x'), value), delimiter)).otherwise(True).alias("from_inside"),
+    )
+
+
+def _split_effects(lines: DataFrame) -> DataFrame:
+    """Per split: the end state from either state, and whether an open field is closed in it."""
+
+    def run(batches):
+        effects: dict[tuple[str, int], list] = {}
+        for batch in batches:
+            quoted = batch[batch["from_outside"] | ~batch["from_inside"]]
+            for file, block in batch[["file", "block"]].drop_duplicates().itertuples(index=False):
+                effects.setdefault((file, block), [False, True, False])
+            for file, block, *after in quoted[["file", "block", "from_outside", "from_inside"]].itertuples(index=False):
+                effect = effects[file, block]
+                effect[2] |= effect[1] and not after[1]
+                effect[0], effect[1] = after[effect[0]], after[effect[1]]
+        rows = [(f, b, *effect) for (f, b), effect in effects.items()]
+        yield pd.DataFrame(rows, columns=["file", "block", "from_outside", "from_inside", "closes"])
+
+    return lines.mapInPandas(run, "file string, block long, from_outside boolean, from_inside boolean, closes boolean")
+
+
+def _split_starts(effects: list) -> dict[tuple[str, int], tuple[bool, int]]:
+    """(file, block) -> does it start inside a field, and the block in which the open record began."""
+    starts, state, origin, last = {}, False, 0, None
+    for file, block, from_outside, from_inside, closes in sorted(effects):
+        if file != last:
+            state, last = False, file
+        starts[file, block] = (state, origin)
+        if not state or closes:
+            origin = block  # whatever is open at its end began here
+        state = from_inside if state else from_outside
+    return starts
+
+
+RECORDS = "record string, file string, block long, row long, origin long, part long"
+
+
+def _records(lines: DataFrame, starts: dict[tuple[str, int], tuple[bool, int]]) -> DataFrame:
+    """Records, and pieces of those that lie in several splits (``part`` 0 and up, joined by ``origin``)."""
+
+    names = [c.split()[0] for c in RECORDS.split(", ")]
+
+    def run(batches):
+        held: list[str] = []
+        place, row, state, origin = None, 0, False, None  # origin: where an open record of earlier splits began
+
+        def piece(began: int | None):
+            return "\n".join(held), *place, row, began, None if began is None else place[1]
+
+        for batch in batches:
+            out = []
+            for value, file, block, *after in batch.itertuples(index=False):
+                if (file, block) != place:
+                    if held:
+                        out.append(piece(place[1] if origin is None else origin))
+                    held, place, row = [], (file, block), 0
+                    state, origin = starts[place]
+                    origin = origin if state else None
+                held.append(value)
+                state = after[state]
+                if not state:
+                    out.append(piece(origin))
+                    held, origin, row = [], None, row + 1
+            yield pd.DataFrame(out, columns=names, dtype=object)
+        if held:
+            yield pd.DataFrame([piece(place[1] if origin is None else origin)], columns=names, dtype=object)
+
+    return lines.mapInPandas(run, RECORDS)
+
+
+def read_records(spark: SparkSession, paths: list[str], delimiter: str) -> DataFrame:
+    """``record`` and its place ``at``: whole records of files with quoted line breaks, read split by split.
+
+    A record longer than a split is put together by one task, all others where
+    they stand. Lines end with a line feed, before which a carriage return goes.
+    """
+    lines = _lines(spark, paths, delimiter)
+    starts = _split_starts([tuple(r) for r in _split_effects(lines).collect()])
+    rows = _records(lines, starts)
+    at = F.struct("file", "block", "row").alias("at")
+    alone = rows.where("part IS NULL").select("record", at)
+    joined = rows.where("part IS NOT NULL").groupBy("file", "origin").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "record"))), lambda p: p["record"]), "\n").alias("record"),
+        F.min(F.struct("file", "block", "row")).alias("at"),
+    )
+    whole = alone.unionByName(joined.select("record", "at"))
+    return whole.select(F.regexp_replace("record", "\r\\z", "").alias("record"), "at").where(F.trim("record") != "")
+
+
 def _plain_path(path: str) -> str:
     return re.sub("^file:/+", "/", unquote(path))
 
@@ -131,25 +244,35 @@ def read_delimited(
 ) -> DataFrame:
     """Raw text cells ``c0 .. c<width-1>``; short records are skipped, extra cells ignored.
 
-    Files with a quoted line break are read by one task each, all others are
-    split. Which they are is found out by a scan of the lines with quotes;
-    ``whole_files`` says it for all files instead. With ``positions`` a column ``_at`` orders the rows as they stand in the files.
+    A scan of the lines with quotes tells which files have quoted line breaks; their
+    records are put together split by split (``read_records``), all other files
+    go to the reader as they are. ``whole_files`` saves the scan: False says that no
+    file has such breaks, True reads each file by one task. With ``positions`` a column ``_at`` orders the rows as they stand in the files.
     """
     names = [f"c{i}" for i in range(width)]
     paths = [path for path, _ in files]
-    if whole_files is None:
-        whole = open_quote_files(spark, paths, delimiter)
-    else:
-        whole = paths if whole_files else []
-    split = [p for p in paths if p not in set(whole)]
-    parts = [
-        _read_cells(spark, group, names, delimiter, multiline, width, positions)
-        for group, multiline in ((split, False), (whole, True))
-        if group
-    ]
+    if whole_files:
+        return _read_cells(spark, paths, names, delimiter, True, width, positions)
+    broken = open_quote_files(spark, paths, delimiter) if whole_files is None else []
+    plain = [p for p in paths if p not in set(broken)]
+    parts = [_read_cells(spark, plain, names, delimiter, False, width, positions)] if plain else []
+    if broken:
+        parts.append(_record_cells(read_records(spark, broken, delimiter), names, delimiter, width, positions))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _record_cells(records: DataFrame, names: list[str], delimiter: str, width: int, positions: bool) -> DataFrame:
+    schema = ", ".join(f"{n} string" for n in [*names, _CORRUPT])
+    how = {"sep": delimiter, "quote": '"', "escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": _CORRUPT}
+    cells = records.select(F.from_csv("record", schema, how).alias("cells"), "at").select("cells.*", F.col("at").alias("_at"))
+    corrupt = F.col(_CORRUPT)
+    rows = cells.where(corrupt.isNull() | (field_count(corrupt, delimiter) >= width))
+    if not positions:
+        return rows.select(*names)
+    at = F.struct(F.col("_at.file").alias("file_path"), F.col("_at.block").alias("file_block_start"), F.col("_at.row"))
+    return rows.select(*names, at.alias("_at"))
+
+
 def _read_cells(
     spark: SparkSession, paths: list[str], names: list[str], delimiter: str, multiline: bool, width: int, positions: bool
 ) -> DataFrame:

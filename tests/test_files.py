@@ -2,6 +2,7 @@
 
 import csv
 import io
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,65 @@ def test_only_files_with_a_quoted_line_break_are_read_whole(spark, tmp_path):
     assert one_task_each.exceptAll(cells).isEmpty() and one_task_each.count() == 600_002
 
 
+def test_quoted_line_breaks_are_read_by_many_tasks(spark, tmp_path):
+    """Records with line breaks, some longer than a split, equal those of the csv module, in order."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(6000):
+        cell = "".join(rng.choice(['a', 'b ', '""'[:1], ',', '\n', '\r\n', "'"]) for _ in range(rng.randint(0, 12)))
+        rows.append([str(i), cell, rng.choice(["", "plain", 'in"side'])])
+    rows[3000][1] = "long\n" * 30_000 + '"end"'
+    folder = tmp_path / "t"
+    folder.mkdir()
+    for part in range(2):
+        with open(folder / f"t_{part}.csv", "w", newline="") as out:
+            csv.writer(out, lineterminator="\r\n" if part else "\n").writerows(rows[part::2])
+    listed = files.table_files(spark, str(tmp_path), "t", files.Layout("csv", True))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        records = files.read_records(spark, [p for p, _ in listed], ",")
+        assert records.rdd.getNumPartitions() > 10
+        cells = files.read_delimited(spark, listed, 3, ",", positions=True)
+        got = cells.orderBy("_at").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [[r["c0"], r["c1"] or "", r["c2"] or ""] for r in got] == rows[0::2] + rows[1::2]
+
+
+@pytest.mark.parametrize(
+    "line, outside, inside",
+    [
+        ("a,b", False, True), ('"a', True, False), ('"a"', False, True), ('x"y', False, False), ('"a,""', True, False),
+        ('""', False, True), ('"', True, False), ('",b', True, False), ('a,"b', True, False), ('""",c', True, False),
+        ('"""', True, False), ('b"', False, False), ('"x","', True, True), ("", False, True),
+    ],
+)
+def test_line_automaton(spark, line, outside, inside, tmp_path):
+    (tmp_path / "l.csv").write_text(line + "\n")
+    got = files._lines(spark, [str(tmp_path / "l.csv")], ",").first()
+
+    def naive(state):
+        at_start = not state
+        i = 0
+        while i < len(line):
+            if state:
+                if line[i] == '"':
+                    if line[i + 1 : i + 2] == '"':
+                        i += 1
+                    else:
+                        state = False
+                at_start = False
+            elif line[i] == '"' and at_start:
+                state, at_start = True, False
+            else:
+                at_start = line[i] == ","
+            i += 1
+        return state
+
+    assert (got["from_outside"], got["from_inside"]) == (naive(False), naive(True))
+
+
 @pytest.mark.parametrize(
     "tree, extension, partitioned",
     [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,10 +63,12 @@ class Importer:
             return table.append_counted(rows)
         return table.upsert_counted(rows, ["_at"])
 
-    def import_all(self, mode: str = "append") -> dict[str, int]:
-        """Rows per table; tables without a spec are left out."""
-        names = list_tables(self.spark, self.source, self.layout)
-        return {n: self.import_table(n, mode) for n in names if self._spec(n) is not None}
+    def import_all(self, mode: str = "append", parallel: int = 4) -> dict[str, int]:
+        """Rows per table; tables without a spec are left out. ``parallel`` tables share the cluster."""
+        found = list_tables(self.spark, self.source, self.layout)
+        names = [n for n in found if self._spec(n) is not None]
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            return dict(zip(names, pool.map(lambda n: self.import_table(n, mode), names)))
 
     def summary(self, counts: dict[str, int]) -> DataFrame:
         return self.spark.createDataFrame(sorted(counts.items()), "table string, records bigint")

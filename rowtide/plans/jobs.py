@@ -54,7 +54,7 @@ def apply_tables(
             table = KeyedTable(spark, root, specs[name], table_buckets)
             rejects, seen = table.apply_feed(poll(feed, schema, name, buckets), mode), Observation()
             rejects.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(f"{table.path}/rejects/run={uuid.uuid4().hex}")
-            return name, True, table.read().count(), seen.get["n"], "ok"
+            return name, True, table.count(), seen.get["n"], "ok"
         except Exception as err:
             lines = str(err).splitlines() or [""]
             return name, False, None, None, f"{type(err).__name__}: {lines[0]}"

@@ -24,7 +24,7 @@ from rowtide.plans.table import KeyedTable
 from rowtide.sources import feed as feeds
 from rowtide.sources import files
 from rowtide.sources.storage import Storage, scratch_dir
-from rowtide.streaming.apply import start_apply
+from rowtide.streaming.apply import committed, start_apply, start_apply_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -999,6 +999,37 @@ def stream_apply(spark, sf_dir):
     return table.read()
 
 
+@query(f"SELECT *, TRUE AS within FROM ({_ORDERED_SQL})")
+def stream_row_batches(spark, sf_dir):
+    """The landed feed committed in versions of at most a quarter of its events."""
+    path = scratch_dir(spark, "feed")
+    events = _events_feed(spark, sf_dir)
+    feeds.land(events, path)
+    size = max(1, -(-events.count() // 4))
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), EVENTS, buckets=4)
+    stream = feeds.route(feeds.stream_feed(spark, path, positions=True), "shop", "events")
+    start_apply(stream, table, scratch_dir(spark, "checkpoint"), batch_rows=size).awaitTermination()
+    parts = [table.version(n) for n in table.versions()]
+    most = max(sum(p.rows for p in v.parts.values() if p.seq == v.number) for v in parts if v.operation == "apply_ordered")
+    return table.read().withColumn("within", F.lit(len(parts) >= 4 and most <= size))
+
+
+@query(
+    f"""SELECT 'events' AS "table", count(*) AS records FROM ({_ORDERED_SQL})
+        UNION ALL SELECT 'orders', count(*) FROM orders"""
+)
+def stream_tables(spark, sf_dir):
+    """One stream for two tables, read as of the last batch that reached both."""
+    path, commits, root = (scratch_dir(spark, n) for n in ("feed", "commits", "tables"))
+    feeds.land(_events_feed(spark, sf_dir), path)
+    feeds.land(_orders_feed(spark, sf_dir), path)
+    tables = {n: KeyedTable(spark, root, spec, buckets=4) for n, spec in (("events", EVENTS), ("orders", ORDERS))}
+    stream = feeds.stream_feed(spark, path, max_files=4)
+    start_apply_tables(stream, "shop", tables, scratch_dir(spark, "checkpoint"), commits).awaitTermination()
+    rows = [(name, tables[name].count(version)) for name, version in committed(spark, commits).items()]
+    return spark.createDataFrame(rows, "`table` string, records long")
+
+
 @query(_ORDERED_SQL)
 def stream_new_checkpoint(spark, sf_dir):
     """Half the feed, then the other half under the same name from a new checkpoint."""
@@ -1106,9 +1137,9 @@ def table_info(spark, sf_dir):
     table = KeyedTable(spark, scratch_dir(spark, "tables"), ORDERS, buckets=4)
     table.append(orders)
     table.append(orders)
-    current = table.version().number
-    return scan.row_count(table.read()).select(
-        F.lit(ORDERS.name).alias("name"), "record_count", F.lit(current).alias("version")
+    told = table.info()
+    return spark.createDataFrame(
+        [(told["name"], told["record_count"], told["version"])], "name string, record_count long, version int"
     )
 
 
@@ -1153,6 +1184,97 @@ def table_version(spark, sf_dir):
     return versions[0].unionByName(versions[1]).unionByName(versions[2])
 
 
+@query(
+    f"""SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 7 = 0 THEN -1.0 ELSE c_acctbal END AS c_acctbal,
+               c_mktsegment, CAST(2 AS INTEGER) AS changes
+        FROM customer WHERE c_custkey % 11 <> 0
+        UNION ALL
+        SELECT c_custkey + 10000000, c_name, c_nationkey, -1.0, c_mktsegment, 2 FROM customer
+        WHERE c_custkey % 7 = 0 AND (c_custkey + 10000000) % 11 <> 0"""
+)
+def table_upsert_delta(spark, sf_dir):
+    """Scattered keys upserted, then others deleted: two parts with the changed rows only, settled by the read."""
+    customer = _table(spark, sf_dir, "customer")
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), CUSTOMER, buckets=4)
+    table.append(customer)
+    changed = customer.where("c_custkey % 7 = 0").withColumn("c_acctbal", F.lit(-1.0))
+    moved = changed.withColumn("c_custkey", (F.col("c_custkey") + 10_000_000).cast("int"))
+    table.upsert(changed.unionByName(moved))
+    table.delete(customer.unionByName(moved).where("c_custkey % 11 = 0"))
+    parts = [p for p in table.version().parts.values() if p.kind == "run"]
+    return table.read().withColumn("changes", F.lit(len(parts)))
+
+
+@query(
+    """SELECT *, CAST(1 AS INTEGER) AS changes FROM lineitem t WHERE NOT EXISTS (
+           SELECT 1 FROM lineitem r WHERE r.l_returnflag = 'R'
+           AND r.l_orderkey = t.l_orderkey AND r.l_linenumber = t.l_linenumber)"""
+)
+def table_delete_delta(spark, sf_dir):
+    """A delete by a composite key writes the keys, not the buckets."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), LINEITEM, buckets=4)
+    table.append(lineitem)
+    table.delete(lineitem.where("l_returnflag = 'R'"))
+    return table.read().withColumn("changes", F.lit(len(table.version().deltas)))
+
+
+@query(
+    f"""WITH grown AS (SELECT c_custkey AS id, c_acctbal AS v FROM customer UNION ALL {_ADDED_SQL}),
+             s AS ({_LAST_UPDATE_SQL}),
+             merged AS (
+                 SELECT g.id, CASE WHEN s.id IS NULL THEN g.v ELSE s.v END AS v
+                 FROM grown g LEFT JOIN s ON g.id = s.id
+                 UNION ALL
+                 SELECT id, v FROM s WHERE NOT EXISTS (SELECT 1 FROM grown WHERE grown.id = s.id))
+        SELECT id, v FROM merged
+        WHERE NOT EXISTS (SELECT 1 FROM events WHERE event_type = 'error' AND user_id = merged.id)"""
+)
+def table_grouped_delta(spark, sf_dir):
+    """A grouped batch as one part with what it does to each key."""
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), ACCOUNT, buckets=4)
+    table.append(_accounts(spark, sf_dir))
+    table.apply_grouped(_account_events(spark, sf_dir))
+    return table.read()
+
+
+@query(f"SELECT *, TRUE AS few_parts FROM ({_ORDERED_SQL})")
+def table_tiered_merge(spark, sf_dir):
+    """Twenty ordered batches; parts of one size have been merged into parts of the next."""
+    feed = _events_feed(spark, sf_dir)
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), EVENTS, buckets=2)
+    for part in range(20):
+        table.apply_feed(feed.where(F.col("txn.total_order") % 20 == part))
+    return table.read().withColumn("few_parts", F.lit(len(table.version().parts) < 20))
+
+
+@query(
+    """SELECT user_id, max(event_id) AS event_id, TRUE AS forgotten, (SELECT count(*) FROM events) AS late
+       FROM events WHERE user_id % 2 = 1 GROUP BY user_id"""
+)
+def table_watermark(spark, sf_dir):
+    """All users arrive, even ones are deleted, the watermark passes: the deletions are
+    forgotten by the next merge, and the feed brought again is rejected as late."""
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), EVENTS, buckets=2)
+    feed = _events_feed(spark, sf_dir, F.lit("INSERT"))
+    table.apply_feed(feed)
+    image, later = feeds.row_image(EVENTS), 10**12
+    table.apply_feed(
+        feeds.build_feed(
+            _table(spark, sf_dir, "events").where("user_id % 2 = 0"), op=F.lit("DELETE"), before=image, after=image,
+            order=F.col("event_id") + later, schema="shop", table="events", bucket=F.col("user_id") % 4,
+        )
+    )
+    table.advance_watermark(2 * later)
+    late = table.apply_feed(feed).where("reject_reason = 'late'").count()
+    table.ensure_key_layout()
+    left = sum(p.rows for p in table.version().parts.values())
+    stored = spark.read.parquet(f"{table.path}/data/rt_part={next(iter(table.version().parts))}").count()
+    return table.read().select(
+        "user_id", "event_id", F.lit(stored == left).alias("forgotten"), F.lit(late).cast("long").alias("late")
+    )
+
+
 # --- keys and layout --------------------------------------------------------
 
 
@@ -1213,6 +1335,47 @@ def key_lookup(spark, sf_dir):
     return table.lookup(_table(spark, sf_dir, "lineitem").select((F.col("l_partkey") * 7).alias("o_orderkey")))
 
 
+@query(
+    f"""SELECT {', '.join(ORDERS.columns)}, TRUE AS fewer_files FROM orders
+        WHERE o_orderkey IN (SELECT 997 * s_suppkey FROM supplier WHERE s_suppkey <= 5)"""
+)
+def key_lookup_files(spark, sf_dir):
+    """Scattered keys in a merged table: only files whose key range holds one are opened."""
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), ORDERS, buckets=16)
+    orders = _table(spark, sf_dir, "orders")
+    table.append(orders.where("o_orderkey % 2 = 0"))
+    table.append(orders.where("o_orderkey % 2 = 1"))
+    table.ensure_key_layout()
+    keys = _table(spark, sf_dir, "supplier").where("s_suppkey <= 5").select((F.col("s_suppkey") * 997).alias("o_orderkey"))
+    found = table.lookup(keys)
+    fewer = len(found.inputFiles()) < len(table.read().inputFiles())
+    return found.withColumn("fewer_files", F.lit(fewer))
+
+
+@query("SELECT min(o_orderkey) AS low, max(o_orderkey) AS high, count(*) AS records FROM orders")
+def table_key_ranges(spark, sf_dir):
+    """Key range and row count out of the version's statistics."""
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), ORDERS, buckets=4)
+    table.append(_table(spark, sf_dir, "orders"))
+    low, high = table.key_ranges()["o_orderkey"]
+    return spark.createDataFrame([(low, high, table.count())], "low long, high long, records long")
+
+
+@query(
+    """SELECT l_orderkey, count(*) AS records FROM lineitem
+       WHERE l_linenumber = 1 OR l_orderkey % 3 = 0 GROUP BY 1 HAVING count(*) > 1"""
+)
+def pk_incremental_audit(spark, sf_dir):
+    """Repeated keys after a second load; the audit reads again only buckets that have changed."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    spec = TableSpec.infer("lines", lineitem.select("l_orderkey", "l_linenumber").schema, ["l_orderkey"])
+    table = KeyedTable(spark, scratch_dir(spark, "tables"), spec, buckets=8)
+    table.append(lineitem.where("l_linenumber = 1").select("l_orderkey", "l_linenumber"))
+    table.audit_keys()
+    table.append(lineitem.where("l_linenumber > 1 AND l_orderkey % 3 = 0").select("l_orderkey", "l_linenumber"))
+    return table.audit_keys()
+
+
 # --- several tables ---------------------------------------------------------
 
 

@@ -119,6 +119,14 @@ class Version:
         """Parts that hold changes, to be settled against the others."""
         return [name for name, part in self.parts.items() if part.kind != ROWS]
 
+    def holding(self) -> dict[int, set[str]]:
+        """The parts of each bucket."""
+        found: dict[int, set[str]] = {}
+        for name, part in self.parts.items():
+            for b in part.buckets:
+                found.setdefault(b, set()).add(name)
+        return found
+
     def crowded(self, parts: int) -> set[int]:
         """Buckets that lie in more than ``parts`` parts, or in one with changes."""
         seen = Counter(b for part in self.parts.values() for b in part.buckets)
@@ -309,7 +317,9 @@ class KeyedTable:
     def _live(self, version: Version, **how) -> DataFrame:
         state = self._state(version, **how)
         if state is None:
-            return self.spark.createDataFrame([], self._table_schema(version))
+            empty = self.spark.createDataFrame([], self._schema(version))
+            state = how.get("narrow", lambda rows: rows)(empty.withColumn(runs.SEQ, F.lit(0).cast("long")))
+            state = state.drop(runs.SEQ)
         return apply.live(state).drop(runs.KIND)
 
     def lookup(self, keys: DataFrame, version: int | None = None) -> DataFrame:
@@ -675,6 +685,31 @@ class KeyedTable:
             self._merge(current.sharing(crowded))
         return len(crowded)
 
+    def audit_keys(self) -> DataFrame:
+        """Keys that occur more than once, with their number of rows, as of the current version.
+
+        The result is kept with the version it covers. The next audit reads only
+        buckets whose parts have changed since.
+        """
+        pk, current = self._pk("a key audit"), self._found(None)
+        folder, keyed = f"{self.path}/audits", [f"`{k}`" for k in self.spec.pk]
+        target = f"{folder}/{current.number:010d}"
+        audited = [int(e.name) for e in self._storage.list(folder)] if self._storage.exists(folder) else []
+        known = [n for n in audited if n in self.versions() and self._storage.exists(f"{folder}/{n:010d}/_SUCCESS")]
+        shape = self.spark.createDataFrame([], T.StructType([self._table_schema(current)[k] for k in pk]))
+        shape = shape.select("*", F.lit(0).cast("long").alias("records"), F.lit(0).alias(BUCKET)).schema
+        if current.number not in known:
+            before = self.version(max(known)).holding() if known else {}
+            now = current.holding()
+            changed = [b for b in now if now[b] != before.get(b)]
+            rows = self._live(current, buckets=changed).groupBy(*keyed).agg(F.count(F.lit(1)).alias("records"))
+            found = rows.where("records > 1").withColumn(BUCKET, self._bucket_of(current.buckets))
+            if known:
+                kept = self.spark.read.schema(shape).parquet(f"{folder}/{max(known):010d}")
+                found = found.unionByName(kept.where(F.col(BUCKET).isin([b for b in now if now[b] == before.get(b)])))
+            found.write.mode("overwrite").parquet(target)
+        return self.spark.read.schema(shape).parquet(target).drop(BUCKET)
+
     def expire(self, keep: int) -> int:
         """Drop all but the last ``keep`` versions and the parts only they hold; returns how many.
 

@@ -48,14 +48,46 @@ def stream_feed(
     path: str,
     max_files: int | None = None,
     max_bytes: int | None = None,
+    positions: bool = False,
 ) -> DataFrame:
-    """Streaming reader; the file or byte limit bounds the size of a micro-batch."""
+    """Streaming reader; the file or byte limit bounds the size of a micro-batch.
+
+    ``positions`` adds ``_file`` and ``_row``, by which ``start_apply`` cuts batches of a
+    number of rows.
+    """
     reader = spark.readStream.schema(FEED)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.parquet(path)
+    feed = reader.parquet(path)
+    if not positions:
+        return feed
+    return feed.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+def slices(batch: DataFrame, size: int) -> list[DataFrame]:
+    """A batch with positions cut into parts of at most ``size`` rows, the same ones whenever it is cut.
+
+    The driver sees the number of rows per file and run of ``size`` places in it.
+    """
+    run = F.floor(F.col("_row") / size)
+    counts = batch.groupBy("_file", run.alias("_run")).count().orderBy("_file", "_run").collect()
+    groups: list[list[tuple]] = []
+    room = 0
+    for file, at, n in counts:
+        if n > room:
+            groups.append([])
+            room = size
+        groups[-1].append((file, at))
+        room -= n
+    spark = batch.sparkSession
+    return [
+        batch.withColumn("_run", run)
+        .join(spark.createDataFrame(own, "_file string, _run long"), ["_file", "_run"], "left_semi")
+        .drop("_run")
+        for own in groups
+    ]
 
 
 def route(feed: DataFrame, schema: str | None = None, table: str | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from rowtide.plans import jobs
 from rowtide.plans.table import KeyedTable, is_retryable
 from rowtide.sources import feed as feeds
 from rowtide.sources.storage import AlreadyExists, Storage, connect, scratch_dir
-from rowtide.streaming.apply import start_apply, start_print
+from rowtide.streaming.apply import committed, start_apply, start_apply_tables, start_print
 
 SPEC = TableSpec.parse("Acct", "id", "id int32!, v varchar(8)")
 
@@ -478,3 +478,59 @@ def test_order_text(spark):
         assert [r["id"] for r in scan.scan(people, order_by=text).collect()] == ids
     with pytest.raises(Exception):
         scan.scan(people, order_by="age sideways").collect()
+
+
+def test_audit_reads_only_changed_buckets(spark, tmp_path, monkeypatch):
+    table = KeyedTable(spark, str(tmp_path), SPEC, buckets=4)
+    with pytest.raises(ValueError):
+        table.audit_keys()
+    table.append(rows(spark, *[(i, "a") for i in range(40)], (3, "b"), (3, "c"), (8, "b")))
+    assert content(table.audit_keys()) == [(3, 3), (8, 2)]
+    opened, live = [], KeyedTable._live
+    monkeypatch.setattr(KeyedTable, "_live", lambda self, version, **how: opened.append(how["buckets"]) or live(self, version, **how))
+    table.upsert(rows(spark, (50, "x")))
+    table.delete(rows(spark, (50, "")))
+    table.append(rows(spark, (50, "x"), (50, "y")))
+    assert content(table.audit_keys()) == [(3, 3), (50, 2), (8, 2)] and [len(b) for b in opened] == [1]
+    assert content(table.audit_keys()) == [(3, 3), (50, 2), (8, 2)] and len(opened) == 1
+    table.delete(rows(spark, (3, "")))
+    assert content(table.audit_keys()) == [(50, 2), (8, 2)]
+
+
+def test_batches_of_a_number_of_rows(spark, tmp_path):
+    path, check = str(tmp_path / "feed"), str(tmp_path / "check")
+    events = [("INSERT", [], image(i, "a")) for i in range(50)] + [("UPDATE", image(i, "a"), image(i, "b")) for i in range(25)]
+    feeds.land(make_feed(spark, *events).repartition(3), path)
+    table, seen = KeyedTable(spark, str(tmp_path / "db"), SPEC, buckets=2), []
+    apply_feed = table.apply_feed
+    table.apply_feed = lambda feed, *how: seen.append((feed.count(), how[1][1])) or apply_feed(feed, *how)
+    start_apply(feeds.stream_feed(spark, path, positions=True), table, check, batch_rows=16).awaitTermination()
+    assert sum(n for n, _ in seen) == 75 and all(n <= 16 for n, _ in seen) and len(seen) <= 9
+    assert [b for _, b in seen] == [[0, i] for i in range(len(seen))]
+    assert table.count() == 50 and table.read().where("v = 'b'").count() == 25
+
+
+def test_one_stream_for_two_tables_survives_a_kill_between_them(spark, tmp_path):
+    path, check, commits = (str(tmp_path / n) for n in ("feed", "check", "commits"))
+    feed = make_feed(spark, *EVENTS).unionByName(make_feed(spark, *EVENTS[:2], name="other")).unionByName(make_feed(spark, *EVENTS[:1], name="unlisted"))
+    feeds.land(feed, path)
+    tables = {n: KeyedTable(spark, str(tmp_path / n), SPEC, buckets=2) for n in ("acct", "other")}
+    second = tables["other"].apply_feed
+
+    def killed(*args):
+        raise RuntimeError("killed")
+
+    tables["other"].apply_feed = killed
+
+    def run():
+        stream = feeds.stream_feed(spark, path)
+        start_apply_tables(stream, "s", tables, check, commits, mode="grouped", parallel=1).awaitTermination()
+
+    with pytest.raises(Exception, match="killed"):
+        run()
+    assert tables["acct"].version().number == 1 and not tables["other"].exists() and committed(spark, commits) == {}
+    tables["other"].apply_feed = second
+    run()
+    assert committed(spark, commits) == {"acct": 1, "other": 1}
+    assert content(tables["acct"].read()) == [(2, "b"), (3, "b")] and content(tables["other"].read()) == [(1, "a"), (2, "b")]
+    assert spark.read.parquet(f"{tables['acct'].path}/rejects").count() == 1

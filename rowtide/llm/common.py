@@ -71,6 +71,14 @@ def fresh(rows: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def with_place(docs: DataFrame, id_col: str, place: str) -> DataFrame:
+    """``docs`` with a column that tells its rows apart: the id, or a number from a landed copy if ids repeat or are null."""
+    told = docs.groupBy(id_col).count().where(F.col(id_col).isNull() | (F.col("count") > 1)).isEmpty()
+    if told:
+        return docs.withColumn(place, F.col(id_col))
+    return land(docs.withColumn(place, F.monotonically_increasing_id()), "documents")
+
+
 # --- Bloom filters ------------------------------------------------------------
 
 PROBES = 4

@@ -2,8 +2,8 @@
 
 The page is read into a flat list of elements and texts. Elements that are never
 the article (scripts, forms, navigation, or named like adverts, comments,
-notices, ...) are taken out; in an article or main element names count only if
-they are unmistakable. A page that loses most of its paragraphs to names is read
+notices, ...) are taken out; in an article or main element a name counts if the
+word it begins or ends with is unmistakable. A page that loses most of its paragraphs to names is read
 again by the unmistakable ones only, then by none. Each paragraph gives points for being there, for
 commas and for length to its ancestors, less the further up; a container's points
 count as far as its text is not link text. The best container is the article: the
@@ -59,7 +59,7 @@ SHARES = (1, 2, 6, 9, 12)
 
 # Words in class, id or role that name something else than the article.
 UNWANTED = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense adslot adbox banner sponsor sponsored promo promos "
+    "ad ads adv advert adverts advertisement advertisements advertising adsense adsbygoogle adslot adbox banner sponsor sponsored promo promos "
     "promotion comment comments commentlist disqus discussion respond replies reply feedback sidebar aside rail widget "
     "widgets menu nav navbar navigation breadcrumb breadcrumbs pagination pager header masthead topbar toolbar footer "
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay subscribe subscription newsletter "
@@ -74,6 +74,17 @@ CLEAR = frozenset(
     "gdpr newsletter share sharing related outbrain taboola teaser".split()
 )
 FILLER = frozenset("area bar block body box button buttons container inner items links list post posts slot unit wrap wrapper".split())
+# In the article a container also goes if one of its names begins or ends with one of these, whatever else the name says.
+HEADS = frozenset(
+    "nav navbar navigation menu menubar footer sidebar cookie cookies consent gdpr notice notices comment comments "
+    "commentlist disqus newsletter subscribe subscription signup breadcrumb breadcrumbs pagination".split()
+)
+# Adverts go whatever element they are.
+ADVERTS = frozenset("ad ads adv advert adverts advertisement advertisements advertising adsense adsbygoogle adslot adbox sponsored".split())
+ROLES = frozenset("navigation complementary contentinfo search menu menubar toolbar dialog alertdialog".split())
+# An id of one such word may as well name a section of the article.
+SECTIONS = REMARKS - {"comments", "commentlist", "disqus"} | {"menu", "notice", "notices", "navigation", "subscription"}
+SHARE = re.compile(r"\b(share|tweet|facebook|twitter|linkedin|whatsapp|pinterest|reddit|telegram|e-?mail|print|copy link)\b", re.I)
 NAMED = frozenset("article aside div dl footer header menu nav ol section table ul".split())
 # A result below this share of the page's paragraphs is read again.
 SHORT = 0.25
@@ -121,6 +132,24 @@ def _clear(tag: str, names: list[list[str]], kinds: list[str]) -> bool:
     )
 
 
+def _inside(tag: str, names: list[list[str]], kinds: list[str]) -> bool:
+    """Does a name or role say that this is no part of the article it lies in?"""
+    if tag in HEADINGS:
+        return False
+    for own, kind in zip(names, kinds):
+        if not own or own[0] in ("has", "with", "no", "without", "is"):
+            continue
+        if kind == "role":
+            if "".join(own) in ROLES:
+                return True
+        elif own[0] in ADVERTS or own[-1] in ADVERTS:
+            return True
+        elif tag in NAMED and (own[0] in HEADS or own[-1] in HEADS):
+            if not (kind == "id" and len(own) == 1 and own[0] in SECTIONS):
+                return True
+    return _clear(tag, names, kinds)
+
+
 class Page:
     """Elements in page order: parallel lists of tag, parent, attributes; events open, text and close."""
 
@@ -234,6 +263,7 @@ def _kept(page: Page, by: str = "names") -> tuple[list[bool], list[bool], bool]:
     main element; whether a name took anything out. ``by``: all "names" outside the article, "clear" ones only, or "tags"."""
     count = len(page.tag)
     clear = [by != "tags" and _clear(*of) for of in zip(page.tag, page.names, page.kinds)]
+    inside = [by == "names" and _inside(*of) and not _wanted(of[1]) for of in zip(page.tag, page.names, page.kinds)]
     unwanted = [
         clear[i] or by == "names" and page.tag[i] not in HEADINGS and not _wanted(page.names[i]) and _unwanted(page.names[i])
         for i in range(count)
@@ -253,8 +283,9 @@ def _kept(page: Page, by: str = "names") -> tuple[list[bool], list[bool], bool]:
         elif tag in ("html", "body", "main", "h1"):
             keep[i] = True
         elif in_article[i]:
-            keep[i] = not clear[i] and (tag not in OUTSIDE or tag in ("header", "form", "fieldset") and holds[i])
-            named |= clear[i]
+            out = clear[i] or inside[i] and not holds[i]
+            keep[i] = not out and (tag not in OUTSIDE or tag in ("header", "form", "fieldset") and holds[i])
+            named |= out
         elif unwanted[i] and _unwanted(page.names[i], REMARKS):
             keep[i], named = False, True
         elif tag in OUTSIDE or unwanted[i]:
@@ -344,9 +375,10 @@ def _chosen(page: Page, keep: list[bool]) -> set[int]:
 
 
 def _link_lists(page: Page, keep: list[bool], in_article: list[bool]) -> None:
-    """Take out lists and tables that are little but links, but for those of an article."""
+    """Take out lists and tables that are little but links; of those in an article only links for sharing it."""
     count = len(page.tag)
     chars, linked, links, link = [0] * count, [0] * count, [0] * count, [False] * count
+    shares = [0] * count
     for i in range(1, count):
         link[i] = link[page.parent[i]] or page.tag[i] == "a"
         links[i] = int(page.tag[i] == "a")
@@ -355,14 +387,16 @@ def _link_lists(page: Page, keep: list[bool], in_article: list[bool]) -> None:
             n = len("".join(text.split()))
             chars[element] += n
             linked[element] += n if link[element] else 0
+            shares[element] += int(link[element] and n <= 30 and bool(SHARE.search(text)))
     for i in range(count - 1, 0, -1):
-        for sums in (chars, linked, links):
+        for sums in (chars, linked, links, shares):
             sums[page.parent[i]] += sums[i]
     for i in range(1, count):
         if not keep[page.parent[i]]:
             keep[i] = False
-        elif not in_article[i] and page.tag[i] in ("ul", "ol", "dl", "table", "div", "section") and links[i] >= 3:
-            keep[i] = keep[i] and linked[i] <= 0.75 * chars[i]
+        elif page.tag[i] in ("ul", "ol", "dl", "table", "div", "section") and links[i] >= (2 if in_article[i] else 3):
+            gone = linked[i] > 0.75 * chars[i] and (not in_article[i] or shares[i] * 3 >= links[i] * 2)
+            keep[i] = keep[i] and not gone
 
 
 def main_text(source: str | None) -> str:

@@ -48,6 +48,7 @@ from rowtide.llm.common import (
     fresh,
     land,
     release,
+    with_place,
 )
 from rowtide.llm.exact_dedup import rice_decode, rice_encode
 
@@ -662,11 +663,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> Data
     """
     place, root = fresh(docs, "place", "root")
     text_col = options.pop("text_col", "text")
-    plain = docs.groupBy(id_col).count().where(F.col(id_col).isNull() | (F.col("count") > 1)).isEmpty()
-    if plain:  # the id itself tells rows apart
-        landed = docs.withColumn(place, F.col(id_col))
-    else:
-        landed = land(docs.withColumn(place, F.monotonically_increasing_id()), "documents")
+    landed = with_place(docs, id_col, place)
     known = landed.select(F.col(place), F.col(id_col))
     order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(place))
     said = similar_documents(landed.select(F.col(place), F.col(text_col)), place, text_col, **options)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 DIMENSIONS = 1024
 UNKNOWN = "und"
-# Learned values of the language column; more means that it does not hold languages.
+# Learned values of the language column unless ``train`` is given another number: each takes 8 KB of the model.
 MAX_LANGUAGES = 1000
 # Cells of a block of n-gram counts, and letters counted at once.
 CELLS = 1 << 22
@@ -155,7 +155,9 @@ class LanguageModel:
     prototypes: np.ndarray
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
+def train(
+    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", max_languages: int = MAX_LANGUAGES
+) -> LanguageModel:
     """Bundle all given texts by language. Null texts and languages teach nothing.
 
     Tasks send one vector per language; sums are combined before the shuffle, and
@@ -181,9 +183,9 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     sums = sums.groupBy("lang", "pos").agg(F.sum("col").alias("total")).groupBy("lang").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "total"))), lambda x: x["total"]).alias("sums")
     )
-    got = sums.orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(got) > MAX_LANGUAGES:
-        raise ValueError(f"{lang_col} has more than {MAX_LANGUAGES} values")
+    got = sums.orderBy("lang").limit(max_languages + 1).collect()
+    if len(got) > max_languages:
+        raise ValueError(f"{lang_col} has more than {max_languages} values")
     if not got:
         return LanguageModel((), np.zeros((0, DIMENSIONS)))
     rows = np.array([r["sums"] for r in got], dtype=np.float64)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import fresh, land, words_of
+from rowtide.llm.common import fresh, land, with_place, words_of
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -102,27 +102,16 @@ def mix_sources(
     )
 
 
-def take_mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``docs`` the mix takes, each as often as it is taken, with all their columns.
 
-    Rows that share an id get the copies of all of them shared out as evenly as whole copies allow.
+    Rows are told apart by their id or, if some share one or have none, by their place in a landed
+    copy, so each row gets its own copies.
     """
-    copies = mix_sources(docs, id_col, **options).groupBy(id_col).agg(
-        F.sum("copies").alias("copies"), F.count("*").alias("rows")
-    )
-    key, total, rows = fresh(docs, "id", "copies", "rows")
-    copies = copies.select(F.col(id_col).alias(key), F.col("copies").alias(total), F.col("rows").alias(rows))
-    taken = docs.join(copies.where(F.col(total) > 0), F.col(id_col).eqNullSafe(F.col(key)))
-    nth = F.when(F.col(rows) == 1, F.lit(1)).otherwise(
-        F.row_number().over(Window.partitionBy(key).orderBy(*[F.col(c) for c in docs.columns]))
-    )
-    return _repeat(taken, nth, total, rows).select(*docs.columns)
-
-
-def _repeat(taken: DataFrame, nth, total: str, rows: str) -> DataFrame:
-    single = taken.where(F.col(rows) == 1).withColumn(rows, F.col(total))
-    shared = taken.where(F.col(rows) > 1)
-    own = F.floor(F.col(total) * nth / F.col(rows)) - F.floor(F.col(total) * (nth - 1) / F.col(rows))
-    shared = shared.withColumn(rows, own.cast("long")).where(F.col(rows) > 0)
-    both = single.unionByName(shared)
-    return both.withColumn(rows, F.explode(F.sequence(F.lit(1).cast("long"), F.col(rows))))
+    place, copies = fresh(docs, "place", "copies")
+    landed = with_place(docs, id_col, place)
+    rows = landed.select(F.col(place), F.col(text_col), F.col(source_col))
+    taken = mix_sources(rows, place, text_col, source_col, **options).where("copies > 0")
+    taken = taken.select(F.col(place), F.col("copies").alias(copies))
+    each = landed.join(taken, place).withColumn(copies, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
+    return each.select(*docs.columns)

@@ -150,6 +150,31 @@ def test_rewritten_history_is_detected():
     assert upper[0]["text_start"] is None
 
 
+def _chat(n):
+    return [("user" if i % 2 == 0 else "assistant", f"turn {i}") for i in range(n)]
+
+
+def test_templates_that_look_far_back():
+    """Prefixes start at the first turn, however long the conversation."""
+
+    def keeps_last(turns):
+        return "".join(f"[{r}]{t}" for r, t in turns[-100:])
+
+    made = list(chat_format.render_turns(_chat(130), keeps_last))
+    assert [r["rewrites"] for r in made] == [False] * 100 + [True] * 30
+    for i, r in enumerate(made):  # spans of rewriting turns lie where the new rendering has them
+        whole = keeps_last(_chat(i + 1))
+        assert whole[r["start"] :] == r["span"] and whole[r["text_start"] : r["text_end"]] == f"turn {i}"
+
+    def alternating(turns):
+        if [r for r, _ in turns] != [("user", "assistant")[i % 2] for i in range(len(turns))]:
+            raise ValueError("turns must alternate, user first")
+        return chat_format.chatml(turns)
+
+    records = list(chat_format.render_turns(_chat(130), alternating))
+    assert "".join(r["span"] for r in records) == alternating(_chat(130)) and not any(r["rewrites"] for r in records)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
 <div id="cookie-notice"><p>We use cookies, really, yes, and more.</p></div>
 <header><a href=/>Home</a><p>Slogan, of the site.</p></header><nav><ul><li><a href=1>One</a></ul></nav>
@@ -336,3 +361,57 @@ def test_nothing_in_a_block_is_missed():
     assert len(vector_dedup.range_search(*args)[0]) < true
     who, row = vector_dedup.in_range(*args)
     assert len(set(zip(who.tolist(), row.tolist()))) == len(who) == true
+
+
+SENTENCES = "<p>The river rose in spring, and the town, as ever, watched it from the bridge while boats were tied to posts.</p>"
+FURNITURE = [
+    'div class="nav"', 'div class="menu"', 'ul class="menu"', 'div role="navigation"', 'div role="complementary"',
+    'div class="footer"', 'div class="site-footer"', 'div class="cookie-banner"', 'div class="cookie-notice"', 'div class="notice"',
+    'div class="sidebar-left"', 'div class="ad-banner"', 'div class="banner-ad"', 'p class="ad"', 'span class="advert"',
+    'ins class="adsbygoogle"', 'div class="comments-section"', 'div id="user-comments"', 'div class="newsletter-signup"',
+    'div class="subscribe-box"', "ul",
+]
+ARTICLE = [
+    'section id="discussion"', 'section id="related-work"', 'section id="menu"', 'div class="elementor-widget-text-editor"',
+    'p class="notice"', 'div class="content sidebar-right"', 'div class="has-sidebar"', 'h2 id="related-work"', 'h2 class="menu"',
+]
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div"])
+@pytest.mark.parametrize("start", FURNITURE)
+def test_furniture_goes_inside_and_outside_the_article(around, start):
+    tag = start.split()[0]
+    shares = '<li><a href="/f">Share on Facebook</a></li><li><a href="/t">Tweet FURNITURE</a></li><li><a href="/m">Email</a></li>'
+    inner = shares if tag == "ul" else "FURNITURE of the page"
+    page = f"<body><{around}><h1>Title</h1>{SENTENCES * 3}<{start}>{inner}</{tag}>{SENTENCES * 2}</{around}></body>"
+    text = html_extract.main_text(page)
+    assert "FURNITURE" not in text and text.count("The river rose") == 5
+
+
+@pytest.mark.parametrize("start", ARTICLE)
+def test_parts_of_the_article_stay(start):
+    tag = start.split()[0]
+    page = f"<article><h1>Title</h1>{SENTENCES * 2}<{start}>KEPT, with commas, as part of it.</{tag}>{SENTENCES}</article>"
+    assert "KEPT" in html_extract.main_text(page)
+
+
+def test_a_page_that_would_lose_its_paragraphs_keeps_them():
+    assert html_extract.main_text(f"<main><div class='sidebar-right'>{SENTENCES * 5}</div></main>").count("The river") == 5
+
+
+def test_generated_pages_against_their_template():
+    """Pages made from known parts: what comes out is the article's blocks, in order."""
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        blocks, body = [], []
+        for i in range(int(rng.integers(4, 12))):
+            text = f"Sentence {i} of the story, told at some length, with commas and all, number {rng.integers(1000)}."
+            kind = rng.choice(["p", "h2", "li", "quote"])
+            blocks.append(text)
+            body.append({"p": f"<p>{text}</p>", "h2": f"<h2>{text}</h2>", "li": f"<ul><li>{text}</li></ul>", "quote": f"<blockquote><p>{text}</p></blockquote>"}[kind])
+            if rng.random() < 0.4:
+                start = FURNITURE[int(rng.integers(len(FURNITURE) - 1))]
+                body.append(f"<{start}>Buy now, cheap, today.</{start.split()[0]}>")
+        around = rng.choice(["article", "main"])
+        page = f"<html><body><nav><a href=/>Home</a></nav><{around}>{''.join(body)}</{around}><footer>About</footer></body></html>"
+        assert html_extract.main_text(page).split("\n") == blocks

@@ -400,3 +400,40 @@ def test_near_copies_go_row_by_row(llm):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in kept.collect()) == [
         (False, 1, words), (False, 2, other), (True, 0, "alone without id")
     ]
+
+
+def _bound(text):
+    """Sum of the n-gram vectors of a text, one n-gram at a time."""
+    total = np.zeros(lang_id.DIMENSIONS)
+    vector = lambda c: lang_id.letter_vectors(np.array([ord(c) if c != " " else 0]))[0].astype(float)
+    letters = "".join(c if c.isalpha() else " " for c in text or "")
+    for word in letters.split():
+        own = " " + "".join(c.lower() if len(c.lower()) == 1 else c for c in word) + " "
+        for i in range(1, len(own) - 1):
+            total += np.roll(vector(own[i - 1]), 2) * np.roll(vector(own[i]), 1) * vector(own[i + 1])
+    return total
+
+
+def test_language_id_against_one_gram_at_a_time(llm):
+    texts = [
+        (0, "the cat sat on the mat and the dog ran", "en"), (1, "der Hund läuft über die Straße zum Haus", "de"), (2, "le chat est sur la table avec le chien", "fr"),
+        (3, "the house and the street", "en"), (4, "die Katze und das Haus", "de"), (5, "la maison et la rue", "fr"),
+        (6, "Das Haus der Katze", None), (7, "THE DOG, the cat!", None), (8, "12 ...", "en"), (9, None, "de"), (10, "é", None), (11, "a", None),
+    ]
+    docs = llm.createDataFrame([(i + 100, t, lang) for i, t, lang in texts], "doc_id long, text string, lang string")
+    held = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    sums = defaultdict(lambda: np.zeros(lang_id.DIMENSIONS))
+    for i, t, lang in texts:
+        if lang is not None and not held(i + 100) and any(c.isalpha() for c in t or ""):
+            sums[lang] += _bound(t)
+    got = {r.doc_id: r for r in lang_id.identify_languages(docs).collect()}
+    assert len(sums) > 1
+    for i, t, _ in texts:
+        own, r = _bound(t), got[i + 100]
+        if not any(c.isalpha() for c in t or ""):
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        cosines = {n: own @ v / np.linalg.norm(own) / np.linalg.norm(v) for n, v in sums.items()}
+        best = max(cosines.values())
+        assert cosines[r.lang_pred] == pytest.approx(best, abs=1e-6)
+        assert r.score == pytest.approx(max(0.0, best), abs=1e-5) and r.held_out == held(i + 100)

@@ -114,6 +114,22 @@ def test_nothing_in_nothing_out(llm):
         assert docs.count() == 0
 
 
+def test_language_stage_rejects_long_texts_in_no_language(llm):
+    docs = llm.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(1)
+    junk = " ".join("".join(rng.choice(list("qxzjkwvpbmhg"), 6)) for _ in range(200))
+    odd = llm.createDataFrame([(-1, junk, None), (-2, "привет мир, как дела сегодня " * 20, None), (-3, "zxq", None)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(llm, docs.unionByName(odd), SF_DIR).collect()}
+    assert not kept & {-1, -2} and -3 in kept
+
+
+def test_rows_that_share_an_id_and_odd_columns_pass_all_stages(llm, docs):
+    frame = land(docs, "documents")
+    for name, stage in corpus_pipeline.STAGES:
+        frame = land(stage(llm, frame, SF_DIR), name)
+    assert frame.count() > 0
+
+
 def test_without_languages_the_same_rows_stay(llm):
     docs = llm.createDataFrame(
         [(1, "words", None), (2, None, None), (3, "12", None), (4, "é", None)], "doc_id long, text string, lang string"

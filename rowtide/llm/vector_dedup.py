@@ -3,16 +3,17 @@
 1. Identical vectors of a label become one node that stands for all copies.
 2. Centroids of each large label, fitted on a bounded sample, cut it into cells;
    every node lies in all whose angle to it is within a margin of the nearest
-   one's, however many that are. A cell that is still large is dealt into blocks,
-   and blocks meet pair by pair, so no task holds more than two.
+   one's, however many that are. Cells that are still large are cut again alike, each
+   by centroids fitted on a sample of its own, until none is or cutting no longer helps
+   (very many vectors within the margin of each other); such a cell is dealt into
+   blocks that meet pair by pair, so no task holds more than two.
 3. Each block becomes a flat graph: nodes keep the near neighbours that robust
-   pruning leaves, with reverse edges, all reachable from the medoid.
+   pruning leaves and a few random ones, with reverse edges, all reachable from the medoid.
 4. The adjacency lists a node has from its cells are united.
-5. Every node is searched for in its cells: a greedy beam from the medoid (and
-   from the node itself where it is in the graph) until the beam is exhausted,
-   then on from every vector in range until no further one turns up. The products
-   of a block add what the search missed, so every cell and every pair of blocks
-   finds all its pairs.
+5. Every node is searched for in its cells: a greedy beam from the medoid (from the
+   node itself where it is in the graph, and from its neighbours of other cells)
+   until the beam is exhausted, then on from every vector in range until no further
+   one turns up. Two blocks are searched both ways.
 6. What is found is verified in double precision. A pair is counted in the first
    cell both nodes are in, which has found it if any has. Tasks return counts and a spanning forest, not pairs,
    so a dense group does not blow up.
@@ -41,7 +42,13 @@ OVERLAP = 2
 SLACK = 1.5
 # Graph: neighbours kept, candidates pruned from, slack of the pruning on squared distances.
 DEGREE, CANDIDATES, ALPHA = 24, 64, 1.44
-BEAM = 32
+BEAM = 48
+# Random further neighbours of each row: ways out of groups of more than CANDIDATES rows, and into them.
+FAR = 8
+# Neighbours from other cells that a search starts from.
+STARTS = 3
+# Further cuts of large cells: centroids and sample vectors of a cell, and how often at most.
+FINER, FINER_SAMPLE, CUTS = 32, 4000, 8
 
 
 # --- graph ----------------------------------------------------------------------
@@ -84,14 +91,17 @@ def build_graph(x: np.ndarray) -> tuple[list[np.ndarray], int]:
     for start in range(0, n, 256):
         rows = slice(start, min(n, start + 256))
         out += robust_prune(x, np.arange(rows.start, rows.stop), _candidates(x, rows, size))
-    source = np.repeat(np.arange(n), [len(o) for o in out])
-    target = np.concatenate(out)
+    far = np.random.default_rng(n).integers(0, n - 1, (n, FAR))
+    far += far >= np.arange(n)[:, None]  # anybody but the row itself
+    source = np.concatenate([np.repeat(np.arange(n), [len(o) for o in out]), np.repeat(np.arange(n), FAR)])
+    target = np.concatenate([*out, far.ravel()])
     ends = np.unique(np.concatenate([source * n + target, target * n + source]))
     source, target = ends // n, ends % n
     graph = np.split(target, np.searchsorted(source, np.arange(1, n)))
     for i, own in enumerate(graph):
-        if len(own) > 2 * DEGREE:
-            graph[i] = own[np.argsort(-(x[own] @ x[i]), kind="stable")[: 2 * DEGREE]]
+        if len(own) > 2 * DEGREE + FAR:
+            order = own[np.argsort(-(x[own] @ x[i]), kind="stable")]
+            graph[i] = np.concatenate([order[: 2 * DEGREE], order[-FAR:]])
     _connect(x, graph, medoid)
     return graph, medoid
 
@@ -172,13 +182,20 @@ def range_search(
     return np.nonzero(score >= least)
 
 
-def in_range(
-    x: np.ndarray, table: np.ndarray, entries: np.ndarray, queries: np.ndarray, least: float
+def block_pairs(
+    x: np.ndarray, near: list[np.ndarray], entry: int, queries: np.ndarray, starts: list[np.ndarray], least: float
 ) -> tuple[np.ndarray, np.ndarray]:
-    """What ``range_search`` finds and what it misses: the products with all of ``x`` tell, one matrix product a block."""
-    hit = queries @ x.T >= least
-    hit[range_search(x, table, entries, queries, least)] = True
-    return np.nonzero(hit)
+    """(query, row of ``x``) found by searching the graph ``near``; ``starts``: rows a query starts from besides the medoid."""
+    table, who, rows = _table(near), [], []
+    for at in range(0, len(queries), 256):
+        own = starts[at : at + 256]
+        entries = np.full((len(own), 1 + STARTS), entry)
+        for i, some in enumerate(own):
+            entries[i, 1 : 1 + len(some[:STARTS])] = some[:STARTS]
+        a, b = range_search(x, table, entries, queries[at : at + 256], least)
+        who.append(a + at)
+        rows.append(b)
+    return (np.concatenate(who), np.concatenate(rows)) if who else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
 # --- cells ----------------------------------------------------------------------
@@ -302,12 +319,56 @@ def _classes(rows: DataFrame, id_col: str, vector_col: str, label_col: str) -> t
     return keyed.select("id", "key"), land(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
 
+def _finer(placed: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+    """The rows of large cells in cells of their own, by centroids fitted on a sample of each."""
+    rows = placed.join(sizes, "cell")
+    sample = rows.where(F.pmod(F.xxhash64("node", F.lit("sample")), F.ceil(F.col("count") / FINER_SAMPLE)) == 0)
+
+    def fit(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("node")
+        x = np.stack(own["unit"].to_list()).astype(np.float32)
+        count = min(FINER, -(-int(own["count"].iloc[0]) // CELL_ROWS) * OVERLAP, len(x) // SAMPLE_PER_CENTROID)
+        centres = _fit(x, max(1, count)).astype("<f4").tobytes()
+        return pd.DataFrame({"cell": own["cell"].iloc[:1], "centres": [centres], "margin": [_margin(x, threshold)]})
+
+    centres = sample.select("cell", "count", "node", "unit").groupBy("cell").applyInPandas(
+        fit, "cell string, centres binary, margin double"
+    )
+
+    def assign(batches):
+        for batch in batches:
+            batch["cells"] = None
+            cells = batch["cells"].astype(object)
+            for cell, own in batch.groupby("cell"):
+                unit = np.stack(own["unit"].to_list()).astype(np.float32)
+                centres = np.frombuffer(own["centres"].iloc[0], "<f4").reshape(-1, unit.shape[1])
+                for at, near in zip(own.index, _within(unit, centres, own["margin"].iloc[0])):
+                    cells[at] = [f"{cell}/{c}" for c in near.tolist()]
+            batch["cells"] = cells
+            yield batch[["node", "copies", "unit", "cells"]]
+
+    schema = "node long, copies long, unit array<double>, cells array<string>"
+    cut = rows.join(land(centres, "centres"), "cell").mapInPandas(assign, schema)
+    return cut.select("node", "copies", "unit", F.explode("cells").alias("cell"))
+
+
 def _blocks(nodes: DataFrame, threshold: float) -> DataFrame:
-    """One row per node and cell, with its block and the number of blocks of the cell."""
-    placed = _assign(nodes, fit_centroids(nodes, threshold)).select("node", "copies", "unit", "cells", F.explode("cells").alias("cell"))
-    placed = land(placed, "cells")
+    """One row per node and cell, with all cells of the node, its block and the number of blocks of the cell."""
+    placed = _assign(nodes, fit_centroids(nodes, threshold)).select("node", "copies", "unit", F.explode("cells").alias("cell"))
+    placed, before = land(placed, "cells"), None
+    for _ in range(CUTS):
+        sizes = placed.groupBy("cell").count()
+        large = land(sizes.where(F.col("count") > BLOCK_ROWS), "large")
+        row = large.agg(F.max("count"), F.sum("count")).first()
+        if row[0] is None or before is not None and row[0] * 4 > before * 3:
+            break  # none is large, or cutting no longer helps
+        before = row[0]
+        rest = placed.join(large.select("cell"), "cell", "left_anti").select(*placed.columns)
+        placed = land(rest.unionByName(_finer(placed, large, threshold)), "cells")
     sizes = placed.groupBy("cell").count().select("cell", F.ceil(F.col("count") / BLOCK_ROWS).cast("int").alias("blocks"))
-    return placed.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    owners = placed.groupBy("node").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
+    dealt = placed.join(sizes, "cell").join(owners, "node")
+    return dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
 
 
 def _adjacency(blocks: DataFrame) -> DataFrame:
@@ -331,20 +392,23 @@ def _search(pairs: DataFrame, threshold: float) -> DataFrame:
         cell, first, second = key
         rows = rows.sort_values("node", ignore_index=True)
         block = rows["block"].to_numpy()
-        index, asked = np.flatnonzero(block == second), np.flatnonzero(block == first)
-        unit = np.stack(rows["unit"].to_list())
-        x, nodes = unit[index].astype(np.float32), rows["node"].to_numpy()
-        if not len(index) or not len(asked):
-            return _result([], [], [], [])
-        table = _table([_local(nodes[index], near) for near in rows["near"].to_numpy()[index]])
-        entry = int(np.flatnonzero(rows["entry"].to_numpy()[index])[0])
-        owners, copies = rows["cells"].to_numpy(), rows["copies"].to_numpy()
+        unit, nodes = np.stack(rows["unit"].to_list()), rows["node"].to_numpy()
+        owners, copies, near = rows["cells"].to_numpy(), rows["copies"].to_numpy(), rows["near"].to_numpy()
+        is_entry = rows["entry"].to_numpy()
         links, ends = np.zeros(len(rows), np.int64), []
-        for at in range(0, len(asked), 256):
-            own = asked[at : at + 256]
-            start = [np.full(len(own), entry)] + ([np.searchsorted(index, own)] if first == second else [])
-            who, found = in_range(x, table, np.stack(start, 1), unit[own].astype(np.float32), threshold - 1e-4)
-            a, b = own[who], index[found]
+        for here, there in {(first, second), (second, first)}:
+            asked, index = np.flatnonzero(block == here), np.flatnonzero(block == there)
+            if not len(index) or not len(asked):
+                continue
+            graph = [_local(nodes[index], n) for n in near[index]]
+            if here == there:
+                starts = [np.array([i]) for i in range(len(index))]
+            else:
+                starts = [_local(nodes[index], near[i]) for i in asked]
+            entry = int(np.flatnonzero(is_entry[index])[0])
+            x, queries = unit[index].astype(np.float32), unit[asked].astype(np.float32)
+            who, found = block_pairs(x, graph, entry, queries, starts, threshold - 1e-4)
+            a, b = asked[who], index[found]
             ends.append(np.stack([np.minimum(a, b), np.maximum(a, b)])[:, a != b])
         ends = np.unique(np.concatenate(ends, axis=1), axis=1) if ends else np.empty((2, 0), np.int64)
         forest = _Forest(len(rows))

@@ -346,21 +346,32 @@ def test_few_directions_lose_no_pair():
     assert (cells.astype(int) @ cells.T.astype(int))[close].min() > 0
 
 
-def test_nothing_in_a_block_is_missed():
-    """As between blocks: vectors of one block asked for in the graph of another, from its medoid alone."""
+def _planted(rng, x, low=0.931, high=0.96):
+    """A row in range of each row of ``x``."""
+    turn = rng.normal(size=x.shape)
+    turn -= (turn * x).sum(axis=1, keepdims=True) * x
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    cosine = rng.uniform(low, high, (len(x), 1))
+    return (cosine * x + np.sqrt(1 - cosine**2) * turn).astype(np.float32)
+
+
+def test_search_between_blocks_goes_through_the_graph():
+    """Vectors of one block asked for in the graph of another from its medoid: tight groups, and lone vectors."""
     rng = np.random.default_rng(13)
-    # Groups of more than CANDIDATES rows: hardly a neighbour is outside the own group.
+    # Groups of more than CANDIDATES rows: hardly a near neighbour is outside the own group.
     middle = np.repeat(rng.normal(size=(20, 64)), 80, axis=0)
     x, asked = middle + 0.15 * rng.normal(size=(2, *middle.shape))
-    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
-    asked = (asked / np.linalg.norm(asked, axis=1, keepdims=True)).astype(np.float32)
+    lone = rng.normal(size=(2400, 64))
+    x, asked = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (np.concatenate([x, lone]), asked))
+    x = x.astype(np.float32)
+    asked = np.concatenate([asked.astype(np.float32), _planted(rng, x[1600:])])
     graph, medoid = vector_dedup.build_graph(x)
-    args = x, vector_dedup._table(graph), np.full((len(x), 1), medoid), asked, 0.93
+    nothing = [np.empty(0, np.int64)] * len(asked)
     true = int((asked @ x.T >= 0.93).sum())
-    assert true >= 1000
-    assert len(vector_dedup.range_search(*args)[0]) < true
-    who, row = vector_dedup.in_range(*args)
-    assert len(set(zip(who.tolist(), row.tolist()))) == len(who) == true
+    who, row = vector_dedup.block_pairs(x, graph, medoid, asked, nothing, 0.93)
+    assert true >= 3400 and len(set(zip(who.tolist(), row.tolist()))) == len(who) >= 0.98 * true
+    empty, _ = vector_dedup.block_pairs(x, [np.empty(0, np.int64)] * len(x), medoid, asked, nothing, 0.93)
+    assert len(empty) < 0.05 * true  # without the graph next to nothing is found
 
 
 SENTENCES = "<p>The river rose in spring, and the town, as ever, watched it from the bridge while boats were tied to posts.</p>"

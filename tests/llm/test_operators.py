@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -343,6 +344,23 @@ def test_near_vectors(llm, monkeypatch):
         assert [tuple(r) for r in got[i]] == [(i, 0, i, True)]
     assert sum(map(len, got.values())) == len(rows) and close.sum() > 3000
     assert vector_dedup.audit_recall(frame, result) == 1.0
+
+
+def test_vectors_of_one_large_label(llm):
+    """Planted pairs at 0.931 to 0.96 in a label of 100,000 vectors, with the production constants."""
+    rng = np.random.default_rng(21)
+    n, planted = 100_000, 2000
+    x = rng.normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turn = rng.normal(size=(planted, 64))
+    turn -= (turn * x[:planted]).sum(axis=1, keepdims=True) * x[:planted]
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    cosine = rng.uniform(0.931, 0.96, (planted, 1))
+    x[planted : 2 * planted] = cosine * x[:planted] + np.sqrt(1 - cosine**2) * turn
+    frame = llm.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": x.astype(np.float32).tolist(), "label": 1}))
+    got = {r.vec_id: r for r in vector_dedup.near_vectors(frame.repartition(8)).where("n_links > 0").collect()}
+    found = sum(i + planted in got and got[i + planted].component_id == i for i in range(planted))
+    assert found >= 0.95 * planted and len(got) <= 2 * planted + 20
     assert vector_dedup.near_vectors(frame.limit(0)).count() == 0
 
 

@@ -82,6 +82,8 @@ def with_place(docs: DataFrame, id_col: str, place: str) -> DataFrame:
 # --- Bloom filters ------------------------------------------------------------
 
 PROBES = 4
+# 64-bit words of a filter that reach the driver together.
+BLOOM_BLOCK = 1 << 13
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -122,10 +124,18 @@ def bloom_build(
                 start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
                 yield pd.DataFrame({"word": word[start], "bits": np.bitwise_or.reduceat(bit, start).view(np.int64)})
 
+    def packed(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        block = np.zeros(BLOOM_BLOCK, np.int64)
+        block[own["word"].to_numpy() % BLOOM_BLOCK] = own["bits"].to_numpy()
+        return pd.DataFrame({"block": [key[0]], "words": [block.tobytes()]})
+
     table = keys.mapInPandas(words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    out = np.zeros(bits // 64, dtype=np.uint64)
-    got = table.toPandas()
-    out[got["word"].to_numpy()] = got["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    # the driver receives blocks of bytes, no row per word
+    blocks = table.groupBy(F.floor(F.col("word") / BLOOM_BLOCK).alias("block")).applyInPandas(packed, "block long, words binary")
+    out = np.zeros(-(-bits // 64 // BLOOM_BLOCK) * BLOOM_BLOCK, dtype=np.uint64)
+    for block, part in blocks.collect():
+        out[block * BLOOM_BLOCK : (block + 1) * BLOOM_BLOCK] = np.frombuffer(part, np.uint64)
+    out = out[: bits // 64]
     return out
 
 

@@ -96,7 +96,7 @@ def test_benchmark_sets():
     assert all(s.columns[-1] == "freshness_ts" for s in [*CH_BENCHMARK.values(), *HYBENCH.values()])
 
 
-def test_infer():
+def test_infer(spark):
     shape = T.StructType.fromDDL("id bigint, at timestamp_ntz, p decimal(9,2)")
     spec = TableSpec.infer("t", shape, ["id"])
     assert spec.pk == ("id",) and not spec.field("at").zoned and spec.field("p").kind == "decimal"

@@ -56,7 +56,8 @@ CLASSES, BINS = 16, 32
 LEAVES = CLASSES * BINS
 FREQUENT = LEAVES // 2  # with the unknown word, which is bin 0 of class 0
 ROWS = 1 << 16  # feature rows of a layer; row numbers are 16-bit
-ROUNDS = 3
+# Rounds at least, and chunks a task trains on in one at most: a lost task repeats no more than that.
+ROUNDS, TASK_CHUNKS = 3, 8
 RATE = 0.25
 STEP = 8192  # tokens of a gradient step
 BLOCKS = 64  # parts the weights are averaged in
@@ -516,13 +517,17 @@ def score(ready: DataFrame, model: Model) -> DataFrame:
     return ready.mapInArrow(run, SCORES.format(kind=kind))
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def rounds_for(parts: int, trainers: int) -> int:
+    return max(ROUNDS, math.ceil(parts / (trainers * TASK_CHUNKS)))
+
+
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int | None = None) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     A null text is empty: one token, the end. A null id counts as the empty text in
     the checksum that holds documents out. Repeated rows are learned from and
     scored each. Without training documents every token is unknown. An empty table
-    gives no rows. Other columns are not read. The texts of one document must fit a task.
+    gives no rows. ``rounds`` follows the number of chunks and cores unless given. Other columns are not read. The texts of one document must fit a task.
     """
     spark = docs.sparkSession
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")
@@ -534,8 +539,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = scratch_dir(spark, "chunks")
     chunks(rows).write.option("compression", "zstd").parquet(whole)
     parts = spark.read.parquet(whole)
-    entries = parts.agg(F.coalesce(F.sum(F.octet_length("hashes")), F.lit(0))).first()[0] // 8
-    answers = count_words(parts, max(1, math.ceil(entries / OWNED)))
+    size, count = parts.agg(F.coalesce(F.sum(F.octet_length("hashes")), F.lit(0)), F.count("*")).first()
+    rounds = rounds or rounds_for(count, spark.sparkContext.defaultParallelism)
+    answers = count_words(parts, max(1, math.ceil(size / 8 / OWNED)))
     release(spark)
     model = start_model(answers)
     path = scratch_dir(spark, "ready")

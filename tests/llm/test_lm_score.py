@@ -153,3 +153,7 @@ def test_registered_query(llm):
     got = rows(QUERIES["op13_lm_score"](llm, SF))
     close(got, naive(docs))
     assert got and rows(QUERIES["op13_lm_score"](llm, SF)) == got
+
+
+def test_rounds_grow_with_the_chunks_of_a_task():
+    assert [lm_score.rounds_for(n, 6) for n in (0, 1, 144, 145, 48_000)] == [3, 3, 3, 4, 1000]

@@ -176,7 +176,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         ),
         "hashes",
     )
-    groups = _verified(narrow, texts, passes)
+    # landed, so that the join below deals out both sides and a text with very many rows can be split
+    groups = land(_verified(narrow, texts, passes), "groups")
     sha = F.lower(F.hex("sha")).alias("text_sha256")
     alone = narrow.where("not suspect").select(
         F.col("id").alias(id_col), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),

@@ -138,7 +138,7 @@ def judge_urls(
     listed_labels: Sequence[int],
     url_col: str = "url",
 ) -> DataFrame:
-    """``pages`` with one more column ``judged``: struct(host, path, rule, verdict).
+    """``pages`` with one more column ``judged``: struct(host, path, rule, verdict). One of that name is replaced.
 
     A rule fits its host and all subdomains if the path starts with the rule's;
     the longest rule wins, of equally long ones a blocking one. Without a rule the

@@ -289,7 +289,9 @@ def _searched(rows: DataFrame, table: np.ndarray, groups: int, depth: int, halve
             if not len(batch):
                 continue
             if size >= together:
-                others = np.flatnonzero(batch["key"].to_numpy() != held[-1]["key"].iloc[-1])
+                # compared one by one: numpy takes the zero bytes off the end of the key it compares an array with
+                last = held[-1]["key"].iloc[-1]
+                others = np.flatnonzero([key != last for key in batch["key"]])
                 if len(others):  # the last subtree ends here
                     held.append(batch.iloc[: others[0]])
                     yield from made(pd.concat(held))

@@ -97,6 +97,25 @@ def test_crowded_subtrees_are_halved(llm):
     assert set(got) == naive(docs) and len(got) == len(set(got))
 
 
+def test_subtrees_stay_whole_over_batches(llm):
+    """Several batches of one subtree arrive after the rows that are searched together."""
+    rng = np.random.default_rng(11)
+    letters, words = list("aabbccdd"), set()
+    for _ in range(1200):
+        rng.shuffle(letters)
+        words.add("".join(letters))
+        words.add("".join(letters) + "e")
+    docs = [(1, " ".join(sorted(words) * 2))]
+    frame = llm.createDataFrame(docs, "doc_id long, text string")
+    size = llm.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    llm.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        got = rows(spelling.spelling_variants(frame, groups=6, depth=6, together=60))
+    finally:
+        llm.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert set(got) == naive(docs) and len(got) == len(set(got))
+
+
 def test_chains_of_forms_end_at_one_root(llm):
     chain = [("wordsaa", "wordsab"), ("wordsab", "wordsbb"), ("wordsbb", "wordbbb"), ("wordbbb", "worbbbb"), ("lonesome", "lonesom")]
     got = {r[0]: r[1] for r in spelling.roots_of(llm.createDataFrame(chain, "word string, form string")).collect()}

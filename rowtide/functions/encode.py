@@ -9,10 +9,22 @@ from rowtide.catalog.spec import WIDTHS, FieldSpec
 from rowtide.functions.wire import micros_from_ntz
 
 
-def integer_bytes(number: Column, width: int) -> Column:
-    """Two's complement big-endian bytes of an integral column."""
-    digits = F.lpad(F.hex(number.cast("bigint")), 16, "0")
-    return F.unhex(F.substring(digits, 17 - 2 * width, 2 * width))
+def integer_bytes(number: Column, width: int, signed: bool | None = None) -> Column:
+    """Two's complement big-endian bytes of an integral column.
+
+    A number that the signed or the unsigned kind of this width (None: both) cannot
+    hold is an error: it would come back as another one.
+    """
+    whole = number.cast("bigint")
+    digits = F.lpad(F.hex(whole), 16, "0")
+    data = F.unhex(F.substring(digits, 17 - 2 * width, 2 * width))
+    if width == 8:
+        return data
+    low = 0 if signed is False else -(1 << 8 * width - 1)
+    high = 1 << 8 * width - bool(signed)
+    beyond = (whole < low) | (whole >= high)
+    told = F.concat(whole.cast("string"), F.lit(f" does not fit into {width} bytes"))
+    return F.when(beyond, F.raise_error(told)).otherwise(data)
 
 
 def float32_bytes(number: Column) -> Column:
@@ -52,5 +64,5 @@ def encode(field: FieldSpec, column: Column) -> Column:
     elif kind == "boolean":
         data = integer_bytes(column.cast("int"), 1)
     else:
-        data = integer_bytes(column, WIDTHS[kind])
+        data = integer_bytes(column, WIDTHS[kind], signed=not kind.startswith("u"))
     return F.when(column.isNull(), F.lit(b"")).otherwise(data)

@@ -177,3 +177,20 @@ def test_payloads(spark):
     got = [(None if r[1] is None else bytes(r[1]), r[2], r[3]) for r in decode_payloads(rows, "r").collect()]
     assert got == [(b"Hello", None, False), (b"", None, False), (None, "plain", False), (None, None, True),
                    (None, None, True), (None, None, False), (b"\xab\xcd", None, False)]
+
+
+def test_numbers_beyond_their_cell(spark, tmp_path):
+    from rowtide.plans.queries import QUERIES
+
+    small, large = (spark.range(1).select(F.lit(n).cast("bigint").alias("n")) for n in (-32768, 32768))
+    short = FieldSpec("x", "int16")
+    assert bytes(small.select(encode(short, F.col("n"))).first()[0]) == b"\x80\x00"
+    assert bytes(large.select(encode(FieldSpec("x", "uint16"), F.col("n"))).first()[0]) == b"\x80\x00"
+    for rows, kind in ((large, short), (small, FieldSpec("x", "uint16")), (large, FieldSpec("x", "int8"))):
+        with pytest.raises(Exception, match="does not fit"):
+            rows.select(encode(kind, F.col("n"))).collect()
+    # more suppliers than int16 has numbers
+    rows = spark.sql("SELECT id l_orderkey, id l_partkey, id * 33069 l_suppkey, 1 l_linenumber FROM range(0, 4)")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r.l_suppkey: r.i16 for r in QUERIES["decode_ints"](spark, str(tmp_path)).collect()}
+    assert got == {n: 300 - n for n in (0, 33069, 66138, 99207)}

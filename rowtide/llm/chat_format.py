@@ -25,8 +25,6 @@ Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
 START, END, BREAK = "<|im_start|>", "<|im_end|>", "<|nl|>"
-# Turns that ``chatml`` looks back: what it makes of a turn depends on that turn alone.
-CHATML_WINDOW = 1
 # Stands for a turn's text in a probe; plain letters, so no template escapes it.
 MARKER = "QzProbeTextzQ"
 

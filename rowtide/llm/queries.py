@@ -85,7 +85,7 @@ CONTROL_CHAT = [
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = spark.createDataFrame(CONTROL_CHAT, "conv_id long, turn long, role string, text string")
-    spans = chat_format.format_chats(chats.unionByName(control), window=chat_format.CHATML_WINDOW)
+    spans = chat_format.format_chats(chats.unionByName(control))
     return chat_format.digest_chats(spans)
 
 

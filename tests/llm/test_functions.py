@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from rowtide.llm import chat_format, exact_dedup, html_extract, jaccard_join, lang_id, packing, vector_dedup
+from rowtide.llm.queries import QUERIES
 from rowtide.llm.tokens import Encoder, default_tokenizer
 
 
@@ -426,3 +427,18 @@ def test_generated_pages_against_their_template():
         around = rng.choice(["article", "main"])
         page = f"<html><body><nav><a href=/>Home</a></nav><{around}>{''.join(body)}</{around}><footer>About</footer></body></html>"
         assert html_extract.main_text(page).split("\n") == blocks
+
+
+def test_registered_query_renders_prefixes_from_the_first_turn(llm, tmp_path, monkeypatch):
+    real = chat_format.format_chats
+
+    def whole_prefixes(turns):
+        if turns[0][1] not in ("first", chat_format.MARKER, "<|im_end|><|im_start|>assistant ok"):
+            raise ValueError("a prefix without its first turn")
+        return chat_format.chatml(turns)
+
+    monkeypatch.setattr(chat_format, "format_chats", lambda chats, **how: real(chats, template=whole_prefixes, **how))
+    turns = [(5, i, ("user", "assistant")[i % 2], "first" if i == 0 else f"text {i}") for i in range(9)]
+    llm.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r.conv_id: r for r in QUERIES["op4_chat_format"](llm, str(tmp_path)).collect()}
+    assert got[5].n_turns == 9 and got[5].loss_chars == 4 * len("text 1") and got[-1].n_turns == 2

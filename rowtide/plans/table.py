@@ -54,8 +54,8 @@ FAN = 8
 SMALLEST = 16 << 10
 # Changes as large as the rows below them are merged into these once there are so many parts of them.
 FOLD_AT = 4
-# Bytes of a file of a merged part.
-FILE_BYTES = 128 << 20
+# Bytes of a file of a merged part. One task sorts them, in some eight times the memory.
+FILE_BYTES = 32 << 20
 # Key values passed to the reader as a filter; more of them are only matched by a join.
 PUSHED_KEYS = 1000
 
@@ -474,14 +474,22 @@ class KeyedTable:
         low, high = ([told.get(f"{e}{i}") for i in range(len(pk))] for e in ("low", "high"))
         part = Part(kind, buckets, len(buckets), seq, told.get("rows", 0), size, low, high, merged is not None and bool(buckets))
         if part.ranged:
-            self._write_ranges(name, target)
+            self._ranges(name, target).write.parquet(f"{self.path}/files/{name}")
         return name, part
 
-    def _write_ranges(self, name: str, target: str) -> None:
+    def _ranges(self, name: str, target: str) -> DataFrame:
+        """Key range per file: its first and its last row, as files are sorted by key.
+
+        Only their number is aggregated; a minimum of whole keys would sort all rows with their file's path.
+        """
         key = F.struct(*[F.col(f"`{k}`") for k in self.spec.pk])
-        rows = self.spark.read.parquet(target).select(BUCKET, F.col("_metadata.file_path").alias("file"), key.alias("key"))
-        ranges = rows.groupBy(BUCKET, "file").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-        ranges.select(F.lit(name).alias("part"), BUCKET, "file", "low", "high").write.parquet(f"{self.path}/files/{name}")
+        rows = self.spark.read.parquet(target)
+        place = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "row_index")]
+        last = rows.select(*place).groupBy("file_path").agg(F.max("row_index").alias("row_index"))
+        low = rows.select(*place, BUCKET, key.alias("low")).where("row_index = 0").drop("row_index")
+        high = rows.select(*place, key.alias("high")).join(F.broadcast(last), ["file_path", "row_index"]).drop("row_index")
+        ranges = low.join(high, "file_path").withColumnRenamed("file_path", "file")
+        return ranges.select(F.lit(name).alias("part"), BUCKET, "file", "low", "high")
 
     def _commit(
         self,

@@ -534,3 +534,22 @@ def test_one_stream_for_two_tables_survives_a_kill_between_them(spark, tmp_path)
     assert committed(spark, commits) == {"acct": 1, "other": 1}
     assert content(tables["acct"].read()) == [(2, "b"), (3, "b")] and content(tables["other"].read()) == [(1, "a"), (2, "b")]
     assert spark.read.parquet(f"{tables['acct'].path}/rejects").count() == 1
+
+
+def test_key_ranges_of_files_are_found_without_sorting_their_rows(spark, tmp_path, monkeypatch):
+    from rowtide.plans import table as module
+
+    monkeypatch.setattr(module, "FILE_BYTES", 20_000)
+    table = KeyedTable(spark, str(tmp_path), TableSpec.parse("Two", "a, b", "a int32!, b varchar(8)!, v int32"), buckets=3)
+    data = spark.sql("SELECT cast(id % 97 AS int) a, cast(id * 31 % 1000 AS string) b, cast(id AS int) v FROM range(3000)")
+    table.append(data)
+    table.append(data)
+    table.ensure_key_layout()
+    (name,) = table.version().parts
+    target = f"{table.path}/data/rt_part={name}"
+    found = table._ranges(name, target)
+    assert "SortAggregate" not in found._jdf.queryExecution().toString()
+    files = spark.read.parquet(target).groupBy(F.col("_metadata.file_path").alias("file"), "rt_bucket")
+    key = F.struct("a", "b")
+    want = files.agg(F.min(key).alias("low"), F.max(key).alias("high")).select(F.lit(name), "rt_bucket", "file", "low", "high")
+    assert content(found) == content(want) == content(spark.read.parquet(f"{table.path}/files/{name}")) and found.count() > 3

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.catalog.spec import TableSpec
@@ -54,11 +54,22 @@ class Importer:
         if rows is None:
             return 0
         table = self.table(name)
-        if spec.pk:
-            field = F.coalesce(*[F.when(F.col(f"`{k}`").isNull(), k) for k in spec.pk])
-            refused = rows.where(field.isNotNull()).select("*", field.alias("reject_field"), F.lit("no_key").alias("reject_reason"))
-            refused.write.parquet(f"{table.path}/rejects/run={uuid.uuid4().hex}")
-            rows = rows.where(field.isNull())
+        if not spec.pk:
+            return self._stored(table, rows, mode)
+        field = F.coalesce(*[F.when(F.col(f"`{k}`").isNull(), k) for k in spec.pk])
+        # counted while the others are stored: the files are read again only if some row is refused
+        seen = Observation()
+        counted = rows.observe(seen, F.count_if(field.isNotNull()).alias("refused"))
+        imported = self._stored(table, counted.where(field.isNull()), mode)
+        refused = rows.select("*", field.alias("reject_field"), F.lit("no_key").alias("reject_reason"))
+        if seen.get.get("refused"):
+            refused = refused.where("reject_field IS NOT NULL")
+        else:
+            refused = self.spark.createDataFrame([], refused.schema)
+        refused.write.parquet(f"{table.path}/rejects/run={uuid.uuid4().hex}")
+        return imported
+
+    def _stored(self, table: KeyedTable, rows: DataFrame, mode: str) -> int:
         if mode == "append":
             return table.append_counted(rows)
         return table.upsert_counted(rows, ["_at"])

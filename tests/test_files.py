@@ -222,3 +222,32 @@ def test_importer(spark, tmp_path):
     assert importer.table("orders").read().count() == 12
     assert importer.import_table("nothing") == 0
     assert {tuple(r) for r in importer.summary({"a": 1}).collect()} == {("a", 1)}
+
+
+def test_import_reads_the_files_again_only_for_refused_rows(spark, tmp_path, monkeypatch):
+    from rowtide.catalog.spec import TableSpec
+    from rowtide.plans import importer as module
+
+    spec = TableSpec.parse("t", "id", "id int64!, v varchar(5)")
+    scans = spark.sparkContext.accumulator(0)
+    real = module.load_table
+
+    def counted(*args, **how):
+        @F.udf("long")
+        def passed(key):
+            scans.add(1)
+            return key
+
+        return real(*args, **how).withColumn("id", passed("id"))
+
+    monkeypatch.setattr(module, "load_table", counted)
+    for name, lines, imported, refused in (("good", "1,a\n2,b\n", 2, []), ("bad", "1,a\nx,b\n", 1, ["b"])):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "t.csv").write_text(lines)
+        before = scans.value
+        made = module.Importer(spark, str(tmp_path / name), {"t": spec}, str(tmp_path / f"{name}-tables"), buckets=2)
+        assert made.import_table("t") == imported and made.table("t").count() == imported
+        read = scans.value - before
+        rejects = spark.read.parquet(f"{made.table('t').path}/rejects")
+        assert [r["v"] for r in rejects.collect()] == refused
+        assert read == 2 if not refused else read > 2

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rowtide.catalog.spec import FieldSpec, TableSpec
@@ -95,6 +95,11 @@ def _whole(rows: DataFrame, spec: TableSpec) -> Column:
     return F.col("_paired").isNull() | F.coalesce(_acceptable(spec, "_paired"), F.lit(False))
 
 
+def _bad(good: Column, misplaced: Column | None = None) -> Column:
+    bad = ~F.coalesce(good, F.lit(False))
+    return bad if misplaced is None else bad | misplaced.isNotNull()
+
+
 def _rejected(rows: DataFrame, spec: TableSpec, good: Column, misplaced: Column | None = None) -> DataFrame:
     at, why = F.lit(None).cast("string"), F.lit(None).cast("string")
     for position, field in reversed(_must_decode(spec)):
@@ -102,10 +107,9 @@ def _rejected(rows: DataFrame, spec: TableSpec, good: Column, misplaced: Column
         size = F.octet_length(_cell(position))
         reason = F.when(size.isNull(), "missing").when(size == 0, "empty").otherwise("malformed")
         at, why = F.when(broken, field.name).otherwise(at), F.when(broken, reason).otherwise(why)
-    bad = ~F.coalesce(good, F.lit(False))
     if misplaced is not None:
-        why, bad = F.coalesce(why, misplaced), bad | misplaced.isNotNull()
-    return rows.where(bad).drop("_paired").select("*", at.alias("reject_field"), why.alias("reject_reason"))
+        why = F.coalesce(why, misplaced)
+    return rows.where(_bad(good, misplaced)).drop("_paired").select("*", at.alias("reject_field"), why.alias("reject_reason"))
 
 
 def decode_latest(
@@ -118,16 +122,33 @@ def decode_latest(
     ``decode_feed(.., split_key_changes=True)``, but only keys are decoded before the reduction; images are decoded once they
     have won, so a key changed a million times costs one decode.
     """
-    images = record_images(feed, spec, split_key_changes=True)
-    good, place = _acceptable(spec), F.col("_order.total_order")
+    return latest_events(feed, spec, since, **how), misfits(feed, spec, since)
+
+
+def _misplaced(since: int | None) -> Column:
+    place = F.col("_order.total_order")
     misplaced = F.when(place.isNull(), "no_order")
-    misplaced = misplaced if since is None else misplaced.when(place < since, "late")
+    return misplaced if since is None else misplaced.when(place < since, "late")
+
+
+def misfits(feed: DataFrame, spec: TableSpec, since: int | None = None) -> DataFrame:
+    """The rejects of ``decode_latest``."""
+    return _rejected(record_images(feed, spec, split_key_changes=True), spec, _acceptable(spec), _misplaced(since))
+
+
+def latest_events(
+    feed: DataFrame, spec: TableSpec, since: int | None = None, refused: Observation | None = None, **how
+) -> DataFrame:
+    """The rows of ``decode_latest``. ``refused`` counts the rejects, as ``refused``, while they are computed."""
+    images = record_images(feed, spec, split_key_changes=True)
+    good, misplaced = _acceptable(spec), _misplaced(since)
     keys = [(i, f) for i, f in enumerate(spec.fields) if f.name in spec.pk]
-    keyed = images.where(good & misplaced.isNull() & _whole(images, spec)).select(
+    told = images if refused is None else images.observe(refused, F.count_if(_bad(good, misplaced)).alias("refused"))
+    keyed = told.where(good & misplaced.isNull() & _whole(images, spec)).select(
         "_op", "_order", "_image", *[wire.value(f, _cell(i)).alias(f"_key_{i}") for i, f in keys]
     )
     latest = last_wins(keyed, [f"_key_{i}" for i, _ in keys], ["_order"])
-    return _project(latest, spec, list(ENVELOPE), **how), _rejected(images, spec, good, misplaced)
+    return _project(latest, spec, list(ENVELOPE), **how)
 
 
 def decode_feed(

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from rowtide.catalog.spec import TableSpec
 from rowtide.operators import apply, mutate, runs, scan
-from rowtide.operators.decode import decode_feed, decode_latest
+from rowtide.operators.decode import decode_feed, latest_events, misfits
 from rowtide.sources.storage import AlreadyExists, Storage
 
 PART, BUCKET = "rt_part", "rt_bucket"
@@ -455,11 +455,13 @@ class KeyedTable:
         seen = Observation()
         counted = F.count(F.lit(1)) if kind != ROWS else F.count_if(~F.col("_deleted"))
         ends = [f(F.col(k)).cast("string").alias(f"{e}{i}") for i, k in enumerate(pk) for f, e in ((F.min, "low"), (F.max, "high"))]
-        rows = rows.observe(seen, counted.alias("rows"), *ends).withColumn(BUCKET, self._bucket_of(base.buckets))
+        rows = rows.withColumn(BUCKET, self._bucket_of(base.buckets))
         if merged is None:
             dealt = rows.hint("rebalance", BUCKET)
         else:
             dealt = rows.repartitionByRange(max(1, math.ceil(merged / FILE_BYTES)), BUCKET, *pk)
+        # counted after the exchange: what lies below it is run once more to find the ranges
+        dealt = dealt.observe(seen, counted.alias("rows"), *ends)
         writer = dealt.sortWithinPartitions(BUCKET, *pk).write.partitionBy(BUCKET)
         if kind == ROWS:  # parts of changes are small
             writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
@@ -502,11 +504,12 @@ class KeyedTable:
         overwrite: bool = False,
         merges: list[str] | None = None,
         watermark: int | None = None,
+        made_parts: list[Part] | None = None,
     ) -> Version:
         """Write ``rows`` as a part and publish it; ``merges``: in place of these parts.
 
         ``rows`` sees the version it is written against, but for its buckets,
-        schema and watermark it must not depend on it.
+        schema and watermark it must not depend on it. Each part written is added to ``made_parts``.
         """
         pending: tuple[tuple, tuple[str, Part] | None] | None = None
         number = None if batch is None else [batch[1]] if isinstance(batch[1], int) else list(batch[1])
@@ -525,6 +528,8 @@ class KeyedTable:
                     made = rows(base)
                     size = None if merges is None else sum(base.parts[n].bytes for n in merges)
                     pending = shape, None if made is None else self._write_part(made, base, kind, 0, size)
+                    if made_parts is not None and pending[1] is not None:
+                        made_parts.append(pending[1][1])
                 gone = set(base.parts) if overwrite else set(merges or ())
                 parts = {n: p for n, p in base.parts.items() if n not in gone}
                 if pending[1] is not None and pending[1][1].buckets:
@@ -639,9 +644,9 @@ class KeyedTable:
 
         return self._apply_changes(changes, batch)
 
-    def _apply_changes(self, changes: Callable[[Version], DataFrame], batch) -> Version:
+    def _apply_changes(self, changes: Callable[[Version], DataFrame], batch, made_parts: list[Part] | None = None) -> Version:
         self._pk("apply")
-        done = self._commit("apply_ordered", changes, ORDERED, batch=batch, mode="ordered")
+        done = self._commit("apply_ordered", changes, ORDERED, batch=batch, mode="ordered", made_parts=made_parts)
         self._tidy()
         return done
 
@@ -653,18 +658,27 @@ class KeyedTable:
     def apply_feed(
         self, feed: DataFrame, mode: str = "ordered", batch: tuple[str, int | list[int]] | None = None
     ) -> DataFrame:
-        """Decode change events and apply them; returns the rejected ones."""
+        """Decode change events and apply them; returns the rejected ones.
+
+        In change order they are counted while the others are written; without any, nothing is read again.
+        """
         self._pk("apply")
         if mode == "ordered":
             current = self.version()
             since = [None if current is None else current.watermark]
+            seen: list[Observation] = []
+            parts: list[Part] = []
 
             def changes(base: Version) -> DataFrame:
                 since.append(base.watermark)
-                return apply.as_changes(decode_latest(feed, self.spec, base.watermark)[0])
-
-            self._apply_changes(changes, batch)
-            return decode_latest(feed, self.spec, since[-1])[1]
+                seen.append(Observation())
+                return apply.as_changes(latest_events(feed, self.spec, base.watermark, seen[-1]))
+
+            self._apply_changes(changes, batch, parts)
+            rejects = misfits(feed, self.spec, since[-1])
+            # a batch applied before, or one that has left no row, has not counted them
+            counted = len(parts) == len(seen) and parts and parts[-1].buckets
+            return rejects.where(F.lit(False)) if counted and not seen[-1].get["refused"] else rejects
         if mode == "grouped":
             events, rejects = decode_feed(feed, self.spec)
             events = events.persist()

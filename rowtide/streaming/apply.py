@@ -86,6 +86,8 @@ def start_apply_tables(
 ) -> StreamingQuery:
     """One stream for many tables: each micro-batch is read once and routed.
 
+    It is kept for that only if several tables have events in it; those of one are read
+    directly. A table without events in a batch stays at its version.
     ``tables`` by their name in the feed. Every table keeps the batch it has last
     applied, so a batch replayed after a failure between two tables reaches each
     of them once. When all have it, their versions are recorded below
@@ -95,10 +97,16 @@ def start_apply_tables(
 
     def flush(batch: DataFrame, number: int) -> None:
         query = json.loads(storage.read_text(f"{checkpoint}/metadata"))["id"]
-        batch = batch.where(F.col("feed_table").isin(list(tables))).persist()
+        batch = batch.where(F.col("feed_table").isin(list(tables)))
+        busy = {source for source in tables if not feeds.route(batch, schema, source).isEmpty()}
+        if len(busy) > 1:
+            batch = batch.persist()
 
         def one(item: tuple[str, KeyedTable]) -> tuple[str, int]:
             source, table = item
+            current = table.version()
+            if source not in busy and current is not None:
+                return source, current.number
             done = (f"{label}#{query}", number)
             rejects = table.apply_feed(feeds.route(batch, schema, source), mode, done)
             rejects.write.mode("overwrite").parquet(f"{table.path}/rejects/query={query}/batch={number}")
@@ -111,7 +119,8 @@ def start_apply_tables(
         except AlreadyExists:
             pass  # recorded before the failure that brought the batch back
         finally:
-            batch.unpersist()
+            if len(busy) > 1:
+                batch.unpersist()
 
     return _start(feed, flush, checkpoint, every)
 

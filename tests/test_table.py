@@ -553,3 +553,36 @@ def test_key_ranges_of_files_are_found_without_sorting_their_rows(spark, tmp_pat
     key = F.struct("a", "b")
     want = files.agg(F.min(key).alias("low"), F.max(key).alias("high")).select(F.lit(name), "rt_bucket", "file", "low", "high")
     assert content(found) == content(want) == content(spark.read.parquet(f"{table.path}/files/{name}")) and found.count() > 3
+
+
+def test_rows_of_a_part_merged_into_several_files_are_counted_once(spark, tmp_path, monkeypatch):
+    from rowtide.plans import table as module
+
+    monkeypatch.setattr(module, "FILE_BYTES", 1 << 10)
+    table = KeyedTable(spark, str(tmp_path), TableSpec.parse("t", "k", "k int64!, v int64"), buckets=2)
+    for i in range(2):
+        table.upsert(spark.range(i * 500, 500 + i * 500).select(F.col("id").alias("k"), F.col("id").alias("v")))
+    assert table.ensure_key_layout() == 2 and not table.version().deltas
+    [part] = table.version().parts
+    assert spark.read.parquet(f"{table.path}/files/{part}").count() > 2
+    assert table.count() == table.read().count() == 1000
+
+
+def test_a_table_without_events_in_a_batch_keeps_its_version(spark, tmp_path):
+    path, check, commits = (str(tmp_path / n) for n in ("feed", "check", "commits"))
+    tables = {n: KeyedTable(spark, str(tmp_path / n), SPEC, buckets=2) for n in ("acct", "other name")}
+    for name, events in (("acct", EVENTS[:2]), ("other name", EVENTS[:1]), ("other name", EVENTS[1:2])):
+        feeds.land(make_feed(spark, *events, name=name), path)
+        stream = feeds.stream_feed(spark, path)
+        start_apply_tables(stream, "s", tables, check, commits).awaitTermination()
+    assert committed(spark, commits) == {"acct": 1, "other name": 3}
+    assert [tables[n].count() for n in tables] == [2, 2]
+
+
+def test_rejects_are_read_again_only_if_there_are_some(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), SPEC, buckets=2)
+    feeds.land(make_feed(spark, *EVENTS[:2]), str(tmp_path / "feed"))
+    none = table.apply_feed(feeds.read_feed(spark, str(tmp_path / "feed")))
+    assert none.count() == 0 and "parquet" not in none._jdf.queryExecution().executedPlan().toString().lower()
+    late = table.apply_feed(make_feed(spark, *EVENTS[:2]).withColumn("txn", F.lit(None).cast(feeds.read_feed(spark, str(tmp_path / "feed")).schema["txn"].dataType)))
+    assert late.count() == 2 and "reject_reason" in none.columns

@@ -327,7 +327,10 @@ def shared_signatures(texts: DataFrame, words: int, scheme: PartEnum, common, ro
 
 
 def _signature_rows(texts: DataFrame, words: int, scheme: PartEnum, rows: int) -> DataFrame:
-    """(sig, node) of the signatures that may occur in several sets; the others never leave their task."""
+    """(sig, node, degree) of the signatures that may occur in several sets; the others never leave their task.
+
+    ``degree``: how many of them the node has. It only ranks nodes, and is the same in every row of a node.
+    """
     spark = texts.sparkSession
     common = spark.sparkContext.broadcast(common_shingles(texts, words))
     hashes = shared_signatures(texts, words, scheme, common, rows)
@@ -338,9 +341,13 @@ def _signature_rows(texts: DataFrame, words: int, scheme: PartEnum, rows: int) -
     def enumerate_(batches):
         for codes, nodes in _signatures(batches, words, scheme, common.value):
             kept = bloom_has(filter_words.value, (codes >> np.uint64(64 - bits)).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(codes[kept].view(np.int64)), pa.array(nodes[kept])], names=["sig", "node"])
+            codes, nodes = codes[kept], nodes[kept]
+            runs = np.diff(np.flatnonzero(np.diff(nodes) != 0), prepend=-1, append=len(nodes) - 1)
+            degree = np.repeat(runs, runs).astype(np.int32)
+            columns = [pa.array(codes.view(np.int64)), pa.array(nodes), pa.array(degree)]
+            yield pa.RecordBatch.from_arrays(columns, names=["sig", "node", "degree"])
 
-    return texts.mapInArrow(enumerate_, "sig long, node long")
+    return texts.mapInArrow(enumerate_, "sig long, node long, degree int")
 
 
 def _candidate_sets(texts: DataFrame, words: int, filter_words: np.ndarray) -> DataFrame:
@@ -428,16 +435,15 @@ def links(texts: DataFrame, facts: DataFrame, words: int, part: int, whole: int)
     several = rows.groupBy("sig").agg(F.count("*").alias("size")).where("size > 1")
     members = land(rows.join(several.select("sig"), "sig", "left_semi"), "buckets")
     release(spark)
-    degrees = members.groupBy("node").agg(F.count("*").alias("degree"))
-    if degrees.isEmpty():
+    if members.isEmpty():
         return None
-    members = land(members.join(degrees, "node"), "members")
-    candidates = facts.join(degrees.select("node"), "node", "left_semi")
+    nodes = land(members.select("node").distinct(), "nodes")
+    candidates = facts.join(nodes, "node", "left_semi")
     possible = _Possible(land(candidates, "facts"), part, whole)
     pairs = land(_hub_pairs(members, possible), "pairs")
     release(spark)
     found = _verify(pairs, texts, words, part, whole).where("linked").select("a", "b")
-    labels = _relabel(land(degrees.select("node", F.col("node").alias("label")), "labels"), found)
+    labels = _relabel(nodes.select("node", F.col("node").alias("label")), found)
     release(spark)
     return found.unionByName(_cell_links(members, labels, possible, texts, words, part, whole))
 
@@ -482,7 +488,7 @@ def _cell_links(
 def _dealt(rows: DataFrame, block: int) -> DataFrame:
     """Rows of cells dealt to tasks: each block of outsiders meets each block of all nodes.
 
-    ``asks`` marks the outsiders of a task; they are among its nodes in one of the tasks only.
+    ``asks`` marks the outsiders of a task, ``holds`` its nodes. An outsider is both in one of the tasks, by one row.
     """
     outside = F.col("label") != F.col("cell")
     sizes = rows.groupBy("cell").agg(F.count("*").alias("all"), F.count_if(outside).alias("out"))
@@ -496,9 +502,12 @@ def _dealt(rows: DataFrame, block: int) -> DataFrame:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
     columns = [c for c in rows.columns if c not in ("helds", "askeds")]
-    asking = rows.where(outside).select(*columns, F.pmod(place, "askeds").cast("int").alias("asked"), spread("helds").alias("held"))
-    held = rows.select(*columns, F.pmod(place, "helds").cast("int").alias("held"), spread("askeds").alias("asked"))
-    return asking.withColumn("asks", F.lit(True)).unionByName(held.withColumn("asks", F.lit(False)))
+    asker, holder = (F.pmod(place, n).cast("int") for n in ("askeds", "helds"))
+    asking = rows.where(outside).select(*columns, asker.alias("asked"), holder.alias("own"), spread("helds").alias("held"))
+    asking = asking.where("held <> own").select(*columns, "asked", "held", F.lit(True).alias("asks"), F.lit(False).alias("holds"))
+    held = rows.select(*columns, asker.alias("own"), holder.alias("held"), spread("askeds").alias("asked"))
+    both = outside & (F.col("asked") == F.col("own"))
+    return asking.unionByName(held.select(*columns, "asked", "held", both.alias("asks"), F.lit(True).alias("holds")))
 
 
 def _streamed(rows: DataFrame, work, schema: str) -> DataFrame:
@@ -545,10 +554,10 @@ def _possible_nodes(part: int, whole: int):
     """Work that returns the nodes of a task that may be similar to one of another group."""
 
     def work(rows: pa.Table) -> pa.RecordBatch:
-        asks = rows.column("asks").to_numpy()
+        asks, holds = rows.column("asks").to_numpy(), rows.column("holds").to_numpy()
         label, n = rows.column("label").to_numpy(), rows.column("f_n").to_numpy()
         sketch = np.stack([rows.column(f"f_{c}").to_numpy() for c in SKETCH], axis=1).view(np.uint64)
-        held = np.flatnonzero(~asks)
+        held = np.flatnonzero(holds)
         wanted = np.zeros(len(asks), bool)
         for i in np.flatnonzero(asks):
             bits = np.bitwise_count(sketch[held] ^ sketch[i]).sum(axis=1).astype(np.int64)
@@ -556,7 +565,7 @@ def _possible_nodes(part: int, whole: int):
             fits = (np.minimum(n[held], n[i]) * whole >= np.maximum(n[held], n[i]) * part) & (label[held] != label[i])
             fits &= bits * (whole + part) <= total * (whole - part)
             wanted[held[fits]] = True
-            wanted[i] = fits.any()
+            wanted[i] |= fits.any()
         return pa.RecordBatch.from_arrays(
             [pa.array(rows.column(c).to_numpy()[wanted]) for c in ("cell", "node", "label")], names=["cell", "node", "label"]
         )
@@ -568,13 +577,13 @@ def _forest(part: int, whole: int):
     """Work that compares the whole sets of a task and returns links that join two groups."""
 
     def work(rows: pa.Table) -> pa.RecordBatch | None:
-        asks, node, label = (rows.column(c).to_numpy() for c in ("asks", "node", "label"))
+        asks, holds, node, label = (rows.column(c).to_numpy() for c in ("asks", "holds", "node", "label"))
         lists = rows.column("items").combine_chunks()
         lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
         ends = lists.offsets.to_numpy()
         items = lists.values.to_numpy()
         size = np.diff(ends)
-        held, queries = np.flatnonzero(~asks), np.flatnonzero(asks)
+        held, queries = np.flatnonzero(holds), np.flatnonzero(asks)
         if not len(held) or not len(queries):
             return None
         # an index of the held sets: which of them have a shingle

@@ -455,3 +455,16 @@ def test_language_id_against_one_gram_at_a_time(llm):
         best = max(cosines.values())
         assert cosines[r.lang_pred] == pytest.approx(best, abs=1e-6)
         assert r.score == pytest.approx(max(0.0, best), abs=1e-5) and r.held_out == held(i + 100)
+
+
+@pytest.mark.parametrize("block,most", [(100, 40), (7, 40 * 6 + 30 * 5)])
+def test_an_outsider_is_sent_once_to_the_task_where_it_asks_and_is_asked(llm, block, most):
+    nodes = [(1, n, 1 if n < 10 else 2 + n % 3) for n in range(40)]
+    rows = llm.createDataFrame(nodes, "cell long, node long, label long")
+    tasks: dict = {}
+    dealt = jaccard_join._dealt(rows, block).collect()
+    for r in dealt:
+        tasks.setdefault((r["asked"], r["held"]), []).append(r)
+    assert len(dealt) <= most and all(len({r["node"] for r in own}) == len(own) for own in tasks.values())
+    met = [(a["node"], b["node"]) for own in tasks.values() for a in own if a["asks"] for b in own if b["holds"]]
+    assert sorted(met) == [(a, b) for a in range(10, 40) for b in range(40)]

@@ -19,6 +19,7 @@ is lossless.
 
 Most signatures occur once. Tasks first send their hashes, Rice coded, to the owners
 of hash ranges, and a Bloom filter of those that came twice tells which rows to shuffle.
+Near copies share hundreds of signatures; of buckets that hold the same nodes one is kept.
 
 Equal sets are one node from the start. Every node is first compared with the
 most connected node of its buckets, which closes in most groups of near copies.
@@ -27,6 +28,7 @@ cell, whatever other buckets they share. Inside a cell, blocks of outsiders meet
 blocks of nodes in one task each. Sizes and parity sketches tell which nodes can have
 a partner there at all; the whole sets of these are compared through an index of
 their shingles, and a task returns only links that join two groups, never its pairs.
+Sets travel as compressed texts, a third of their shingles' hashes, and are made anew where they are compared.
 """
 
 from __future__ import annotations
@@ -73,8 +75,8 @@ SMALL_PAIRS = 50_000
 MAX_FILTER_BITS = 1 << 27
 # Sets a task remembers to send each once; it starts again when full.
 CACHE = 300_000
-# Bytes of text hashed at once.
-CHUNK_BYTES = 1 << 20
+# Bytes of text hashed at once: every worker process keeps a few arrays of eight times as much.
+CHUNK_BYTES = 1 << 18
 
 
 # A word's hash is a polynomial over its bytes, modulo 2^64.
@@ -350,32 +352,41 @@ def _signature_rows(texts: DataFrame, words: int, scheme: PartEnum, rows: int) -
     return texts.mapInArrow(enumerate_, "sig long, node long, degree int")
 
 
+def _packed(text: str) -> bytes:
+    data = text.encode()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> str:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True).decode()
+
+
 def _candidate_sets(texts: DataFrame, words: int, filter_words: np.ndarray) -> DataFrame:
-    """(node, items) of the sets whose node passes the filter, one row each."""
+    """(node, packed) of the sets whose node passes the filter, one row each; ``packed``: a text that has the set."""
     shared = texts.sparkSession.sparkContext.broadcast(filter_words)
-    schema = pa.schema([("node", pa.int64()), ("items", pa.list_(pa.int64()))])
+    schema = pa.schema([("node", pa.int64()), ("packed", pa.binary())])
 
     def pick(batches):
         seen: set[int] = set()
         for batch in batches:
-            found = [f for f in shingle_sets(_column(batch), words) if len(f)]
-            nodes = np.array([set_hash(f) for f in found], np.int64)
+            column = _column(batch)
+            found = [(text, set_hash(f)) for text, f in zip(column, shingle_sets(column, words)) if len(f)]
+            nodes = np.array([node for _, node in found], np.int64)
             if not len(nodes):
                 continue
             rows = []
             for i in np.flatnonzero(bloom_has(shared.value, nodes)):
-                node = int(nodes[i])
+                text, node = found[i]
                 if node not in seen:
                     if len(seen) >= CACHE:
                         seen.clear()
                     seen.add(node)
-                    rows.append(found[i])
+                    rows.append((node, _packed(text)))
             if rows:
-                own = pa.array([set_hash(f) for f in rows], pa.int64())
-                items = pa.array([f.view(np.int64) for f in rows], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([own, items], schema=schema)
+                own, packed = (pa.array(c, t) for c, t in zip(zip(*rows), schema.types))
+                yield pa.RecordBatch.from_arrays([own, packed], schema=schema)
 
-    return texts.mapInArrow(pick, "node long, items array<long>").dropDuplicates(["node"])
+    return texts.mapInArrow(pick, "node long, packed binary").dropDuplicates(["node"])
 
 
 class _Possible:
@@ -412,16 +423,25 @@ def _verify(pairs: DataFrame, texts: DataFrame, words: int, part: int, whole: in
     ends = pairs.select("a").union(pairs.select("b")).distinct()
     sets = _candidate_sets(texts, words, bloom_build(ends, 2 * count, 16, MAX_FILTER_BITS))
     sets = land(sets.join(ends.withColumnRenamed("a", "node"), "node", "left_semi"), "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
+    left = sets.select(F.col("node").alias("a"), F.col("packed").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("packed").alias("y"))
     first = left.join(F.broadcast(pairs), "a") if small else left.join(pairs, "a")
     if small:
         # The other side meets its partner by a join of the few sets that are in a pair.
         right = right.join(F.broadcast(pairs.select("b").distinct()), "b", "left_semi")
     both = first.join(right, "b")
-    shared = F.size(F.array_intersect("x", "y")).cast("long")
-    linked = shared * (whole + part) >= (F.size("x") + F.size("y")) * part
-    return land(both.select("a", "b", linked.alias("linked")), "verified")
+
+    def compare(batches):
+        for batch in batches:
+            linked = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                x, y = shingle_sets([_unpacked(x.as_py()), _unpacked(y.as_py())], words)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(shared * (whole + part) >= (len(x) + len(y)) * part)
+            columns = [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "linked"])
+
+    return land(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long, linked boolean"), "verified")
 
 
 def links(texts: DataFrame, facts: DataFrame, words: int, part: int, whole: int) -> DataFrame | None:
@@ -432,8 +452,7 @@ def links(texts: DataFrame, facts: DataFrame, words: int, part: int, whole: int)
     spark = texts.sparkSession
     rows = _signature_rows(texts, words, PartEnum(part, whole), texts.count()).distinct()
     rows = land(rows, "signatures")
-    several = rows.groupBy("sig").agg(F.count("*").alias("size")).where("size > 1")
-    members = land(rows.join(several.select("sig"), "sig", "left_semi"), "buckets")
+    members = land(rows.join(_different_buckets(rows), "sig", "left_semi"), "buckets")
     release(spark)
     if members.isEmpty():
         return None
@@ -448,6 +467,13 @@ def links(texts: DataFrame, facts: DataFrame, words: int, part: int, whole: int)
     return found.unionByName(_cell_links(members, labels, possible, texts, words, part, whole))
 
 
+def _different_buckets(rows: DataFrame) -> DataFrame:
+    """A ``sig`` for each set of several nodes that share one; node sets are known by size and a 64-bit hash."""
+    held = F.bit_xor(F.xxhash64("node")).alias("held")
+    several = rows.groupBy("sig").agg(F.count("*").alias("size"), held).where("size > 1")
+    return several.groupBy("size", "held").agg(F.min("sig").alias("sig")).select("sig")
+
+
 def _hub_pairs(members: DataFrame, possible: _Possible) -> DataFrame:
     """For each node one pair: with the most connected node of its buckets."""
     tops = members.groupBy("sig").agg(F.max(F.struct("degree", "node")).alias("top"))
@@ -481,8 +507,8 @@ def _cell_links(
         return rows.select(F.col("node").alias("a"), F.col("node").alias("b"))
     nodes = rows.select("node").distinct()
     sets = _candidate_sets(texts, words, bloom_build(nodes, count, 16, MAX_FILTER_BITS))
-    rows = _dealt(rows, SET_BLOCK).join(land(sets.join(nodes, "node", "left_semi"), "sets"), "node")
-    return land(_streamed(rows, _forest(part, whole), "a long, b long").distinct(), "links")
+    rows = _dealt(rows, SET_BLOCK).join(sets, "node")
+    return land(_streamed(rows, _forest(words, part, whole), "a long, b long").distinct(), "links")
 
 
 def _dealt(rows: DataFrame, block: int) -> DataFrame:
@@ -573,21 +599,18 @@ def _possible_nodes(part: int, whole: int):
     return work
 
 
-def _forest(part: int, whole: int):
+def _forest(words: int, part: int, whole: int):
     """Work that compares the whole sets of a task and returns links that join two groups."""
 
     def work(rows: pa.Table) -> pa.RecordBatch | None:
         asks, holds, node, label = (rows.column(c).to_numpy() for c in ("asks", "holds", "node", "label"))
-        lists = rows.column("items").combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        ends = lists.offsets.to_numpy()
-        items = lists.values.to_numpy()
-        size = np.diff(ends)
         held, queries = np.flatnonzero(holds), np.flatnonzero(asks)
         if not len(held) or not len(queries):
             return None
+        sets = list(shingle_sets((_unpacked(p.as_py()) for p in rows.column("packed")), words))
+        size = np.array([len(s) for s in sets])
         # an index of the held sets: which of them have a shingle
-        flat = np.concatenate([items[ends[i] : ends[i + 1]] for i in held])
+        flat = np.concatenate([sets[i] for i in held])
         owner = np.repeat(np.arange(len(held)), size[held])
         order = np.argsort(flat, kind="stable")
         flat, owner = flat[order], owner[order]
@@ -601,7 +624,7 @@ def _forest(part: int, whole: int):
 
         out = []
         for i in queries:
-            own = items[ends[i] : ends[i + 1]]
+            own = sets[i]
             begin, end = np.searchsorted(flat, own), np.searchsorted(flat, own, side="right")
             many = end - begin
             at = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum())

@@ -1,7 +1,9 @@
 """Each operator as a Spark job, against brute force, on awkward rows and on empty tables."""
 
 import hashlib
+import os
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -406,6 +408,42 @@ def test_borderline_copies_meet_in_blocks(llm, monkeypatch):
     assert {i: c for i, _, c in got} == expected
 
 
+def test_near_copies_share_one_bucket(llm, monkeypatch):
+    """Buckets of the same nodes are one, and whole sets are brought together in fewer bytes than their hashes take."""
+    landed = defaultdict(list)
+
+    def land(rows, label):
+        landed[label].append(common.land(rows, label))
+        return landed[label][-1]
+
+    monkeypatch.setattr(jaccard_join, "land", land)
+    rng = np.random.default_rng(8)
+    rows = []
+    for group in range(3):
+        base = [f"word{i}" for i in rng.integers(0, 500, 2000)]
+        for copy in range(3):
+            rows.append((3 * group + copy, " ".join([*base[: 600 * (group + 1)], f"Ärger{copy}"])))
+    got = sorted(_rows(jaccard_join.similar_documents(llm.createDataFrame(rows, "doc_id long, text string"), words=5, part=80)))
+    assert got == [(i, 600 * (i // 3 + 1) - 3, i // 3 * 3) for i in range(9)]
+    buckets = defaultdict(set)
+    for r in landed["buckets"][0].collect():
+        buckets[r.sig].add(r.node)
+    assert buckets and min(map(len, buckets.values())) > 1
+    assert len(buckets) == len(set(map(frozenset, buckets.values())))
+    files = [f.removeprefix("file:").replace("//", "/") for f in landed["sets"][0].inputFiles()]
+    assert sum(map(os.path.getsize, files)) < 8 * sum(n for _, n, _ in got) / 2
+
+
+def test_hashing_takes_texts_in_small_chunks():
+    text = " ".join(f"word{i % 977}" for i in range(4000))
+    tracemalloc.start()
+    try:
+        assert {len(s) for s in jaccard_join.shingle_sets([text] * 100, 5)} == {977}
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_near_copies_go_row_by_row(llm):
     """Rows that share an id, or have none, are kept or dropped each for itself."""
     words = " ".join(f"word{i}" for i in range(80))
